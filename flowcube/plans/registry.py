@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-DOMAINS = ["olap"]
+DOMAINS = ["olap", "quality"]
 
 
 def _modules():
