@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-DOMAINS = ["olap", "quality"]
+DOMAINS = ["olap", "quality", "cadence"]
 
 
 def _modules():
