@@ -53,8 +53,22 @@ def commits(t: Tables) -> DataFrame:
         F.col("o_orderdate").alias("authored_at"), F.col("o_orderdate").alias("committed_at"),
         (F.col("o_orderstatus") == "P").alias("is_merge"),
         added.alias("lines_added"), removed.alias("lines_removed"), (added + removed).alias("lines_total"),
-        F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit(" "), F.col("o_orderpriority"))
-         .alias("title"))
+        commit_title().alias("title"), commit_message().alias("message"))
+
+
+def commit_title() -> F.Column:
+    """Every fourth title cites nothing valid ('#0d', '#Nx'); the others cite the card
+    numbered like the author ('#N)') plus an invalid '#0d'."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return (F.when(k % 4 == 0, F.concat(F.lit("refactor #0"), (c % 10).cast("string"), F.lit(" #"),
+                                         c.cast("string"), F.lit("x")))
+             .otherwise(F.concat(F.lit("fix #"), c.cast("string"), F.lit(") and #0"), (k % 10).cast("string"))))
+
+
+def commit_message() -> F.Column:
+    """Cites the neighbouring card numbers."""
+    k = F.col("o_orderkey")
+    return F.concat(F.lit("see #"), (k - 1).cast("string"), F.lit(" #"), (k + 1).cast("string"))
 
 
 def card_closes(t: Tables) -> DataFrame:
@@ -87,7 +101,10 @@ commits_ AS (
          o_orderdate AS committed_at, o_orderstatus = 'P' AS is_merge,
          CAST(floor(o_totalprice / 100) AS BIGINT) AS lines_added, o_custkey % 50 AS lines_removed,
          CAST(floor(o_totalprice / 100) AS BIGINT) + o_custkey % 50 AS lines_total,
-         'order ' || CAST(o_orderkey AS VARCHAR) || ' ' || o_orderpriority AS title
+         CASE WHEN o_orderkey % 4 = 0
+              THEN 'refactor #0' || CAST(o_custkey % 10 AS VARCHAR) || ' #' || CAST(o_custkey AS VARCHAR) || 'x'
+              ELSE 'fix #' || CAST(o_custkey AS VARCHAR) || ') and #0' || CAST(o_orderkey % 10 AS VARCHAR) END AS title,
+         'see #' || CAST(o_orderkey - 1 AS VARCHAR) || ' #' || CAST(o_orderkey + 1 AS VARCHAR) AS message
   FROM orders JOIN cust_team_ ON c_custkey = o_custkey),
 closes_ AS (SELECT o_orderkey, min(l_shipdate) AS closed_at FROM lineitem JOIN orders ON l_orderkey = o_orderkey
             WHERE l_shipdate >= o_orderdate GROUP BY o_orderkey),
@@ -98,3 +115,110 @@ cards_ AS (
          CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS sprint
   FROM orders o JOIN cust_team_ ON c_custkey = o_custkey LEFT JOIN closes_ cl ON cl.o_orderkey = o.o_orderkey)
 """
+
+
+# ------------------------------------------------------------------ events side
+# The board of every team (column name -> position).
+BOARD = [("signup", 0), ("view", 1), ("click", 2), ("purchase", 3)]
+BOARD_NAME = "Scrum Board"
+# Sprint calendar of one team, re-applied to all teams (T20); weekends are gaps.
+SPRINT_CALENDAR = [("Sprint 01", "2024-01-01", "2024-01-05"), ("Sprint 02", "2024-01-08", "2024-01-12"),
+                   ("Sprint 03", "2024-01-15", "2024-01-19"), ("Sprint 04", "2024-01-22", "2024-01-26"),
+                   ("Sprint 05", "2024-01-29", "2024-01-31")]
+CALENDAR_TEAM = "T2"
+# Sizes by order priority and planned days per size (orders-side cards).
+PRIORITY_SIZE = [("1-URGENT", "SIZE_PP"), ("2-HIGH", "SIZE_P"), ("3-MEDIUM", "SIZE_M"), ("5-LOW", "SIZE_G")]
+SIZE_DAYS = [("SIZE_PP", 0.25), ("SIZE_P", 0.5), ("SIZE_M", 1.0), ("SIZE_G", 3.0)]
+
+
+def label_text() -> F.Column:
+    """Raw label text of a labelling event (spellings that exercise canonicalisation)."""
+    e = F.col("event_id")
+    s = e % 23
+    sizes = F.array(*[F.lit(x) for x in ["size pp", "Size_P", "m", "G", "gg"]])
+    return (F.when(e % 8 == 0, F.concat(F.lit("Art. "), (s % 20).cast("string")))
+             .when(e % 8 == 1, F.concat(F.lit("art."), F.lpad((s % 20).cast("string"), 2, "0")))
+             .when(e % 8 == 2, F.element_at(sizes, (s % 5 + 1).cast("int")))
+             .when(e % 8 == 3, F.concat(F.lit("P"), (s % 10).cast("string")))
+             .when(e % 8 == 4, F.when(s % 2 == 0, F.lit("fix")).otherwise(F.lit("Bug")))
+             .when(e % 8 == 5, F.when(s % 3 == 0, F.lit("negócios")).otherwise(F.lit("feature")))
+             .when(e % 8 == 6, F.concat(F.lit("ano:"), (2020 + s % 3).cast("string")))
+             .otherwise(F.lit(" error ")))
+
+
+def raw_card_events(t: Tables) -> DataFrame:
+    """Board event log with surrogate ids; rows with event_id % 50 = 1 are logged twice
+    (the copy gets a new surrogate id), as an append-only log with duplicates."""
+    e = t.events
+    column = (F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string"))
+               .when(F.col("event_type") == "error", label_text())
+               .otherwise(F.col("event_type")))
+    person = (F.when(F.col("event_id") % 50 == 0, F.lit("ci-runner"))
+               .otherwise(F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string"), F.lit("-A"),
+                                   (F.col("user_id") % 7).cast("string"))))
+    base = e.select(
+        F.col("event_id"), F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string")).alias("team"),
+        F.col("user_id").alias("card"),
+        F.when(F.col("event_id") % 2 == 0, "add").otherwise("remove").alias("action"),
+        column.alias("column"), person.alias("person"), F.col("ts").alias("occurred_at"))
+    dup = base.filter(F.col("event_id") % 50 == 1).withColumn("event_id", F.col("event_id") + 1000000)
+    return base.unionByName(dup)
+
+
+def board_columns(spark) -> DataFrame:
+    rows = [(f"T{i}", BOARD_NAME, pos, col) for i in range(3) for col, pos in BOARD]
+    return spark.createDataFrame(rows, "team string, board string, position int, column string")
+
+
+def sprint_calendar(spark) -> DataFrame:
+    return spark.createDataFrame(SPRINT_CALENDAR, "sprint string, start_s string, end_s string").select(
+        "sprint", F.col("start_s").cast("date").alias("start_date"), F.col("end_s").cast("date").alias("end_date"))
+
+
+def board_cards(t: Tables) -> DataFrame:
+    """Events-side cards: one per user; closed at the last purchase unless user_id % 5 = 0."""
+    e = t.events
+    per = e.groupBy("user_id").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("last_buy"),
+                                   F.min("ts").alias("first_ts"))
+    return per.select(
+        F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string")).alias("team"),
+        F.col("user_id").alias("card"), F.col("first_ts").alias("created_at"),
+        F.when(F.col("user_id") % 5 == 0, F.lit(None)).otherwise(F.col("last_buy")).alias("closed_at"),
+        F.when(F.col("user_id") % 7 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("Sprint 0"), (1 + F.col("user_id") % 5).cast("string"))).alias("sprint"))
+
+
+EVENTS_SQL = """
+raw_events_ AS (
+  SELECT event_id, 'T' || CAST(user_id % 3 AS VARCHAR) AS team, user_id AS card,
+         CASE WHEN event_id % 2 = 0 THEN 'add' ELSE 'remove' END AS action,
+         CASE WHEN event_id % 97 = 0 THEN NULL
+              WHEN event_type = 'error' THEN (CASE
+                 WHEN event_id % 8 = 0 THEN 'Art. ' || CAST(event_id % 23 % 20 AS VARCHAR)
+                 WHEN event_id % 8 = 1 THEN 'art.' || lpad(CAST(event_id % 23 % 20 AS VARCHAR), 2, '0')
+                 WHEN event_id % 8 = 2 THEN ['size pp', 'Size_P', 'm', 'G', 'gg'][CAST(event_id % 23 % 5 + 1 AS INTEGER)]
+                 WHEN event_id % 8 = 3 THEN 'P' || CAST(event_id % 23 % 10 AS VARCHAR)
+                 WHEN event_id % 8 = 4 THEN CASE WHEN event_id % 23 % 2 = 0 THEN 'fix' ELSE 'Bug' END
+                 WHEN event_id % 8 = 5 THEN CASE WHEN event_id % 23 % 3 = 0 THEN 'negócios' ELSE 'feature' END
+                 WHEN event_id % 8 = 6 THEN 'ano:' || CAST(2020 + event_id % 23 % 3 AS VARCHAR)
+                 ELSE ' error ' END)
+              ELSE event_type END AS "column",
+         CASE WHEN event_id % 50 = 0 THEN 'ci-runner'
+              ELSE 'T' || CAST(user_id % 3 AS VARCHAR) || '-A' || CAST(user_id % 7 AS VARCHAR) END AS person,
+         ts AS occurred_at
+  FROM events),
+card_events_raw_ AS (SELECT * FROM raw_events_ UNION ALL
+                     SELECT event_id + 1000000, team, card, action, "column", person, occurred_at
+                     FROM raw_events_ WHERE event_id % 50 = 1),
+board_ AS (SELECT * FROM (VALUES ('signup', 0), ('view', 1), ('click', 2), ('purchase', 3)) b("column", position)
+           CROSS JOIN (VALUES ('T0'), ('T1'), ('T2')) t(team)),
+sprint_cal_ AS (SELECT * FROM (VALUES ('Sprint 01', DATE '2024-01-01', DATE '2024-01-05'),
+    ('Sprint 02', DATE '2024-01-08', DATE '2024-01-12'), ('Sprint 03', DATE '2024-01-15', DATE '2024-01-19'),
+    ('Sprint 04', DATE '2024-01-22', DATE '2024-01-26'), ('Sprint 05', DATE '2024-01-29', DATE '2024-01-31'))
+    s(sprint, start_date, end_date)),
+board_cards_ AS (
+  SELECT 'T' || CAST(user_id % 3 AS VARCHAR) AS team, user_id AS card, min(ts) AS created_at,
+         CASE WHEN user_id % 5 = 0 THEN NULL ELSE max(CASE WHEN event_type = 'purchase' THEN ts END) END AS closed_at,
+         CASE WHEN user_id % 7 = 0 THEN NULL ELSE 'Sprint 0' || CAST(1 + user_id % 5 AS VARCHAR) END AS sprint
+  FROM events GROUP BY user_id)
+"""
