@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-DOMAINS = ["olap", "quality", "cadence", "text", "events"]
+DOMAINS = ["olap", "quality", "cadence", "text", "events", "concentration"]
 
 
 def _modules():

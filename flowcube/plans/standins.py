@@ -88,8 +88,13 @@ def cards(t: Tables) -> DataFrame:
         F.col("o_orderdate").alias("created_at"), "closed_at",
         F.when(F.col("closed_at").isNotNull(), "closed").otherwise("opened").alias("state"),
         F.col("o_orderpriority").alias("priority"),
-        F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), F.quarter("o_orderdate").cast("string"))
-         .alias("sprint"))
+        order_sprint().alias("sprint"))
+
+
+def order_sprint() -> F.Column:
+    """Calendar quarter of the order; open orders ('O') have no sprint."""
+    return F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("string")).otherwise(
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("-Q"), F.quarter("o_orderdate").cast("string")))
 
 
 COMMITS_SQL = """
@@ -112,7 +117,8 @@ cards_ AS (
   SELECT team, o.o_orderkey AS card, o_custkey AS author_id, o_orderdate AS created_at, closed_at,
          CASE WHEN closed_at IS NOT NULL THEN 'closed' ELSE 'opened' END AS state,
          o_orderpriority AS priority,
-         CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS sprint
+         CASE WHEN o_orderstatus = 'O' THEN NULL
+              ELSE CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR) END AS sprint
   FROM orders o JOIN cust_team_ ON c_custkey = o_custkey LEFT JOIN closes_ cl ON cl.o_orderkey = o.o_orderkey)
 """
 
