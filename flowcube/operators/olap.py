@@ -60,8 +60,11 @@ def item_fact(items: DataFrame, orders: DataFrame, customers: DataFrame,
     p = products.select("product_id", F.col("category_name").alias("category_original"))
     t = translation.select(F.col("category_name").alias("category_original"),
                            F.col("category_name_english").alias("category_english"))
-    fact = (i.join(o, "order_id", "left")
-             .join(c, "customer_id", "left")
+    # Orders are enriched with their customer first: the item-sized side is then
+    # shuffled once by order (and once by product when the product side is too
+    # large to broadcast), never by customer.
+    oc = o.join(c, "customer_id", "left")
+    fact = (i.join(oc, "order_id", "left")
              .join(p, "product_id", "left")
              .join(t, "category_original", "left"))
     return fact.select(
@@ -88,24 +91,35 @@ def monthly_mart(fact: DataFrame) -> DataFrame:
 
 
 def kpis(fact: DataFrame) -> DataFrame:
-    """One KPI row (M25): revenue, freight, orders, ticket, items, first/last, statuses."""
-    agg = fact.agg(money_sum("price").alias("revenue"),
-                   money_sum("freight_value").alias("freight"),
-                   F.countDistinct("order_id").alias("orders"),
-                   F.count(F.lit(1)).alias("items"),
-                   F.min("purchased_at").alias("first_purchase"),
-                   F.max("purchased_at").alias("last_purchase"),
-                   F.countDistinct("order_status").alias("statuses"))
+    """One KPI row (M25): revenue, freight, orders, ticket, items, first/last, statuses.
+
+    The fact is first reduced to one row per order (an order has one status
+    and one purchase instant), so the distinct counts need no Expand of the
+    item rows and the final aggregate reads one row per order.
+    """
+    per_order = (fact.groupBy("order_id", "order_status", "purchased_at")
+                     .agg(F.sum(money("price")).alias("rev"), F.sum(money("freight_value")).alias("frt"),
+                          F.count(F.lit(1)).alias("n")))
+    agg = per_order.agg(F.sum("rev").cast(MONEY_SUM).alias("revenue"),
+                        F.sum("frt").cast(MONEY_SUM).alias("freight"),
+                        F.count(F.lit(1)).alias("orders"),
+                        F.sum("n").alias("items"),
+                        F.min("purchased_at").alias("first_purchase"),
+                        F.max("purchased_at").alias("last_purchase"),
+                        F.countDistinct("order_status").alias("statuses"))
     return agg.select("revenue", "freight", "orders",
                       ratio(F.col("revenue"), F.col("orders")).alias("ticket"),
                       "items", "first_purchase", "last_purchase", "statuses")
 
 
 def month_totals(fact: DataFrame) -> DataFrame:
-    return (fact.groupBy("month")
-                .agg(money_sum("price").alias("revenue"),
-                     F.countDistinct("order_id").alias("orders"),
-                     F.count(F.lit(1)).alias("items")))
+    """Revenue, distinct orders and items per month, via one row per (month, order)."""
+    per_order = (fact.groupBy("month", "order_id")
+                     .agg(F.sum(money("price")).alias("rev"), F.count(F.lit(1)).alias("n")))
+    return (per_order.groupBy("month")
+                     .agg(F.sum("rev").cast(MONEY_SUM).alias("revenue"),
+                          F.count(F.lit(1)).alias("orders"),
+                          F.sum("n").alias("items")))
 
 
 def monthly_series(fact: DataFrame, partial_share: float = 0.01) -> DataFrame:
@@ -219,14 +233,22 @@ def latest_orders(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFr
 
 
 def monthly_cents(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """The comparison query (M33): revenue in integer cents, distinct orders, items per month."""
-    i = items.select("order_id", "price")
+    """The comparison query (M33): revenue in integer cents, distinct orders, items per month.
+
+    Items are reduced to one row per order before the join (map-side partial
+    aggregation, then one shuffle by order id); the join output is already one
+    row per order, so distinct orders per month is a plain count and the last
+    aggregate runs over months only.
+    """
+    per_order = (items.groupBy("order_id")
+                      .agg(F.sum(F.round(F.col("price") * 100).cast("bigint")).alias("cents"),
+                           F.count(F.lit(1)).alias("n")))
     o = orders.select("order_id", F.date_format("purchased_at", "yyyy-MM").alias("month"))
-    return (i.join(o, "order_id")
-             .groupBy("month")
-             .agg(F.sum(F.round(F.col("price") * 100).cast("bigint")).alias("revenue_cents"),
-                  F.countDistinct("order_id").alias("orders"),
-                  F.count(F.lit(1)).alias("items")))
+    return (per_order.join(o, "order_id")
+                     .groupBy("month")
+                     .agg(F.sum("cents").alias("revenue_cents"),
+                          F.count(F.lit(1)).alias("orders"),
+                          F.sum("n").alias("items")))
 
 
 def untranslated(fact: DataFrame, default_category: str = NO_CATEGORY) -> DataFrame:
