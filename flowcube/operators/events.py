@@ -8,8 +8,10 @@ Scale notes: the board and the sprint calendar are small, bounded
 dimensions and are broadcast.  The sprint range join is turned into an
 equi-join by expanding the calendar to one row per day (bounded by the
 calendar's length), so it plans as a broadcast hash join instead of a nested
-loop.  Sequencing uses per-card windows; the dedupe is a hash aggregate with
-map-side partial aggregation.
+loop.  Sequencing does not use a per-card window (a card with a huge history
+would land in one task): positions come from a range-partitioned ordinal and
+the next event from an equi-join on the position.  The dedupe is a hash
+aggregate with map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from flowcube.functions import text
 from flowcube.functions.timecalc import MICROS_PER_HOUR, elapsed_micros, rounded_ratio
+from flowcube.operators import windows
 
 # Event kinds and the calendar-origin label of the reference.
 KIND_MOVE = "MUDANCA_COLUNA"
@@ -77,10 +80,13 @@ def calendar_overlaps(calendar: DataFrame) -> DataFrame:
 
 
 def sequence_events(events: DataFrame, part: list[str], ts: str, tie: str) -> DataFrame:
-    """Position of each event in its card and hours to the next one."""
-    w = Window.partitionBy(*part).orderBy(F.col(ts), F.col(tie))
-    return (events.withColumn("seq_in_card", F.row_number().over(w))
-                  .withColumn("__next", F.lead(ts).over(w)))
+    """Position of each event in its card and the next event's instant.
+
+    Uses the skew-tolerant ordinal (a card with a huge history is split over
+    several tasks) and an equi-join on (card, position + 1) for the lead.
+    """
+    numbered = windows.ordinal(events, part, [ts, tie], "seq_in_card")
+    return windows.next_value(numbered, part, "seq_in_card", ts, "__next")
 
 
 def event_treatment(raw: DataFrame, board: DataFrame, calendar: DataFrame, calendar_team: str) -> DataFrame:

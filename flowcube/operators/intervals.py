@@ -3,7 +3,9 @@
 Entries (``add``) and exits (``remove``) of a card in a board stage are paired
 by order: the n-th entry closes on the n-th exit (T9).  Instead of a self join
 on the ordinal, both actions are numbered and then pivoted in one aggregate
-keyed by (team, card, stage, n): one shuffle, no join.  An entry without exit
+keyed by (team, card, stage, n).  The numbering is the skew-tolerant ordinal
+of :mod:`flowcube.operators.windows`, so a card with a very long history is
+numbered by several tasks.  An entry without exit
 ends at the card's close if that is not before the entry, else at the data
 cut-off; an exit without entry disappears.
 
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowcube.functions.timecalc import MICROS_PER_HOUR, elapsed_micros, hours, rounded_ratio
+from flowcube.operators import windows
 
 # How an interval ended, and the no-sprint bucket.
 END_EXIT = "saida registrada"
@@ -36,8 +39,7 @@ def pair_intervals(moves: DataFrame, cards: DataFrame, cutoff: DataFrame) -> Dat
 
     ``cutoff`` is a one-row DataFrame with column ``cutoff`` (stays lazy: no driver round trip).
     """
-    w = Window.partitionBy("team", "card", "stage", "action").orderBy("occurred_at")
-    numbered = moves.withColumn("n", F.row_number().over(w))
+    numbered = windows.ordinal(moves, ["team", "card", "stage", "action"], ["occurred_at"], "n")
     pivot = (numbered.groupBy("team", "card", "stage", "position", "n")
                      .agg(F.max(F.when(F.col("action") == "add", F.col("occurred_at"))).alias("entered_at"),
                           F.max(F.when(F.col("action") == "remove", F.col("occurred_at"))).alias("exit_at"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowcube.functions.timecalc import MICROS_PER_DAY, elapsed_micros
+from flowcube.operators import windows
 
 # Ratio bands and the unsized bucket.
 BAND_WITHIN = "dentro do planejado"
@@ -26,14 +27,14 @@ def exact_median(df: DataFrame, group: list[str], value: str, out: str = "median
     """Exact median per group: mean of the values at positions ⌊(n+1)/2⌋ and ⌊(n+2)/2⌋.
 
     Values are first counted per (group, value) — a map-side-combined
-    aggregate — and the cumulative counts run over distinct values only, so
-    a group holding a large share of the rows still contributes just its
-    distinct values to the ordering step.  NULL values are ignored.
+    aggregate — and the cumulative counts run over distinct values only,
+    with the skew-tolerant running sum (a group with many distinct values is
+    split over several tasks).  NULL values are ignored.
     """
     c = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*group).orderBy(value)
-    c = (c.withColumn("__cum", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-          .withColumn("__n", F.sum("__c").over(Window.partitionBy(*group))))
+    c = windows.running_sum(c, group, [value], "__c", "__cum")
+    n = c.groupBy(*group).agg(F.sum("__c").alias("__n"))
+    c = c.join(n, group)
     k1 = F.floor((F.col("__n") + 1) / 2)
     k2 = F.floor((F.col("__n") + 2) / 2)
     prev = F.col("__cum") - F.col("__c")
