@@ -40,7 +40,11 @@ def daily_cadence(commits: DataFrame, teams: DataFrame) -> DataFrame:
     """
     a = authored(commits, teams).withColumn("day", F.to_date("authored_at"))
     counts = a.groupBy("team", "day").agg(F.count(F.lit(1)).alias("total_commits"))
-    grid = teams.select("team").crossJoin(dense_days(counts))
+    bounds = counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    # The one-row bounds are attached to each team and expanded per team: the
+    # grid is |teams| × |days| by construction, never a product of two data sets.
+    grid = (teams.select("team").join(F.broadcast(bounds), how="cross")
+                 .select("team", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day")))
     return (grid.join(counts, ["team", "day"], "left")
                 .select("team", "day", F.coalesce("total_commits", F.lit(0)).cast("bigint").alias("total_commits")))
 
