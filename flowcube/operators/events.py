@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from flowcube.functions import text
 from flowcube.functions.timecalc import MICROS_PER_HOUR, elapsed_micros, rounded_ratio
 from flowcube.operators import windows
+from flowcube.operators.materialize import materialize
 
 # Event kinds and the calendar-origin label of the reference.
 KIND_MOVE = "MUDANCA_COLUNA"
@@ -83,16 +84,17 @@ def sequence_events(events: DataFrame, part: list[str], ts: str, tie: str) -> Da
     """Position of each event in its card and the next event's instant.
 
     Uses the skew-tolerant ordinal (a card with a huge history is split over
-    several tasks) and an equi-join on (card, position + 1) for the lead.
+    several tasks); the lead is taken inside the same buckets.
     """
-    numbered = windows.ordinal(events, part, [ts, tie], "seq_in_card")
-    return windows.next_value(numbered, part, "seq_in_card", ts, "__next")
+    return windows.ordinal_and_next(events, part, [ts, tie], "seq_in_card", ts, "__next")
 
 
 def event_treatment(raw: DataFrame, board: DataFrame, calendar: DataFrame, calendar_team: str) -> DataFrame:
     """The treated event view (M21), one row per distinct event."""
     e = classify_events(dedupe_events(raw), board)
-    e = assign_period(e, calendar, "occurred_at", calendar_team)
+    # The classified log feeds the key counts, the bucket split points and the
+    # ordered pass: it is written once instead of re-derived per branch.
+    e = materialize(assign_period(e, calendar, "occurred_at", calendar_team))
     e = sequence_events(e, ["team", "card"], "occurred_at", "event_id")
     nxt = F.when(F.col("__next").isNotNull(),
                  rounded_ratio(elapsed_micros("occurred_at", "__next"), MICROS_PER_HOUR, 2))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from flowcube.functions.timecalc import MICROS_PER_HOUR, elapsed_micros, hours, rounded_ratio
 from flowcube.operators import windows
+from flowcube.operators.materialize import materialize
 
 # How an interval ended, and the no-sprint bucket.
 END_EXIT = "saida registrada"
@@ -39,7 +40,7 @@ def pair_intervals(moves: DataFrame, cards: DataFrame, cutoff: DataFrame) -> Dat
 
     ``cutoff`` is a one-row DataFrame with column ``cutoff`` (stays lazy: no driver round trip).
     """
-    numbered = windows.ordinal(moves, ["team", "card", "stage", "action"], ["occurred_at"], "n")
+    numbered = windows.ordinal(materialize(moves), ["team", "card", "stage", "action"], ["occurred_at"], "n")
     pivot = (numbered.groupBy("team", "card", "stage", "position", "n")
                      .agg(F.max(F.when(F.col("action") == "add", F.col("occurred_at"))).alias("entered_at"),
                           F.max(F.when(F.col("action") == "remove", F.col("occurred_at"))).alias("exit_at"))

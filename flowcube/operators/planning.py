@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from flowcube.functions.timecalc import MICROS_PER_DAY, elapsed_micros
 from flowcube.operators import windows
+from flowcube.operators.materialize import materialize
 
 # Ratio bands and the unsized bucket.
 BAND_WITHIN = "dentro do planejado"
@@ -31,7 +32,8 @@ def exact_median(df: DataFrame, group: list[str], value: str, out: str = "median
     with the skew-tolerant running sum (a group with many distinct values is
     split over several tasks).  NULL values are ignored.
     """
-    c = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("__c"))
+    c = materialize(df.filter(F.col(value).isNotNull()).groupBy(*group, value)
+                      .agg(F.count(F.lit(1)).alias("__c")))
     c = windows.running_sum(c, group, [value], "__c", "__cum")
     n = c.groupBy(*group).agg(F.sum("__c").alias("__n"))
     c = c.join(n, group)

@@ -79,6 +79,31 @@ def ordinal(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",
              .drop("__bk", "__hot", "__local", "__off"))
 
 
+def ordinal_and_next(df: DataFrame, keys: list[str], order: list[str], out: str, col: str, next_out: str,
+                     bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS) -> DataFrame:
+    """:func:`ordinal` plus ``lead(col)`` in the same order, without a self join.
+
+    ``lead`` runs inside each (key, bucket); the last row of a bucket takes the
+    first value of the key's next bucket from the small per-bucket table.
+    """
+    d = _bucketed(df, keys, order[0], bucket_rows, splits)
+    w = Window.partitionBy(*keys, "__bk").orderBy(*order)
+    firsts = (d.filter(F.col("__hot")).groupBy(*keys, "__bk")
+               .agg(F.count(F.lit(1)).alias("__t"),
+                    F.min(F.struct(*[F.col(c) for c in order], F.col(col).alias("__v"))).alias("__first")))
+    wb = Window.partitionBy(*keys).orderBy("__bk")
+    firsts = (firsts.withColumn("__off", F.coalesce(F.sum("__t").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                                    F.lit(0)))
+                    .withColumn("__nb", F.lead(F.col("__first.__v")).over(wb))
+                    .select(*keys, "__bk", "__off", "__nb"))
+    return (d.withColumn("__local", F.row_number().over(w))
+             .withColumn("__lead", F.lead(col).over(w))
+             .join(F.broadcast(firsts), [*keys, "__bk"], "left")
+             .withColumn(out, F.col("__local") + F.coalesce(F.col("__off"), F.lit(0)))
+             .withColumn(next_out, F.coalesce(F.col("__lead"), F.col("__nb")))
+             .drop("__bk", "__hot", "__local", "__off", "__lead", "__nb"))
+
+
 def next_value(numbered: DataFrame, keys: list[str], rn: str, col: str, out: str) -> DataFrame:
     """``lead(col)`` by an ordinal column: an equi-join on (keys, rn + 1).
 

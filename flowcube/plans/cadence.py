@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowcube.operators import calendar as cal
 from flowcube.plans import standins as si
+from flowcube.operators.materialize import materialize
 from flowcube.sources.tables import Tables
 
 DETAIL_TEAM = "AMERICA"
@@ -14,7 +15,8 @@ RECENT_DAYS = 30
 
 
 def _cadence(t):
-    return cal.daily_cadence(si.commits(t), si.teams(t))
+    """Team × day grid (bounded by teams × calendar days), written once for its readers."""
+    return materialize(cal.daily_cadence(si.commits(t), si.teams(t)))
 
 
 def q_authored_filter(spark, sf_dir):

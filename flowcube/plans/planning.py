@@ -20,6 +20,7 @@ from flowcube.operators import planning as pl
 from flowcube.plans import concentration as conc_plan
 from flowcube.plans import standins as si
 from flowcube.plans import text as text_plan
+from flowcube.operators.materialize import materialize
 from flowcube.sources.tables import Tables
 
 # Sizes with their order and planned days; priority -> size stand-in.
@@ -46,7 +47,8 @@ def links(t):
 
 
 def base(spark, t):
-    return pl.card_base(sized_cards(spark, t), size_table(spark), links(t))
+    """Card-level base table (read by several aggregates of one report): written once."""
+    return materialize(pl.card_base(sized_cards(spark, t), size_table(spark), links(t)))
 
 
 def pva(spark, t):

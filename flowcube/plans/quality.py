@@ -81,7 +81,7 @@ def q_fact_null_gates(spark, sf_dir):
 def q_reconciliation(spark, sf_dir):
     t = Tables(spark, sf_dir)
     i = olap_plan.items(t)
-    f = olap_plan.fact(t)
+    f = olap_plan.shared_fact(t)
     m = olap.monthly_mart(f)
     top = olap.pareto(m, 10)
     src = i.agg(olap.money_sum("price").alias("items_revenue"), olap.money_sum("freight_value").alias("items_freight"),

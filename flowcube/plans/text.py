@@ -8,6 +8,7 @@ from flowcube.functions import text
 from flowcube.operators import calendar as cal
 from flowcube.operators import events as ev
 from flowcube.plans import standins as si
+from flowcube.operators.materialize import materialize
 from flowcube.sources.tables import Tables
 
 
@@ -63,7 +64,7 @@ def citation_links(t: Tables):
               .select("*", F.explode("nums").alias("cited_number")).drop("nums"))
     keys = card_keys(t).withColumnRenamed("card", "cited_number").withColumn("card", F.col("cited_number"))
     j = cited.join(keys, ["team", "cited_number"], "left")
-    return j.select("team", "card", "cited_number",
+    return materialize(j).select("team", "card", "cited_number",
                     F.col("card").isNull().cast("int").alias("is_dangling"), "cited_in",
                     "commit_id", "author_id", "authored_at", "title", "lines_added", "lines_removed")
 

@@ -30,3 +30,12 @@ def test_next_value(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, rn int, v string")
     got = sorted((r["k"], r["rn"], r["nx"]) for r in windows.next_value(df, ["k"], "rn", "v", "nx").collect())
     assert got == [(1, 1, "b"), (1, 2, None), (2, 1, None)]
+
+
+def test_ordinal_and_next_match_row_number_and_lead(spark):
+    df = skewed(spark)
+    w = Window.partitionBy("k").orderBy("v")
+    ref = df.withColumn("rn", F.row_number().over(w)).withColumn("nx", F.lead("x").over(w))
+    for budget in (200, 10**9):
+        got = windows.ordinal_and_next(df, ["k"], ["v"], "rn", "x", "nx", bucket_rows=budget, splits=8)
+        assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
