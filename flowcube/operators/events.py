@@ -80,13 +80,14 @@ def calendar_overlaps(calendar: DataFrame) -> DataFrame:
                                    .filter(F.col("sprints") > 1).withColumnRenamed("__day", "day"))
 
 
-def sequence_events(events: DataFrame, part: list[str], ts: str, tie: str) -> DataFrame:
+def sequence_events(events: DataFrame, part: list[str], ts: str, tie: str,
+                    known_rows: int | None = None) -> DataFrame:
     """Position of each event in its card and the next event's instant.
 
     Uses the skew-tolerant ordinal (a card with a huge history is split over
     several tasks); the lead is taken inside the same buckets.
     """
-    return windows.ordinal_and_next(events, part, [ts, tie], "seq_in_card", ts, "__next")
+    return windows.ordinal_and_next(events, part, [ts, tie], "seq_in_card", ts, "__next", known_rows=known_rows)
 
 
 def event_treatment(raw: DataFrame, board: DataFrame, calendar: DataFrame, calendar_team: str) -> DataFrame:
@@ -95,7 +96,7 @@ def event_treatment(raw: DataFrame, board: DataFrame, calendar: DataFrame, calen
     # The classified log feeds the key counts, the bucket split points and the
     # ordered pass: it is written once instead of re-derived per branch.
     e = materialize(assign_period(e, calendar, "occurred_at", calendar_team))
-    e = sequence_events(e, ["team", "card"], "occurred_at", "event_id")
+    e = sequence_events(e, ["team", "card"], "occurred_at", "event_id", known_rows=e.count())
     nxt = F.when(F.col("__next").isNotNull(),
                  rounded_ratio(elapsed_micros("occurred_at", "__next"), MICROS_PER_HOUR, 2))
     return e.select(

@@ -40,7 +40,9 @@ def pair_intervals(moves: DataFrame, cards: DataFrame, cutoff: DataFrame) -> Dat
 
     ``cutoff`` is a one-row DataFrame with column ``cutoff`` (stays lazy: no driver round trip).
     """
-    numbered = windows.ordinal(materialize(moves), ["team", "card", "stage", "action"], ["occurred_at"], "n")
+    moves = materialize(moves)
+    numbered = windows.ordinal(moves, ["team", "card", "stage", "action"], ["occurred_at"], "n",
+                               known_rows=moves.count())
     pivot = (numbered.groupBy("team", "card", "stage", "position", "n")
                      .agg(F.max(F.when(F.col("action") == "add", F.col("occurred_at"))).alias("entered_at"),
                           F.max(F.when(F.col("action") == "remove", F.col("occurred_at"))).alias("exit_at"))

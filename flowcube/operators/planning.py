@@ -34,7 +34,7 @@ def exact_median(df: DataFrame, group: list[str], value: str, out: str = "median
     """
     c = materialize(df.filter(F.col(value).isNotNull()).groupBy(*group, value)
                       .agg(F.count(F.lit(1)).alias("__c")))
-    c = windows.running_sum(c, group, [value], "__c", "__cum")
+    c = windows.running_sum(c, group, [value], "__c", "__cum", known_rows=c.count())
     n = c.groupBy(*group).agg(F.sum("__c").alias("__n"))
     c = c.join(n, group)
     k1 = F.floor((F.col("__n") + 1) / 2)

@@ -12,9 +12,11 @@ roster, not by the record volume.  Records are aggregated to
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowcube.operators.materialize import materialize
+
 # Slice and bucket labels of the reference.
 ALL_SLICE = "(todas)"
 NO_SPRINT = "(sem sprint)"
@@ -48,6 +50,9 @@ def contribution(records: DataFrame, members: DataFrame) -> DataFrame:
     ``records``: team, sprint, person, measure, value (integral).  ``members``: team, person.
     Output: team, slice, measure, person, is_member, value, pct_of_members.
     """
+    # The record volume is reduced here once; every later step reads this
+    # aggregate (slices, owner classification).  Callers may pass records that
+    # are already reduced (and written); the aggregate is then a cheap no-op.
     pre = records.groupBy("team", "sprint", "person", "measure").agg(F.sum("value").alias("value"))
     r = slice_explode(pre)
     slices = r.select("team", "slice", "measure").distinct()
@@ -57,9 +62,9 @@ def contribution(records: DataFrame, members: DataFrame) -> DataFrame:
             .unionByName(slices.withColumn("person", F.lit(UNOWNED)).withColumn("is_member", F.lit(0))))
     g = grid.join(c, ["team", "slice", "measure", "person"], "left") \
             .withColumn("value", F.coalesce("value", F.lit(0)).cast("bigint"))
-    tot = (g.filter(F.col("is_member") == 1).groupBy("team", "slice", "measure")
-            .agg(F.sum("value").alias("__tot")))
-    return (g.join(tot, ["team", "slice", "measure"], "left")
+    # Window over one slice's grid rows: bounded by the team's roster.
+    tot = F.sum(F.when(F.col("is_member") == 1, F.col("value"))).over(Window.partitionBy("team", "slice", "measure"))
+    return (g.withColumn("__tot", tot)
              .select("team", "slice", "measure", "person", "is_member", "value",
                      F.try_divide(F.col("value").cast("double") * 100, F.col("__tot").cast("double"))
                       .alias("pct_of_members")))

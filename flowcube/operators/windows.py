@@ -64,12 +64,21 @@ def _offsets(d: DataFrame, keys: list[str], measure: F.Column) -> DataFrame:
     return per.withColumn("__off", F.coalesce(F.sum("__t").over(w), F.lit(0))).drop("__t")
 
 
+def _fits(known_rows: int | None, bucket_rows: int) -> bool:
+    """True when the whole input is known to fit one bucket: then no key can be hot."""
+    return known_rows is not None and known_rows <= bucket_rows
+
+
 def ordinal(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",
-            bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS) -> DataFrame:
+            bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS, known_rows: int | None = None) -> DataFrame:
     """1-based position of each row within ``keys`` by ``order`` (``order`` must make rows unique).
 
     Same result as ``row_number().over(Window.partitionBy(keys).orderBy(order))``.
+    ``known_rows`` (e.g. the row count of a materialised input) lets a small
+    input skip the hot-key pass.
     """
+    if _fits(known_rows, bucket_rows):
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     d = _bucketed(df, keys, order[0], bucket_rows, splits)
     w = Window.partitionBy(*keys, "__bk").orderBy(*order)
     off = _offsets(d, keys, F.lit(1))
@@ -80,12 +89,16 @@ def ordinal(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",
 
 
 def ordinal_and_next(df: DataFrame, keys: list[str], order: list[str], out: str, col: str, next_out: str,
-                     bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS) -> DataFrame:
+                     bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS,
+                     known_rows: int | None = None) -> DataFrame:
     """:func:`ordinal` plus ``lead(col)`` in the same order, without a self join.
 
     ``lead`` runs inside each (key, bucket); the last row of a bucket takes the
     first value of the key's next bucket from the small per-bucket table.
     """
+    if _fits(known_rows, bucket_rows):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w)).withColumn(next_out, F.lead(col).over(w))
     d = _bucketed(df, keys, order[0], bucket_rows, splits)
     w = Window.partitionBy(*keys, "__bk").orderBy(*order)
     firsts = (d.filter(F.col("__hot")).groupBy(*keys, "__bk")
@@ -115,8 +128,11 @@ def next_value(numbered: DataFrame, keys: list[str], rn: str, col: str, out: str
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: str, out: str,
-                bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS) -> DataFrame:
+                bucket_rows: int = BUCKET_ROWS, splits: int = SPLITS, known_rows: int | None = None) -> DataFrame:
     """Cumulative ``sum(value)`` within ``keys`` by ``order`` (current row included)."""
+    if _fits(known_rows, bucket_rows):
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(value).over(w))
     d = _bucketed(df, keys, order[0], bucket_rows, splits)
     w = Window.partitionBy(*keys, "__bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     off = _offsets(d, keys, F.col(value))

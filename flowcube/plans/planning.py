@@ -48,7 +48,7 @@ def links(t):
 
 def base(spark, t):
     """Card-level base table (read by several aggregates of one report): written once."""
-    return materialize(pl.card_base(sized_cards(spark, t), size_table(spark), links(t)))
+    return t.memo("base", lambda: materialize(pl.card_base(sized_cards(spark, t), size_table(spark), links(t))))
 
 
 def pva(spark, t):

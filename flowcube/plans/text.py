@@ -57,6 +57,10 @@ def card_keys(t: Tables):
 
 def citation_links(t: Tables):
     """Authored commit -> cited card links (M9); dangling citations kept with a NULL card."""
+    return t.memo("citation_links", lambda: _citation_links(t))
+
+
+def _citation_links(t: Tables):
     a = cal.authored(si.commits(t), si.teams(t))
     nums, src = text.citations_with_fallback(F.col("title"), F.col("message"))
     cited = (a.select("team", "commit_id", "author_id", "authored_at", "title", "lines_added", "lines_removed",

@@ -23,6 +23,13 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict = {}
+
+    def memo(self, key: str, build):
+        """Build an intermediate once per query construction (e.g. a materialised table)."""
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
