@@ -35,6 +35,22 @@ def rounded_ratio(num: F.Column, den: int | F.Column, digits: int) -> F.Column:
     return (signed.cast("double") / F.lit(float(scale)))
 
 
+def cents(amount: str | F.Column) -> F.Column:
+    """Money amount to integer cents, rounded half away from zero (SQLite ``round``).
+
+    Plain arithmetic (sign, floor, abs) keeps the expression inside generated
+    code; ``round`` on a double goes through a BigDecimal per row.
+    """
+    x = (F.col(amount) if isinstance(amount, str) else amount) * F.lit(100.0)
+    return (F.signum(x) * F.floor(F.abs(x) + F.lit(0.5))).cast("bigint")
+
+
+def year_month(ts: str | F.Column) -> F.Column:
+    """``yyyy-MM`` text of a date or timestamp (years 1000..9999), without a formatter."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return F.concat(F.year(c).cast("string"), F.lit("-"), F.lpad(F.month(c).cast("string"), 2, "0"))
+
+
 def hours(micros: F.Column) -> F.Column:
     """Exact hours as one double division."""
     return micros.cast("double") / F.lit(float(MICROS_PER_HOUR))

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowcube.functions.scalars import values_of
+
 
 def authored(commits: DataFrame, teams: DataFrame) -> DataFrame:
     """Authored commits (P5): not a merge and committed on/after the team's creation."""
@@ -40,11 +42,10 @@ def daily_cadence(commits: DataFrame, teams: DataFrame) -> DataFrame:
     """
     a = authored(commits, teams).withColumn("day", F.to_date("authored_at"))
     counts = a.groupBy("team", "day").agg(F.count(F.lit(1)).alias("total_commits"))
-    bounds = counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    # The one-row bounds are attached to each team and expanded per team: the
-    # grid is |teams| × |days| by construction, never a product of two data sets.
-    grid = (teams.select("team").join(F.broadcast(bounds), how="cross")
-                 .select("team", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day")))
+    lo, hi = values_of(counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi")))
+    # The bounds are scalar values; each team row is expanded to the day span,
+    # so the grid is |teams| × |days| by construction, never a product of two data sets.
+    grid = teams.select("team", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("day"))
     return (grid.join(counts, ["team", "day"], "left")
                 .select("team", "day", F.coalesce("total_commits", F.lit(0)).cast("bigint").alias("total_commits")))
 
@@ -161,7 +162,5 @@ def cutoff(*stamps: DataFrame) -> DataFrame:
 
 def recent_window(df: DataFrame, ts: str, days: int) -> DataFrame:
     """Rows of the last ``days`` days counted back from the latest record, not from today."""
-    latest = df.agg(F.max(ts).alias("__latest"))
-    return (df.crossJoin(F.broadcast(latest))
-              .filter(F.col(ts) > F.col("__latest") - F.make_dt_interval(F.lit(days)))
-              .drop("__latest"))
+    latest = df.agg(F.max(ts)).scalar()
+    return df.filter(F.col(ts) > latest - F.make_dt_interval(F.lit(days)))

@@ -49,7 +49,7 @@ def pair_intervals(moves: DataFrame, cards: DataFrame, cutoff: DataFrame) -> Dat
                      .filter(F.col("entered_at").isNotNull()))
     c = cards.select("team", "card", "closed_at", F.coalesce("sprint", F.lit(NO_SPRINT)).alias("sprint"),
                      *[x for x in cards.columns if x in ("title", "state", "assignees")])
-    j = pivot.join(c, ["team", "card"]).crossJoin(F.broadcast(cutoff.select("cutoff")))
+    j = pivot.join(c, ["team", "card"]).withColumn("cutoff", cutoff.select("cutoff").scalar())
     closed_ok = F.col("closed_at") >= F.col("entered_at")
     return j.select(
         "team", "sprint", "stage", "position", "card", "n", "entered_at",

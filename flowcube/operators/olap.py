@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowcube.functions.timecalc import cents, year_month
+
 # Fixed values that must equal the reference's output labels.
 NO_CATEGORY = "(sem categoria)"
 REST_LABEL = "outras"
@@ -138,10 +140,8 @@ def monthly_series(fact: DataFrame, partial_share: float = 0.01) -> DataFrame:
                     F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders"),
                     ratio(F.col("revenue"), F.col("orders")).alias("ticket"),
                     F.coalesce("items", F.lit(0).cast("bigint")).alias("items")))
-    peak = s.agg(F.max("orders").alias("peak"))
-    return (s.crossJoin(peak)
-             .withColumn("is_partial", (F.col("orders") < F.lit(partial_share) * F.col("peak")))
-             .drop("peak"))
+    peak = s.agg(F.max("orders")).scalar()
+    return s.withColumn("is_partial", F.col("orders") < F.lit(partial_share) * peak)
 
 
 def category_totals(mart: DataFrame) -> DataFrame:
@@ -157,10 +157,11 @@ def pareto(mart: DataFrame, n: int = 10) -> DataFrame:
     windows see one row per category.
     """
     cat = category_totals(mart)
-    tot = cat.agg(F.sum("revenue").alias("total"), F.count(F.lit(1)).alias("total_categories"))
+    total = cat.agg(F.sum("revenue")).scalar()
+    total_categories = cat.agg(F.count(F.lit(1))).scalar()
     order = Window.orderBy(F.col("revenue").desc(), F.col("category").asc())
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = (cat.crossJoin(tot)
+    r = (cat.withColumn("total", total).withColumn("total_categories", total_categories)
             .withColumn("position", F.row_number().over(order))
             .withColumn("running", F.sum("revenue").over(running)))
     return (r.filter(F.col("position") <= n)
@@ -184,9 +185,9 @@ def topn_with_rest(mart: DataFrame, fact: DataFrame, top: DataFrame) -> DataFram
              .agg(F.countDistinct("category").alias("categories"),
                   F.coalesce(F.sum("product_revenue"), F.lit(0)).cast(MONEY_SUM).alias("revenue"),
                   F.coalesce(F.sum("items"), F.lit(0)).cast("bigint").alias("items")))
-    f = (fact.join(top.select("category"), "category", "left_anti")
-             .agg(F.countDistinct("order_id").alias("orders")))
-    return m.crossJoin(f).select("categories", "revenue", "items", "orders")
+    orders = (fact.join(top.select("category"), "category", "left_anti")
+                  .agg(F.countDistinct("order_id"))).scalar()
+    return m.select("categories", "revenue", "items", orders.alias("orders"))
 
 
 def state_summary(mart: DataFrame, fact: DataFrame) -> DataFrame:
@@ -196,19 +197,17 @@ def state_summary(mart: DataFrame, fact: DataFrame) -> DataFrame:
                   F.sum("freight").cast(MONEY_SUM).alias("freight")))
     f = fact.groupBy("customer_state").agg(F.countDistinct("order_id").alias("orders"))
     j = m.join(f, "customer_state")
-    tot = m.agg(F.sum("revenue").alias("total"))
-    return (j.crossJoin(tot)
-             .select("customer_state", "revenue", "orders",
-                     ratio(F.col("revenue"), F.col("orders")).alias("ticket"),
-                     "freight", ratio(F.col("revenue"), F.col("total"), 100).alias("pct")))
+    total = m.agg(F.sum("revenue")).scalar()
+    return j.select("customer_state", "revenue", "orders",
+                    ratio(F.col("revenue"), F.col("orders")).alias("ticket"),
+                    "freight", ratio(F.col("revenue"), total, 100).alias("pct"))
 
 
 def status_share(orders: DataFrame) -> DataFrame:
     """Orders by status with their share of all orders (M31, window over the aggregate)."""
     g = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
-    tot = g.agg(F.sum("orders").alias("total"))
-    return g.crossJoin(tot).select("order_status", "orders",
-                                   ratio(F.col("orders"), F.col("total"), 100).alias("pct"))
+    total = g.agg(F.sum("orders")).scalar()
+    return g.select("order_status", "orders", ratio(F.col("orders"), total, 100).alias("pct"))
 
 
 def status_items(fact: DataFrame) -> DataFrame:
@@ -241,9 +240,9 @@ def monthly_cents(items: DataFrame, orders: DataFrame) -> DataFrame:
     aggregate runs over months only.
     """
     per_order = (items.groupBy("order_id")
-                      .agg(F.sum(F.round(F.col("price") * 100).cast("bigint")).alias("cents"),
+                      .agg(F.sum(cents("price")).alias("cents"),
                            F.count(F.lit(1)).alias("n")))
-    o = orders.select("order_id", F.date_format("purchased_at", "yyyy-MM").alias("month"))
+    o = orders.select("order_id", year_month("purchased_at").alias("month"))
     return (per_order.join(o, "order_id")
                      .groupBy("month")
                      .agg(F.sum("cents").alias("revenue_cents"),
@@ -271,4 +270,5 @@ def non_additivity(fact: DataFrame) -> DataFrame:
                    .agg(F.sum("n").cast("bigint").alias("orders_summed_by_category")))
     multi = (fact.groupBy("order_id").agg(F.countDistinct("category").alias("k"))
                  .agg(F.count_if(F.col("k") > 1).alias("multi_category_orders")))
-    return total.crossJoin(per_cat).crossJoin(multi)
+    return total.select("orders_total", per_cat.scalar().alias("orders_summed_by_category"),
+                        multi.scalar().alias("multi_category_orders"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from flowcube.functions.scalars import side_by_side
 from flowcube.operators import olap, quality
 from flowcube.plans import olap as olap_plan
 from flowcube.session import ensure_checkpoint_dir
@@ -31,10 +32,10 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str | None = None) ->
     io.write_table(olap.monthly_mart(fact).sortWithinPartitions("month"), paths["mart_monthly"], ["month"])
     mart = spark.read.parquet(paths["mart_monthly"]).select(*olap.MART_COLUMNS)
     items = olap_plan.items(t)
-    one = (items.agg(olap.money_sum("price").alias("src_rev"), F.count(F.lit(1)).alias("src_rows"))
-           .crossJoin(fact.agg(olap.money_sum("price").alias("fact_rev"), F.count(F.lit(1)).alias("fact_rows")))
-           .crossJoin(mart.agg(F.sum("product_revenue").cast(olap.MONEY_SUM).alias("mart_rev"),
-                               F.sum("items").cast("bigint").alias("mart_rows"))))
+    one = side_by_side(items.agg(olap.money_sum("price").alias("src_rev"), F.count(F.lit(1)).alias("src_rows")),
+                       fact.agg(olap.money_sum("price").alias("fact_rev"), F.count(F.lit(1)).alias("fact_rows")),
+                       mart.agg(F.sum("product_revenue").cast(olap.MONEY_SUM).alias("mart_rev"),
+                                F.sum("items").cast("bigint").alias("mart_rows")))
     gates = quality.gate_rows(one, [("fact_rows_eq_source", "fact_rows", "src_rows"),
                                     ("fact_revenue_eq_source", "fact_rev", "src_rev"),
                                     ("mart_revenue_eq_fact", "mart_rev", "fact_rev"),

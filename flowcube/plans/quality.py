@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowcube.functions.scalars import side_by_side
 from flowcube.operators import olap, quality
 from flowcube.plans import olap as olap_plan
 from flowcube.sources import io
@@ -60,7 +61,7 @@ def q_fanout_audit(spark, sf_dir):
     pay = payments(t).groupBy("customer_id").agg(F.sum("value").alias("paid"), F.count(F.lit(1)).alias("n_pay"))
     pre = (f.join(pay, "customer_id", "left")
             .agg(F.count(F.lit(1)).alias("preagg_join_rows"), olap.money_sum("price").alias("preagg_join_revenue")))
-    return (base.crossJoin(direct).crossJoin(pre)
+    return (side_by_side(base, direct, pre)
                 .withColumn("keeps_grain", F.col("preagg_join_rows") == F.col("fact_rows"))
                 .withColumn("keeps_revenue", F.col("preagg_join_revenue") == F.col("fact_revenue")))
 
@@ -100,7 +101,7 @@ def q_reconciliation(spark, sf_dir):
                                   F.sum("orders").cast("bigint").alias("month_orders"))
     tp = top.agg(F.sum("revenue").alias("top_rev"))
     rest = olap.topn_with_rest(m, f, top).select(F.col("revenue").alias("rest_rev"))
-    one = (src.crossJoin(k).crossJoin(mt).crossJoin(st).crossJoin(mo).crossJoin(tp).crossJoin(rest)
+    one = (side_by_side(src, k, mt, st, mo, tp, rest)
               .withColumn("top_plus_rest", (F.col("top_rev") + F.col("rest_rev")).cast(olap.MONEY_SUM)))
     return quality.gate_rows(one, [
         ("price_at_most_2_decimals", "price_gt_2dec", "zero"),

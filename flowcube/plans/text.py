@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowcube.functions.scalars import side_by_side
 from flowcube.functions import text
 from flowcube.operators import calendar as cal
 from flowcube.operators import events as ev
@@ -36,7 +37,7 @@ def q_explode_roundtrip(spark, sf_dir):
                       F.sum("weight").alias("weight_total"))
     checked = j.agg(F.count(F.lit(1)).alias("records"),
                     F.count_if(~F.col("rejoined").eqNullSafe(F.col("labels"))).alias("mismatches"))
-    return checked.crossJoin(exploded).select(
+    return side_by_side(checked, exploded).select(
         "records", "exploded_rows", F.round("weight_total", 6).alias("weight_total"), "mismatches")
 
 
@@ -110,10 +111,10 @@ def q_reconcile_pairs(spark, sf_dir):
     b = tt.unionByName(mm).select("team", "commit_id", "cited_number")
     from flowcube.operators.quality import symmetric_difference
     diff = symmetric_difference(a, b, "regex", "scan")
-    return (a.agg(F.count(F.lit(1)).alias("pairs_regex"))
-             .crossJoin(b.agg(F.count(F.lit(1)).alias("pairs_scan")))
-             .crossJoin(diff.agg(F.count_if(F.col("only_in") == "regex").alias("only_in_regex"),
-                                 F.count_if(F.col("only_in") == "scan").alias("only_in_scan"))))
+    return side_by_side(a.agg(F.count(F.lit(1)).alias("pairs_regex")),
+                        b.agg(F.count(F.lit(1)).alias("pairs_scan")),
+                        diff.agg(F.count_if(F.col("only_in") == "regex").alias("only_in_regex"),
+                                 F.count_if(F.col("only_in") == "scan").alias("only_in_scan")))
 
 
 def q_label_canon(spark, sf_dir):
