@@ -83,7 +83,7 @@ def q_reconciliation(spark, sf_dir):
     t = Tables(spark, sf_dir)
     i = olap_plan.items(t)
     f = olap_plan.shared_fact(t)
-    m = olap.monthly_mart(f)
+    m = olap_plan.shared_mart(t)
     top = olap.pareto(m, 10)
     src = i.agg(olap.money_sum("price").alias("items_revenue"), olap.money_sum("freight_value").alias("items_freight"),
                 F.count(F.lit(1)).alias("items_rows"), F.countDistinct("order_id").alias("items_orders"),
