@@ -140,7 +140,8 @@ def monthly_series(fact: DataFrame, partial_share: float = 0.01) -> DataFrame:
                     F.coalesce("orders", F.lit(0).cast("bigint")).alias("orders"),
                     ratio(F.col("revenue"), F.col("orders")).alias("ticket"),
                     F.coalesce("items", F.lit(0).cast("bigint")).alias("items")))
-    peak = s.agg(F.max("orders")).scalar()
+    # One row per calendar month: the window over all months is bounded by the month span.
+    peak = F.max("orders").over(Window.partitionBy())
     return s.withColumn("is_partial", F.col("orders") < F.lit(partial_share) * peak)
 
 
@@ -157,11 +158,11 @@ def pareto(mart: DataFrame, n: int = 10) -> DataFrame:
     windows see one row per category.
     """
     cat = category_totals(mart)
-    total = cat.agg(F.sum("revenue")).scalar()
-    total_categories = cat.agg(F.count(F.lit(1))).scalar()
     order = Window.orderBy(F.col("revenue").desc(), F.col("category").asc())
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = (cat.withColumn("total", total).withColumn("total_categories", total_categories)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    r = (cat.withColumn("total", F.sum("revenue").over(whole))
+            .withColumn("total_categories", F.count(F.lit(1)).over(whole))
             .withColumn("position", F.row_number().over(order))
             .withColumn("running", F.sum("revenue").over(running)))
     return (r.filter(F.col("position") <= n)
@@ -197,7 +198,8 @@ def state_summary(mart: DataFrame, fact: DataFrame) -> DataFrame:
                   F.sum("freight").cast(MONEY_SUM).alias("freight")))
     f = fact.groupBy("customer_state").agg(F.countDistinct("order_id").alias("orders"))
     j = m.join(f, "customer_state")
-    total = m.agg(F.sum("revenue")).scalar()
+    # One row per state: the window over all states is bounded by the state count.
+    total = F.sum("revenue").over(Window.partitionBy())
     return j.select("customer_state", "revenue", "orders",
                     ratio(F.col("revenue"), F.col("orders")).alias("ticket"),
                     "freight", ratio(F.col("revenue"), total, 100).alias("pct"))
@@ -206,7 +208,7 @@ def state_summary(mart: DataFrame, fact: DataFrame) -> DataFrame:
 def status_share(orders: DataFrame) -> DataFrame:
     """Orders by status with their share of all orders (M31, window over the aggregate)."""
     g = orders.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"))
-    total = g.agg(F.sum("orders")).scalar()
+    total = F.sum("orders").over(Window.partitionBy())  # one row per status
     return g.select("order_status", "orders", ratio(F.col("orders"), total, 100).alias("pct"))
 
 
