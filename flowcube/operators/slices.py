@@ -44,16 +44,18 @@ def classify_owner(records: DataFrame, members: DataFrame, person: str = "person
             .drop("__m")
 
 
-def contribution(records: DataFrame, members: DataFrame) -> DataFrame:
+def contribution(records: DataFrame, members: DataFrame, reduced: bool = False) -> DataFrame:
     """Value per team × slice × measure × person, zeros kept, unowned row per slice.
 
     ``records``: team, sprint, person, measure, value (integral).  ``members``: team, person.
+    ``reduced``: the records are already unique per (team, sprint, person, measure).
     Output: team, slice, measure, person, is_member, value, pct_of_members.
     """
     # The record volume is reduced here once; every later step reads this
-    # aggregate (slices, owner classification).  Callers may pass records that
-    # are already reduced (and written); the aggregate is then a cheap no-op.
-    pre = records.groupBy("team", "sprint", "person", "measure").agg(F.sum("value").alias("value"))
+    # aggregate (slices, owner classification).  Records that are already
+    # reduced (and written) skip it: it would add a shuffle per reader.
+    pre = records if reduced else \
+        records.groupBy("team", "sprint", "person", "measure").agg(F.sum("value").alias("value"))
     r = slice_explode(pre)
     slices = r.select("team", "slice", "measure").distinct()
     c = (classify_owner(r, members)
