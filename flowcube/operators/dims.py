@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowcube.functions.timecalc import MICROS_PER_HOUR, elapsed_micros
+from flowcube.operators import windows
 
 # Portuguese month and weekday names and day-part bands of the model.
 MONTHS = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro",
@@ -13,6 +14,10 @@ MONTHS = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "
 WEEKDAYS = ["segunda-feira", "terça-feira", "quarta-feira", "quinta-feira", "sexta-feira", "sábado", "domingo"]
 DAY_PARTS = [(0, 5, "Madrugada"), (6, 11, "Manha"), (12, 17, "Tarde"), (18, 23, "Noite")]
 BUSINESS_HOURS = (9, 17)
+# Sentinel people of the person dimension (key order 0, 1, 2) and their type;
+# roster people are of type MEMBRO.
+SENTINELS = [("[externo]", "EXTERNO"), ("[bot]", "BOT"), ("[desconhecido]", "DESCONHECIDO")]
+MEMBER_TYPE = "MEMBRO"
 
 
 def dim_date(days: DataFrame) -> DataFrame:
@@ -62,3 +67,33 @@ def card_lead_time(cards: DataFrame, events: DataFrame) -> DataFrame:
                          (micros.cast("double") / F.lit(float(MICROS_PER_HOUR))).alias("lead_time_hours"),
                          F.coalesce("events", F.lit(0)).cast("bigint").alias("events"),
                          F.coalesce("moves", F.lit(0)).cast("bigint").alias("moves")))
+
+
+def dim_person(roster: DataFrame, active: DataFrame) -> DataFrame:
+    """Conformed person dimension (D3) with a dense surrogate key.
+
+    ``roster``: person_id, origin_team, role, status, person_order (integral,
+    unique, at least ``len(SENTINELS)``: it orders the surrogate keys after the
+    sentinels).  ``active``: one ``person_id`` per fact row; it is reduced to
+    distinct ids (map-side) before the flag join.  The three sentinel rows are
+    added so facts that point at them keep referential integrity.
+
+    The surrogate key is the position by ``person_order`` over the whole
+    dimension, computed by :func:`windows.ordinal`, which splits the single
+    group into quantile buckets once it outgrows one task.
+    """
+    spark = roster.sparkSession
+    sent = spark.createDataFrame(
+        [(p, None, None, None, True, kind, i) for i, (p, kind) in enumerate(SENTINELS)],
+        "person_id string, origin_team string, role string, status string, is_sentinel boolean, "
+        "person_type string, person_order bigint")
+    people = roster.select("person_id", "origin_team", "role", "status", F.lit(False).alias("is_sentinel"),
+                           F.lit(MEMBER_TYPE).alias("person_type"), F.col("person_order").cast("bigint"))
+    people = people.unionByName(sent)
+    act = active.select("person_id").distinct().withColumn("__act", F.lit(True))
+    p = (people.join(act, "person_id", "left")
+               .withColumn("had_activity", F.col("__act").isNotNull())
+               .withColumn("__dim", F.lit(0)))
+    p = windows.ordinal(p, ["__dim"], ["person_order"], "person_sk")
+    return p.select(F.col("person_sk").cast("bigint"), "person_id", "origin_team", "role", "status",
+                    "is_sentinel", "person_type", "had_activity")

@@ -169,6 +169,22 @@ def q_dim_hour(spark, sf_dir):
     return dims.dim_hour(Tables(spark, sf_dir).events.select(F.hour("ts").alias("hour")))
 
 
+# Role stand-in of a roster person, by s_suppkey % 4.
+ROLES = ["owner", "maintainer", "reporter", "guest"]
+
+
+def q_dim_person(spark, sf_dir):
+    """Person dimension over the supplier roster; activity = owner of at least one line item."""
+    t = Tables(spark, sf_dir)
+    roster = conc_plan.supplier_team(t).select(
+        F.col("s_suppkey").cast("string").alias("person_id"), F.col("supp_team").alias("origin_team"),
+        F.element_at(F.array(*[F.lit(r) for r in ROLES]), (F.col("s_suppkey") % 4 + 1).cast("int")).alias("role"),
+        F.lit("active").alias("status"), (F.col("s_suppkey") + len(dims.SENTINELS)).alias("person_order"))
+    active = t.lineitem.select(F.when(F.col("l_suppkey") % 10 == 0, F.lit(dims.SENTINELS[0][0]))
+                                .otherwise(F.col("l_suppkey").cast("string")).alias("person_id"))
+    return dims.dim_person(roster, active)
+
+
 def q_fact_lead_time(spark, sf_dir):
     t = Tables(spark, sf_dir)
     e = ev.classify_events(ev.dedupe_events(si.raw_card_events(t)), si.board_columns(spark))
@@ -186,6 +202,7 @@ QUERIES = {
     "scoreboard": q_scoreboard,
     "dim_date": q_dim_date,
     "dim_hour": q_dim_hour,
+    "dim_person": q_dim_person,
     "fact_lead_time": q_fact_lead_time,
 }
 
@@ -321,6 +338,26 @@ ORACLE = {
                     WHEN hour BETWEEN 12 AND 17 THEN 'Tarde' WHEN hour BETWEEN 18 AND 23 THEN 'Noite' END AS day_part,
                hour BETWEEN 9 AND 17 AS is_business_hour, hour BETWEEN 0 AND 5 AS is_small_hours
         FROM (SELECT DISTINCT hour(ts) AS hour FROM events)""",
+    "dim_person": """
+        WITH geo AS (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+        roster AS (
+            SELECT CAST(s_suppkey AS VARCHAR) AS person_id, r_name AS origin_team,
+                   CASE s_suppkey % 4 WHEN 0 THEN 'owner' WHEN 1 THEN 'maintainer' WHEN 2 THEN 'reporter'
+                                      ELSE 'guest' END AS role,
+                   'active' AS status, false AS is_sentinel, 'MEMBRO' AS person_type,
+                   CAST(s_suppkey + 3 AS BIGINT) AS person_order
+            FROM supplier JOIN geo ON s_nationkey = n_nationkey),
+        sent AS (
+            SELECT * FROM (VALUES ('[externo]', NULL, NULL, NULL, true, 'EXTERNO', 0),
+                                  ('[bot]', NULL, NULL, NULL, true, 'BOT', 1),
+                                  ('[desconhecido]', NULL, NULL, NULL, true, 'DESCONHECIDO', 2))
+                   AS v(person_id, origin_team, role, status, is_sentinel, person_type, person_order)),
+        people AS (SELECT * FROM roster UNION ALL SELECT * FROM sent),
+        act AS (SELECT DISTINCT CASE WHEN l_suppkey % 10 = 0 THEN '[externo]'
+                                     ELSE CAST(l_suppkey AS VARCHAR) END AS person_id FROM lineitem)
+        SELECT CAST(row_number() OVER (ORDER BY p.person_order) AS BIGINT) AS person_sk, p.person_id,
+               origin_team, role, status, is_sentinel, person_type, a.person_id IS NOT NULL AS had_activity
+        FROM people p LEFT JOIN act a ON p.person_id = a.person_id""",
 }
 
 
