@@ -97,3 +97,18 @@ def dim_person(roster: DataFrame, active: DataFrame) -> DataFrame:
     p = windows.ordinal(p, ["__dim"], ["person_order"], "person_sk")
     return p.select(F.col("person_sk").cast("bigint"), "person_id", "origin_team", "role", "status",
                     "is_sentinel", "person_type", "had_activity")
+
+
+def dim_team(teams: DataFrame, activity: DataFrame, roster: DataFrame) -> DataFrame:
+    """Team dimension (D3): creation, last activity, days of life and roster size.
+
+    ``teams``: team, created_at.  ``activity``: team, ts (one row per fact row).
+    ``roster``: team (one row per member).  Both are reduced per team
+    (map-side partial aggregation) before they meet the team rows.
+    """
+    last = activity.groupBy("team").agg(F.max("ts").alias("last_activity_at"))
+    size = roster.groupBy("team").agg(F.count(F.lit(1)).alias("members"))
+    return (teams.join(last, "team", "left").join(size, "team", "left")
+                 .select("team", "created_at", "last_activity_at",
+                         F.datediff(F.to_date("last_activity_at"), F.to_date("created_at")).alias("days_of_life"),
+                         F.coalesce("members", F.lit(0)).cast("bigint").alias("members")))

@@ -185,6 +185,14 @@ def q_dim_person(spark, sf_dir):
     return dims.dim_person(roster, active)
 
 
+def q_dim_team(spark, sf_dir):
+    """Team dimension: teams of the orders side, last commit, suppliers of the region as roster."""
+    t = Tables(spark, sf_dir)
+    activity = si.commits(t).select("team", F.col("authored_at").alias("ts"))
+    roster = conc_plan.supplier_team(t).select(F.col("supp_team").alias("team"))
+    return dims.dim_team(si.teams(t), activity, roster)
+
+
 def q_fact_lead_time(spark, sf_dir):
     t = Tables(spark, sf_dir)
     e = ev.classify_events(ev.dedupe_events(si.raw_card_events(t)), si.board_columns(spark))
@@ -203,6 +211,7 @@ QUERIES = {
     "dim_date": q_dim_date,
     "dim_hour": q_dim_hour,
     "dim_person": q_dim_person,
+    "dim_team": q_dim_team,
     "fact_lead_time": q_fact_lead_time,
 }
 
@@ -358,6 +367,17 @@ ORACLE = {
         SELECT CAST(row_number() OVER (ORDER BY p.person_order) AS BIGINT) AS person_sk, p.person_id,
                origin_team, role, status, is_sentinel, person_type, a.person_id IS NOT NULL AS had_activity
         FROM people p LEFT JOIN act a ON p.person_id = a.person_id""",
+    "dim_team": """
+        WITH geo AS (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+        last AS (SELECT r_name AS team, max(o_orderdate) AS last_activity_at
+                 FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey
+                 GROUP BY r_name),
+        size AS (SELECT r_name AS team, count(*) AS members
+                 FROM supplier JOIN geo ON s_nationkey = n_nationkey GROUP BY r_name)
+        SELECT r.r_name AS team, TIMESTAMP '1995-07-01 00:00:00' AS created_at, l.last_activity_at,
+               datediff('day', DATE '1995-07-01', CAST(l.last_activity_at AS DATE)) AS days_of_life,
+               CAST(coalesce(s.members, 0) AS BIGINT) AS members
+        FROM region r LEFT JOIN last l ON l.team = r.r_name LEFT JOIN size s ON s.team = r.r_name""",
 }
 
 

@@ -13,3 +13,15 @@ def test_dim_person_sentinels_first_dense_keys_and_activity(spark):
     assert [r["is_sentinel"] for r in rows] == [True, True, True, False, False, False]
     # an id seen only in the facts ("99") is not added; repeated fact rows do not duplicate people
     assert [r["had_activity"] for r in rows] == [True, False, False, True, False, False]
+
+
+def test_dim_team_counts_roster_and_keeps_teams_without_activity(spark):
+    teams = spark.createDataFrame([("A", "2024-01-01 00:00:00"), ("B", "2024-01-01 00:00:00")],
+                                  "team string, created_at string").selectExpr(
+        "team", "cast(created_at as timestamp_ntz) as created_at")
+    activity = spark.createDataFrame([("A", "2024-01-03 10:00:00"), ("A", "2024-01-11 09:00:00")],
+                                     "team string, ts string").selectExpr("team", "cast(ts as timestamp_ntz) as ts")
+    roster = spark.createDataFrame([("A",), ("A",), ("A",)], "team string")
+    rows = {r["team"]: r.asDict() for r in dims.dim_team(teams, activity, roster).collect()}
+    assert rows["A"]["days_of_life"] == 10 and rows["A"]["members"] == 3
+    assert rows["B"]["last_activity_at"] is None and rows["B"]["days_of_life"] is None and rows["B"]["members"] == 0
