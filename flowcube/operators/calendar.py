@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowcube.functions.scalars import values_of
 
 
 def authored(commits: DataFrame, teams: DataFrame) -> DataFrame:
@@ -42,10 +41,15 @@ def daily_cadence(commits: DataFrame, teams: DataFrame) -> DataFrame:
     """
     a = authored(commits, teams).withColumn("day", F.to_date("authored_at"))
     counts = a.groupBy("team", "day").agg(F.count(F.lit(1)).alias("total_commits"))
-    lo, hi = values_of(counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi")))
-    # The bounds are scalar values; each team row is expanded to the day span,
-    # so the grid is |teams| × |days| by construction, never a product of two data sets.
-    grid = teams.select("team", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("day"))
+    # Bounds per team, then the span over all teams by a window over the team
+    # rows (bounded by the number of teams); each team row is expanded to that
+    # span, so the grid is |teams| × |days| by construction.  The per-day
+    # counts feed both branches through one shared exchange.
+    spans = counts.groupBy("team").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    every = Window.partitionBy()
+    grid = (teams.select("team").join(spans, "team", "left")
+                 .select("team", F.min("lo").over(every).alias("lo"), F.max("hi").over(every).alias("hi"))
+                 .select("team", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day")))
     return (grid.join(counts, ["team", "day"], "left")
                 .select("team", "day", F.coalesce("total_commits", F.lit(0)).cast("bigint").alias("total_commits")))
 
