@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["mixing", "sharding", "secrets"]
+MODULES = ["mixing", "sharding", "secrets", "pii", "bpe"]
 
 
 def _modules():
