@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ball_tree", "pii", "line_quality", "mixing", "bpe", "jaccard_join", "toxicity", "sharding", "secrets"]
+MODULES = ["ball_tree", "pii", "suffix_dedup", "line_quality", "mixing", "bpe", "jaccard_join", "toxicity", "sharding", "secrets"]
 
 
 def _modules():
