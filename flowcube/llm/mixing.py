@@ -72,7 +72,7 @@ def schedule(weights: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE,
-        period: int = PERIOD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+        period: int = PERIOD, block_bytes: int = BLOCK_BYTES, size: Column | None = None) -> DataFrame:
     """Every row of ``docs`` with ``mix_block``, ``mix_slot``, ``mix_seq`` and ``mix_exact``.
 
     Sorting by (mix_slot, mix_seq) interleaves the sources.  ``mix_exact`` marks the slots before
@@ -80,13 +80,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     stay, in the slots their source would have had.  ``weights`` maps source to target weight
     (missing sources get the least weight, 1/Q); without it a source weighs bytes ** temperature.
 
-    Null text counts no bytes; a null source is a source of its own; rows that repeat a doc_id take
+    A document's size is its UTF-8 bytes, or ``size``.  Null text counts no bytes; a null source is a source of its own; rows that repeat a doc_id take
     neighbouring places in any order; an empty table gives an empty result.  Columns of ``docs`` pass
     through (a column of the same name as one added is replaced).
     """
     added = ["mix_block", "mix_slot", "mix_seq", "mix_exact"]
-    base = docs.drop(*added).withColumn("__key", source_key()).withColumn("__order", order_key("doc_id"))
-    base = base.withColumn("__bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"))
+    size = F.octet_length("text") if size is None else size
+    base = docs.select(F.struct(*[c for c in docs.columns if c not in added]).alias("__doc"), source_key().alias("__key"),
+                       order_key("doc_id").alias("__order"), F.coalesce(size, F.lit(0)).cast("bigint").alias("__bytes"))
     sizes = base.groupBy(F.col("__key").alias("key")).agg(F.sum("__bytes").alias("bytes"))
     plan = materialize(target_weights(sizes, weights, temperature, period)
                        .join(sizes, "key").select("key", "idx", "n", "q", "bytes"))
@@ -104,15 +105,20 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
         ["__idx", "__nth"])
     placed = placed.withColumn("mix_slot", F.expr("(mix_block div __n) * __q + __at"))
     placed = placed.withColumn("mix_exact", F.col("mix_slot") < ends.scalar())
-    return placed.select(*[c for c in docs.columns if c not in added], *added)
+    return placed.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns if c not in added], *added)
+
+
+def interleave(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` in the order of the mix (range-partitioned by slot, so files follow one another); no row is dropped."""
+    return mix(docs, **options).orderBy("mix_slot", "mix_seq").select(*docs.columns)
 
 
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every document in the mix: doc_id, source, size in bytes, block, slot, order, exact part."""
-    out = mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
-    return out.select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"),
-                      F.col("mix_block").alias("block"), F.col("mix_slot").alias("slot"),
-                      F.col("mix_seq").alias("seq"), F.col("mix_exact").alias("exact"))
+    docs = documents(spark, sf_dir).select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("size"))
+    return mix(docs, size=F.col("size")).select(
+        "doc_id", "source", "size", F.col("mix_block").alias("block"), F.col("mix_slot").alias("slot"),
+        F.col("mix_seq").alias("seq"), F.col("mix_exact").alias("exact"))
 
 
 QUERIES = {"op5_pfair_mix": op5_pfair_mix}
