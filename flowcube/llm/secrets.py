@@ -54,8 +54,9 @@ ENCODINGS = {
 REJECT = 0.001
 #: Benjamini-Hochberg level.
 FDR = 0.01
-#: Index of coincidence times k of ordinary text where a class shows no rejected token.
-ORDINARY = 1.7
+#: Ordinary text where an encoding shows no rejected token: sum of squared letter frequencies, and the least
+#: index of coincidence times k (for small alphabets, where words use few of the letters).
+LETTERS, ORDINARY = 0.065, 1.7
 BINS = 400
 
 
@@ -77,16 +78,18 @@ def matches(text: Column, kind: str) -> Column:
 
 
 def located(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Rows (row, keep..., kind, begin, end, token): one per match, and one with null kind for a document without."""
+    """Rows (row, keep..., kind, begin, end, battery columns): one per match, one with null kind for a document without."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn("row", F.monotonically_increasing_id()).select(
         "row", *keep, F.concat(*[matches(text, k) for k in KINDS]).alias("found"))
     flat = rows.select("row", *keep, F.explode_outer("found").alias("x")).select("row", *keep, "x.*")
+    # tokens are tested where they are found, by as many tasks as read the documents
+    flat = battery(flat)
     reach = Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     flat = flat.withColumn("end", F.sum(F.col("skip") + F.col("len")).over(reach))
     flat = flat.withColumn("begin", F.col("end") - F.col("len"))
     return flat.filter("kind is null or ok or nth = 0").select(
-        "row", *keep, F.when(F.col("ok"), F.col("kind")).alias("kind"), "begin", "end", "token")
+        "row", *keep, F.when(F.col("ok"), F.col("kind")).alias("kind"), "begin", "end", "enc", "k", "n", "ic", "p_random")
 
 
 def upper_tail(z: Column) -> Column:
@@ -100,16 +103,14 @@ def upper_tail(z: Column) -> Column:
 
 
 def battery(tokens: DataFrame) -> DataFrame:
-    """Add enc, k, n, ic (index of coincidence times k) and p_random to rows with a ``token``."""
+    """Add enc, k, n, ic (index of coincidence times k) and p_random; null where ``token`` is null or of no encoding."""
     body = F.rtrim(F.translate("token", "=", " "))
-    enc, k, alphabet = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(None).cast("string")
+    code = F.lit(None).cast("struct<enc: string, k: int, alphabet: string>")
     for name, (pattern, letters) in reversed(ENCODINGS.items()):
-        hit = F.col("body").rlike(f"^{pattern}$")
-        enc = F.when(hit, F.lit(name)).otherwise(enc)
-        k = F.when(hit, F.lit(len(letters))).otherwise(k)
-        alphabet = F.when(hit, F.lit(letters)).otherwise(alphabet)
-    t = tokens.withColumn("body", body).withColumn("enc", enc).withColumn("k", k).withColumn("alphabet", alphabet)
-    t = t.filter("enc is not null").withColumn("n", F.length("body").cast("double"))
+        code = F.when(F.col("body").rlike(f"^{pattern}$"), F.struct(
+            F.lit(name).alias("enc"), F.lit(len(letters)).alias("k"), F.lit(letters).alias("alphabet"))).otherwise(code)
+    t = tokens.withColumn("body", body).withColumn("code", code).select("*", "code.enc", "code.k", "code.alphabet").drop("code")
+    t = t.withColumn("n", F.when(F.col("enc").isNotNull(), F.length("body").cast("double")))
     # symbol indices 0..k-1 of the token, in order
     t = t.withColumn("ix", F.expr("transform(split(body, ''), c -> instr(alphabet, c) - 1)"))
     t = t.withColumn("ix", F.expr("filter(ix, i -> i >= 0)"))
@@ -129,15 +130,16 @@ def battery(tokens: DataFrame) -> DataFrame:
     log = sum((-F.log(F.greatest(p, F.lit(1e-300))) for p in tests), F.lit(0.0))
     t = t.withColumn("fisher", log)
     t = t.withColumn("p_random", F.expr("exp(-fisher) * (1 + fisher + fisher * fisher / 2)"))
-    return t.drop("body", "alphabet", "ix", "squares", "high", "low", "runs", "rv", "lag", "fisher")
+    return t.drop("token", "body", "alphabet", "ix", "squares", "high", "low", "runs", "rv", "lag", "fisher")
 
 
 def discoveries(tested: DataFrame) -> DataFrame:
     """Keep tokens of ``battery`` that look random, under false-discovery control per length class."""
-    t = tested.withColumn("size_class", F.floor(2 * F.log2("n")).cast("int"))
+    t = tested.filter("enc is not null").withColumn("size_class", F.floor(2 * F.log2("n")).cast("int"))
     plain = t.filter(F.col("p_random") < REJECT).groupBy("enc").agg(
         F.greatest(F.avg("ic"), F.lit(1.3)).alias("plain_ic"))
-    t = t.join(plain, "enc", "left").withColumn("plain_ic", F.coalesce("plain_ic", F.lit(ORDINARY)))
+    # one row per encoding, and per encoding and length class: broadcasts of a bounded size
+    t = t.join(F.broadcast(plain), "enc", "left").withColumn("plain_ic", F.coalesce("plain_ic", F.greatest(F.lit(ORDINARY), F.col("k") * LETTERS)))
     t = t.withColumn("p_plain", upper_tail(F.expr("(plain_ic - ic) / (plain_ic * sqrt(2D * (k - 1)) / n)")))
     t = t.withColumn("p_plain", F.when(F.col("p_random") < REJECT, F.lit(1.0)).otherwise(F.col("p_plain")))
     # histogram bins of -log10 p; a bin stands for its largest p, which errs on the strict side
@@ -149,7 +151,7 @@ def discoveries(tested: DataFrame) -> DataFrame:
     bins = bins.withColumn("found", F.sum("c").over(better)).withColumn("m", F.sum("c").over(cls))
     cut = bins.filter(F.expr(f"m * pow(10D, -bin / 10D) <= {FDR} * found")).groupBy("enc", "size_class").agg(
         F.min("bin").alias("cut"))
-    return t.join(cut, ["enc", "size_class"]).filter("bin >= cut")
+    return t.join(F.broadcast(cut), ["enc", "size_class"]).filter("bin >= cut")
 
 
 def find_secrets(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -157,11 +159,11 @@ def find_secrets(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     ``kind`` is the index in KINDS; positions count code points, the end is exclusive.  Null text is
     empty; repeated rows are scanned one by one; an empty table gives an empty result.  ``keep``
-    must not contain the names row, kind, begin, end, token, nth, skip, len, ok.
+    must not contain the names row, kind, begin, end, token, nth, skip, len, ok or those of the battery.
     """
     found = materialize(located(docs, keep))
     random = KINDS.index("random")
-    hits = discoveries(battery(found.filter(F.col("kind") == random).select("row", "begin", "end", "token")))
+    hits = discoveries(found.filter(F.col("kind") == random).select("row", "begin", "end", "enc", "k", "n", "ic", "p_random"))
     hits = hits.select("row", "begin", "end", F.lit(True).alias("hit"))
     spans = found.join(hits, ["row", "begin", "end"], "left")
     span = F.when(F.col("kind").isNotNull() & ((F.col("kind") != random) | F.col("hit")),
@@ -215,8 +217,8 @@ def op10_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and digest, and all spans, of every document."""
     out = find_secrets(documents(spark, sf_dir).select("doc_id", "text"), ["doc_id"])
     base = F.filter("spans", lambda s: s["kind"] < KINDS.index("random"))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("bigint").alias(f"n_{k}")
-              for i, k in enumerate(KINDS[:3])]
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, i))).cast("bigint").alias(f"n_{k}") for i, k in enumerate(KINDS[:3])]
     return out.select("doc_id", *counts, F.sha2(span_text(base).cast("binary"), 256).alias("base_sha256"),
                       span_text(F.col("spans")).alias("spans"))
 

@@ -33,6 +33,20 @@ def test_base_spans_match_the_patterns(spark, rows):
         assert r["spans"] == sorted(r["spans"])
 
 
+def test_query_matches_brute_force(spark):
+    import hashlib
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = S.op10_secret_battery(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        base = brute(texts[r["doc_id"]])
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == i for _, k, _ in base) for i in range(3)]
+        line = ",".join(f"{S.KINDS[k]}:{b}:{e}" for b, k, e in base)
+        assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest()
+        assert set(filter(None, line.split(","))) <= set(r["spans"].split(","))
+
+
 def test_random_tokens_are_found_and_words_left(spark):
     rng = random.Random(5)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
