@@ -60,9 +60,9 @@ NUMBER = "(?:" + "|".join(SPELLED) + ")"
 SPELLED_RUN = re.compile(rf"(?<![a-z0-9])(?:{NUMBER}|[0-9])(?:[ -]{{1,2}}(?:{NUMBER}|[0-9])(?![a-z])){{3,}}(?![a-z])", re.I)
 SPELLED_ONE = re.compile(rf"{NUMBER}|[0-9]|[ -]+", re.I)
 BRACKETED = re.compile(r"\s?[\[({<]\s?(at|arroba|chez|dot|punkt|punto|point)\s?[\])}>]\s?", re.I)
-SPOKEN = re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]+(?P<at> at )[A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+(?![\w])", re.I)
+SPOKEN = re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]+(?P<at> at )[A-Za-z0-9-]+(?: dot (?!dot\b)[A-Za-z0-9-]+)+(?![\w])", re.I)
 SPOKEN_DOT = re.compile(r" dot ", re.I)
-SPOKEN_TAIL = re.compile(r"(?<=@)[A-Za-z0-9-]+(?:(?: dot |\.)[A-Za-z0-9-]+)+", re.I)
+SPOKEN_TAIL = re.compile(r"(?<=@)[A-Za-z0-9-]+(?:(?: dot (?!dot\b)|\.)[A-Za-z0-9-]+)+", re.I)
 AT_WORDS = {"at", "arroba", "chez"}
 
 
@@ -257,7 +257,9 @@ def op2_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("pii_base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS]
+    kinds = F.transform("pii_base", lambda s: s["kind"])
+    counts = [F.size(F.array_remove(kinds, k)) for k in KINDS]
+    counts = [(F.size("pii_base") - c).cast("bigint").alias(f"n_{k}") for k, c in zip(KINDS, counts)]
     return out.select("doc_id", *counts, F.sha2(joined("pii_base").cast("binary"), 256).alias("base_sha256"),
                       joined("pii_spans").alias("spans"))
 
