@@ -37,7 +37,8 @@ def move_round(state: DataFrame, shards: int) -> DataFrame:
     held = state.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("c"))
     goal = held.groupBy("grp").agg(F.sum("c").alias("members"),
                                    F.max(F.struct("c", (-F.col("shard")).alias("s"))).alias("top"))
-    goal = goal.filter("members > 1").select("grp", (-F.col("top.s")).alias("goal"))
+    # written out, so that the join deals both sides anew and a group of many copies can be split
+    goal = materialize(goal.filter("members > 1").select("grp", (-F.col("top.s")).alias("goal")))
     wish = state.join(goal, "grp", "left").withColumn("linked", F.col("goal").isNotNull())
     wish = wish.withColumn("goal", F.coalesce("goal", "shard"))
     wish = materialize(wish)
