@@ -53,7 +53,7 @@ ENCODINGS = {
 #: Battery: a token is taken as non-random below this combined p-value.
 REJECT = 0.001
 #: Benjamini-Hochberg level.
-FDR = 0.01
+FDR = 0.05
 #: Ordinary text where an encoding shows no rejected token: sum of squared letter frequencies, and the least
 #: index of coincidence times k (for small alphabets, where words use few of the letters).
 LETTERS, ORDINARY = 0.065, 1.7

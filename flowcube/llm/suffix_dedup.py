@@ -264,7 +264,7 @@ def runs_of_bucket(docs: pd.DataFrame, side: pd.DataFrame, parts: int, rows: Doc
     shared = np.unique(np.concatenate(blobs)) if blobs else np.empty(0, np.uint64)
     names, numbers, texts, copies = rows(docs, side)
     orders = [names[n][0] for n in range(len(names))]
-    found: list[dict[tuple[bytes, bytes], tuple[int, int, int]]] = [{} for _ in range(parts)]
+    found: list[dict[tuple[bytes, bytes], tuple[int, list[tuple[int, int]]]]] = [{} for _ in range(parts)]
     direct: list[tuple[int, int, int]] = []
     live = [n for n in range(len(names)) if n not in copies]
     if len(shared):
@@ -280,22 +280,24 @@ def runs_of_bucket(docs: pd.DataFrame, side: pd.DataFrame, parts: int, rows: Doc
                     a, lo, hi = int(where[j]), begin + int(cut[j]), begin + int(cut[j + 1])
                     key = (buf[a:hi - 1 + LENGTH], buf[lo:a])
                     n = live[number]
-                    mine = (orders[n], n, offset + a - begin)
+                    doc, spot = orders[n], (n, offset + a - begin)
                     runs = found[int(hs[j] % np.uint64(parts))]
-                    old = runs.get(key)
-                    if old is None:
-                        runs[key] = mine
-                        continue
-                    if mine < old:
-                        runs[key], mine, old = mine, old, mine
-                    if mine[0] > old[0]:  # a smaller doc_id of this bucket has all these windows
-                        direct.append((mine[1], mine[2] - len(key[1]), mine[2] + len(key[0])))
+                    held = runs.get(key)
+                    if held is None:
+                        runs[key] = (doc, [spot])
+                    elif doc == held[0]:  # the same text again in one document: every place needs its verdict
+                        held[1].append(spot)
+                    else:  # the smaller doc_id stays for the merge, the other's windows are all repeats
+                        gone = [spot] if doc > held[0] else held[1]
+                        direct += [(g, pos - len(key[1]), pos + len(key[0])) for g, pos in gone]
+                        if doc < held[0]:
+                            runs[key] = (doc, [spot])
     bucket = int(docs["bucket"].iloc[0])
     out = []
     for part, runs in enumerate(found):
         if runs:
-            keys = sorted(runs)
-            vals = [runs[k] for k in keys]
+            entries = [(k, runs[k][0], spot) for k in sorted(runs) for spot in runs[k][1]]
+            keys, vals = [e[0] for e in entries], [(e[1], *e[2]) for e in entries]
             pre, rest, tails = front_code([k[0] for k in keys])
             out.append((part, bucket, pre, rest, tails, bytes(len(k[1]) for k in keys), b"".join(k[1] for k in keys),
                         np.array([v[0] for v in vals], np.int64).tobytes(), np.array([v[1] for v in vals], np.int32).tobytes(),
