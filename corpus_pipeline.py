@@ -44,7 +44,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(bpe.VOCABULARY)
     keep = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("digest"))
     out = bpe.encode(keep, path, ["doc_id", "lang", "source", "digest"])
-    back = F.sha2(bpe.decode(F.col("ids"), bpe.constants(spark, path)), 256)
+    back = F.sha2(bpe.decode(F.col("ids"), path), 256)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                       (back == F.col("digest")).alias("round_trip"))
 

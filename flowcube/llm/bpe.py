@@ -3,8 +3,9 @@
 Text is cut into pieces by the tokenizer's pattern.  Per chunk of documents
 each distinct piece is encoded once: its bytes become single-byte token ids and a fold
 applies ranked merges until no adjacent pair has a rank.  The rank map is a
-one-row constant: pair (a, b) of ids -> id of the joined bytes, in hash buckets
-so that a lookup is one array access (the id of a token is its rank).
+literal: pair (a, b) of ids -> id of the joined bytes, in hash buckets, so
+that a lookup reads one or two numbers (the id of a token is its rank).  Every token of the public
+vocabularies is the result of merging its own bytes, so whole pieces need no second table.
 
 One fold step merges every occurrence of the lowest-ranked pair at once, left
 to right without overlap (a run of equal pairs is resolved by replacing ``11``
@@ -12,7 +13,7 @@ with ``10`` in the text of marks).  This equals merging one leftmost pair at a t
 token forms a pair of lower rank with a neighbour; the step checks for that and
 then merges the leftmost pair only.  Long pieces thus take few steps.
 
-Decoding looks every id up in the constant array of token bytes and
+Decoding looks every id up in the literal array of token bytes and
 concatenates the pieces.  Nothing is shuffled, and a document's own ids are
 addressed by position in the chunk's array of distinct pieces.
 """
@@ -47,8 +48,14 @@ def read_ranks(path: str) -> list[bytes]:
     return [t for _, t in pairs]
 
 
-def rank_map(spark: SparkSession, tokens: list[bytes]) -> DataFrame:
-    """One row: pair buckets, ids of the 256 bytes, token bytes and ids as hexadecimal text."""
+def _numbers(values, kind: str) -> Column:
+    """A literal array, written as one text (constant folding turns it into an array once)."""
+    return F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
+
+
+def rank_map(tokens: list[bytes]) -> Column:
+    """Literal rank map: pairs (a, b, joined id) packed into numbers and sorted by hash bucket, bucket starts,
+    and the ids of the 256 bytes."""
     rank = {t: i for i, t in enumerate(tokens)}
     buckets: list[list[int]] = [[] for _ in range(BUCKETS)]
     for token, c in rank.items():
@@ -56,14 +63,11 @@ def rank_map(spark: SparkSession, tokens: list[bytes]) -> DataFrame:
             a, b = rank.get(token[:cut]), rank.get(token[cut:])
             if a is not None and b is not None:
                 buckets[(a * MIX_A + b * MIX_B) % BUCKETS].append((a << 32) | (b << 16) | c)
-    schema = T.StructType([
-        T.StructField("pairs", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("bytes", T.ArrayType(T.IntegerType())),
-        T.StructField("pieces", T.ArrayType(T.StringType())), T.StructField("codes", T.ArrayType(T.StringType()))])
-    table = pa.table({"pairs": pa.array([buckets], pa.list_(pa.list_(pa.int64()))),
-                      "bytes": pa.array([[rank[bytes([b])] for b in range(256)]], pa.list_(pa.int32())),
-                      "pieces": pa.array([[t.hex() for t in tokens]], pa.list_(pa.string())),
-                      "codes": pa.array([[i.to_bytes(4, "little").hex() for i in range(len(tokens))]], pa.list_(pa.string()))})
-    return spark.createDataFrame(table, schema)
+    starts = [1]  # 1-based, as slice() counts
+    for x in buckets:
+        starts.append(starts[-1] + len(x))
+    return F.struct(_numbers((e for x in buckets for e in x), "bigint").alias("pairs"), _numbers(starts, "int").alias("starts"),
+                    _numbers((rank[bytes([b])] for b in range(256)), "int").alias("bytes"))
 
 
 def merge_word(word: Column, ranks: Column) -> Column:
@@ -72,9 +76,13 @@ def merge_word(word: Column, ranks: Column) -> Column:
 
     def rank_of(a, b):
         a, b = a.cast("bigint"), b.cast("bigint")
-        bucket = F.get(ranks["pairs"], ((a * MIX_A + b * MIX_B) % BUCKETS).cast("int"))
-        return let(F.shiftleft(a, 16) + b, lambda key: F.coalesce(
-            F.get(F.filter(bucket, lambda e: F.shiftright(e, 16) == key), F.lit(0)).bitwiseAND(F.lit(65_535)).cast("int"), none))
+        def search(at):
+            first, last = F.get(ranks["starts"], at), F.get(ranks["starts"], at + 1)
+            bucket = F.slice(ranks["pairs"], first, last - first)
+            hit = F.get(F.filter(bucket, lambda e: F.shiftright(e, 16) == F.shiftleft(a, 16) + b), F.lit(0))
+            return F.coalesce(hit.bitwiseAND(F.lit(65_535)).cast("int"), none)
+
+        return let(((a * MIX_A + b * MIX_B) % BUCKETS).cast("int"), search)
 
     def ranks_of(ids):
         return F.when(F.size(ids) < 2, F.expr("cast(array() as array<int>)")).otherwise(
@@ -165,38 +173,41 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str], pattern: str = pub
     not matter; an empty table gives an empty result; text within a piece may have any length.
     ``keep`` must not contain a column named ``codes`` or ``ids``.
     """
-    spark = docs.sparkSession
-    ranks = rank_map(spark, read_ranks(vocabulary)).select(F.struct("pairs", "bytes").alias("ranks")).scalar()
     words = chunks(docs, keep, pattern, chunk_chars)
-    coded = words.select("docs", F.transform("words", lambda w: merge_word(w, ranks)).alias("coded"))
+    encoded = let(rank_map(read_ranks(vocabulary)), lambda ranks: F.transform("words", lambda w: merge_word(w, ranks)))
+    coded = words.select("docs", encoded.alias("coded"))
     each = coded.select("coded", F.explode("docs").alias("doc"))
     return each.select(*[F.col("doc").getField(c).alias(c) for c in keep],
                        F.flatten(F.transform("doc.codes", lambda c: F.get(F.col("coded"), c))).alias("ids"))
 
 
-def decode(ids: Column, table: Column) -> Column:
-    """Bytes of a token id array, by concatenating the token pieces of the constant ``table``."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table["pieces"], i)), ""))
+def pieces_hex(vocabulary: str) -> Column:
+    """Literal array: bytes of every token, as hexadecimal text."""
+    return _numbers((t.hex() for t in read_ranks(vocabulary)), "string")
+
+
+def ids_hex(vocabulary: str) -> Column:
+    """Literal array: every id as a little-endian unsigned 32-bit integer, as hexadecimal text."""
+    return _numbers((i.to_bytes(4, "little").hex() for i in range(len(read_ranks(vocabulary)))), "string")
 
 
-def id_bytes(ids: Column, table: Column) -> Column:
-    """The ids as little-endian unsigned 32-bit integers."""
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table["codes"], i)), ""))
+def concatenated(ids: Column, pieces: Column) -> Column:
+    """The pieces of an id array, looked up in a literal array and concatenated, as binary."""
+    return let(pieces, lambda table: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
 
 
-def constants(spark: SparkSession, vocabulary: str) -> Column:
-    """One-row constant with token bytes (``pieces``) and little-endian ids (``codes``) as hexadecimal text."""
-    return rank_map(spark, read_ranks(vocabulary)).select(F.struct("pieces", "codes").alias("t")).scalar()
+def decode(ids: Column, vocabulary: str) -> Column:
+    """Bytes of a token id array."""
+    return concatenated(ids, pieces_hex(vocabulary))
 
 
 def op6_bpe_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and of the decoded bytes, for every document."""
     path = public_tokenizers.path(VOCABULARY)
-    table = constants(spark, path)
     out = encode(documents(spark, sf_dir).select("doc_id", "text"), path, ["doc_id"])
     return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                      F.sha2(id_bytes(F.col("ids"), table), 256).alias("ids_sha256"),
-                      F.sha2(decode(F.col("ids"), table), 256).alias("decoded_sha256"))
+                      F.sha2(concatenated(F.col("ids"), ids_hex(path)), 256).alias("ids_sha256"),
+                      F.sha2(decode(F.col("ids"), path), 256).alias("decoded_sha256"))
 
 
 QUERIES = {"op6_bpe_fold": op6_bpe_fold}

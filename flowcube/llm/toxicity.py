@@ -1,10 +1,10 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
 Learning: tokens of labelled documents are counted by label (once per
-document) and get log-odds with an informative Dirichlet prior (prior mass PRIOR spread
-as the tokens' overall frequencies).  Tokens with a significant positive z-score
-score their log-odds; every other token scores the (negative) drift, so the
-expected score of ordinary text is negative.
+document), as whole words and as prefixes of 3 to 7 letters, which hold for inflected and compound
+forms.  They get log-odds with an informative Dirichlet prior (PRIOR of all counts, spread
+as the overall frequencies).  A token scores the largest log-odds among its forms with a significant positive
+z-score; every other token scores the (negative) drift, so the expected score of ordinary text is negative.
 
 Scoring: one linear pass (Ruzzo and Tompa) finds all maximal scoring segments of
 a text.  Maximal scores of n ordinary tokens follow an extreme-value law: score - ln(n) is Gumbel
@@ -36,14 +36,16 @@ from flowcube.sources.tables import table
 MAX_TRAIN = 20_000
 #: Token weights in the model, at most (those of highest z-score).
 MAX_TOKENS = 20_000
-#: Dirichlet prior mass, in documents' tokens.
-PRIOR = 500.0
-#: Least z-score and number of toxic documents of a scoring token.
-MIN_Z, MIN_TOXIC = 2.5, 3
+#: Dirichlet prior mass, as a share of all counts.
+PRIOR = 0.05
+#: Least z-score of a scoring form.
+MIN_Z = 4.0
+#: Lengths of prefixes.
+PREFIXES = range(3, 8)
 #: predicted = 1 from this score on.
 CUT = 0.7
 
-EDGES = ".,;:!?\"'()[]{}<>*_~`-/\\|"
+EDGES = ".,;:!?\"'()[]{}<>*_~`-/\\|%&$#@+=^"
 
 
 @dataclass
@@ -61,6 +63,21 @@ def tokens(text: str | None) -> list[str]:
     return [w.strip(EDGES) for w in (text or "").lower().split()]
 
 
+class Scores:
+    """Score of a token: the largest weight among its forms, None without any; remembered per token."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights, self.known = weights, {}
+
+    def get(self, token: str) -> float | None:
+        if token not in self.known:
+            if len(self.known) > 500_000:
+                self.known.clear()
+            forms = [token, *(token[:k] + "*" for k in PREFIXES if len(token) >= k)]
+            self.known[token] = max((self.weights[f] for f in forms if f in self.weights), default=None)
+        return self.known[token]
+
+
 def segments(words: list[str], weights: dict[str, float], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, score) of a token sequence, left to right, in linear time.
 
@@ -95,9 +112,9 @@ def evidence(found: list[tuple[int, int, float]], n: int, mu: float, beta: float
     return sum(max(0.0, s - shift) for _, _, s in found) / beta
 
 
-def score_text(text: str | None, model: Model) -> tuple[float, list[tuple[int, int, float]]]:
+def score_text(text: str | None, model: Model, scores: Scores | None = None) -> tuple[float, list[tuple[int, int, float]]]:
     words = tokens(text)
-    found = segments(words, model.weights, model.drift)
+    found = segments(words, scores or Scores(model.weights), model.drift)
     x = model.bias + model.slope * evidence(found, len(words), model.mu, model.beta)
     return (1 / (1 + exp(-x)) if x > -700 else 0.0), found
 
@@ -129,23 +146,34 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_to
     share = rows.agg(F.avg("toxic")).first()[0] or 0.0
     if not nt or not nn:
         return Model({}, -0.1, 0.0, 1.0, 0.0, log((share + 1e-3) / (1 - share + 1e-3)))
-    prior = F.lit(PRIOR) * (F.col("yt") + F.col("yn")) / (nt + nn)
+    forms = F.array(F.col("token"), *[F.when(F.length("token") >= k, F.concat(F.substring("token", 1, k), F.lit("*"))) for k in PREFIXES])
+    by_form = counts.select("yt", "yn", F.explode(forms).alias("form")).filter("form is not null").groupBy("form").agg(
+        F.sum("yt").alias("yt"), F.sum("yn").alias("yn"))
+    prior, mass = F.lit(PRIOR) * (F.col("yt") + F.col("yn")), PRIOR * (nt + nn)
     a, b = F.col("yt") + prior, F.col("yn") + prior
-    odds = F.log(a / (nt + PRIOR - a)) - F.log(b / (nn + PRIOR - b))
-    model = counts.withColumn("w", odds).withColumn("z", odds / F.sqrt(1 / a + 1 / b))
-    top = model.filter((F.col("z") >= MIN_Z) & (F.col("yt") >= MIN_TOXIC)).orderBy(F.desc("z"), "token").limit(max_tokens)
-    picked = top.collect()
-    weights = {r["token"]: min(float(r["w"]), 8.0) for r in picked}
-    hits = sum(r["yt"] for r in picked)
-    density = min(max(hits / nt, 0.005), 0.2)
-    drift = log(1 - density)
+    odds = F.log(a / (nt + mass - a)) - F.log(b / (nn + mass - b))
+    model = by_form.filter("yt > 1").withColumn("w", odds).withColumn("z", odds / F.sqrt(1 / a + 1 / b))
+    picked = model.filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "form").limit(max_tokens).collect()
+    weights = {r["form"]: min(float(r["w"]), 8.0) for r in picked}
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = Scores(weights)
+        for batch in batches:
+            found = [tokens(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([len(w) for w in found], pa.int64()),
+                pa.array([sum(scores.get(x) is not None for x in w) for w in found], pa.int64())], ["n", "k"])
+
+    dense = rows.filter("toxic = 1").select("text").mapInArrow(hits, "n bigint, k bigint").agg(F.sum("n"), F.sum("k")).first()
+    drift = log(1 - min(max((dense[1] or 0) / max(dense[0] or 0, 1), 0.005), 0.2))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = Scores(weights)
         for batch in batches:
             n, top_score, all_scores = [], [], []
             for text in batch.column("text"):
                 found_words = tokens(text.as_py())
-                found = [s for _, _, s in segments(found_words, weights, drift)]
+                found = [s for _, _, s in segments(found_words, scores, drift)]
                 n.append(len(found_words))
                 top_score.append(max(found, default=0.0))
                 all_scores.append(found)
@@ -187,8 +215,9 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
     kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = Scores(model.weights)
         for batch in batches:
-            scored = [score_text(t.as_py(), model) for t in batch.column("__text")]
+            scored = [score_text(t.as_py(), model, scores) for t in batch.column("__text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep] + [pa.array([s for s, _ in scored], pa.float64()), pa.array(
                     [[{"begin": b, "end": e, "score": v} for b, e, v in f if v > log(1 + e - b) + model.mu] for _, f in scored], kind)],

@@ -32,7 +32,8 @@ def test_encodes_as_the_library_and_decodes_back(spark, reference):
     path = P.path(bpe.VOCABULARY)
     out = bpe.encode(df, path, ["doc_id", "kind"], chunk_chars=5_000)
     assert out.columns == ["doc_id", "kind", "ids"]
-    back = out.select("doc_id", "ids", bpe.decode(out["ids"], bpe.constants(spark, path)).alias("raw")).collect()
+    assert all(bpe.read_ranks(path)[i] for i in range(256))
+    back = out.select("doc_id", "ids", bpe.decode(out["ids"], path).alias("raw")).collect()
     assert len(back) == len(rows)
     for r in back:
         text = rows[r["doc_id"]][1] or ""
