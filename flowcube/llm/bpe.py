@@ -3,15 +3,15 @@
 Text is cut into pieces by the tokenizer's pattern.  Per chunk of documents
 each distinct piece is encoded once: its bytes become single-byte token ids and a fold
 applies ranked merges until no adjacent pair has a rank.  The rank map is a
-literal: pair (a, b) of ids -> id of the joined bytes, in hash buckets, so
-that a lookup reads one or two numbers (the id of a token is its rank).  Every token of the public
+literal: pair (a, b) of ids -> id of the joined bytes, by a perfect hash, so
+that a lookup reads three numbers (the id of a token is its rank).  Every token of the public
 vocabularies is the result of merging its own bytes, so whole pieces need no second table.
 
-One fold step merges every occurrence of the lowest-ranked pair at once, left
+For long pieces one fold step merges every occurrence of the lowest-ranked pair at once, left
 to right without overlap (a run of equal pairs is resolved by replacing ``11``
 with ``10`` in the text of marks).  This equals merging one leftmost pair at a time unless a fresh
 token forms a pair of lower rank with a neighbour; the step checks for that and
-then merges the leftmost pair only.  Long pieces thus take few steps.
+then merges the leftmost pair only.
 
 Decoding looks every id up in the literal array of token bytes and
 concatenates the pieces.  Nothing is shuffled, and a document's own ids are
@@ -32,18 +32,22 @@ from pyspark.sql import types as T
 from flowcube.llm.common import documents, let
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-BUCKETS = 1 << 17
+#: Largest vocabulary, buckets and places (powers of two) of the literal rank map, and multipliers of its hashes.
+VOCABULARY_MAX, BUCKETS, PLACES = 65_536, 1 << 16, 1 << 18
+MIX = (40_503, 30_671, 60_493, 19_937)
+#: Stands for "no rank".
+NONE = 1 << 20
+#: Pieces of at most this many bytes merge one pair a step, longer ones all equal pairs a step (the ids are the same).
+SHORT = 48
 #: Characters of text whose distinct pieces are encoded together (a longer document is a chunk of its own).
 CHUNK_CHARS = 32_000_000
-#: Multipliers of the pair hash.
-MIX_A, MIX_B = 40_503, 30_671
 
 
 def read_ranks(path: str) -> list[bytes]:
     """Token bytes by rank; ranks must be 0..n-1."""
     with open(path, "rb") as f:
         pairs = sorted((int(r), base64.b64decode(t)) for t, r in (line.split() for line in f if line.strip()))
-    if [r for r, _ in pairs] != list(range(len(pairs))) or len(pairs) > 65_536:
+    if [r for r, _ in pairs] != list(range(len(pairs))) or len(pairs) > VOCABULARY_MAX:
         raise ValueError("ranks must be 0..n-1 with n at most 65,536")
     return [t for _, t in pairs]
 
@@ -53,44 +57,90 @@ def _numbers(values, kind: str) -> Column:
     return F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
 
 
+def placed(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], list[int]]:
+    """A perfect hash of the pairs (hash and displace): shift by bucket, and key and joined id by place.
+
+    Buckets are placed largest first; each tries shifts in order until all its places are free.
+    """
+    import numpy as np
+
+    a, b = (np.array(x, dtype=np.int64) for x in zip(*pairs))
+    joined = np.array(list(pairs.values()), dtype=np.int64)
+    bucket, spot = (a * MIX[0] + b * MIX[1]) % BUCKETS, a * MIX[2] + b * MIX[3]
+    order = np.argsort(bucket, kind="stable")
+    groups = np.split(order, np.nonzero(np.diff(bucket[order]))[0] + 1)
+    keys, values, shift = np.full(PLACES, -1, np.int64), np.zeros(PLACES, np.int64), np.zeros(BUCKETS, np.int64)
+    for group in sorted(groups, key=len, reverse=True):
+        for d in range(PLACES):
+            at = (spot[group] + d) % PLACES
+            if (keys[at] < 0).all() and len(set(at.tolist())) == len(at):
+                break
+        else:
+            raise ValueError("no free places for a bucket")
+        shift[bucket[group[0]]] = d
+        keys[at], values[at] = a[group] * VOCABULARY_MAX + b[group], joined[group]
+    return shift.tolist(), keys.tolist(), values.tolist()
+
+
 def rank_map(tokens: list[bytes]) -> Column:
-    """Literal rank map: pairs (a, b, joined id) packed into numbers and sorted by hash bucket, bucket starts,
-    and the ids of the 256 bytes."""
+    """Literal rank map as arrays: ``shift`` by bucket, ``keys`` and ``joined`` by place, ids of the 256 bytes."""
     rank = {t: i for i, t in enumerate(tokens)}
-    buckets: list[list[int]] = [[] for _ in range(BUCKETS)]
+    pairs = {}
     for token, c in rank.items():
         for cut in range(1, len(token)):
             a, b = rank.get(token[:cut]), rank.get(token[cut:])
             if a is not None and b is not None:
-                buckets[(a * MIX_A + b * MIX_B) % BUCKETS].append((a << 32) | (b << 16) | c)
-    starts = [1]  # 1-based, as slice() counts
-    for x in buckets:
-        starts.append(starts[-1] + len(x))
-    return F.struct(_numbers((e for x in buckets for e in x), "bigint").alias("pairs"), _numbers(starts, "int").alias("starts"),
-                    _numbers((rank[bytes([b])] for b in range(256)), "int").alias("bytes"))
+                pairs[a, b] = c
+    shift, keys, joined = placed(pairs)
+    return F.struct(_numbers(shift, "bigint").alias("shift"), _numbers(keys, "bigint").alias("keys"),
+                    _numbers(joined, "bigint").alias("joined"), _numbers((rank[bytes([b])] for b in range(256)), "bigint").alias("bytes"))
 
 
-def merge_word(word: Column, ranks: Column) -> Column:
-    """Ids of one piece (array of byte values) after all ranked merges."""
-    none = F.lit(1 << 20)
+def rank_of(a: Column, b: Column, ranks: Column) -> Column:
+    """Rank of an adjacent pair of ids (the id of the joined bytes); NONE without one or where an id is null."""
+    shift = F.get(ranks["shift"], (a * MIX[0] + b * MIX[1]).bitwiseAND(BUCKETS - 1).cast("int"))
+    at = (a * MIX[2] + b * MIX[3] + shift).bitwiseAND(PLACES - 1).cast("int")
+    return F.when(F.get(ranks["keys"], at) == a * VOCABULARY_MAX + b, F.get(ranks["joined"], at)).otherwise(F.lit(NONE).cast("bigint"))
+
 
-    def rank_of(a, b):
-        a, b = a.cast("bigint"), b.cast("bigint")
-        def search(at):
-            first, last = F.get(ranks["starts"], at), F.get(ranks["starts"], at + 1)
-            bucket = F.slice(ranks["pairs"], first, last - first)
-            hit = F.get(F.filter(bucket, lambda e: F.shiftright(e, 16) == F.shiftleft(a, 16) + b), F.lit(0))
-            return F.coalesce(hit.bitwiseAND(F.lit(65_535)).cast("int"), none)
+def merge_short(ids: Column, ranks: Column) -> Column:
+    """Ids after all ranked merges, one leftmost pair of lowest rank a step.
 
-        return let(((a * MIX_A + b * MIX_B) % BUCKETS).cast("int"), search)
+    The state keeps the rank of every adjacent pair, with NONE before the first and after the last id, so a merge
+    looks up the two pairs around the new token only.
+    """
+    edge = F.array(F.lit(NONE).cast("bigint"))
 
-    def ranks_of(ids):
-        return F.when(F.size(ids) < 2, F.expr("cast(array() as array<int>)")).otherwise(
-            F.transform(F.slice(ids, 2, F.size(ids) - 1), lambda b, i: rank_of(F.get(ids, i), b)))
+    def start(x):
+        inner = F.transform(x, lambda b, i: rank_of(F.get(x, i - 1), b, ranks))  # the first has no left id: NONE
+        return F.struct(x.alias("ids"), F.concat(inner, edge).alias("ranks"))
+
+    def step(s, _):
+        def merged(low):
+            def at(p):  # pair (p - 1, p) of the 0-based ids has the lowest rank
+                ids, known = s["ids"], s["ranks"]
+                return F.struct(
+                    F.concat(F.slice(ids, 1, p - 1), F.array(low), F.slice(ids, p + 2, F.size(ids) - p - 1)).alias("ids"),
+                    F.concat(F.slice(known, 1, p - 1),
+                             F.array(rank_of(F.get(ids, p - 2), low, ranks), rank_of(low, F.get(ids, p + 1), ranks)),
+                             F.slice(known, p + 3, F.size(known) - p - 2)).alias("ranks"))
+            return F.when(low == NONE, s).otherwise(let(F.array_position(s["ranks"], low).cast("int") - 1, at))
+        return let(F.array_min(s["ranks"]), merged)
+
+    return let(start(ids), lambda first: F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), first, step, lambda s: s["ids"]))
+
+
+def merge_long(ids: Column, ranks: Column) -> Column:
+    """As ``merge_short`` for long pieces: a step merges all occurrences of the lowest pair where that is the same."""
+    none = F.lit(NONE).cast("bigint")
 
     def state(ids):
         """ids, ranks of adjacent pairs, and the lowest rank."""
-        return let(ids, lambda x: let(ranks_of(x), lambda r: F.struct(
+        def pairs(x):
+            return F.when(F.size(x) < 2, F.expr("cast(array() as array<bigint>)")).otherwise(
+                F.transform(F.slice(x, 2, F.size(x) - 1), lambda b, i: rank_of(F.get(x, i), b, ranks)))
+        return let(ids, lambda x: let(pairs(x), lambda r: F.struct(
             x.alias("ids"), r.alias("ranks"), F.coalesce(F.array_min(r), none).alias("low"))))
 
     def step(s, _):
@@ -110,13 +160,18 @@ def merge_word(word: Column, ranks: Column) -> Column:
         def guarded(marks):
             # a fresh token next to the first part of a later occurrence: their rank must not be lower
             between = F.exists(F.transform(marks, lambda m, i: (m == "1") & (F.get(marks, i + 2) == "1") & (
-                rank_of(s["low"], F.get(s["ids"], i + 2)) < s["low"])), lambda x: F.coalesce(x, F.lit(False)))
+                rank_of(s["low"], F.get(s["ids"], i + 2), ranks) < s["low"])), lambda x: F.coalesce(x, F.lit(False)))
             return let(merged(marks), lambda t: F.when((t["low"] > s["low"]) & ~between, t).otherwise(merged(first_mark())))
 
         return F.when(s["low"] == none, s).otherwise(let(all_marks(), guarded))
 
-    start = state(F.transform(word, lambda b: F.get(ranks["bytes"], b.cast("int"))))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(word) - 1, F.lit(1))), start, step, lambda s: s["ids"])
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), state(ids), step, lambda s: s["ids"])
+
+
+def merge_word(word: Column, ranks: Column) -> Column:
+    """Ids of one piece (array of byte values) after all ranked merges."""
+    return let(F.transform(word, lambda b: F.get(ranks["bytes"], b.cast("int"))), lambda ids: F.when(
+        F.size(ids) < 2, ids).when(F.size(ids) <= SHORT, merge_short(ids, ranks)).otherwise(merge_long(ids, ranks)))
 
 
 def chunks(docs: DataFrame, keep: list[str], pattern: str, chunk_chars: int) -> DataFrame:
@@ -174,11 +229,15 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str], pattern: str = pub
     ``keep`` must not contain a column named ``codes`` or ``ids``.
     """
     words = chunks(docs, keep, pattern, chunk_chars)
-    encoded = let(rank_map(read_ranks(vocabulary)), lambda ranks: F.transform("words", lambda w: merge_word(w, ranks)))
-    coded = words.select("docs", encoded.alias("coded"))
-    each = coded.select("coded", F.explode("docs").alias("doc"))
-    return each.select(*[F.col("doc").getField(c).alias(c) for c in keep],
-                       F.flatten(F.transform("doc.codes", lambda c: F.get(F.col("coded"), c))).alias("ids"))
+
+    def encoded(ranks):
+        def of_docs(coded):  # a document's ids are its pieces' ids, addressed by position
+            return F.transform("docs", lambda d: F.struct(
+                *[d[c].alias(c) for c in keep], F.flatten(F.transform(d["codes"], lambda c: F.get(coded, c))).alias("ids")))
+        return let(F.transform("words", lambda w: merge_word(w, ranks).cast("array<int>")), of_docs)
+
+    each = words.select(F.explode(let(rank_map(read_ranks(vocabulary)), encoded)).alias("doc"))
+    return each.select(*[F.col("doc").getField(c).alias(c) for c in [*keep, "ids"]])
 
 
 def pieces_hex(vocabulary: str) -> Column:
