@@ -65,25 +65,32 @@ def finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-class Hasher:
-    """Shingle sets of texts; word hashes are kept in a table that is emptied when it is full."""
+class WordHashes(dict):
+    """Hash of a word, computed once; emptied when it is full."""
 
     def __init__(self):
         import xxhash
+        super().__init__()
         self.digest = xxhash.xxh3_64_intdigest
-        self.words: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        value = self[word] = self.digest(word)
+        return value
+
+
+class Hasher:
+    """Shingle sets of texts."""
+
+    def __init__(self):
+        self.hash = WordHashes().__getitem__
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit shingle hashes of a text."""
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        known = self.words
-        if len(known) > 1_000_000:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self.digest(w)
-        h = np.array([known[w] for w in words], dtype=np.uint64)
-        n = len(h)
+        n = len(words)
+        h = np.fromiter(map(self.hash, words), np.uint64, n)
         if n == 0:
             return h
         if n < WORDS:
@@ -91,10 +98,12 @@ class Hasher:
             for i in range(n):
                 total = total * _MULT[1] + h[i] * _MULT[0]
             return finish(np.array([total], dtype=np.uint64))
-        total = np.zeros(n - WORDS + 1, dtype=np.uint64)
-        for i in range(WORDS):
+        total = h[:n - WORDS + 1] * _MULT[0]
+        for i in range(1, WORDS):
             total += h[i:n - WORDS + 1 + i] * _MULT[i]
-        return np.unique(finish(total))
+        total = finish(total)
+        total.sort()
+        return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def set_node(h: np.ndarray) -> int:
@@ -217,7 +226,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray, x: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles, parity) of the wanted documents (doc_id), one row per node."""
+    """(node, n, shingles, parity) of the wanted documents (doc_id); a repeated row gives its node again."""
     schema = "node bigint, n int, shingles binary, parity array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,18 +245,24 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(sets, pa.binary()),
                 pa.array(parity, pa.list_(pa.int64()))], ["node", "n", "shingles", "parity"])
 
-    return docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(run, schema).filter("n > 0").dropDuplicates(["node"])
+    return docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(run, schema).filter("n > 0")
+
+
+def close(a: str, b: str) -> str:
+    """Condition on members ``a`` and ``b`` of a list (n, pos, parity): they may link by size, position and parity.
+
+    From the first shared token of the order on, at most min(n - pos) elements are shared; and the sets' symmetric
+    difference a + b - 2 |A and B| is at least the number of differing parity bits.
+    """
+    differ = " + ".join(f"bit_count({a}.parity[{i}] ^ {b}.parity[{i}])" for i in range(PARITY))
+    return (f"100 * least({a}.n, {b}.n) >= {LINK} * greatest({a}.n, {b}.n) "
+            f"and {100 + LINK} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {LINK} * ({a}.n + {b}.n) "
+            f"and {100 + LINK} * ({a}.n + {b}.n - ({differ})) >= {2 * LINK} * ({a}.n + {b}.n)")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges (u, v) among candidate pairs (u, v) that link."""
-    slim = sets.select("node", "n", "parity")
-    near = pairs.join(slim.select(F.col("node").alias("u"), F.col("n").alias("un"), F.col("parity").alias("up")), "u")
-    near = near.join(slim.select(F.col("node").alias("v"), F.col("n").alias("vn"), F.col("parity").alias("vp")), "v")
-    apart = sum((F.bit_count(F.get("up", F.lit(i)).bitwiseXOR(F.get("vp", F.lit(i)))) for i in range(PARITY)), F.lit(0))
-    # |A xor B| = a + b - 2 |A and B| is at least the number of differing parity bits
-    near = near.filter((F.lit(100 + LINK) * (F.col("un") + F.col("vn") - apart) >= 2 * LINK * (F.col("un") + F.col("vn"))))
-    whole = near.select("u", "v").join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
+    whole = pairs.select("u", "v").join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
     whole = whole.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("vs")), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,44 +295,40 @@ def join_documents(docs: DataFrame) -> DataFrame:
     x = boundary(sizes, sketch)
 
     signed = signatures(docs, sketch, x).repartition("token").dropDuplicates(["token", "node", "light"])
-    members = Window.partitionBy("light", "token")
-    # the hub of a prefix list is a pseudo-random member; that of a subset the smallest set
-    hub_order = F.struct(F.when(F.col("light"), F.col("n").cast("bigint")).otherwise(F.xxhash64("token", "node")).alias("o"),
-                         F.col("node").alias("node"), F.col("n").alias("n"), F.col("pos").alias("pos"))
-    lists = signed.withColumn("df", F.count(F.lit(1)).over(members)).withColumn("hub", F.min(hub_order).over(members))
-    lists = materialize(lists.filter("df > 1").select("light", "token", "node", "n", "pos", "hub.node", "hub.n", "hub.pos")
-                        .toDF("light", "token", "node", "n", "pos", "hub", "hub_n", "hub_pos"))
-    fits = f"100 * least(n, hub_n) >= {LINK} * greatest(n, hub_n)"
-    light = lists.filter("light and node <> hub").filter(f"{100 + LINK} * pos >= {LINK} * (n + hub_n)").select(
-        F.col("node").alias("u"), F.col("hub").alias("v"))
+    by_size = Window.partitionBy("light", "token").orderBy("n", "node")
+    # a member stays if its neighbour by size is near enough; then every list has two members or more
+    signed = signed.withColumn("below", F.lag("n").over(by_size)).withColumn("above", F.lead("n").over(by_size))
+    lists = materialize(signed.filter(f"100 * below >= {LINK} * n or 100 * n >= {LINK} * above").drop("below", "above"))
+
+    light = lists.filter("light")
+    least = Window.partitionBy("token")
+    star = light.withColumn("hub", F.min(F.struct("n", "node")).over(least)).filter("node <> hub.node").filter(
+        f"{100 + LINK} * pos >= {LINK} * (n + hub.n)").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
 
-    heavy = lists.filter("not light")
-    firsts = heavy.filter("node <> hub").filter(fits).groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
+    heavy = lists.filter("not light").drop("light")
+    wanted = heavy.select("node").distinct().join(classes, "node").select(F.col("rep").alias("doc_id"))
+    sets = materialize(shingle_sets(docs, wanted))
+    members = materialize(heavy.join(sets.select("node", "parity").dropDuplicates(["node"]), "node"))
+    # first round: every member against a pseudo-random hub of its list
+    every = Window.partitionBy("token")
+    hubs = members.withColumn("b", F.min(F.struct(F.xxhash64("token", "node"), "node", "n", "pos", "parity")).over(every))
+    hubs = hubs.withColumn("a", F.struct("n", "pos", "parity")).filter("node <> b.node").filter(close("a", "b"))
+    firsts = hubs.groupBy("node", F.col("b.node").alias("hub")).agg(F.count(F.lit(1)).alias("shared"))
     best = Window.partitionBy("node").orderBy(F.desc("shared"), "hub")
     firsts = firsts.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= HUBS).select(
         F.col("node").alias("u"), F.col("hub").alias("v"))
-    wanted = heavy.select("node").distinct().join(classes, "node").select(F.col("rep").alias("doc_id"))
-    sets = materialize(shingle_sets(docs, wanted))
-    edges = materialize(light.unionByName(verified(firsts, sets)))
+    edges = materialize(star.unionByName(verified(firsts, sets)))
     parts = materialize(components(edges))
 
     # second round: members of different components, never within a list's largest component
-    tagged = heavy.select("token", "node", "n", "pos").join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    tagged = members.join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     per = tagged.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     top = per.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).filter(
         "comps > 1").select("token", F.col("top.comp").alias("main"))
     mixed = materialize(tagged.join(top, "token"))
-    a = mixed.filter("comp <> main").select("token", F.col("node").alias("u"), F.col("n").alias("un"), F.col("pos").alias("upos"),
-                                            F.col("comp").alias("uc"))
-    b = mixed.select("token", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("pos").alias("vpos"),
-                     F.col("comp").alias("vc"), (F.col("comp") == F.col("main")).alias("vmain"))
-    pairs = a.join(b, "token").filter("uc <> vc and (vmain or u < v)").filter(
-        f"100 * least(un, vn) >= {LINK} * greatest(un, vn)")
-    pairs = pairs.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(
-        F.max(F.least(F.col("un") - F.col("upos"), F.col("vn") - F.col("vpos"))).alias("reach"),
-        F.max(F.col("un") + F.col("vn")).alias("both"))
-    # from the first shared token on, no more than ``reach`` elements can be shared
-    pairs = pairs.filter(f"{100 + LINK} * reach >= {LINK} * both").select("u", "v")
+    pairs = mixed.filter("comp <> main").alias("a").join(
+        mixed.alias("b"), F.expr(f"a.token = b.token and a.comp <> b.comp and (b.comp = b.main or a.node < b.node) and {close('a', 'b')}"))
+    pairs = pairs.select(F.expr("least(a.node, b.node)").alias("u"), F.expr("greatest(a.node, b.node)").alias("v")).distinct()
     more = materialize(verified(pairs, sets))
     # the second round's edges join components of the first
     full = materialize(components(edges.unionByName(more)))
@@ -347,7 +358,7 @@ WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                     '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {WORDS} THEN [array_to_string(w, ' ')]
-             ELSE list_distinct(list_transform(range(1, len(w) - {WORDS - 2}), i -> array_to_string(w[i:i + {WORDS - 1}], ' '))) END AS g FROM d),
+             ELSE list_distinct(list_transform(range(1, len(w) - {WORDS - 2}), lambda i: array_to_string(w[i:i + {WORDS - 1}], ' '))) END AS g FROM d),
 e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
 p AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
       GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {LINK} * (a.n + b.n - count(*))),
