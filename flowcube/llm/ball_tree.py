@@ -162,9 +162,9 @@ def op1_ball_tree_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_OP1 = f"""
-WITH e AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))),
+             AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
 u AS (SELECT vec_id, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM e),
 s AS (SELECT q.vec_id AS query_id, b.vec_id, CAST(sum(q.c * b.c) AS BIGINT) AS score
       FROM u q JOIN u b ON q.i = b.i AND q.vec_id <> b.vec_id WHERE q.vec_id % 20 = 0 GROUP BY ALL)

@@ -176,7 +176,7 @@ lost AS (SELECT n.doc_id, sum(n.words) AS lost FROM n JOIN above USING (host, ke
 """
 ORACLE_OP4 = _LINES.format(min_docs=MIN_DOCS, max_share=MAX_SHARE) + rf"""
 , m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-       CAST(coalesce(list_sum(list_transform(ws, x -> length(x))), 0) AS BIGINT) AS word_chars,
+       CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
        CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
        CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
        CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
