@@ -42,12 +42,16 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8) -> Spark
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; only when it is unset (local runs,
-    tests) a scratch folder is created and registered.
+    A cluster must name a folder that the driver and all executors share; without one this
+    raises.  Only a local session (one machine, as in tests and the bench) gets a scratch folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="flowcube-ckpt-", dir="/tmp")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
+        current = tempfile.mkdtemp(prefix="flowcube-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
