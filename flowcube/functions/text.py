@@ -47,7 +47,8 @@ def rejoin_parts(exploded: DataFrame, keys: list[str], value_name: str = "value"
 def citations(text: F.Column) -> F.Column:
     """Distinct cited numbers in ``text`` as array<bigint>."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CITATION_RE), 1)
-    return F.array_distinct(F.transform(found, lambda x: x.cast("bigint")))
+    numbers = F.transform(found, lambda x: x.try_cast("bigint"))  # no card has a number beyond 64 bits
+    return F.array_distinct(F.filter(numbers, lambda x: x.isNotNull()))
 
 
 def citations_with_fallback(primary: F.Column, fallback: F.Column) -> tuple[F.Column, F.Column]:

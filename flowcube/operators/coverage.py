@@ -1,8 +1,8 @@
 """Field-coverage matrix and alerts.
 
-A coverage measure is (file, field, DataFrame with ``team`` and a boolean
-``filled`` column, screens, effect); each measure is one grouped count, and
-the measures are stacked with ``unionByName``.
+A coverage measure names a file and a field, the rows it counts and those of them that are filled, as
+conditions on one base table.  All measures of a base table come from one grouped aggregate, which is
+then unpivoted; the tables' results are stacked with ``unionByName``.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,22 +18,28 @@ from pyspark.sql import functions as F
 class Measure:
     file: str
     field: str
-    rows: DataFrame  # team, filled (boolean)
+    filled: Column  # condition
     screens: str
     effect: str
+    rows: Column | None = None  # condition; all rows without one
 
 
-def coverage(measures: list[Measure]) -> DataFrame:
-    """team, file, field, records, filled, empty, pct, effect, screens (M7)."""
+def coverage(tables: list[tuple[DataFrame, list[Measure]]]) -> DataFrame:
+    """team, file, field, records, filled, empty, pct, effect, screens (M7), one scan per base table."""
     parts = []
-    for m in measures:
-        parts.append(m.rows.groupBy("team").agg(
-            F.count(F.lit(1)).alias("records"), F.count_if(F.col("filled")).alias("filled"))
-            .select("team", F.lit(m.file).alias("file"), F.lit(m.field).alias("field"), "records", "filled",
-                    (F.col("records") - F.col("filled")).alias("empty"),
+    for df, measures in tables:
+        aggs = []
+        for i, m in enumerate(measures):
+            of = F.lit(True) if m.rows is None else m.rows
+            aggs += [F.count_if(of).alias(f"n{i}"), F.count_if(of & m.filled).alias(f"f{i}")]
+        rows = F.array(*[F.struct(F.lit(m.file).alias("file"), F.lit(m.field).alias("field"), F.col(f"n{i}").alias("records"),
+                                  F.col(f"f{i}").alias("filled"), F.lit(m.effect).alias("effect"), F.lit(m.screens).alias("screens"))
+                         for i, m in enumerate(measures)])
+        parts.append(df.groupBy("team").agg(*aggs).select("team", F.explode(rows).alias("m")).select("team", "m.*").filter("records > 0"))
+    r = reduce(lambda a, b: a.unionByName(b), parts)
+    return r.select("team", "file", "field", "records", "filled", (F.col("records") - F.col("filled")).alias("empty"),
                     F.try_divide(F.col("filled").cast("double") * 100, F.col("records").cast("double")).alias("pct"),
-                    F.lit(m.effect).alias("effect"), F.lit(m.screens).alias("screens")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+                    "effect", "screens")
 
 
 def coverage_alerts(cov: DataFrame, min_pct: float = 80.0) -> DataFrame:

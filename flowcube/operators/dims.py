@@ -92,9 +92,8 @@ def dim_person(roster: DataFrame, active: DataFrame) -> DataFrame:
     people = people.unionByName(sent)
     act = active.select("person_id").distinct().withColumn("__act", F.lit(True))
     p = (people.join(act, "person_id", "left")
-               .withColumn("had_activity", F.col("__act").isNotNull())
-               .withColumn("__dim", F.lit(0)))
-    p = windows.ordinal(p, ["__dim"], ["person_order"], "person_sk")
+               .withColumn("had_activity", F.col("__act").isNotNull()))
+    p = windows.ordinal(p, [], ["person_order"], "person_sk")
     return p.select(F.col("person_sk").cast("bigint"), "person_id", "origin_team", "role", "status",
                     "is_sentinel", "person_type", "had_activity")
 

@@ -47,7 +47,7 @@ def classify_events(events: DataFrame, board: DataFrame, board_name: str = "Scru
     b = (board.filter(F.col("board") == board_name)
               .select("team", F.col("column").alias("__bcol"), F.col("board").alias("board_natural"),
                       F.col("position")))
-    j = events.join(F.broadcast(b), (events["team"] == b["team"]) & (events["column"] == b["__bcol"]), "left") \
+    j = events.join(b, (events["team"] == b["team"]) & (events["column"] == b["__bcol"]), "left") \
               .drop(b["team"])
     empty = F.col("column").isNull() | (F.trim("column") == "")
     kind = (F.when(empty, KIND_UNKNOWN).when(F.col("__bcol").isNotNull(), KIND_MOVE).otherwise(KIND_LABEL))
@@ -67,7 +67,7 @@ def calendar_days(calendar: DataFrame) -> DataFrame:
 
 def assign_period(events: DataFrame, calendar: DataFrame, ts: str, origin: str) -> DataFrame:
     """Sprint of each event by the date of ``ts`` (J7); ``origin`` names whose calendar it is."""
-    days = F.broadcast(calendar_days(calendar))
+    days = calendar_days(calendar)
     j = events.withColumn("__day", F.to_date(ts)).join(days, "__day", "left").drop("__day")
     has = F.col("sprint").isNotNull()
     return (j.withColumn("sprint_team", F.when(has, F.col("team")))
@@ -80,14 +80,20 @@ def calendar_overlaps(calendar: DataFrame) -> DataFrame:
                                    .filter(F.col("sprints") > 1).withColumnRenamed("__day", "day"))
 
 
-def sequence_events(events: DataFrame, part: list[str], ts: str, tie: str,
-                    known_rows: int | None = None) -> DataFrame:
+def sequence_events(events: DataFrame, part: list[str], ts: str, tie: str) -> DataFrame:
     """Position of each event in its card and the next event's instant.
 
     Uses the skew-tolerant ordinal (a card with a huge history is split over
     several tasks); the lead is taken inside the same buckets.
     """
-    return windows.ordinal_and_next(events, part, [ts, tie], "seq_in_card", ts, "__next", known_rows=known_rows)
+    return windows.ordinal_and_next(events, part, [ts, tie], "seq_in_card", ts, "__next")
+
+
+def event_order(events: DataFrame) -> DataFrame:
+    """event_id, team, card, occurred_at with the place in the card and the hours to the next event."""
+    e = sequence_events(events, ["team", "card"], "occurred_at", "event_id")
+    nxt = F.when(F.col("__next").isNotNull(), rounded_ratio(elapsed_micros("occurred_at", "__next"), MICROS_PER_HOUR, 2))
+    return e.select("event_id", "team", "card", "occurred_at", "seq_in_card", nxt.alias("hours_to_next"))
 
 
 def event_treatment(raw: DataFrame, board: DataFrame, calendar: DataFrame, calendar_team: str) -> DataFrame:
@@ -96,7 +102,7 @@ def event_treatment(raw: DataFrame, board: DataFrame, calendar: DataFrame, calen
     # The classified log feeds the key counts, the bucket split points and the
     # ordered pass: it is written once instead of re-derived per branch.
     e = materialize(assign_period(e, calendar, "occurred_at", calendar_team))
-    e = sequence_events(e, ["team", "card"], "occurred_at", "event_id", known_rows=e.count())
+    e = sequence_events(e, ["team", "card"], "occurred_at", "event_id")
     nxt = F.when(F.col("__next").isNotNull(),
                  rounded_ratio(elapsed_micros("occurred_at", "__next"), MICROS_PER_HOUR, 2))
     return e.select(

@@ -30,7 +30,7 @@ NO_SPRINT = "(sem sprint)"
 
 def stage_moves(events: DataFrame, board: DataFrame) -> DataFrame:
     """Distinct column moves (T10: distinct without the person)."""
-    b = F.broadcast(board.select("team", F.col("column").alias("stage"), "position"))
+    b = board.select("team", F.col("column").alias("stage"), "position")
     return (events.withColumnRenamed("column", "stage").join(b, ["team", "stage"])
                   .select("team", "card", "action", "stage", "position", "occurred_at").distinct())
 
@@ -41,8 +41,7 @@ def pair_intervals(moves: DataFrame, cards: DataFrame, cutoff: DataFrame) -> Dat
     ``cutoff`` is a one-row DataFrame with column ``cutoff`` (stays lazy: no driver round trip).
     """
     moves = materialize(moves)
-    numbered = windows.ordinal(moves, ["team", "card", "stage", "action"], ["occurred_at"], "n",
-                               known_rows=moves.count())
+    numbered = windows.ordinal(moves, ["team", "card", "stage", "action"], ["occurred_at"], "n")
     pivot = (numbered.groupBy("team", "card", "stage", "position", "n")
                      .agg(F.max(F.when(F.col("action") == "add", F.col("occurred_at"))).alias("entered_at"),
                           F.max(F.when(F.col("action") == "remove", F.col("occurred_at"))).alias("exit_at"))
@@ -65,7 +64,7 @@ def per_card(intervals: DataFrame) -> DataFrame:
     return (intervals.withColumn("micros", elapsed_micros("entered_at", "left_at"))
                      .groupBy("team", "sprint", "stage", "position", "card")
                      .agg(F.count(F.lit(1)).alias("passes"),
-                          F.sum("micros").alias("micros"),
+                          F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros"),
                           F.count_if(F.col("end_kind") != END_EXIT).alias("without_exit"),
                           F.count_if(F.col("end_kind") == END_CUTOFF).alias("open_at_cutoff")))
 
@@ -77,7 +76,7 @@ def dwell_summary(intervals: DataFrame, limit_hours: float = 48.0) -> DataFrame:
     p = per_card(intervals)
     r = (p.groupBy("team", "sprint", "stage", "position")
           .agg(F.count(F.lit(1)).alias("cards"), F.sum("passes").cast("bigint").alias("passes"),
-               F.sum("micros").alias("micros_total"), F.max("micros").alias("micros_max"),
+               F.sum("micros").cast("decimal(38,0)").alias("micros_total"), F.max("micros").alias("micros_max"),
                F.count_if(F.col("micros") > limit_micros).alias("cards_over_limit"),
                F.sum("without_exit").cast("bigint").alias("intervals_without_exit"),
                F.sum("open_at_cutoff").cast("bigint").alias("intervals_open_at_cutoff")))
@@ -93,8 +92,9 @@ def dwell_summary(intervals: DataFrame, limit_hours: float = 48.0) -> DataFrame:
 
 
 def stage_cards(intervals: DataFrame, limit_hours: float = 48.0, team: str | None = None,
-                sprint: str | None = None, stage: str | None = None) -> DataFrame:
-    """Cards of one stage (M5); a filter is applied only when its argument is set."""
+                sprint: str | None = None, stage: str | None = None, with_micros: bool = False) -> DataFrame:
+    """Cards of one stage (M5); a filter is applied only when its argument is set (P7).  ``with_micros`` adds
+    the exact dwell in microseconds for readers that sum or compare it."""
     limit_micros = int(round(limit_hours * MICROS_PER_HOUR))
     i = intervals
     for col, val in (("team", team), ("sprint", sprint), ("stage", stage)):
@@ -104,11 +104,12 @@ def stage_cards(intervals: DataFrame, limit_hours: float = 48.0, team: str | Non
     g = (i.withColumn("micros", elapsed_micros("entered_at", "left_at"))
           .groupBy("team", "sprint", "stage", "card", *extra)
           .agg(F.count(F.lit(1)).alias("passes"), F.min("entered_at").alias("first_entry"),
-               F.max("left_at").alias("last_exit"), F.sum("micros").alias("micros"),
+               F.max("left_at").alias("last_exit"), F.sum(F.col("micros").cast("decimal(38,0)")).alias("micros"),
                F.concat_ws(",", F.array_sort(F.collect_set("end_kind"))).alias("end_kinds"),
                F.count_if(F.col("end_kind") != END_EXIT).alias("intervals_without_exit"),
                F.count_if(F.col("end_kind") == END_CUTOFF).alias("intervals_open_at_cutoff")))
-    return g.select("team", "sprint", "stage", "card", *extra, "passes", "first_entry", "last_exit",
+    exact = [F.col("micros")] if with_micros else []
+    return g.select("team", "sprint", "stage", "card", *extra, *exact, "passes", "first_entry", "last_exit",
                     rounded_ratio(F.col("micros"), MICROS_PER_HOUR, 1).alias("hours_in_stage"),
                     hours(F.col("micros")).alias("hours_exact"),
                     (F.col("micros") > limit_micros).cast("int").alias("over_limit"),
@@ -117,9 +118,9 @@ def stage_cards(intervals: DataFrame, limit_hours: float = 48.0, team: str | Non
 
 def backlog_summary(cards_of_stages: DataFrame) -> DataFrame:
     """Per team over all sprints (M6): distinct cards, % of them over the limit in some
-    stage, the worst stage (most cards over limit, then most hours, then name)."""
+    stage, the worst stage (most cards over limit, then most time, then name).  Reads ``stage_cards`` with micros."""
     per_stage = (cards_of_stages.groupBy("team", "stage")
-                 .agg(F.count_if(F.col("over_limit") == 1).alias("over"), F.sum("hours_exact").alias("h")))
+                 .agg(F.count_if(F.col("over_limit") == 1).alias("over"), F.sum(F.col("micros").cast("decimal(38,0)")).alias("h")))
     worst = (per_stage.groupBy("team")
              .agg(F.max(F.struct("over", "h", F.col("stage"))).alias("w")))
     t = (cards_of_stages.groupBy("team")

@@ -52,6 +52,11 @@ def ratio(num: F.Column, den: F.Column, scale: float | None = None) -> F.Column:
     return F.try_divide(n, den.cast("double"))
 
 
+FACT_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "customer_id", "customer_unique_id", "order_status",
+                "purchased_at", "month", "customer_state", "customer_city", "category_original", "category_english",
+                "category", "price", "freight_value"]
+
+
 def item_fact(items: DataFrame, orders: DataFrame, customers: DataFrame,
               products: DataFrame, translation: DataFrame,
               default_category: str = NO_CATEGORY) -> DataFrame:
@@ -69,15 +74,8 @@ def item_fact(items: DataFrame, orders: DataFrame, customers: DataFrame,
     fact = (i.join(oc, "order_id", "left")
              .join(p, "product_id", "left")
              .join(t, "category_original", "left"))
-    return fact.select(
-        "order_id", "order_item_id", "product_id", "seller_id", "customer_id",
-        "customer_unique_id", "order_status",
-        F.col("purchased_at"),
-        F.trunc("purchased_at", "month").alias("month"),
-        "customer_state", "customer_city", "category_original", "category_english",
-        F.coalesce("category_original", F.lit(default_category)).alias("category"),
-        "price", "freight_value",
-    )
+    return fact.withColumn("month", F.trunc("purchased_at", "month")).withColumn(
+        "category", F.coalesce("category_original", F.lit(default_category))).select(*FACT_COLUMNS)
 
 
 MART_COLUMNS = ["month", "customer_state", "category", "product_revenue", "freight", "items"]
@@ -220,16 +218,19 @@ def status_items(fact: DataFrame) -> DataFrame:
                      money_sum("price").alias("revenue")))
 
 
-def latest_orders(orders: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
+def latest_orders(orders: DataFrame, customers: DataFrame, n: int = 5, check_customers: bool = False) -> DataFrame:
     """The n most recent orders with the customer's city and state (M32, top-k).
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its
-    own top n, so only n rows per partition reach the final merge.
+    own top n, so only n rows per partition reach the final merge.  Only these meet the customers; with
+    ``check_customers`` orders without a customer are left out first (the orphan gate proves there are none).
     """
-    j = orders.select("order_id", "order_status", "purchased_at", "customer_id").join(
-        customers.select("customer_id", "customer_city", "customer_state"), "customer_id")
-    return (j.orderBy(F.col("purchased_at").desc(), F.col("order_id").asc())
-             .limit(n)
+    newest = (orders.select("order_id", "order_status", "purchased_at", "customer_id")
+                    .join(customers.select("customer_id"), "customer_id", "left_semi") if check_customers else
+              orders.select("order_id", "order_status", "purchased_at", "customer_id"))
+    top = newest.orderBy(F.col("purchased_at").desc(), F.col("order_id").asc()).limit(n)
+    # n rows meet the customers, so the big side is only filtered
+    return (F.broadcast(top).join(customers.select("customer_id", "customer_city", "customer_state"), "customer_id")
              .select("order_id", "order_status", "purchased_at", "customer_city", "customer_state"))
 
 
@@ -267,10 +268,8 @@ def non_additivity(fact: DataFrame) -> DataFrame:
     Returns the true total, the sum of per-category distinct counts and the
     number of orders spanning several categories.
     """
-    total = fact.agg(F.countDistinct("order_id").alias("orders_total"))
-    per_cat = (fact.groupBy("category").agg(F.countDistinct("order_id").alias("n"))
-                   .agg(F.sum("n").cast("bigint").alias("orders_summed_by_category")))
-    multi = (fact.groupBy("order_id").agg(F.countDistinct("category").alias("k"))
-                 .agg(F.count_if(F.col("k") > 1).alias("multi_category_orders")))
-    return total.select("orders_total", per_cat.scalar().alias("orders_summed_by_category"),
-                        multi.scalar().alias("multi_category_orders"))
+    per_order = (fact.select("order_id", "category").distinct()
+                     .groupBy("order_id").agg(F.count(F.lit(1)).alias("k")))
+    return per_order.agg(F.count(F.lit(1)).alias("orders_total"),
+                         F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("orders_summed_by_category"),
+                         F.count_if(F.col("k") > 1).alias("multi_category_orders"))

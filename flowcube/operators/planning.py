@@ -34,7 +34,7 @@ def exact_median(df: DataFrame, group: list[str], value: str, out: str = "median
     """
     c = materialize(df.filter(F.col(value).isNotNull()).groupBy(*group, value)
                       .agg(F.count(F.lit(1)).alias("__c")))
-    c = windows.running_sum(c, group, [value], "__c", "__cum", known_rows=c.count())
+    c = windows.running_sum(c, group, [value], "__c", "__cum")
     n = c.groupBy(*group).agg(F.sum("__c").alias("__n"))
     c = c.join(n, group)
     k1 = F.floor((F.col("__n") + 1) / 2)
@@ -55,7 +55,7 @@ def link_stats(links: DataFrame) -> DataFrame:
 
 def card_base(cards: DataFrame, sizes: DataFrame, links: DataFrame) -> DataFrame:
     """Every card with size, planned days, actual days (exact), ratio and commit stats."""
-    c = (cards.join(F.broadcast(sizes), "size", "left")
+    c = (cards.join(sizes, "size", "left")
               .join(link_stats(links), ["team", "card"], "left"))
     micros = elapsed_micros("created_at", "closed_at")
     days = micros.cast("double") / F.lit(float(MICROS_PER_DAY))

@@ -84,25 +84,23 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def column_profile(df: DataFrame, name: str) -> DataFrame:
-    """Per column: rows, nulls, distinct values, min and max as text.
+    """Per column: type, rows, nulls, distinct values, min and max as text.
 
-    One aggregate pass over the table; distinct counts are two-phase
-    aggregates, so no column's values are gathered in one place.
+    Each column is one pruned scan reduced to its distinct values with counts (map-side combined), so no
+    row is multiplied by the number of columns.  Arrays have no min and max.
     """
-    aggs = []
-    for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__n"),
-                 F.countDistinct(c).alias(f"{c}__d"),
-                 F.min(c).cast("string").alias(f"{c}__lo"),
-                 F.max(c).cast("string").alias(f"{c}__hi")]
-    one = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
-    parts = ", ".join(
-        f"{i}, '{c}', `{c}__n`, `{c}__d`, `{c}__lo`, `{c}__hi`" for i, c in enumerate(df.columns))
-    return (one.selectExpr("__rows AS rows",
-                           f"stack({len(df.columns)}, {parts}) AS (position, column_name, nulls, "
-                           "distinct_values, min_value, max_value)")
-               .select(F.lit(name).alias("table_name"), "position", "column_name", "rows", "nulls",
-                       "distinct_values", "min_value", "max_value"))
+    parts = []
+    for i, (c, dtype) in enumerate(df.dtypes):
+        per = df.select(F.col(c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+        none = F.lit(None).cast("string")
+        low, high = (none, none) if dtype.startswith("array") else (F.min("v").cast("string"), F.max("v").cast("string"))
+        parts.append(per.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
+            F.count_if(F.col("v").isNotNull()).alias("distinct_values"), low.alias("min_value"), high.alias("max_value")).select(
+            F.lit(name).alias("table_name"), F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(dtype).alias("type_name"),
+            "rows", "nulls", "distinct_values", "min_value", "max_value"))
+    return union_all(parts)
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame, label_a: str = "a", label_b: str = "b") -> DataFrame:

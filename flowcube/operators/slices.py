@@ -12,10 +12,9 @@ roster, not by the record volume.  Records are aggregated to
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowcube.operators.materialize import materialize
 
 # Slice and bucket labels of the reference.
 ALL_SLICE = "(todas)"
@@ -44,32 +43,43 @@ def classify_owner(records: DataFrame, members: DataFrame, person: str = "person
             .drop("__m")
 
 
-def contribution(records: DataFrame, members: DataFrame, reduced: bool = False) -> DataFrame:
-    """Value per team × slice × measure × person, zeros kept, unowned row per slice.
+def slice_totals(records: DataFrame, members: DataFrame, reduced: bool = False) -> DataFrame:
+    """Value per team × slice × measure × person that has records, non-members under the unowned label.
 
     ``records``: team, sprint, person, measure, value (integral).  ``members``: team, person.
     ``reduced``: the records are already unique per (team, sprint, person, measure).
-    Output: team, slice, measure, person, is_member, value, pct_of_members.
     """
     # The record volume is reduced here once; every later step reads this
     # aggregate (slices, owner classification).  Records that are already
     # reduced (and written) skip it: it would add a shuffle per reader.
     pre = records if reduced else \
         records.groupBy("team", "sprint", "person", "measure").agg(F.sum("value").alias("value"))
-    r = slice_explode(pre)
-    slices = r.select("team", "slice", "measure").distinct()
-    c = (classify_owner(r, members)
-         .groupBy("team", "slice", "measure", "person").agg(F.sum("value").alias("value")))
+    return (classify_owner(slice_explode(pre), members)
+            .groupBy("team", "slice", "measure", "person").agg(F.sum("value").cast("bigint").alias("value")))
+
+
+def slice_sizes(totals: DataFrame, members: DataFrame) -> DataFrame:
+    """Every slice with its number of members (also slices in which only non-members have records)."""
+    n = members.groupBy("team").agg(F.count(F.lit(1)).alias("members"))
+    return totals.select("team", "slice", "measure").distinct().join(n, "team")
+
+
+def contribution(totals: DataFrame, members: DataFrame) -> DataFrame:
+    """``slice_totals`` on the grid of slices and members, zeros kept, unowned row per slice.
+
+    Output: team, slice, measure, person, is_member, value, pct_of_members.
+    """
+    slices = totals.select("team", "slice", "measure").distinct()
     grid = (slices.join(members.select("team", "person"), "team").withColumn("is_member", F.lit(1))
             .unionByName(slices.withColumn("person", F.lit(UNOWNED)).withColumn("is_member", F.lit(0))))
-    g = grid.join(c, ["team", "slice", "measure", "person"], "left") \
-            .withColumn("value", F.coalesce("value", F.lit(0)).cast("bigint"))
-    # Window over one slice's grid rows: bounded by the team's roster.
-    tot = F.sum(F.when(F.col("is_member") == 1, F.col("value"))).over(Window.partitionBy("team", "slice", "measure"))
-    return (g.withColumn("__tot", tot)
-             .select("team", "slice", "measure", "person", "is_member", "value",
-                     F.try_divide(F.col("value").cast("double") * 100, F.col("__tot").cast("double"))
-                      .alias("pct_of_members")))
+    owned = (totals.filter(F.col("person") != UNOWNED).groupBy("team", "slice", "measure")
+             .agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("__tot")))
+    g = (grid.join(totals, ["team", "slice", "measure", "person"], "left")
+             .join(owned, ["team", "slice", "measure"], "left")
+             .withColumn("value", F.coalesce("value", F.lit(0)).cast("bigint")))
+    return g.select("team", "slice", "measure", "person", "is_member", "value",
+                    F.try_divide(F.col("value").cast("double") * 100, F.col("__tot").cast("double"))
+                     .alias("pct_of_members"))
 
 
 def weight_units(n_col: F.Column, lcm: int) -> F.Column:

@@ -26,8 +26,9 @@ from flowcube.sources.tables import Tables
 # Sizes with their order and planned days; priority -> size stand-in.
 SIZES = [("PP", 1, 0.25), ("P", 2, 0.5), ("M", 3, 1.0), ("G", 4, 3.0), ("GG", 5, 5.0)]
 PRIORITY_TO_SIZE = [("1-URGENT", "PP"), ("2-HIGH", "P"), ("3-MEDIUM", "M"), ("5-LOW", "G")]
-REQUIREMENTS = [("silences", 1), ("over_plan_pct", 2), ("gini_items", 3), ("dangling_links", 4),
-                ("unsized_cards", 5)]
+# Requirement, its place in the order of priority, and the screen whose coverage warnings it carries.
+REQUIREMENTS = [("silences", 1, "R01"), ("fields_below_minimum", 2, "R03"), ("backlog_pct", 3, "R02"), ("axis_top2_pct", 4, "R06"),
+                ("over_plan_pct", 5, "R04"), ("gini_items", 6, "R05"), ("dangling_links", 7, "R04"), ("unsized_cards", 8, "R04")]
 MIN_COVERAGE_PCT = 80.0
 
 
@@ -93,35 +94,39 @@ def q_out_of_scope(spark, sf_dir):
 
 
 def coverage(spark, t):
-    commits = si.commits(t)
-    authored = cal.authored(commits, si.teams(t))
-    resolved = F.col("author_id") % 10 != 0
-    cards = sized_cards(spark, t)
-    axis = conc_plan.axis_cards(spark, t)
-    cited = text_plan.citation_links(t).filter(F.col("is_dangling") == 0).select("team", "card").distinct() \
-        .withColumn("__cited", F.lit(True))
-    docs = t.documents.join(t.labels.select("doc_id", F.lit(True).alias("__lab")), "doc_id", "left")
-    M = cv.Measure
+    """The twelve measures of the reference (its documents stand in for one more), one aggregate per base table."""
+    from flowcube.plans import facts
+    links = text_plan.citation_links(t).filter(F.col("is_dangling") == 0)
+    citing = links.select("team", "commit_id").distinct().withColumn("__cites", F.lit(True))
+    cited = links.select("team", "card").distinct().withColumn("__cited", F.lit(True))
+    commits = (si.commits(t).join(F.broadcast(si.teams(t)), "team").join(citing, ["team", "commit_id"], "left")
+               .withColumn("authored", ~F.col("is_merge") & (F.col("committed_at") >= F.col("created_at"))))
+    cards = conc_plan.axis_cards(spark, t).join(cited, ["team", "card"], "left")
+    sized = F.col("priority").isin([p for p, _ in PRIORITY_TO_SIZE])
+    docs = t.documents.select("doc_id", F.col("source").alias("team")).join(
+        t.labels.select("doc_id").distinct().withColumn("__lab", F.lit(True)), "doc_id", "left")
+    M, has = cv.Measure, lambda c: F.col(c).isNotNull()
+    person = F.col("author_id") % 10 != 0
     return cv.coverage([
-        M("commits", "author resolved (file)", commits.select("team", resolved.alias("filled")), "R01",
-          "commits cannot be attributed to people"),
-        M("commits", "author resolved (authored)", authored.select("team", resolved.alias("filled")), "R01, R05",
-          "cadence and concentration by commits lose their owner"),
-        M("cards", "sprint", cards.select("team", F.col("sprint").isNotNull().alias("filled")),
-          "R02, R04, R05, R06", "card only appears in the all-sprints slice"),
-        M("cards", "assignee resolved", axis.select("team", (F.col("assignee") != "(vazio)").alias("filled")),
-          "R02, R05, R06", "nobody answers for the card"),
-        M("cards", "task axis", axis.select("team", (F.col("n_axes") > 0).alias("filled")), "R06",
-          "card stays out of the axis radar"),
-        M("cards", "size", cards.select("team", F.col("size").isNotNull().alias("filled")), "R04, R05",
-          "planned vs actual cannot be compared"),
-        M("cards", "cited by a commit",
-          cards.select("team", "card").join(cited, ["team", "card"], "left")
-               .select("team", F.col("__cited").isNotNull().alias("filled")), "R04",
-          "card has no linked commit"),
-        M("documents", "quality label", docs.select(F.col("source").alias("team"),
-                                                    F.col("__lab").isNotNull().alias("filled")), "R03",
-          "document quality cannot be assessed"),
+        (commits, [
+            M("commits", "author resolved (file)", person, "R01", "commits cannot be attributed to people"),
+            M("commits", "author resolved (authored)", person, "R01, R05", "cadence and concentration by commits lose their owner",
+              F.col("authored")),
+            M("commits", "card number (authored)", has("__cites"), "R04", "commit does not count for any card", F.col("authored"))]),
+        (cards, [
+            M("cards", "sprint", F.col("sprint") != "(sem sprint)", "R02, R04, R05, R06", "card only appears in the all-sprints slice"),
+            M("cards", "assignee resolved", F.col("assignee") != "(vazio)", "R02, R05, R06", "nobody answers for the card"),
+            M("cards", "task axis", F.col("n_axes") > 0, "R06", "card stays out of the axis radar"),
+            M("cards", "size", sized, "R04, R05", "planned vs actual cannot be compared"),
+            M("cards", "cited by a commit", has("__cited"), "R04", "card has no linked commit"),
+            M("cards", "due date", F.col("card") % facts.DUE_EVERY == 0, "-", "nobody can tell whether the card is late")]),
+        (facts.merge_requests(t), [
+            M("merge_requests", "author resolved", person, "R05", "merge request cannot be attributed to a person"),
+            M("merge_requests", "sprint", has("sprint"), "R05", "merge request only appears in the all-sprints slice"),
+            M("merge_requests", "reviewer", has("reviewer_id"), "R02", "waiting for review cannot be attributed")]),
+        (facts.sprints(t), [
+            M("sprints", "start and due dates", has("starts_on") & has("due_on"), "R01, R02", "the cadence cannot be cut by sprint")]),
+        (docs, [M("documents", "quality label", has("__lab"), "R03", "document quality cannot be assessed")]),
     ])
 
 
@@ -134,28 +139,39 @@ def q_coverage_alerts(spark, sf_dir):
 
 
 def q_scoreboard(spark, sf_dir):
+    """Every team's value per requirement, the largest ones (ties all, zeros none), the first of a team by priority,
+    and the number of fields below the minimum that the requirement's screen reads (M22)."""
     t = Tables(spark, sf_dir)
+    from flowcube.operators import intervals as iv
     from flowcube.plans import cadence as cad
-    sil = cad.q_silence_summary(spark, sf_dir).select("team", F.lit("silences").alias("requirement"),
-                                                      F.col("silences").cast("double").alias("value"))
-    rs = pl.ratio_summary(pva(spark, t)).select("team", F.lit("over_plan_pct").alias("requirement"),
-                                                F.col("pct_over_plan").alias("value"))
-    gi = conc_plan.q_gini_concentration(spark, sf_dir).filter(
-        (F.col("slice") == "(todas)") & (F.col("measure") == "items")).select(
-        "team", F.lit("gini_items").alias("requirement"), F.col("gini").alias("value"))
-    oos = out_of_scope(spark, t)
-    dg = oos.select("team", F.lit("dangling_links").alias("requirement"), F.col("dangling_links").cast("double")
-                    .alias("value"))
-    us = oos.select("team", F.lit("unsized_cards").alias("requirement"), F.col("unsized").cast("double")
-                    .alias("value"))
-    stacked = reduce(lambda a, b: a.unionByName(b), [sil, rs, gi, dg, us])
-    prio = F.broadcast(spark.createDataFrame(REQUIREMENTS, "requirement string, priority int"))
+    from flowcube.plans import events as evp
+
+    def row(df, name, value):
+        return df.select("team", F.lit(name).alias("requirement"), F.col(value).cast("double").alias("value"))
+
+    cov = materialize(coverage(spark, t))
+    sums = conc_plan.cc.gini(conc_plan.member_totals(t).filter("slice = '(todas)' and measure = 'items'"), conc_plan.GROUP,
+                             sizes=conc_plan.slice_sizes(t).filter("slice = '(todas)' and measure = 'items'"))
+    oos = materialize(out_of_scope(spark, t))
+    axis = conc_plan.top2(spark, t).filter((F.col("slice") == "(todas)") & (F.col("__units") >= conc_plan.MIN_AXIS_CARDS * conc_plan.UNITS))
+    back = iv.backlog_summary(iv.stage_cards(evp.intervals(spark, t), evp.LIMIT_HOURS, with_micros=True))
+    stacked = reduce(lambda a, b: a.unionByName(b), [
+        row(cad.q_silence_summary(spark, sf_dir), "silences", "silences"),
+        row(cv.coverage_alerts(cov, MIN_COVERAGE_PCT), "fields_below_minimum", "fields_below"),
+        row(back, "backlog_pct", "pct_over_limit"),
+        row(axis.groupBy("team").agg(F.max("pct_top2").alias("v")), "axis_top2_pct", "v"),
+        row(pl.ratio_summary(pva(spark, t)), "over_plan_pct", "pct_over_plan"),
+        row(sums, "gini_items", "gini"),
+        row(oos, "dangling_links", "dangling_links"), row(oos, "unsized_cards", "unsized")])
+    prio = F.broadcast(spark.createDataFrame(REQUIREMENTS, "requirement string, priority int, screen string"))
     s = stacked.join(prio, "requirement")
+    low = cov.filter(F.col("pct") < MIN_COVERAGE_PCT).select("team", F.explode(F.split("screens", r",\s*")).alias("screen")).filter("screen <> 'R03'")
+    s = s.join(low.groupBy("team", "screen").agg(F.count(F.lit(1)).alias("warnings")), ["team", "screen"], "left")
     mx = F.max("value").over(Window.partitionBy("requirement"))
     s = s.withColumn("is_top", (F.col("value") == mx) & (mx > 0))
     first = F.min(F.when(F.col("is_top"), F.col("priority"))).over(Window.partitionBy("team"))
-    return s.select("team", "requirement", "priority", "value", "is_top",
-                    (F.col("priority") == first).alias("is_pick"))
+    return s.select("team", "requirement", "priority", "value", "is_top", (F.col("priority") == first).alias("is_pick"),
+                    F.coalesce("warnings", F.lit(0)).cast("bigint").alias("warnings"))
 
 
 def q_dim_date(spark, sf_dir):
@@ -249,23 +265,33 @@ oos_ AS (SELECT c.team, c.cards, c.unsized, c.open_sized, c.in_chart,
          LEFT JOIN (SELECT team, count(*) AS n FROM authored_ GROUP BY team) a USING (team)
          LEFT JOIN (SELECT team, count(DISTINCT CASE WHEN is_dangling = 0 THEN commit_id END) AS commits_with_card,
                            sum(is_dangling) AS dangling_links FROM links_ GROUP BY team) k USING (team)),
-cited_ AS (SELECT DISTINCT team, card FROM links_ WHERE is_dangling = 0),
 cov_rows_ AS (
-  SELECT team, 'commits' AS file, 'author resolved (file)' AS field, author_id % 10 <> 0 AS filled,
-         'R01' AS screens, 'commits cannot be attributed to people' AS effect FROM commits_
-  UNION ALL SELECT team, 'commits', 'author resolved (authored)', author_id % 10 <> 0, 'R01, R05',
-         'cadence and concentration by commits lose their owner' FROM authored_
-  UNION ALL SELECT team, 'cards', 'sprint', sprint IS NOT NULL, 'R02, R04, R05, R06',
-         'card only appears in the all-sprints slice' FROM scards_
-  UNION ALL SELECT team, 'cards', 'assignee resolved', assignee <> '(vazio)', 'R02, R05, R06',
-         'nobody answers for the card' FROM acards_
-  UNION ALL SELECT team, 'cards', 'task axis', n_axes > 0, 'R06', 'card stays out of the axis radar' FROM acards_
-  UNION ALL SELECT team, 'cards', 'size', size IS NOT NULL, 'R04, R05', 'planned vs actual cannot be compared'
-         FROM scards_
-  UNION ALL SELECT c.team, 'cards', 'cited by a commit', k.card IS NOT NULL, 'R04', 'card has no linked commit'
-         FROM scards_ c LEFT JOIN cited_ k USING (team, card)
+  SELECT team, file, field, filled, screens, effect FROM (
+    SELECT c.team, author_id % 10 <> 0 AS person, NOT is_merge AND committed_at >= created_at AS own,
+           EXISTS (SELECT 1 FROM links_ l WHERE l.team = c.team AND l.commit_id = c.commit_id AND is_dangling = 0) AS cites
+    FROM commits_ c JOIN teams_ g ON g.team = c.team) k, LATERAL (VALUES
+    ('commits', 'author resolved (file)', true, person, 'R01', 'commits cannot be attributed to people'),
+    ('commits', 'author resolved (authored)', own, person, 'R01, R05', 'cadence and concentration by commits lose their owner'),
+    ('commits', 'card number (authored)', own, cites, 'R04', 'commit does not count for any card')) v(file, field, counts, filled, screens, effect)
+  WHERE counts
+  UNION ALL
+  SELECT team, file, field, filled, screens, effect FROM (
+    SELECT s.team, s.card, s.sprint, s.size, a.assignee, a.n_axes,
+           EXISTS (SELECT 1 FROM links_ l WHERE l.team = s.team AND l.card = s.card) AS cited
+    FROM scards_ s JOIN acards_ a ON a.team = s.team AND a.card = s.card) k, LATERAL (VALUES
+    ('cards', 'sprint', sprint IS NOT NULL, 'R02, R04, R05, R06', 'card only appears in the all-sprints slice'),
+    ('cards', 'assignee resolved', assignee <> '(vazio)', 'R02, R05, R06', 'nobody answers for the card'),
+    ('cards', 'task axis', n_axes > 0, 'R06', 'card stays out of the axis radar'),
+    ('cards', 'size', size IS NOT NULL, 'R04, R05', 'planned vs actual cannot be compared'),
+    ('cards', 'cited by a commit', cited, 'R04', 'card has no linked commit'),
+    ('cards', 'due date', card % 50 = 0, '-', 'nobody can tell whether the card is late'),
+    ('merge_requests', 'sprint', sprint IS NOT NULL, 'R05', 'merge request only appears in the all-sprints slice')) v(file, field, filled, screens, effect)
+  UNION ALL SELECT team, 'merge_requests', 'author resolved', author_id % 10 <> 0, 'R05', 'merge request cannot be attributed to a person' FROM cards_
+  UNION ALL SELECT team, 'merge_requests', 'reviewer', author_id % 4 <> 0, 'R02', 'waiting for review cannot be attributed' FROM cards_
+  UNION ALL SELECT team, 'sprints', 'start and due dates', team = 'EUROPE', 'R01, R02', 'the cadence cannot be cut by sprint'
+            FROM (SELECT DISTINCT team, sprint FROM cards_ WHERE sprint IS NOT NULL)
   UNION ALL SELECT d.source, 'documents', 'quality label', l.doc_id IS NOT NULL, 'R03',
-         'document quality cannot be assessed' FROM documents d LEFT JOIN labels l USING (doc_id)),
+         'document quality cannot be assessed' FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)),
 cov_ AS (SELECT team, file, field, count(*) AS records, count(*) FILTER (WHERE filled) AS filled,
                 count(*) - count(*) FILTER (WHERE filled) AS empty,
                 CAST(count(*) FILTER (WHERE filled) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE) AS pct,
@@ -276,14 +302,9 @@ cov_ AS (SELECT team, file, field, count(*) AS records, count(*) FILTER (WHERE f
 
 def _median_sql(src, group, value, out):
     g = ", ".join(group)
-    return f"""(SELECT {g}, avg(CAST({value} AS DOUBLE)) AS {out} FROM (
-        SELECT {g}, {value}, row_number() OVER (PARTITION BY {g} ORDER BY {value}) AS pos,
-               count(*) OVER (PARTITION BY {g}) AS n FROM {src} WHERE {value} IS NOT NULL)
-        WHERE pos IN ((n + 1) // 2, (n + 2) // 2) GROUP BY {g})"""
+    return f"(SELECT {g}, median(CAST({value} AS DOUBLE)) AS {out} FROM {src} WHERE {value} IS NOT NULL GROUP BY {g})"
 
 
-_CHART = "(SELECT *, coalesce(size, '(sem tamanho)') AS size2 FROM base_ WHERE in_chart)"
-
 ORACLE = {
     "planned_vs_actual": PLAN_SQL + "SELECT * FROM pva_",
     "size_medians": PLAN_SQL + f"""
@@ -384,23 +405,30 @@ ORACLE = {
 def _scoreboard_sql() -> str:
     from flowcube.plans import cadence as cad
     from flowcube.plans import concentration as conc
+    from flowcube.plans import events as evp
     parts = [
         f"SELECT team, 'silences' AS requirement, CAST(silences AS DOUBLE) AS value FROM ({cad.ORACLE['silence_summary']})",
+        f"SELECT team, 'fields_below_minimum', CAST(fields_below AS DOUBLE) FROM ({ORACLE['coverage_alerts']})",
+        f"SELECT team, 'backlog_pct', pct_over_limit FROM ({evp.ORACLE['backlog_summary']})",
+        f"SELECT team, 'axis_top2_pct', pct_top2 FROM ({conc.ORACLE['most_concentrated']})",
         f"SELECT team, 'over_plan_pct', pct_over_plan FROM ({ORACLE['ratio_summary']})",
         f"SELECT team, 'gini_items', gini FROM ({conc.ORACLE['gini_concentration']}) "
         "WHERE slice = '(todas)' AND measure = 'items'",
         f"SELECT team, 'dangling_links', CAST(dangling_links AS DOUBLE) FROM ({ORACLE['out_of_scope']})",
         f"SELECT team, 'unsized_cards', CAST(unsized AS DOUBLE) FROM ({ORACLE['out_of_scope']})",
     ]
-    prio = ", ".join(f"('{r}', {p})" for r, p in REQUIREMENTS)
+    prio = ", ".join(f"('{r}', {p}, '{x}')" for r, p, x in REQUIREMENTS)
     return f"""
-        WITH s AS ({' UNION ALL '.join(parts)}),
-        p AS (SELECT * FROM (VALUES {prio}) v(requirement, priority)),
-        t AS (SELECT s.team, s.requirement, p.priority, s.value,
-                     s.value = max(s.value) OVER (PARTITION BY s.requirement)
-                     AND max(s.value) OVER (PARTITION BY s.requirement) > 0 AS is_top
+        WITH s AS ({' UNION ALL '.join(parts)}), cov AS ({ORACLE['coverage']}),
+        p AS (SELECT * FROM (VALUES {prio}) v(requirement, priority, screen)),
+        t AS (SELECT s.team, s.requirement, p.priority, s.value, p.screen,
+                     s.value > 0 AND s.value >= ALL (SELECT o.value FROM s o WHERE o.requirement = s.requirement AND o.value IS NOT NULL) AS is_top
               FROM s JOIN p USING (requirement))
-        SELECT *, priority = min(CASE WHEN is_top THEN priority END) OVER (PARTITION BY team) AS is_pick FROM t"""
+        SELECT team, requirement, priority, value, is_top,
+               priority = (SELECT min(o.priority) FROM t o WHERE o.team = t.team AND o.is_top) AS is_pick,
+               (SELECT count(*) FROM cov WHERE cov.team = t.team AND cov.pct < {MIN_COVERAGE_PCT} AND t.screen <> 'R03'
+                AND list_contains(string_split(cov.screens, ', '), t.screen)) AS warnings
+        FROM t"""
 
 
 def _lead_time_sql() -> str:
@@ -411,7 +439,7 @@ def _lead_time_sql() -> str:
                CAST(coalesce(e.events, 0) AS BIGINT) AS events, CAST(coalesce(e.moves, 0) AS BIGINT) AS moves
         FROM board_cards_ c LEFT JOIN (
           SELECT team, card, count(*) AS events, count(*) FILTER (WHERE kind = 'MUDANCA_COLUNA') AS moves
-          FROM classified_ GROUP BY ALL) e USING (team, card)"""
+          FROM treated_ GROUP BY ALL) e USING (team, card)"""
 
 
 ORACLE["scoreboard"] = _scoreboard_sql()

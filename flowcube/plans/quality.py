@@ -18,7 +18,7 @@ def q_table_counts(spark, sf_dir):
 
 def q_grain_uniqueness(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    f = olap_plan.fact(t)
+    f, m = olap_plan.star(spark, sf_dir)
     parts = [
         quality.key_uniqueness(t.lineitem, "lineitem", ["l_orderkey", "l_linenumber"]),
         quality.key_uniqueness(t.orders, "orders", ["o_orderkey"]),
@@ -26,7 +26,7 @@ def q_grain_uniqueness(spark, sf_dir):
         quality.key_uniqueness(t.part, "part", ["p_partkey"]),
         quality.key_uniqueness(t.events, "events", ["event_id"]),
         quality.key_uniqueness(f, "fact_item", ["order_id", "order_item_id"]),
-        quality.key_uniqueness(olap.monthly_mart(f), "mart_monthly", ["month", "customer_state", "category"]),
+        quality.key_uniqueness(m, "mart_monthly", ["month", "customer_state", "category"]),
     ]
     return quality.union_all(parts)
 
@@ -54,7 +54,7 @@ def payments(t: Tables):
 
 def q_fanout_audit(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    f = olap_plan.fact(t)
+    f = olap_plan.star(spark, sf_dir)[0]
     base = f.agg(F.count(F.lit(1)).alias("fact_rows"), olap.money_sum("price").alias("fact_revenue"))
     direct = quality.fanout(f, payments(t), "customer_id", "price").select(
         F.col("join_rows").alias("direct_join_rows"), F.col("join_measure").alias("direct_join_revenue"))
@@ -67,7 +67,7 @@ def q_fanout_audit(spark, sf_dir):
 
 
 def q_fact_null_gates(spark, sf_dir):
-    f = olap_plan.fact(Tables(spark, sf_dir))
+    f = olap_plan.star(spark, sf_dir)[0]
     one = f.agg(F.count_if(F.col("customer_id").isNull()).alias("no_order"),
                 F.count_if(F.col("customer_state").isNull()).alias("no_state"),
                 F.count_if(F.col("category").isNull()).alias("no_category"),
@@ -82,8 +82,7 @@ def q_fact_null_gates(spark, sf_dir):
 def q_reconciliation(spark, sf_dir):
     t = Tables(spark, sf_dir)
     i = olap_plan.items(t)
-    f = olap_plan.shared_fact(t)
-    m = olap_plan.shared_mart(t)
+    f, m = olap_plan.star(spark, sf_dir)
     top = olap.pareto(m, 10)
     src = i.agg(olap.money_sum("price").alias("items_revenue"), olap.money_sum("freight_value").alias("items_freight"),
                 F.count(F.lit(1)).alias("items_rows"), F.countDistinct("order_id").alias("items_orders"),
@@ -136,7 +135,7 @@ def q_rule_checks(spark, sf_dir):
 
 def q_column_profile(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return quality.column_profile(t.orders, "orders").unionByName(quality.column_profile(t.customer, "customer"))
+    return quality.union_all([quality.column_profile(getattr(t, name), name) for name in TABLES])
 
 
 def raw_events(t: Tables):
@@ -182,13 +181,35 @@ QUERIES = {
 _W = "WITH " + olap_plan.FACT_CTE
 
 
-def _profile_sql(table, cols):
+# Columns and types of the given tables, as Spark names the types.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
+def _profile_sql():
     parts = []
-    for i, c in enumerate(cols):
-        parts.append(f"""SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name,
-            (SELECT count(*) FROM {table}) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls,
-            count(DISTINCT {c}) AS distinct_values, CAST(min({c}) AS VARCHAR) AS min_value,
-            CAST(max({c}) AS VARCHAR) AS max_value FROM {table}""")
+    for table in TABLES:
+        for i, (c, dtype) in enumerate(x.split() for x in SCHEMAS[table].split(", ")):
+            low, high = ("NULL", "NULL") if dtype.startswith("array") else (f"CAST(min({c}) AS VARCHAR)", f"CAST(max({c}) AS VARCHAR)")
+            parts.append(f"""SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, '{dtype}' AS type_name,
+                count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(DISTINCT {c}) AS distinct_values,
+                {low} AS min_value, {high} AS max_value FROM {table}""")
     return " UNION ALL ".join(parts)
 
 
@@ -340,9 +361,7 @@ ORACLE = {
           SELECT 'discount_in_range', b FROM one UNION ALL SELECT 'tax_in_range', c FROM one UNION ALL
           SELECT 'quantity_positive', d FROM one UNION ALL SELECT 'order_total_positive', e FROM one UNION ALL
           SELECT 'status_known', f FROM one)""",
-    "column_profile": _profile_sql("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                              "o_orderdate", "o_orderpriority"]) + " UNION ALL " +
-                      _profile_sql("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+    "column_profile": _profile_sql(),
     "type_inference": _infer_sql(),
     "strict_cast_audit": _strict_sql(),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-DOMAINS = ["olap", "quality", "cadence", "text", "events", "concentration", "planning"]
+DOMAINS = ["olap", "quality", "cadence", "text", "events", "concentration", "planning", "facts"]
 
 
 def _modules():

@@ -153,8 +153,8 @@ def label_text() -> F.Column:
 
 
 def raw_card_events(t: Tables) -> DataFrame:
-    """Board event log with surrogate ids; rows with event_id % 50 = 1 are logged twice
-    (the copy gets a new surrogate id), as an append-only log with duplicates."""
+    """Board event log with surrogate ids; rows with event_id % 50 = 1 are logged twice;
+    the log id of row e is 2e and that of its copy 2e + 1, as an append-only log with duplicates."""
     e = t.events
     column = (F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string"))
                .when(F.col("event_type") == "error", label_text())
@@ -163,11 +163,11 @@ def raw_card_events(t: Tables) -> DataFrame:
                .otherwise(F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string"), F.lit("-A"),
                                    (F.col("user_id") % 7).cast("string"))))
     base = e.select(
-        F.col("event_id"), F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string")).alias("team"),
+        (2 * F.col("event_id")).alias("event_id"), F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string")).alias("team"),
         F.col("user_id").alias("card"),
         F.when(F.col("event_id") % 2 == 0, "add").otherwise("remove").alias("action"),
         column.alias("column"), person.alias("person"), F.col("ts").alias("occurred_at"))
-    dup = base.filter(F.col("event_id") % 50 == 1).withColumn("event_id", F.col("event_id") + 1000000)
+    dup = base.filter(F.col("event_id") % 100 == 2).withColumn("event_id", F.col("event_id") + 1)
     return base.unionByName(dup)
 
 
@@ -196,8 +196,8 @@ def board_cards(t: Tables) -> DataFrame:
 
 EVENTS_SQL = """
 raw_events_ AS (
-  SELECT event_id, 'T' || CAST(user_id % 3 AS VARCHAR) AS team, user_id AS card,
-         CASE WHEN event_id % 2 = 0 THEN 'add' ELSE 'remove' END AS action,
+  SELECT 2 * event_id AS event_id, 'T' || CAST(user_id % 3 AS VARCHAR) AS team, user_id AS card,
+         CASE WHEN events.event_id % 2 = 0 THEN 'add' ELSE 'remove' END AS action,
          CASE WHEN event_id % 97 = 0 THEN NULL
               WHEN event_type = 'error' THEN (CASE
                  WHEN event_id % 8 = 0 THEN 'Art. ' || CAST(event_id % 23 % 20 AS VARCHAR)
@@ -214,8 +214,8 @@ raw_events_ AS (
          ts AS occurred_at
   FROM events),
 card_events_raw_ AS (SELECT * FROM raw_events_ UNION ALL
-                     SELECT event_id + 1000000, team, card, action, "column", person, occurred_at
-                     FROM raw_events_ WHERE event_id % 50 = 1),
+                     SELECT event_id + 1, team, card, action, "column", person, occurred_at
+                     FROM raw_events_ WHERE event_id % 100 = 2),
 board_ AS (SELECT * FROM (VALUES ('signup', 0), ('view', 1), ('click', 2), ('purchase', 3)) b("column", position)
            CROSS JOIN (VALUES ('T0'), ('T1'), ('T2')) t(team)),
 sprint_cal_ AS (SELECT * FROM (VALUES ('Sprint 01', DATE '2024-01-01', DATE '2024-01-05'),

@@ -42,12 +42,19 @@ def q_explode_roundtrip(spark, sf_dir):
 
 
 def q_allocated_sum(spark, sf_dir):
+    """Comments of a label's cards, each card's split evenly over its values.
+
+    Whole comments are summed per (label, number of values); the few sums, each divided once, are added in
+    the order of n, so the result does not depend on how rows are dealt out.
+    """
     src = part_labels(Tables(spark, sf_dir))
-    ex = text.explode_weighted(src, ["card"], "labels", value_name="label")
-    return (ex.join(src.select("card", "comments"), "card")
-              .groupBy("label")
-              .agg(F.countDistinct("card").alias("cards"),
-                   F.round(F.sum(F.col("comments") * F.col("weight")), 6).alias("allocated_comments")))
+    ex = text.explode_weighted(src.withColumn("card_key", F.struct("card", "comments")), ["card_key"], "labels", value_name="label")
+    per = ex.select("label", "card_key.card", "card_key.comments", "n_values")
+    one = per.groupBy("label", "card").agg(F.max("comments").alias("comments"), F.max("n_values").alias("n_values"), F.count(F.lit(1)).alias("k"))
+    by_n = one.groupBy("label", "n_values").agg(F.count(F.lit(1)).alias("cards"), F.sum(F.col("comments") * F.col("k")).alias("comments"))
+    parts = F.aggregate(F.array_sort(F.collect_list(F.struct("n_values", "comments"))), F.lit(0.0),
+                        lambda acc, x: acc + x["comments"].cast("double") / x["n_values"])
+    return by_n.groupBy("label").agg(F.sum("cards").cast("bigint").alias("cards"), F.round(parts, 6).alias("allocated_comments"))
 
 
 def card_keys(t: Tables):
@@ -91,12 +98,13 @@ def scan_citations(df, col, label):
     """Alternate path (R2 as the reference's recursive scan): cut the text after every
     '#', read the leading digits, keep them when written without a leading zero and
     not followed by a letter or digit."""
-    seg = F.explode(F.slice(F.split(F.coalesce(F.col(col), F.lit("")), "#"), 2, 1 << 20))
+    parts = F.split(F.coalesce(F.col(col), F.lit("")), "#")
+    seg = F.explode(F.slice(parts, 2, F.size(parts) - 1))
     s = df.select("team", "commit_id", seg.alias("seg"))
     digits = F.regexp_extract("seg", r"^[0-9]+", 0)
     nxt = F.substring(F.col("seg"), F.length(digits) + 1, 1)
     ok = (digits != "") & ((digits == "0") | (F.substring(digits, 1, 1) != "0")) & ~nxt.rlike("[0-9A-Za-z]")
-    return (s.filter(ok).select("team", "commit_id", digits.cast("bigint").alias("cited_number"))
+    return (s.filter(ok).select("team", "commit_id", digits.try_cast("bigint").alias("cited_number")).filter("cited_number is not null")
              .distinct().withColumn("cited_in", F.lit(label)))
 
 
@@ -166,10 +174,10 @@ authored_ AS (SELECT c.* FROM commits_ c JOIN teams_ g ON g.team = c.team
               WHERE c.committed_at >= g.created_at AND NOT c.is_merge),
 cit_ AS (SELECT *, list_distinct(list_transform(
                      regexp_extract_all(coalesce(title, ''), '#(0|[1-9][0-9]*)([^0-9A-Za-z]|$)', 1),
-                     lambda x: CAST(x AS BIGINT))) AS tnums,
+                     lambda x: TRY_CAST(x AS BIGINT))) AS tnums,
                 list_distinct(list_transform(
                      regexp_extract_all(coalesce(message, ''), '#(0|[1-9][0-9]*)([^0-9A-Za-z]|$)', 1),
-                     lambda x: CAST(x AS BIGINT))) AS mnums
+                     lambda x: TRY_CAST(x AS BIGINT))) AS mnums
          FROM authored_),
 exploded_ AS (SELECT team, commit_id, author_id, authored_at, title, lines_added, lines_removed,
                      CASE WHEN len(tnums) > 0 THEN 'title' ELSE 'message' END AS cited_in,
@@ -197,9 +205,20 @@ ORACLE = {
         SELECT team, count(DISTINCT commit_id) AS citing_commits, count(*) AS links,
                CAST(sum(is_dangling) AS BIGINT) AS dangling_links, count(DISTINCT card) AS linked_cards
         FROM links_ GROUP BY team""",
-    "reconcile_pairs": "WITH " + LINKS_SQL + """
-        SELECT (SELECT count(*) FROM links_) AS pairs_regex, (SELECT count(*) FROM links_) AS pairs_scan,
-               0::BIGINT AS only_in_regex, 0::BIGINT AS only_in_scan""",
+    "reconcile_pairs": "WITH " + LINKS_SQL + """,
+        pieces_ AS (SELECT team, commit_id, 1 AS field, unnest(string_split(coalesce(title, ''), '#')[2:]) AS seg FROM authored_
+                    UNION ALL
+                    SELECT team, commit_id, 2, unnest(string_split(coalesce(message, ''), '#')[2:]) FROM authored_),
+        lead_ AS (SELECT team, commit_id, field, seg, length(seg) - length(ltrim(seg, '0123456789')) AS n FROM pieces_),
+        hits_ AS (SELECT DISTINCT team, commit_id, field, TRY_CAST(left(seg, n) AS BIGINT) AS cited_number FROM lead_
+                  WHERE n > 0 AND (n = 1 OR left(seg, 1) <> '0')
+                    AND NOT regexp_matches(substr(seg, n + 1, 1), '[0-9A-Za-z]')),
+        scan_ AS (SELECT team, commit_id, cited_number FROM hits_ h WHERE cited_number IS NOT NULL
+                  AND field = (SELECT min(field) FROM hits_ m WHERE m.team = h.team AND m.commit_id = h.commit_id)),
+        regex_ AS (SELECT team, commit_id, cited_number FROM links_)
+        SELECT (SELECT count(*) FROM regex_) AS pairs_regex, (SELECT count(*) FROM scan_) AS pairs_scan,
+               (SELECT count(*) FROM (SELECT * FROM regex_ EXCEPT SELECT * FROM scan_)) AS only_in_regex,
+               (SELECT count(*) FROM (SELECT * FROM scan_ EXCEPT SELECT * FROM regex_)) AS only_in_scan""",
     "missing_label": "WITH " + si.COMMITS_SQL + """,
         closed AS (SELECT * FROM cards_ WHERE state = 'closed')
         SELECT team, count(*) AS closed_cards,

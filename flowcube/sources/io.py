@@ -133,9 +133,57 @@ def manifest_check(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
                     F.col("sha256").eqNullSafe(F.col("expected")).alias("ok")))
 
 
+def unchanged(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Files whose hash differs between two readings of the same inputs (S11); empty when nothing changed."""
+    return manifest_check(after, before).filter(~F.col("ok"))
+
+
+def read_ragged_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """CSV whose rows may be short or long (S10): short rows are padded with NULL, and ``__overflow`` holds the
+    first cell beyond the schema, so that overflowing rows can be counted and rejected by the caller."""
+    wide = T.StructType([*schema.fields, T.StructField("__overflow", T.StringType())])
+    return (spark.read.schema(wide).option("header", True).option("enforceSchema", True).option("multiLine", True)
+            .option("quote", '"').option("escape", '"').option("sep", sep).option("nullValue", "").option("emptyValue", None)
+            .option("mode", "PERMISSIVE").option("encoding", "UTF-8").csv(path))
+
+
+def overflow_audit(ragged: DataFrame) -> DataFrame:
+    """Rows and overflowing rows of ``read_ragged_csv``."""
+    return ragged.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__overflow").isNotNull()).alias("overflowing"))
+
+
+def number_records(df: DataFrame, out: str = "record_no") -> DataFrame:
+    """1-based record numbers in reading order for a table without a key.
+
+    The reading position is written out first, so that a retried task cannot number rows anew; the numbers
+    come from the split ordinal, not from one task.
+    """
+    from flowcube.operators import windows
+    from flowcube.operators.materialize import materialize
+
+    placed = materialize(df.withColumn("__at", F.monotonically_increasing_id()))
+    return windows.ordinal(placed, [], ["__at"], out).withColumn(out, F.col(out).cast("bigint")).drop("__at")
+
+
+def copy_table(df: DataFrame, path: str, timestamps: list[str]) -> DataFrame:
+    """Copy a table to Parquet with the named text columns cast to timestamps (S12); a bad text fails the copy."""
+    cols = [F.col(c).cast("timestamp_ntz").alias(c) if c in timestamps else F.col(c) for c in df.columns]
+    write_table(df.select(*cols), path)
+    return df.sparkSession.read.parquet(path)
+
+
+def load_parity(source: DataFrame, loaded: DataFrame, name: str) -> DataFrame:
+    """Gate row: loaded rows against source rows."""
+    n = source.agg(F.count(F.lit(1)))
+    return loaded.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(f"rows:{name}").alias("gate"), F.col("n").cast("string").alias("observed"), n.scalar().cast("string").alias("expected"),
+        (F.col("n") == n.scalar()).alias("ok"))
+
+
 def write_semicolon_csv(df: DataFrame, path: str) -> None:
-    """Semicolon CSV with header."""
-    df.write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
+    """Semicolon CSV with header and a byte-order mark (S13): the mark leads the first header name of each file."""
+    first = df.columns[0]
+    df.withColumnRenamed(first, "\ufeff" + first).write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
