@@ -42,8 +42,10 @@ LENGTH, GRAM = 50, 20
 SPAN = LENGTH - GRAM + 1
 #: Text bytes per bucket of documents, and per merge partition.
 BUCKET_BYTES = 16_000_000
-#: Windows hashed at once (bounds memory for a text of any length).
-PIECE = 1 << 20
+#: Windows hashed at once (bounds memory for a text of any length, and stays in the processor's cache).
+PIECE = 1 << 16
+#: Bits that hold a position in a piece (two pieces' length and a little more).
+PLACE_BITS = 18
 #: Up to this many variants of a gram are compared in pairs by known prefixes; more are grouped by their windows.
 FEW = 4
 
@@ -72,18 +74,19 @@ def gram_hashes(buf: np.ndarray) -> np.ndarray:
 
 
 def anchors_of_windows(h: np.ndarray) -> np.ndarray:
-    """Position of the leftmost least gram hash of every window, by doubling."""
-    val, at = h, np.arange(len(h), dtype=np.int64)
-
-    def least(val, at, step):
-        take = val[step:] < val[:-step]
-        return np.where(take, val[step:], val[:-step]), np.where(take, at[step:], at[:-step])
+    """Position of the leftmost least gram hash of every window, by doubling.
 
+    Hash and position share one number (positions below ``2**PLACE_BITS``), so ties go to the left.
+    """
+    place = np.uint64((1 << PLACE_BITS) - 1)
+    low = (h & ~place) | np.arange(len(h), dtype=np.uint64)
     width = 1
     while 2 * width <= SPAN:
-        val, at = least(val, at, width)
+        low = np.minimum(low[width:], low[:-width])
         width *= 2
-    return least(val, at, SPAN - width)[1] if width < SPAN else at
+    if width < SPAN:
+        low = np.minimum(low[SPAN - width:], low[:width - SPAN])
+    return (low & place).astype(np.int64)
 
 
 def packs(texts: list[bytes]) -> Iterator[tuple[np.ndarray, bytes, np.ndarray, list[tuple[int, int, int, int]]]]:
@@ -145,7 +148,8 @@ def anchor_rows(docs: DataFrame, parts: int) -> DataFrame:
             texts = [_encode(t.as_py()) for t in batch.column("text")]
             for h, _, at, segments in packs(texts):
                 for number, _, begin, end in segments:
-                    found = np.unique(h[np.unique(at[begin:end])])
+                    spots = at[begin:end]
+                    found = np.unique(h[spots[np.concatenate([[True], spots[1:] != spots[:-1]])]])
                     held_h.append(found)
                     held_b.append(np.full(len(found), bucket[number], dtype=np.int32))
                     size += len(found)
