@@ -27,7 +27,7 @@ from flowcube.sources.tables import table
 
 K = 20
 #: Vectors in a shard and queries in a block, about.
-SHARD_ROWS, BLOCK_ROWS, LEAF = 8_192, 2_048, 48
+SHARD_ROWS, BLOCK_ROWS, LEAF = 8_192, 2_048, 128
 SCALE = 64
 
 
@@ -69,40 +69,54 @@ def build(pdf: pd.DataFrame) -> pd.DataFrame:
         "centres": [np.array(centres, dtype=np.float64).tobytes()]})
 
 
-def walk(q: np.ndarray, own: int, floor: int | None, k: int, ids, vecs, nodes, centres) -> list[tuple[int, int]]:
+class Tree:
+    """One shard's tree, unpacked once for all queries of a block."""
+
+    def __init__(self, row, dim: int):
+        self.ids = np.frombuffer(row["ids"], dtype=np.int64)
+        self.vecs = np.frombuffer(row["vecs"], dtype=np.int64).reshape(len(self.ids), dim)
+        nodes = np.frombuffer(row["nodes"], dtype=np.float64).reshape(-1, 5)
+        self.radius, self.links = nodes[:, 4], nodes[:, :4].astype(int).tolist()
+        self.centres = np.frombuffer(row["centres"], dtype=np.float64).reshape(-1, dim)
+        self.floats = self.vecs.astype(np.float64)
+        self.largest = float(np.abs(self.floats).max(initial=0.0))
+        self.margin = float(np.abs(self.centres).max(initial=0.0)) + self.radius
+
+
+def walk(q: np.ndarray, own: int, floor: int | None, k: int, tree: Tree) -> list[tuple[int, int]]:
     """Best (score, vec_id) of one tree that can reach the k-th score ``floor``; best first, ties to smaller ids."""
     qf = q.astype(np.float64)
     norm = float(np.sqrt(qf @ qf))
-    big = float(np.abs(q).sum()) * float(np.abs(vecs).max(initial=0))
-    exact = big < 2.0**53
+    big = float(np.abs(qf).sum()) * tree.largest
+    exact = big < 2.0**53  # then doubles hold every product and sum exactly
     if big >= 2.0**63:
         raise OverflowError("inner products beyond 64 bits")
-    bounds = centres @ qf + norm * nodes[:, 4]
-    bounds += 1e-9 * (np.abs(bounds) + norm * (np.abs(centres).max(initial=0.0) + nodes[:, 4])) + 1e-6
+    bounds = tree.centres @ qf + norm * tree.radius
+    bounds = (bounds + 1e-9 * (np.abs(bounds) + norm * tree.margin) + 1e-6).tolist()
     best: list[tuple[int, int]] = []  # min-heap of (score, -vec_id)
-    heap = [(-bounds[0], 0)]
+    heap, limit = [(-bounds[0], 0)], floor
     while heap:
         bound, at = heapq.heappop(heap)
-        limit = best[0][0] if len(best) == k else floor
-        if limit is not None and floor is not None:
-            limit = max(limit, floor)
         if limit is not None and -bound < limit:
             break
-        lo, hi, left, right = (int(x) for x in nodes[at, :4])
+        lo, hi, left, right = tree.links[at]
         if left >= 0:
-            heapq.heappush(heap, (-bounds[left], left))
-            heapq.heappush(heap, (-bounds[right], right))
+            for child in (left, right):
+                if limit is None or bounds[child] >= limit:
+                    heapq.heappush(heap, (-bounds[child], child))
             continue
-        part = vecs[lo:hi]
-        scores = (part.astype(np.float64) @ qf).astype(np.int64) if exact else part @ q
-        for i in np.nonzero(scores >= limit)[0] if limit is not None else range(hi - lo):
-            item = (int(scores[i]), -int(ids[lo + i]))
-            if ids[lo + i] == own:
+        scores = tree.floats[lo:hi] @ qf if exact else tree.vecs[lo:hi] @ q
+        near = range(hi - lo) if limit is None else np.nonzero(scores >= limit)[0].tolist()
+        for i in near:
+            item = (int(scores[i]), -int(tree.ids[lo + i]))
+            if -item[1] == own:
                 continue
             if len(best) < k:
                 heapq.heappush(best, item)
             elif item > best[0]:
                 heapq.heapreplace(best, item)
+        if len(best) == k and (limit is None or best[0][0] > limit):
+            limit = best[0][0]
     return [(s, -i) for s, i in sorted(best, reverse=True)]
 
 
@@ -111,14 +125,10 @@ def search(queries: DataFrame, trees: DataFrame, k: int) -> DataFrame:
     def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(q) and len(t):
-            tree, dim = t.iloc[0], int(t["dim"].iloc[0])
-            ids = np.frombuffer(tree["ids"], dtype=np.int64)
-            parts = (ids, np.frombuffer(tree["vecs"], dtype=np.int64).reshape(len(ids), dim),
-                     np.frombuffer(tree["nodes"], dtype=np.float64).reshape(-1, 5))
-            centres = np.frombuffer(tree["centres"], dtype=np.float64).reshape(len(parts[2]), dim)
+            tree = Tree(t.iloc[0], int(t["dim"].iloc[0]))
             for own, v, floor in zip(q["vec_id"], q["v"], q["floor"]):
                 floor = None if pd.isna(floor) else int(floor)
-                out += [(int(own), i, s) for s, i in walk(np.asarray(v, dtype=np.int64), int(own), floor, k, *parts, centres)]
+                out += [(int(own), i, s) for s, i in walk(np.asarray(v, dtype=np.int64), int(own), floor, k, tree)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     keys = ["dim", "shard", "block"]
