@@ -77,7 +77,7 @@ class Tree:
         self.vecs = np.frombuffer(row["vecs"], dtype=np.int64).reshape(len(self.ids), dim)
         nodes = np.frombuffer(row["nodes"], dtype=np.float64).reshape(-1, 5)
         self.radius, self.links = nodes[:, 4], nodes[:, :4].astype(int).tolist()
-        self.centres = np.frombuffer(row["centres"], dtype=np.float64).reshape(-1, dim)
+        self.centres = np.frombuffer(row["centres"], dtype=np.float64).reshape(len(nodes), dim)
         self.floats = self.vecs.astype(np.float64)
         self.largest = float(np.abs(self.floats).max(initial=0.0))
         self.margin = float(np.abs(self.centres).max(initial=0.0)) + self.radius
