@@ -49,6 +49,8 @@ LIGHT_MAX = 40
 HUBS = 2
 #: 64-bit words of the parity sketch.
 PARITY = 8
+#: Bits of the map of documents whose sets are compared (1 MB).
+BITMAP_BITS = 1 << 23
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -225,27 +227,49 @@ def signatures(docs: DataFrame, sketch: np.ndarray, x: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, schema)
 
 
+def wanted_bits(wanted: DataFrame) -> np.ndarray:
+    """Bitmap of hashed doc_ids; the driver receives its BITMAP_BITS bits only, whatever the number of documents."""
+    slots = wanted.select((F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)) + 1).alias("slot"))
+    rows = slots.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
+    out = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
+    for r in rows:
+        at = (r["b"] - 1) * len(r["bits"])
+        out[at:at + len(r["bits"])] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return out
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles, parity) of the wanted documents (doc_id); a repeated row gives its node again."""
+    """(node, n, shingles, parity) of the wanted documents (doc_id).
+
+    Documents are told apart by the bitmap, so no text is shuffled; a few others may pass it, which only adds
+    sets that nothing refers to.
+    """
     schema = "node bigint, n int, shingles binary, parity array<bigint>"
+    bits = wanted_bits(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
+            slot = batch.column("slot").to_numpy()
+            rows = np.nonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)[0]
             node, n, sets, parity = [], [], [], []
             with np.errstate(over="ignore"):
-                for text in batch.column("text"):
-                    h = hasher.shingles(text.as_py())
-                    bits = np.bincount((finish(h + np.uint64(7)) >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY) & 1
+                for i in rows.tolist():
+                    h = hasher.shingles(batch.column("text")[i].as_py())
+                    if not len(h):
+                        continue
+                    odd = np.bincount((finish(h + np.uint64(7)) >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY) & 1
                     node.append(set_node(h))
                     n.append(len(h))
                     sets.append(h.tobytes())
-                    parity.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
+                    parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(sets, pa.binary()),
                 pa.array(parity, pa.list_(pa.int64()))], ["node", "n", "shingles", "parity"])
 
-    return docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(run, schema).filter("n > 0")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("slot")
+    return docs.filter("doc_id is not null").select(slot, "text").mapInArrow(run, schema)
 
 
 def close(a: str, b: str) -> str:
@@ -342,10 +366,15 @@ def join_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component (repeats of that row are reduced to one)."""
-    found = join_documents(docs).filter("doc_id <=> component_id").select("doc_id").distinct()
-    first = docs.dropDuplicates(["doc_id"])
-    return first.join(found, first["doc_id"].eqNullSafe(found["doc_id"]), "left_semi").select(*docs.columns)
+    """The rows of ``docs`` whose doc_id is the smallest of its component (repeats of that row are reduced to one).
+
+    Rows without a doc_id that are linked with none that has one count as one such document.
+    """
+    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("k_doc"), F.col("doc_id").isNull().alias("k_null")]
+    found = join_documents(docs).filter("doc_id <=> component_id").select(*key).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("__doc"), *key).join(found, ["k_doc", "k_null"], "left_semi")
+    first = rows.dropDuplicates(["k_doc", "k_null"])  # dealt by the same columns as the join
+    return first.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
 
 
 def op7_heavy_light_join(spark: SparkSession, sf_dir: str) -> DataFrame:
