@@ -82,31 +82,36 @@ def measured(docs: DataFrame, keep: list[str], host: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, hashes, lines = [], [], []
+            base, lines = [], []
             for value in batch.column("q_body"):
                 text = value.as_py() or ""
                 numbers, keys, sizes = measure(text)
                 base.append(numbers)
-                hashes.append(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
                 lines.append([{"key": k, "words": n} for k, n in zip(keys, sizes)])
             cols = [batch.column(c) for c in keep]
             cols += [pa.array([b[i] for b in base], pa.int64()) for i in range(len(BASE))]
-            cols += [batch.column("q_doc"), batch.column("q_host"), pa.array(hashes, pa.binary()), pa.array(lines, lines_type)]
+            cols += [batch.column("q_doc"), batch.column("q_host"), batch.column("q_text"), pa.array(lines, lines_type)]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    source = docs.select(*keep, F.col("doc_id").cast("bigint").alias("q_doc"),
-                         F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("null")).alias("q_host"),
-                         F.col("text").alias("q_body"))
+    source = docs.select(*keep, *identity(host), F.col("text").alias("q_body"))
     return source.mapInArrow(run, schema).withColumn("q_id", F.monotonically_increasing_id())
 
 
+def identity(host: str) -> list:
+    """Columns that a verdict depends on: doc_id, host and a hash of the text."""
+    return [F.col("doc_id").cast("bigint").alias("q_doc"),
+            F.coalesce(F.concat(F.lit("h:"), F.col(host).cast("string")), F.lit("null")).alias("q_host"),
+            F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).alias("q_text")]
+
+
 def judge(docs: DataFrame, keep: list[str], host: str = "source", min_docs: int = MIN_DOCS, max_share: int = MAX_SHARE,
-          min_left: int = MIN_LEFT) -> DataFrame:
+          min_left: int = MIN_LEFT, with_identity: bool = False) -> DataFrame:
     """``keep`` columns of every document, its base measures, ``base_failed``, ``kept`` and ``removed`` line numbers.
 
     Null and empty texts have no words and fail the base rules; a null host is a host of its own; rows
     that repeat a doc_id are judged one by one (all are first if the doc_id is first); an empty table gives
-    an empty result.  ``keep`` must not hold the names of added columns.
+    an empty result.  ``keep`` must not hold the names of added columns.  ``with_identity`` adds what a
+    verdict depends on (q_doc, q_host, q_text).
     """
     table = materialize(measured(docs, keep, host))
     lines = table.select("q_id", "q_doc", "q_host", "q_text", F.posexplode("q_lines").alias("pos", "line"))
@@ -123,13 +128,24 @@ def judge(docs: DataFrame, keep: list[str], host: str = "source", min_docs: int
     out = out.withColumn("base_failed", F.expr(
         f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT} * n_words"))
     out = out.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") - F.col("lost")) * 100 >= F.col("n_words") * min_left))
-    return out.select(*keep, *BASE, "base_failed", "kept", F.coalesce("removed", F.expr("cast(array() as array<int>)")).alias("removed"))
+    extra = ["q_doc", "q_host", "q_text"] if with_identity else []
+    return out.select(*keep, *extra, *BASE, "base_failed", "kept", F.coalesce("removed", F.expr("cast(array() as array<int>)")).alias("removed"))
 
 
 def clean(docs: DataFrame, host: str = "source") -> DataFrame:
-    """Kept documents without their removed lines; columns as in ``docs``, n_chars following the text where present."""
+    """Kept documents without their removed lines; columns as in ``docs``, n_chars following the text where present.
+
+    Verdicts are found on a table without texts and meet the documents by what they depend on, so repeated
+    rows share one verdict and every row that is kept stays.
+    """
     fields = docs.columns
-    out = judge(docs.withColumn("__doc", F.struct(*fields)), ["__doc"], host).filter("kept").select("__doc", "removed")
+    verdicts = judge(docs.select("doc_id", "text", host), [], host, with_identity=True).filter("kept")
+    verdicts = verdicts.dropDuplicates(["q_doc", "q_host", "q_text"]).select(
+        F.coalesce("q_doc", F.lit(0)).alias("v_doc"), F.col("q_doc").isNull().alias("v_null"), F.col("q_host").alias("v_host"),
+        F.col("q_text").alias("v_text"), "removed")
+    rows = docs.select(F.struct(*fields).alias("__doc"), *identity(host))
+    out = rows.join(verdicts, (F.coalesce("q_doc", F.lit(0)) == F.col("v_doc")) & (F.col("q_doc").isNull() == F.col("v_null"))
+                    & (F.col("q_host") == F.col("v_host")) & (F.col("q_text") == F.col("v_text")))
     lines = F.split(F.col("__doc.text"), "\n")
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("removed")), lambda i: F.get(lines, i))
     changed = F.size("removed") > 0

@@ -185,8 +185,9 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     Overlapping spans are merged first.  Rows, and columns of any other name, stay as they are.
     """
     fields = docs.columns
-    wrapped = docs.select(F.struct(*fields).alias("__doc"), F.col("text"))
-    out = find_secrets(wrapped, ["__doc"])
+    digest = F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+    # spans depend on the text alone: they are found without carrying the documents along and meet them by its hash
+    found = find_secrets(docs.select("text").withColumn("digest", digest), ["digest"]).filter(F.size("spans") > 0).dropDuplicates(["digest"])
     merged = F.aggregate(
         "spans", F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)"),
         lambda acc, s: F.when(
@@ -195,7 +196,11 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
                 F.try_element_at(acc, F.lit(-1))["begin"].alias("begin"),
                 F.greatest(F.try_element_at(acc, F.lit(-1))["end"], s["end"]).alias("end"))))
         ).otherwise(F.concat(acc, F.array(F.struct(s["begin"].alias("begin"), s["end"].alias("end"))))))
-    out = out.withColumn("cuts", merged).withColumn("text", F.col("__doc.text"))
+    found = found.select(F.col("digest").alias("f_digest"), merged.alias("cuts"))
+    out = docs.select(F.struct(*fields).alias("__doc"), digest.alias("d_digest"))
+    out = out.join(found, F.col("d_digest") == F.col("f_digest"), "left").withColumn(
+        "cuts", F.coalesce("cuts", F.expr("cast(array() as array<struct<begin: bigint, end: bigint>>)")))
+    out = out.withColumn("text", F.col("__doc.text"))
     # kept pieces lie between one cut's end and the next cut's begin
     pieces = F.expr("transform(sequence(0, size(cuts)), i -> substring(text, int(if(i = 0, 0, cuts[i - 1].end)) + 1, "
                     "int(if(i = size(cuts), length(text), cuts[i].begin) - if(i = 0, 0, cuts[i - 1].end))))")
