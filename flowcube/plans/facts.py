@@ -239,6 +239,26 @@ def q_dwell_gates(spark, sf_dir):
         ("detail_open_eq_summary", "d_open", "s_open")])
 
 
+#: A pass of six minutes or less is drawn at the floor of the dwell scale.
+FLOOR_MICROS = 360_000_000
+
+
+def q_floor_passes(spark, sf_dir):
+    """Passes per team and stage, and those at the floor of the dwell scale (M6)."""
+    i = evp.intervals(spark, Tables(spark, sf_dir)).withColumn("micros", elapsed_micros("entered_at", "left_at"))
+    return i.groupBy("team", "stage").agg(
+        F.count(F.lit(1)).alias("passes"), F.count_if(F.col("micros") <= FLOOR_MICROS).alias("floor_passes")).withColumn(
+        "pct_floor", F.col("floor_passes").cast("double") * 100 / F.col("passes").cast("double"))
+
+
+def register_views(spark, sf_dir, prefix: str = "") -> list[str]:
+    """Persist the facts, dimensions and subject views as temporary SQL views of the session (S15, D7); their names."""
+    for name, build in QUERIES.items():
+        if not name.endswith("gates") and not name.endswith("gate"):
+            build(spark, sf_dir).createOrReplaceTempView(prefix + name)
+    return [prefix + name for name in QUERIES if not name.endswith(("gates", "gate"))]
+
+
 def q_copy_gates(spark, sf_dir):
     """Copy of the orders as text, read back and cast: rows, nulls per column and values against the source."""
     t = Tables(spark, sf_dir)
@@ -303,6 +323,7 @@ QUERIES = {
     "authored_commits": q_authored_commits, "board_moves": q_board_moves, "label_marks": q_label_marks, "role_dates": q_role_dates,
     "event_target_gate": q_event_target_gate, "dwell_gates": q_dwell_gates, "copy_gates": q_copy_gates,
     "recount_gates": q_recount_gates, "excluded_daily": q_excluded_daily, "period_presets": q_period_presets,
+    "floor_passes": q_floor_passes,
 }
 
 _TEAMS = "tk_ AS (SELECT r_name AS team, CAST(count(*) OVER (ORDER BY r_name) AS INTEGER) AS team_sk FROM region)"
@@ -406,6 +427,10 @@ ORACLE = {
         ("detail_passes_eq_summary", "(SELECT sum(passes) FROM stage_cards_)", "(SELECT count(*) FROM intervals_)"),
         ("detail_over_limit_eq_summary", "(SELECT sum(over_limit) FROM stage_cards_)", "(SELECT count(*) FROM per_card_ WHERE micros > 172800000000)"),
         ("detail_open_eq_summary", "(SELECT sum(intervals_open_at_cutoff) FROM stage_cards_)", "(SELECT sum(open_at_cutoff) FROM per_card_)")]),
+    "floor_passes": evp.EVENTS_WITH + f"""
+        SELECT team, stage, count(*) AS passes, count_if(epoch_us(left_at) - epoch_us(entered_at) <= {FLOOR_MICROS}) AS floor_passes,
+               CAST(count_if(epoch_us(left_at) - epoch_us(entered_at) <= {FLOOR_MICROS}) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE) AS pct_floor
+        FROM intervals_ GROUP BY team, stage""",
     "copy_gates": _gates("", [
         ("rows_eq_source", "(SELECT count(*) FROM orders)", "(SELECT count(*) FROM orders)"), ("values_not_in_both", "0", "0"),
         *[(f"nulls_eq_source:{c}", f"(SELECT count(*) FROM orders WHERE {c} IS NULL)", f"(SELECT count(*) FROM orders WHERE {c} IS NULL)")
