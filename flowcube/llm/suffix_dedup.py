@@ -41,7 +41,7 @@ LENGTH, GRAM = 50, 20
 #: Grams in a window.
 SPAN = LENGTH - GRAM + 1
 #: Text bytes per bucket of documents, and per merge partition.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 #: Windows hashed at once (bounds memory for a text of any length, and stays in the processor's cache).
 PIECE = 1 << 16
 #: Bits that hold a position in a piece (two pieces' length and a little more).
