@@ -46,7 +46,7 @@ SKETCH_BITS, BLOCKS = 18, 4
 #: Largest size that may be light; the boundary is chosen below it.
 LIGHT_MAX = 40
 #: Hubs each set is verified against in the first round (the second round is exact for the rest).
-HUBS = 2
+HUBS = 3
 #: 64-bit words of the parity sketch.
 PARITY = 8
 #: Bits of the map of documents whose sets are compared (1 MB).
@@ -114,30 +114,37 @@ def set_node(h: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63)
 
 
+def parity_bits(h: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of 64 * PARITY cells, as 64-bit words."""
+    odd = np.bincount((finish(h + np.uint64(7)) >> np.uint64(64 - 6 - PARITY.bit_length() + 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def profiles(docs: DataFrame) -> DataFrame:
-    """Per document (doc_id, n, node), and per task its sketch blocks (block, counts)."""
-    schema = "doc_id bigint, n bigint, node bigint, block int, counts binary"
+    """Per document (doc_id, n, node, parity), and per task its sketch blocks (block, counts)."""
+    schema = "doc_id bigint, n bigint, node bigint, parity array<bigint>, block int, counts binary"
+    names = ["doc_id", "n", "node", "parity", "block", "counts"]
+    bits = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sketch = Hasher(), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
-            n, node, cells = [], [], [np.empty(0, np.int64)]
+            n, node, parity, cells = [], [], [], [np.empty(0, np.int64)]
             with np.errstate(over="ignore"):
                 for text in batch.column("text"):
                     h = hasher.shingles(text.as_py())
                     n.append(len(h))
                     node.append(set_node(h) if len(h) else None)
+                    parity.append(parity_bits(h))
                     cells.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
             sketch += np.bincount(np.concatenate(cells), minlength=len(sketch)).astype(np.uint32)
             k = len(n)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                                              pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())],
-                                             ["doc_id", "n", "node", "block", "counts"])
+                                              pa.array(parity, bits), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if sketch.any():
             parts = np.split(sketch, BLOCKS)
             yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64())] * 3 + [
-                pa.array(range(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                ["doc_id", "n", "node", "block", "counts"])
+                pa.nulls(BLOCKS, bits), pa.array(range(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
@@ -240,12 +247,11 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, shingles, parity) of the wanted documents (doc_id).
+    """(node, shingles) of the wanted documents (doc_id).
 
     Documents are told apart by the bitmap, so no text is shuffled; a few others may pass it, which only adds
     sets that nothing refers to.
     """
-    schema = "node bigint, n int, shingles binary, parity array<bigint>"
     bits = wanted_bits(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,23 +259,14 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             rows = np.nonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)[0]
-            node, n, sets, parity = [], [], [], []
             with np.errstate(over="ignore"):
-                for i in rows.tolist():
-                    h = hasher.shingles(batch.column("text")[i].as_py())
-                    if not len(h):
-                        continue
-                    odd = np.bincount((finish(h + np.uint64(7)) >> np.uint64(55)).astype(np.int64), minlength=64 * PARITY) & 1
-                    node.append(set_node(h))
-                    n.append(len(h))
-                    sets.append(h.tobytes())
-                    parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(sets, pa.binary()),
-                pa.array(parity, pa.list_(pa.int64()))], ["node", "n", "shingles", "parity"])
+                found = [hasher.shingles(batch.column("text")[i].as_py()) for i in rows.tolist()]
+            found = [h for h in found if len(h)]
+            yield pa.RecordBatch.from_arrays([pa.array([set_node(h) for h in found], pa.int64()),
+                                              pa.array([h.tobytes() for h in found], pa.binary())], ["node", "shingles"])
 
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("slot")
-    return docs.filter("doc_id is not null").select(slot, "text").mapInArrow(run, schema)
+    return docs.filter("doc_id is not null").select(slot, "text").mapInArrow(run, "node bigint, shingles binary")
 
 
 def close(a: str, b: str) -> str:
@@ -284,9 +281,12 @@ def close(a: str, b: str) -> str:
             f"and {100 + LINK} * ({a}.n + {b}.n - ({differ})) >= {2 * LINK} * ({a}.n + {b}.n)")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges (u, v) among candidate pairs (u, v) that link."""
-    whole = pairs.select("u", "v").join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (u, v) among candidate pairs (u, v) that link, by the exact count; sets are made for these pairs only."""
+    pairs = materialize(pairs.select("u", "v"))
+    nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = materialize(shingle_sets(docs, nodes.join(classes, "node").select(F.col("rep").alias("doc_id"))))
+    whole = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
     whole = whole.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("vs")), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,8 +313,9 @@ def join_documents(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     table = materialize(profiles(docs))
     sketch = sketch_total(table)
-    rows = table.filter("block is null").select("doc_id", "n", "node")
-    classes = materialize(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
+    rows = table.filter("block is null").select("doc_id", "n", "node", "parity")
+    classes = materialize(rows.filter("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("parity").alias("parity")))
     sizes = {int(r["n"]): int(r["c"]) for r in classes.filter(f"n <= {LIGHT_MAX}").groupBy("n").agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, sketch)
 
@@ -330,9 +331,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
         f"{100 + LINK} * pos >= {LINK} * (n + hub.n)").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
 
     heavy = lists.filter("not light").drop("light")
-    wanted = heavy.select("node").distinct().join(classes, "node").select(F.col("rep").alias("doc_id"))
-    sets = materialize(shingle_sets(docs, wanted))
-    members = materialize(heavy.join(sets.select("node", "parity").dropDuplicates(["node"]), "node"))
+    members = materialize(heavy.join(classes.select("node", "parity"), "node"))
     # first round: every member against a pseudo-random hub of its list
     every = Window.partitionBy("token")
     hubs = members.withColumn("b", F.min(F.struct(F.xxhash64("token", "node"), "node", "n", "pos", "parity")).over(every))
@@ -341,7 +340,7 @@ def join_documents(docs: DataFrame) -> DataFrame:
     best = Window.partitionBy("node").orderBy(F.desc("shared"), "hub")
     firsts = firsts.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= HUBS).select(
         F.col("node").alias("u"), F.col("hub").alias("v"))
-    edges = materialize(star.unionByName(verified(firsts, sets)))
+    edges = materialize(star.unionByName(verified(firsts, docs, classes)))
     parts = materialize(components(edges))
 
     # second round: members of different components, never within a list's largest component
@@ -353,14 +352,17 @@ def join_documents(docs: DataFrame) -> DataFrame:
     pairs = mixed.filter("comp <> main").alias("a").join(
         mixed.alias("b"), F.expr(f"a.token = b.token and a.comp <> b.comp and (b.comp = b.main or a.node < b.node) and {close('a', 'b')}"))
     pairs = pairs.select(F.expr("least(a.node, b.node)").alias("u"), F.expr("greatest(a.node, b.node)").alias("v")).distinct()
-    more = materialize(verified(pairs, sets))
-    # the second round's edges join components of the first
-    full = materialize(components(edges.unionByName(more)))
-
-    of_node = classes.join(full, "node", "left").select("node", "rep", F.coalesce("comp", "node").alias("comp"))
+    # the second round's edges join components of the first: the small graph of components is enough
+    name = lambda c, out: parts.select(F.col("node").alias(c), F.col("comp").alias(out))
+    more = verified(pairs, docs, classes).join(name("u", "uc"), "u", "left").join(name("v", "vc"), "v", "left").select(
+        F.coalesce("uc", "u").alias("u"), F.coalesce("vc", "v").alias("v"))
+    joined = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+
+    of_node = classes.select("node", "rep").join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    of_node = of_node.join(joined, "comp", "left").select("node", "rep", F.coalesce("whole", "comp").alias("comp"))
     least = of_node.groupBy("comp").agg(F.min("rep").alias("component_id"))
     ids = of_node.join(least, "comp").select("node", "component_id")
-    out = rows.join(ids, "node", "left")
+    out = rows.select("doc_id", "n", "node").join(ids, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id"))
                       .otherwise(F.col("doc_id")).alias("component_id"))
 
