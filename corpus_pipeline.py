@@ -4,7 +4,7 @@
 All stages but the last return the columns of documents:
 
 * quality     drops documents that fail the rules and removes lines above the limits from the others;
-* one_of_each keeps the document of smallest doc_id of each near-duplicate component;
+* one_of_each keeps the document of smallest doc_id of each near-duplicate component (5-word shingles, Jaccard 0.8);
 * secrets     masks every found secret in the text (n_chars follows), and keeps all documents;
 * mix         orders all documents by the Pfair interleaving of their sources;
 * tokens      returns doc_id, lang, source, n_tokens, ids of the byte-level BPE and whether decoding gives the text back.
@@ -23,13 +23,16 @@ from flowcube.llm import bpe, jaccard_join, line_quality, mixing, secrets
 from flowcube.llm.common import documents
 from flowcube.operators.materialize import materialize
 
+#: Near duplicates of stage one_of_each: words of a shingle, and least Jaccard similarity in per cent (op7 has its own).
+NEAR_WORDS, NEAR_LINK = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_quality.clean(docs)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, words=NEAR_WORDS, link=NEAR_LINK)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exact n-gram Jaccard join by a size-aware heavy-light split.
 
-A document is the set of its distinct 4-word shingles, as 64-bit hashes.
+A document is the set of its distinct word shingles, as 64-bit hashes.  Length of the shingles and threshold are
+arguments; the numbers below are those of op7 (4 words, 0.85), the default.
 Documents with equal sets form a class; classes are joined, copies are not.
 
 * Light sets (at most x shingles): two sets of sizes a and b link if they share
@@ -38,8 +39,9 @@ from flowcube.llm.common import documents
 from flowcube.llm.graph import components
 from flowcube.operators.materialize import materialize
 
+#: Words of a shingle, of op7.
 WORDS = 4
-#: Two sets link when 100 * intersection >= LINK * union.
+#: Two sets link when 100 * intersection >= LINK * union, of op7.
 LINK = 85
 #: Counters of the shingle count sketch (4 bytes each, whatever the corpus size), in BLOCKS pieces.
 SKETCH_BITS, BLOCKS = 18, 4
@@ -52,12 +54,13 @@ PARITY = 8
 #: Bits of the map of documents whose sets are compared (1 MB).
 BITMAP_BITS = 1 << 23
 
-_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
+_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
+                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
-def need(a: int, b: int) -> int:
+def need(a: int, b: int, link: int = LINK) -> int:
     """Least intersection of linked sets of sizes a and b."""
-    return -(-LINK * (a + b) // (100 + LINK))
+    return -(-link * (a + b) // (100 + link))
 
 
 def finish(h: np.ndarray) -> np.ndarray:
@@ -85,8 +88,10 @@ class WordHashes(dict):
 class Hasher:
     """Shingle sets of texts."""
 
-    def __init__(self):
-        self.hash = WordHashes().__getitem__
+    def __init__(self, words: int = WORDS):
+        if not 1 <= words <= len(_MULT):
+            raise ValueError(f"a shingle has 1 to {len(_MULT)} words")
+        self.hash, self.words = WordHashes().__getitem__, words
 
     def shingles(self, text: str | None) -> np.ndarray:
         """Sorted distinct 64-bit shingle hashes of a text."""
@@ -95,14 +100,15 @@ class Hasher:
         h = np.fromiter(map(self.hash, words), np.uint64, n)
         if n == 0:
             return h
-        if n < WORDS:
+        k = self.words
+        if n < k:
             total = np.uint64(n)
             for i in range(n):
                 total = total * _MULT[1] + h[i] * _MULT[0]
             return finish(np.array([total], dtype=np.uint64))
-        total = h[:n - WORDS + 1] * _MULT[0]
-        for i in range(1, WORDS):
-            total += h[i:n - WORDS + 1 + i] * _MULT[i]
+        total = h[:n - k + 1] * _MULT[0]
+        for i in range(1, k):
+            total += h[i:n - k + 1 + i] * _MULT[i]
         total = finish(total)
         total.sort()
         return total[np.concatenate([[True], total[1:] != total[:-1]])]
@@ -120,14 +126,14 @@ def parity_bits(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per document (doc_id, n, node, parity), and per task its sketch blocks (block, counts)."""
     schema = "doc_id bigint, n bigint, node bigint, parity array<bigint>, block int, counts binary"
     names = ["doc_id", "n", "node", "parity", "block", "counts"]
     bits = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, sketch = Hasher(), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
+        hasher, sketch = Hasher(words), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
             n, node, parity, cells = [], [], [], [np.empty(0, np.int64)]
             with np.errstate(over="ignore"):
@@ -165,28 +171,28 @@ def sketch_total(table: DataFrame) -> np.ndarray:
     return np.concatenate([np.frombuffer(got.get(b, empty), dtype=np.uint32) for b in range(BLOCKS)])
 
 
-def subset_sizes(n: int, x: int) -> list[int]:
+def subset_sizes(n: int, x: int, link: int = LINK) -> list[int]:
     """Subset sizes a light set of n shingles enumerates for partners of at most x."""
-    return sorted({need(n, b) for b in range(-(-LINK * n // 100), min(x, n * 100 // LINK) + 1)})
+    return sorted({need(n, b, link) for b in range(-(-link * n // 100), min(x, n * 100 // link) + 1)})
 
 
-def prefix_length(n: int) -> int:
-    return n - -(-LINK * n // 100) + 1
+def prefix_length(n: int, link: int = LINK) -> int:
+    return n - -(-link * n // 100) + 1
 
 
-def boundary(sizes: dict[int, int], sketch: np.ndarray) -> int:
+def boundary(sizes: dict[int, int], sketch: np.ndarray, link: int = LINK) -> int:
     """The light boundary x of least cost; ``sizes`` counts sets by size up to LIGHT_MAX."""
     c = sketch.astype(np.float64)
     total = max(c.sum(), 1.0)
     lists = max(0.0, (float((c * c).sum()) - total * total / len(c)) / total)
-    heavy = {n: sizes.get(n, 0) * prefix_length(n) * (1 + lists) for n in range(1, LIGHT_MAX + 1)}
-    light = lambda n, x: sizes.get(n, 0) * sum(comb(n, o) for o in subset_sizes(n, x))
+    heavy = {n: sizes.get(n, 0) * prefix_length(n, link) * (1 + lists) for n in range(1, LIGHT_MAX + 1)}
+    light = lambda n, x: sizes.get(n, 0) * sum(comb(n, o) for o in subset_sizes(n, x, link))
     costs = [sum(light(n, x) if n <= x else heavy[n] for n in heavy)
-             + sum(heavy[n] for n in heavy if n <= x and 100 * n >= LINK * (x + 1)) for x in range(LIGHT_MAX + 1)]
+             + sum(heavy[n] for n in heavy if n <= x and 100 * n >= link * (x + 1)) for x in range(LIGHT_MAX + 1)]
     return int(np.argmin(costs))
 
 
-def signatures(docs: DataFrame, sketch: np.ndarray, x: int) -> DataFrame:
+def signatures(docs: DataFrame, sketch: np.ndarray, x: int, words: int = WORDS, link: int = LINK) -> DataFrame:
     """(light, token, node, n, pos): subset hashes of light sets (pos = subset size) and prefixes of the others."""
     schema = "light boolean, token bigint, node bigint, n int, pos int"
 
@@ -194,7 +200,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray, x: int) -> DataFrame:
         n, tokens, sizes = len(h), [], []
         g = finish(h + np.uint64(1))
         total = g.sum(dtype=np.uint64)
-        for o in subset_sizes(n, x):
+        for o in subset_sizes(n, x, link):
             drop = list(combinations(range(n), n - o))
             gone = g[np.array(drop, dtype=np.int64)].sum(axis=1, dtype=np.uint64) if n > o else np.zeros(1, np.uint64)
             tokens.append(finish(total - gone + np.uint64(o) * _MULT[2]))
@@ -202,7 +208,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray, x: int) -> DataFrame:
         return np.concatenate(tokens), np.concatenate(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, done = Hasher(), set()
+        hasher, done = Hasher(words), set()
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
 
@@ -223,9 +229,9 @@ def signatures(docs: DataFrame, sketch: np.ndarray, x: int) -> DataFrame:
                     if n <= x:
                         tokens, pos = subsets(h)
                         add(True, tokens, node, n, pos)
-                    if n > x or 100 * n >= LINK * (x + 1):
+                    if n > x or 100 * n >= link * (x + 1):
                         rare = sketch[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                        k = prefix_length(n)
+                        k = prefix_length(n, link)
                         add(False, h[np.lexsort((h, rare))[:k]], node, n, np.arange(k))
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)) for a in out],
@@ -246,7 +252,7 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """(node, shingles) of the wanted documents (doc_id).
 
     Documents are told apart by the bitmap, so no text is shuffled; a few others may pass it, which only adds
@@ -255,7 +261,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bits = wanted_bits(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher = Hasher(words)
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             rows = np.nonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)[0]
@@ -269,23 +275,23 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.filter("doc_id is not null").select(slot, "text").mapInArrow(run, "node bigint, shingles binary")
 
 
-def close(a: str, b: str) -> str:
+def close(a: str, b: str, link: int = LINK) -> str:
     """Condition on members ``a`` and ``b`` of a list (n, pos, parity): they may link by size, position and parity.
 
     From the first shared token of the order on, at most min(n - pos) elements are shared; and the sets' symmetric
     difference a + b - 2 |A and B| is at least the number of differing parity bits.
     """
     differ = " + ".join(f"bit_count({a}.parity[{i}] ^ {b}.parity[{i}])" for i in range(PARITY))
-    return (f"100 * least({a}.n, {b}.n) >= {LINK} * greatest({a}.n, {b}.n) "
-            f"and {100 + LINK} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {LINK} * ({a}.n + {b}.n) "
-            f"and {100 + LINK} * ({a}.n + {b}.n - ({differ})) >= {2 * LINK} * ({a}.n + {b}.n)")
+    return (f"100 * least({a}.n, {b}.n) >= {link} * greatest({a}.n, {b}.n) "
+            f"and {100 + link} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {link} * ({a}.n + {b}.n) "
+            f"and {100 + link} * ({a}.n + {b}.n - ({differ})) >= {2 * link} * ({a}.n + {b}.n)")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
     """Edges (u, v) among candidate pairs (u, v) that link, by the exact count; sets are made for these pairs only."""
     pairs = materialize(pairs.select("u", "v"))
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = materialize(shingle_sets(docs, nodes.join(classes, "node").select(F.col("rep").alias("doc_id"))))
+    sets = materialize(shingle_sets(docs, nodes.join(classes, "node").select(F.col("rep").alias("doc_id")), words))
     whole = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
     whole = whole.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("vs")), "v")
 
@@ -296,14 +302,14 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                 a, b = np.frombuffer(us.as_buffer(), dtype=np.uint64), np.frombuffer(vs.as_buffer(), dtype=np.uint64)
                 at = np.searchsorted(a, b)
                 common = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-                hits.append((100 + LINK) * common >= LINK * (len(a) + len(b)))
+                hits.append((100 + link) * common >= link * (len(a) + len(b)))
             yield batch.select(["u", "v"]).filter(pa.array(hits, pa.bool_()))
 
     return whole.select("u", "v", "us", "vs").mapInArrow(run, "u bigint, v bigint")
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+def join_documents(docs: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``, by shingles of ``words`` words and a Jaccard of ``link`` %.
 
     Null and empty texts, and texts without words, have an empty set and are linked with nothing;
     rows that repeat a doc_id count as one document; a null doc_id is never a component's smallest
@@ -311,36 +317,36 @@ def join_documents(docs: DataFrame) -> DataFrame:
     doc_id and text are not read.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    table = materialize(profiles(docs))
+    table = materialize(profiles(docs, words))
     sketch = sketch_total(table)
     rows = table.filter("block is null").select("doc_id", "n", "node", "parity")
     classes = materialize(rows.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("parity").alias("parity")))
     sizes = {int(r["n"]): int(r["c"]) for r in classes.filter(f"n <= {LIGHT_MAX}").groupBy("n").agg(F.count("*").alias("c")).collect()}
-    x = boundary(sizes, sketch)
+    x = boundary(sizes, sketch) if link == LINK else boundary(sizes, sketch, link)
 
-    signed = signatures(docs, sketch, x).repartition("token").dropDuplicates(["token", "node", "light"])
+    signed = signatures(docs, sketch, x, words, link).repartition("token").dropDuplicates(["token", "node", "light"])
     by_size = Window.partitionBy("light", "token").orderBy("n", "node")
     # a member stays if its neighbour by size is near enough; then every list has two members or more
     signed = signed.withColumn("below", F.lag("n").over(by_size)).withColumn("above", F.lead("n").over(by_size))
-    lists = materialize(signed.filter(f"100 * below >= {LINK} * n or 100 * n >= {LINK} * above").drop("below", "above"))
+    lists = materialize(signed.filter(f"100 * below >= {link} * n or 100 * n >= {link} * above").drop("below", "above"))
 
     light = lists.filter("light")
     least = Window.partitionBy("token")
     star = light.withColumn("hub", F.min(F.struct("n", "node")).over(least)).filter("node <> hub.node").filter(
-        f"{100 + LINK} * pos >= {LINK} * (n + hub.n)").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+        f"{100 + link} * pos >= {link} * (n + hub.n)").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
 
     heavy = lists.filter("not light").drop("light")
     members = materialize(heavy.join(classes.select("node", "parity"), "node"))
     # first round: every member against a pseudo-random hub of its list
     every = Window.partitionBy("token")
     hubs = members.withColumn("b", F.min(F.struct(F.xxhash64("token", "node"), "node", "n", "pos", "parity")).over(every))
-    hubs = hubs.withColumn("a", F.struct("n", "pos", "parity")).filter("node <> b.node").filter(close("a", "b"))
+    hubs = hubs.withColumn("a", F.struct("n", "pos", "parity")).filter("node <> b.node").filter(close("a", "b", link))
     firsts = hubs.groupBy("node", F.col("b.node").alias("hub")).agg(F.count(F.lit(1)).alias("shared"))
     best = Window.partitionBy("node").orderBy(F.desc("shared"), "hub")
     firsts = firsts.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= HUBS).select(
         F.col("node").alias("u"), F.col("hub").alias("v"))
-    edges = materialize(star.unionByName(verified(firsts, docs, classes)))
+    edges = materialize(star.unionByName(verified(firsts, docs, classes, words, link)))
     parts = materialize(components(edges))
 
     # second round: members of different components, never within a list's largest component
@@ -350,11 +356,11 @@ def join_documents(docs: DataFrame) -> DataFrame:
         "comps > 1").select("token", F.col("top.comp").alias("main"))
     mixed = materialize(tagged.join(top, "token"))
     pairs = mixed.filter("comp <> main").alias("a").join(
-        mixed.alias("b"), F.expr(f"a.token = b.token and a.comp <> b.comp and (b.comp = b.main or a.node < b.node) and {close('a', 'b')}"))
+        mixed.alias("b"), F.expr(f"a.token = b.token and a.comp <> b.comp and (b.comp = b.main or a.node < b.node) and {close('a', 'b', link)}"))
     pairs = pairs.select(F.expr("least(a.node, b.node)").alias("u"), F.expr("greatest(a.node, b.node)").alias("v")).distinct()
     # the second round's edges join components of the first: the small graph of components is enough
     name = lambda c, out: parts.select(F.col("node").alias(c), F.col("comp").alias(out))
-    more = verified(pairs, docs, classes).join(name("u", "uc"), "u", "left").join(name("v", "vc"), "v", "left").select(
+    more = verified(pairs, docs, classes, words, link).join(name("u", "uc"), "u", "left").join(name("v", "vc"), "v", "left").select(
         F.coalesce("uc", "u").alias("u"), F.coalesce("vc", "v").alias("v"))
     joined = components(more).select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
 
@@ -367,13 +373,13 @@ def join_documents(docs: DataFrame) -> DataFrame:
                       .otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its component (repeats of that row are reduced to one).
 
     Rows without a doc_id that are linked with none that has one count as one such document.
     """
     key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("k_doc"), F.col("doc_id").isNull().alias("k_null")]
-    found = join_documents(docs).filter("doc_id <=> component_id").select(*key).distinct()
+    found = join_documents(docs, words, link).filter("doc_id <=> component_id").select(*key).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("__doc"), *key).join(found, ["k_doc", "k_null"], "left_semi")
     first = rows.dropDuplicates(["k_doc", "k_null"])  # dealt by the same columns as the join
     return first.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])

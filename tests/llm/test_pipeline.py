@@ -41,3 +41,40 @@ def test_stages_one_after_the_other_match_brute_force(spark, docs, rows):
 def test_every_stage_takes_an_empty_table(spark, empty):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0, name
+
+
+def test_one_of_each_matches_five_words_and_eighty_percent(spark):
+    import random
+
+    from tests.llm.test_jaccard import brute as four_words
+
+    rng = random.Random(8)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{rng.randint(0, 10**6)}" for _ in range(480)]
+        cut = base[: round(480 * rng.uniform(0.78, 0.86))]
+        spread = list(base)
+        for i in range(10 + g % 3):
+            spread[20 + 40 * i] = f"new{g}x{i}"
+        rows += [(10 * g, " ".join(base)), (10 * g + 1, " ".join(cut)), (10 * g + 2, " ".join(spread)),
+                 (10 * g + 3, " ".join(base[:12])), (10 * g + 4, " ".join(base[:13]))]
+    sets = []
+    for _, t in rows:
+        w = t.split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)})
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    want = {rows[root(i)][0] for i in range(len(rows))}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, df, "").collect()} == want
+    assert want < {c for _, _, c in four_words(rows)}  # op7's contract leaves more of them
