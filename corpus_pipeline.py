@@ -7,7 +7,11 @@ All stages but the last return the columns of documents:
 * one_of_each keeps the document of smallest doc_id of each near-duplicate component (5-word shingles, Jaccard 0.8);
 * secrets     masks every found secret in the text (n_chars follows), and keeps all documents;
 * mix         orders all documents by the Pfair interleaving of their sources;
-* tokens      returns doc_id, lang, source, n_tokens, ids of the byte-level BPE and whether decoding gives the text back.
+* tokens      returns doc_id, lang, source, n_tokens, ids of the byte-level BPE, whether decoding gives the text back,
+              and the document's place in the mix: rows in the order of (mix_slot, mix_seq) are the mixed corpus.
+
+Readers of Parquet do not keep the order of rows, so the last stage returns the place as columns.  It is a function of
+the mixed rows (source, bytes, and doc_id and text for the order within a source): the one that mix sorted by.
 
 Nulls, empty and very long texts, repeated rows, empty tables and further columns are handled as the operators
 state; further columns pass through all stages but the last.
@@ -16,7 +20,7 @@ state; further columns pass through all stages but the last.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowcube.llm import bpe, jaccard_join, line_quality, mixing, secrets
@@ -39,17 +43,29 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redact(docs)
 
 
+def text_digest() -> Column:
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+
+
+def place(digest: Column) -> Column:
+    """Order within a source: by doc_id and text, so that rows without a doc_id, or with the same, have a fixed place too."""
+    return F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest).cast("binary"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.interleave(docs)
+    return mixing.interleave(docs, order=place(text_digest()))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(bpe.VOCABULARY)
-    keep = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("digest"))
-    out = bpe.encode(keep, path, ["doc_id", "lang", "source", "digest"])
+    keep = docs.select("doc_id", "lang", "source", "text", text_digest().alias("digest"), F.octet_length("text").alias("bytes"))
+    out = bpe.encode(keep, path, ["doc_id", "lang", "source", "digest", "bytes"])
     back = F.sha2(bpe.decode(F.col("ids"), path), 256)
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-                      (back == F.col("digest")).alias("round_trip"))
+    # written before the mix reads it several times
+    out = materialize(out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                                 (back == F.col("digest")).alias("round_trip"), "digest", "bytes"))
+    out = mixing.mix(out, size=F.col("bytes"), order=place(F.col("digest")))
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip", "mix_slot", "mix_seq")
 
 
 STAGES = [("quality", quality), ("one_of_each", one_of_each), ("secrets", mask_secrets), ("mix", mix), ("tokens", tokens)]

@@ -72,7 +72,7 @@ def schedule(weights: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE,
-        period: int = PERIOD, block_bytes: int = BLOCK_BYTES, size: Column | None = None) -> DataFrame:
+        period: int = PERIOD, block_bytes: int = BLOCK_BYTES, size: Column | None = None, order: Column | None = None) -> DataFrame:
     """Every row of ``docs`` with ``mix_block``, ``mix_slot``, ``mix_seq`` and ``mix_exact``.
 
     Sorting by (mix_slot, mix_seq) interleaves the sources.  ``mix_exact`` marks the slots before
@@ -80,14 +80,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     stay, in the slots their source would have had.  ``weights`` maps source to target weight
     (missing sources get the least weight, 1/Q); without it a source weighs bytes ** temperature.
 
-    A document's size is its UTF-8 bytes, or ``size``.  Null text counts no bytes; a null source is a source of its own; rows that repeat a doc_id take
+    A document's size is its UTF-8 bytes, or ``size``; within a source documents stand in the order of the md5 of their
+    doc_id, or of ``order`` (hexadecimal text, spread evenly).  Null text counts no bytes; a null source is a source of its own; rows that repeat a doc_id take
     neighbouring places in any order; an empty table gives an empty result.  Columns of ``docs`` pass
     through (a column of the same name as one added is replaced).
     """
     added = ["mix_block", "mix_slot", "mix_seq", "mix_exact"]
     size = F.octet_length("text") if size is None else size
     base = docs.select(F.struct(*[c for c in docs.columns if c not in added]).alias("__doc"), source_key().alias("__key"),
-                       order_key("doc_id").alias("__order"), F.coalesce(size, F.lit(0)).cast("bigint").alias("__bytes"))
+                       (order_key("doc_id") if order is None else order).alias("__order"), F.coalesce(size, F.lit(0)).cast("bigint").alias("__bytes"))
     sizes = base.groupBy(F.col("__key").alias("key")).agg(F.sum("__bytes").alias("bytes"))
     plan = materialize(target_weights(sizes, weights, temperature, period)
                        .join(sizes, "key").select("key", "idx", "n", "q", "bytes"))

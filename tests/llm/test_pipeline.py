@@ -78,3 +78,44 @@ def test_one_of_each_matches_five_words_and_eighty_percent(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     assert {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, df, "").collect()} == want
     assert want < {c for _, _, c in four_words(rows)}  # op7's contract leaves more of them
+
+
+def test_result_carries_the_place_in_the_mix(spark):
+    import random
+    from collections import Counter, defaultdict
+
+    from flowcube.llm import mixing
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):  # blocks of a few documents; two rows without and two with the same doc_id
+        text = " ".join(f"w{rng.randint(0, 99)}" for _ in range(8_000))
+        rows.append((None if i in (7, 8) else 5 if i == 6 else i, text, "en", "big" if i % 5 else "small" if i % 10 else None, 0))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    size = {t: len(t) for _, t, *_ in rows}
+    mixed = corpus_pipeline.materialize(corpus_pipeline.mix(spark, df, ""))
+    got = corpus_pipeline.materialize(corpus_pipeline.tokens(spark, mixed, ""))
+    order = sorted(got.collect(), key=lambda r: (r["mix_slot"], r["mix_seq"]))
+    assert len(order) == len(rows)
+    # any row's place is the one that the stage mix sorts by
+    want = mixing.mix(df, order=corpus_pipeline.place(corpus_pipeline.text_digest())).collect()
+    assert Counter((r["doc_id"], r["source"], r["mix_slot"], r["mix_seq"]) for r in want) == Counter(
+        (r["doc_id"], r["source"], r["mix_slot"], r["mix_seq"]) for r in order)
+    sorted_ids = [r["doc_id"] for r in sorted(want, key=lambda r: (r["mix_slot"], r["mix_seq"]))]
+    assert [r["doc_id"] for r in order] == sorted_ids
+    # no source is a block or more away from its target before the first source runs out
+    total = defaultdict(int)
+    for _, t, _, s, _ in rows:
+        total[s] += size[t]
+    raw = {s: b ** mixing.TEMPERATURE for s, b in total.items()}
+    n = {s: max(1, int(w * mixing.PERIOD / sum(raw.values()) + 0.5)) for s, w in raw.items()}
+    source_at = {r["mix_slot"]: r["source"] for r in order}
+    blocks = {s: len({r["mix_slot"] for r in order if r["source"] == s}) for s in n}
+    done = Counter()
+    for t in range(max(source_at)):
+        if t in source_at:
+            done[source_at[t]] += 1
+        if any(done[s] == blocks[s] for s in n):
+            break
+        assert all(abs((t + 1) * n[s] / sum(n.values()) - done[s]) < 1 for s in n), t
+    assert sum(done.values()) > 5
