@@ -3,7 +3,8 @@
 ``run`` writes every stage as Parquet in the shared checkpoint folder and hands the reread table to the next.
 All stages but the last return the columns of documents:
 
-* quality     drops documents that fail the rules and removes lines above the limits from the others;
+* quality     drops documents that fail the rules and removes lines that many documents of a host share (a count,
+              whatever the size of the host) from the others;
 * one_of_each keeps the document of smallest doc_id of each near-duplicate component (5-word shingles, Jaccard 0.8);
 * secrets     masks every found secret in the text (n_chars follows), and keeps all documents;
 * mix         orders all documents by the Pfair interleaving of their sources;
@@ -32,7 +33,7 @@ NEAR_WORDS, NEAR_LINK = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_quality.clean(docs)
+    return line_quality.clean(docs, max_share=None)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

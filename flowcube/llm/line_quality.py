@@ -4,7 +4,9 @@ Base rules look at one document.  The method looks across documents: lines are
 normalised (words joined by one blank, A-Z lower-cased) and hashed; for every
 host (the document's source) and line the distinct documents holding it are
 counted, where documents with equal texts are one.  A line is above the limits if it stands in at
-least MIN_DOCS distinct documents of a host and in more than MAX_SHARE of them.  Such lines are
+least MIN_DOCS distinct documents of a host; op4, as its SQL says, asks besides that they are more than
+MAX_SHARE of the host's.  The pipeline goes by the count alone, so a line that so many documents share
+is judged alike in a host of any size.  Lines above the limits are
 removed everywhere but in the host's first document (smallest doc_id) that holds them, so text
 that many near copies share survives once.  A document that keeps less than MIN_LEFT of its words is rejected as depleted.
 """
@@ -28,7 +30,7 @@ MIN_WORDS = 50
 MAX_REPEAT = 50
 #: A line in fewer distinct documents of a host is never removed.
 MIN_DOCS = 20
-#: Percentage of a host's distinct documents above which a line is removed.
+#: Percentage of a host's distinct documents above which op4 removes a line.
 MAX_SHARE = 10
 #: Percentage of words a document must keep.
 MIN_LEFT = 30
@@ -104,13 +106,13 @@ def identity(host: str) -> list:
             F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))).alias("q_text")]
 
 
-def judge(docs: DataFrame, keep: list[str], host: str = "source", min_docs: int = MIN_DOCS, max_share: int = MAX_SHARE,
+def judge(docs: DataFrame, keep: list[str], host: str = "source", min_docs: int = MIN_DOCS, max_share: int | None = MAX_SHARE,
           min_left: int = MIN_LEFT, with_identity: bool = False) -> DataFrame:
     """``keep`` columns of every document, its base measures, ``base_failed``, ``kept`` and ``removed`` line numbers.
 
     Null and empty texts have no words and fail the base rules; a null host is a host of its own; rows
     that repeat a doc_id are judged one by one (all are first if the doc_id is first); an empty table gives
-    an empty result.  ``keep`` must not hold the names of added columns.  ``with_identity`` adds what a
+    an empty result.  Without ``max_share`` the count ``min_docs`` decides alone.  ``keep`` must not hold the names of added columns.  ``with_identity`` adds what a
     verdict depends on (q_doc, q_host, q_text).
     """
     table = materialize(measured(docs, keep, host))
@@ -118,10 +120,12 @@ def judge(docs: DataFrame, keep: list[str], host: str = "source", min_docs: int
     lines = lines.select("q_id", "q_doc", "q_host", "q_text", "pos", "line.key", "line.words").filter("key is not null")
     per_text = lines.groupBy("q_host", "key", "q_text").agg(F.min("q_doc").alias("first"))
     counts = per_text.groupBy("q_host", "key").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
-    hosts = table.select("q_host", "q_text").distinct().groupBy("q_host").agg(F.count(F.lit(1)).alias("texts"))
     # lines above the limits: a host has at most (its lines / limit) of them
-    above = counts.filter(F.col("n") >= min_docs).join(hosts, "q_host").filter(
-        F.col("n") * 100 > F.col("texts") * max_share).select("q_host", "key", "first")
+    above = counts.filter(F.col("n") >= min_docs)
+    if max_share is not None:
+        hosts = table.select("q_host", "q_text").distinct().groupBy("q_host").agg(F.count(F.lit(1)).alias("texts"))
+        above = above.join(hosts, "q_host").filter(F.col("n") * 100 > F.col("texts") * max_share)
+    above = above.select("q_host", "key", "first")
     gone = lines.join(above, ["q_host", "key"]).filter("not (q_doc <=> first)").groupBy("q_id").agg(
         F.sum("words").alias("lost"), F.collect_list("pos").alias("removed"))
     out = table.join(gone, "q_id", "left").withColumn("lost", F.coalesce("lost", F.lit(0)))
@@ -132,14 +136,14 @@ def judge(docs: DataFrame, keep: list[str], host: str = "source", min_docs: int
     return out.select(*keep, *extra, *BASE, "base_failed", "kept", F.coalesce("removed", F.expr("cast(array() as array<int>)")).alias("removed"))
 
 
-def clean(docs: DataFrame, host: str = "source") -> DataFrame:
+def clean(docs: DataFrame, host: str = "source", max_share: int | None = MAX_SHARE) -> DataFrame:
     """Kept documents without their removed lines; columns as in ``docs``, n_chars following the text where present.
 
     Verdicts are found on a table without texts and meet the documents by what they depend on, so repeated
     rows share one verdict and every row that is kept stays.
     """
     fields = docs.columns
-    verdicts = judge(docs.select("doc_id", "text", host), [], host, with_identity=True).filter("kept")
+    verdicts = judge(docs.select("doc_id", "text", host), [], host, max_share=max_share, with_identity=True).filter("kept")
     verdicts = verdicts.dropDuplicates(["q_doc", "q_host", "q_text"]).select(
         F.coalesce("q_doc", F.lit(0)).alias("v_doc"), F.col("q_doc").isNull().alias("v_null"), F.col("q_host").alias("v_host"),
         F.col("q_text").alias("v_text"), "removed")

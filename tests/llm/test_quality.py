@@ -71,3 +71,18 @@ def test_near_copies_survive_once(spark):
 
 def test_empty(empty):
     assert Q.judge(empty, ["doc_id"]).count() == 0 and Q.clean(empty).count() == 0
+
+
+def test_pipeline_judges_a_shared_line_alike_in_hosts_of_any_size(spark):
+    import corpus_pipeline
+
+    rows = []
+    for host, n in (("large", 600), ("small", 60)):  # the line stands in 25 documents: 4 % and 42 %
+        for i in range(n):
+            own = " ".join(f"{host}{i}w{j}" for j in range(60))
+            rows.append((len(rows), own + ("\nall rights reserved" if i < 25 else ""), host))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    got = corpus_pipeline.quality(spark, df, "").collect()
+    assert len(got) == len(rows)
+    holders = {h: [r["doc_id"] for r in got if r["source"] == h and "reserved" in r["text"]] for h in ("large", "small")}
+    assert holders == {"large": [0], "small": [600]}
