@@ -31,7 +31,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,10 +126,15 @@ def parity_bits(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def text_id() -> Column:
+    """Identity of a row's text: doc_id may be null or repeated."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
 def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per document (doc_id, n, node, parity), and per task its sketch blocks (block, counts)."""
-    schema = "doc_id bigint, n bigint, node bigint, parity array<bigint>, block int, counts binary"
-    names = ["doc_id", "n", "node", "parity", "block", "counts"]
+    """Per document (doc_id, text_id, n, node, parity), and per task its sketch blocks (block, counts)."""
+    schema = "doc_id bigint, text_id binary, n bigint, node bigint, parity array<bigint>, block int, counts binary"
+    names = ["doc_id", "text_id", "n", "node", "parity", "block", "counts"]
     bits = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,14 +150,14 @@ def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     cells.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
             sketch += np.bincount(np.concatenate(cells), minlength=len(sketch)).astype(np.uint32)
             k = len(n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                                               pa.array(parity, bits), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if sketch.any():
             parts = np.split(sketch, BLOCKS)
-            yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64())] * 3 + [
+            yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary())] + [pa.nulls(BLOCKS, pa.int64())] * 2 + [
                 pa.nulls(BLOCKS, bits), pa.array(range(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_id().alias("text_id"), "text").mapInArrow(run, schema)
 
 
 def sketch_total(table: DataFrame) -> np.ndarray:
@@ -240,9 +245,13 @@ def signatures(docs: DataFrame, sketch: np.ndarray, x: int, words: int = WORDS,
     return docs.select("text").mapInArrow(run, schema)
 
 
+def slot_of(*row) -> Column:
+    return F.pmod(F.xxhash64(*row), F.lit(BITMAP_BITS))
+
+
 def wanted_bits(wanted: DataFrame) -> np.ndarray:
-    """Bitmap of hashed doc_ids; the driver receives its BITMAP_BITS bits only, whatever the number of documents."""
-    slots = wanted.select((F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)) + 1).alias("slot"))
+    """Bitmap of hashed rows (doc_id, text_id); the driver receives its BITMAP_BITS bits only, whatever the number of documents."""
+    slots = wanted.select((slot_of("doc_id", "text_id") + 1).alias("slot"))
     rows = slots.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).collect()
     out = np.zeros(BITMAP_BITS // 8, dtype=np.uint8)
@@ -253,26 +262,31 @@ def wanted_bits(wanted: DataFrame) -> np.ndarray:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """(node, shingles) of the wanted documents (doc_id).
+    """(node, shingles) of the wanted rows (doc_id, text_id).
 
-    Documents are told apart by the bitmap, so no text is shuffled; a few others may pass it, which only adds
+    Rows are told apart by the bitmap, so no text is shuffled; a few others may pass it, which only adds
     sets that nothing refers to.
     """
     bits = wanted_bits(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(words)
+        hasher, done = Hasher(words), set()
         for batch in batches:
             slot = batch.column("slot").to_numpy()
             rows = np.nonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)[0]
             with np.errstate(over="ignore"):
                 found = [hasher.shingles(batch.column("text")[i].as_py()) for i in rows.tolist()]
-            found = [h for h in found if len(h)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_node(h) for h in found], pa.int64()),
-                                              pa.array([h.tobytes() for h in found], pa.binary())], ["node", "shingles"])
+            found = {set_node(h): h for h in found if len(h)}
+            new = [node for node in found if node not in done]  # copies within a task are given once
+            done.update(new)
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64()), pa.array([found[k].tobytes() for k in new], pa.binary())],
+                                             ["node", "shingles"])
 
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("slot")
-    return docs.filter("doc_id is not null").select(slot, "text").mapInArrow(run, "node bigint, shingles binary")
+    def made(some: DataFrame) -> DataFrame:
+        return some.select(slot_of("doc_id", text_id()).alias("slot"), "text").mapInArrow(run, "node bigint, shingles binary")
+
+    # copies without a doc_id are the same row to the bitmap, in any number of tasks
+    return made(docs.filter("doc_id is not null")).unionByName(made(docs.filter("doc_id is null")).dropDuplicates(["node"]))
 
 
 def close(a: str, b: str, link: int = LINK) -> str:
@@ -291,7 +305,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int =
     """Edges (u, v) among candidate pairs (u, v) that link, by the exact count; sets are made for these pairs only."""
     pairs = materialize(pairs.select("u", "v"))
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = materialize(shingle_sets(docs, nodes.join(classes, "node").select(F.col("rep").alias("doc_id")), words))
+    sets = materialize(shingle_sets(docs, nodes.join(classes, "node").select("rep.doc_id", "rep.text_id"), words))
     whole = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
     whole = whole.join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("vs")), "v")
 
@@ -308,20 +322,18 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int =
     return whole.select("u", "v", "us", "vs").mapInArrow(run, "u bigint, v bigint")
 
 
-def join_documents(docs: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``, by shingles of ``words`` words and a Jaccard of ``link`` %.
+def linked(docs: DataFrame, words: int = WORDS, link: int = LINK) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_id, n, node) of ``docs``, and classes (node, rep, comp) by shingles of ``words`` words and a
+    Jaccard of ``link`` %.
 
-    Null and empty texts, and texts without words, have an empty set and are linked with nothing;
-    rows that repeat a doc_id count as one document; a null doc_id is never a component's smallest
-    (a component of such rows only has a null id); an empty table gives an empty result; columns other than
-    doc_id and text are not read.
+    ``comp`` names a component of texts, whatever the doc_ids; ``rep`` (no_id, doc_id, text_id) is the class's first row.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     table = materialize(profiles(docs, words))
     sketch = sketch_total(table)
-    rows = table.filter("block is null").select("doc_id", "n", "node", "parity")
+    rows = table.filter("block is null").select("doc_id", "text_id", "n", "node", "parity")
     classes = materialize(rows.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("parity").alias("parity")))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")).alias("rep"), F.max("n").alias("n"), F.first("parity").alias("parity")))
     sizes = {int(r["n"]): int(r["c"]) for r in classes.filter(f"n <= {LIGHT_MAX}").groupBy("n").agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, sketch) if link == LINK else boundary(sizes, sketch, link)
 
@@ -366,7 +378,19 @@ def join_documents(docs: DataFrame, words: int = WORDS, link: int = LINK) -> Dat
 
     of_node = classes.select("node", "rep").join(parts, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     of_node = of_node.join(joined, "comp", "left").select("node", "rep", F.coalesce("whole", "comp").alias("comp"))
-    least = of_node.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    return rows, of_node
+
+
+def join_documents(docs: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``, by shingles of ``words`` words and a Jaccard of ``link`` %.
+
+    Null and empty texts, and texts without words, have an empty set and are linked with nothing;
+    rows that repeat a doc_id are linked by their texts alone; a null doc_id is never a component's smallest
+    (a component of such rows only has a null id); an empty table gives an empty result; columns other than
+    doc_id and text are not read.
+    """
+    rows, of_node = linked(docs, words, link)
+    least = of_node.groupBy("comp").agg(F.min("rep.doc_id").alias("component_id"))
     ids = of_node.join(least, "comp").select("node", "component_id")
     out = rows.select("doc_id", "n", "node").join(ids, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id"))
@@ -374,15 +398,22 @@ def join_documents(docs: DataFrame, words: int = WORDS, link: int = LINK) -> Dat
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component (repeats of that row are reduced to one).
+    """One row of ``docs`` per component of texts: that of smallest doc_id, null last, and then of the least text hash.
 
-    Rows without a doc_id that are linked with none that has one count as one such document.
+    Repeats of a row (doc_id and text) are reduced to one.  Texts without words are linked with nothing: their rows stay,
+    one per doc_id and all of those without a doc_id.
     """
-    key = [F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("k_doc"), F.col("doc_id").isNull().alias("k_null")]
-    found = join_documents(docs, words, link).filter("doc_id <=> component_id").select(*key).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("__doc"), *key).join(found, ["k_doc", "k_null"], "left_semi")
-    first = rows.dropDuplicates(["k_doc", "k_null"])  # dealt by the same columns as the join
-    return first.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
+    rows, of_node = linked(docs, words, link)
+    key = [F.coalesce(F.col("doc_id"), F.lit(0)).alias("k_doc"), F.col("doc_id").isNull().alias("k_null"), F.col("text_id").alias("k_text")]
+    first = of_node.groupBy("comp").agg(F.min("rep").alias("rep")).select("rep.doc_id", "rep.text_id")
+    bare = rows.filter("n = 0 and doc_id is not null").groupBy("doc_id").agg(F.min("text_id").alias("text_id"))
+    found = first.unionByName(bare).select(*key)
+    every = docs.select(F.struct(*docs.columns).alias("__doc"), F.col("doc_id").cast("bigint").alias("doc_id"), text_id().alias("text_id"),
+                        (F.col("doc_id").isNull() & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).alias("k_bare"))
+    names = ["k_doc", "k_null", "k_text"]
+    kept = every.filter("not k_bare").select("__doc", *key).join(found, names, "left_semi").dropDuplicates(names)  # dealt alike
+    kept = kept.select("__doc").unionByName(every.filter("k_bare").select("__doc"))
+    return kept.select(*[F.col("__doc").getField(c).alias(c) for c in docs.columns])
 
 
 def op7_heavy_light_join(spark: SparkSession, sf_dir: str) -> DataFrame:

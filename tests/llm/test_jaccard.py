@@ -100,3 +100,18 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200)]
     got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 30)}}
+
+
+def test_keep_one_goes_by_texts_without_or_with_repeated_ids(spark):
+    text = lambda g, i=None: " ".join(f"g{g}w{j}" if j != i else "other" for j in range(120))
+    rows = [(None, text(1)), (None, text(2)), (None, text(3)), (None, text(3)),  # three different texts and a copy
+            (None, text(4)), (None, text(4, 60)), (None, text(4, 30)),  # near copies, none with an id
+            (9, text(5)), (None, text(5, 50)),  # a near copy of a row with an id
+            (7, text(6)), (7, text(7)), (7, text(7)), (8, text(7, 40)),  # an id with two texts
+            (None, ""), (None, " \n"), (10, None), (10, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    got = sorted(((r["doc_id"], (r["text"] or "").split(" ")[0]) for r in J.keep_one(df).collect()), key=str)
+    want = [(None, f"g{g}w0") for g in (1, 2, 3, 4)] + [(9, "g5w0"), (7, "g6w0"), (7, "g7w0"), (10, ""), (None, ""), (None, "")]
+    assert sorted(((d, t.strip()) for d, t in got), key=str) == sorted(want, key=str)
+    ids = sorted((r["component_id"] for r in J.join_documents(df).filter("doc_id is null and n_shingles > 0").collect()), key=str)
+    assert ids == [9] + [None] * 7
