@@ -11,16 +11,21 @@ that holds it.  Three tests look for departures from independent uniform symbols
   * lag-1 serial correlation of symbol indices.
 Their p-values are combined by Fisher's method (closed form for three tests).
 A token that the battery does not reject is then tested against ordinary text:
-the unbiased index of coincidence times k is 1 for uniform symbols and the mean
-over battery-rejected tokens of the same encoding for ordinary ones.  The
-resulting p-values go through Benjamini-Hochberg within each (encoding, length
-class), so short tokens, which tell little, need a class that is mostly random.
+the likelihood ratio of uniform symbols to a chain of ordinary bigrams, restricted to the
+encoding's alphabet.  The chain is counted over the words of all documents that are too short to be candidates.
+If a token is ordinary, its ratio exceeds t with probability at most 1/t (Markov), so 1/ratio is a
+p-value; a random token of 20 characters has a small one in a class of ordinary tokens.
+The p-values go through Benjamini-Hochberg within each (encoding, length class).
+Decimal tokens are tested but not reported: digits of ordinary numbers (amounts, ids, times) are near
+uniform themselves, so no test on symbols tells them from random digits.
 Thresholds come from a histogram of p-values per class (a few hundred bins per
 class, whatever the corpus size).
 """
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,9 +59,8 @@ ENCODINGS = {
 REJECT = 0.001
 #: Benjamini-Hochberg level.
 FDR = 0.05
-#: Ordinary text where an encoding shows no rejected token: sum of squared letter frequencies, and the least
-#: index of coincidence times k (for small alphabets, where words use few of the letters).
-LETTERS, ORDINARY = 0.065, 1.7
+#: All symbols of candidates; characters of an ordinary word; weight of symbol frequencies in a bigram's.
+SYMBOLS, WORD_CHARS, BACKOFF = DIGITS + LOWER.upper() + LOWER + "+/-_", (2, 19), 5.0
 BINS = 400
 
 
@@ -77,19 +81,47 @@ def matches(text: Column, kind: str) -> Column:
         (x["m"] if kind == "random" else F.lit(None).cast("string")).alias("token")))
 
 
+def ordinary(docs: DataFrame) -> dict[str, int]:
+    """Occurrences of symbols and bigrams in words of all documents; the driver receives at most 66 + 66 * 66 counts."""
+    words = docs.select(F.explode(F.split("text", "[^A-Za-z0-9+/_-]+")).alias("w"))
+    words = words.filter(F.length("w").between(*WORD_CHARS)).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    grams = F.concat(F.split("w", ""), F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substring(F.col("w"), i, F.lit(2))))
+    rows = words.select(F.explode(grams).alias("g"), "c").filter("g <> ''").groupBy("g").agg(F.sum("c").alias("c")).collect()
+    return {r["g"]: r["c"] for r in rows}
+
+
+def ratios(counts: dict[str, int]) -> dict[str, list[float]]:
+    """Per encoding, log of uniform over ordinary probability: of a first symbol, then of every symbol after every symbol.
+
+    Probabilities of a bigram are counts with BACKOFF occurrences dealt by the symbols' frequencies (each seen once more).
+    """
+    out = {}
+    for name, (_, letters) in ENCODINGS.items():
+        k = len(letters)
+        total = sum(counts.get(c, 0) + 1 for c in letters)
+        one = [(counts.get(c, 0) + 1) / total for c in letters]
+        logs = [-log(k * p) for p in one]
+        for before in letters:
+            seen = [counts.get(before + c, 0) for c in letters]
+            logs += [-log(k * (n + BACKOFF * p) / (sum(seen) + BACKOFF)) for n, p in zip(seen, one)]
+        out[name] = logs
+    return out
+
+
 def located(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Rows (row, keep..., kind, begin, end, battery columns): one per match, one with null kind for a document without."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    logs = ratios(ordinary(docs))
     rows = docs.withColumn("row", F.monotonically_increasing_id()).select(
         "row", *keep, F.concat(*[matches(text, k) for k in KINDS]).alias("found"))
     flat = rows.select("row", *keep, F.explode_outer("found").alias("x")).select("row", *keep, "x.*")
     # tokens are tested where they are found, by as many tasks as read the documents
-    flat = battery(flat)
+    flat = battery(flat, logs)
     reach = Window.partitionBy("row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     flat = flat.withColumn("end", F.sum(F.col("skip") + F.col("len")).over(reach))
     flat = flat.withColumn("begin", F.col("end") - F.col("len"))
     return flat.filter("kind is null or ok or nth = 0").select(
-        "row", *keep, F.when(F.col("ok"), F.col("kind")).alias("kind"), "begin", "end", "enc", "k", "n", "ic", "p_random")
+        "row", *keep, F.when(F.col("ok"), F.col("kind")).alias("kind"), "begin", "end", "enc", "n", "ratio", "p_random")
 
 
 def upper_tail(z: Column) -> Column:
@@ -102,8 +134,8 @@ def upper_tail(z: Column) -> Column:
                                 tail))
 
 
-def battery(tokens: DataFrame) -> DataFrame:
-    """Add enc, k, n, ic (index of coincidence times k) and p_random; null where ``token`` is null or of no encoding."""
+def battery(tokens: DataFrame, logs: dict[str, list[float]]) -> DataFrame:
+    """Add enc, k, n, ratio (log of uniform over ordinary likelihood) and p_random; null where ``token`` is null or of no encoding."""
     body = F.rtrim(F.translate("token", "=", " "))
     code = F.lit(None).cast("struct<enc: string, k: int, alphabet: string>")
     for name, (pattern, letters) in reversed(ENCODINGS.items()):
@@ -116,7 +148,16 @@ def battery(tokens: DataFrame) -> DataFrame:
     t = t.withColumn("ix", F.expr("filter(ix, i -> i >= 0)"))
     t = t.withColumn("squares", F.expr(
         "aggregate(transform(sequence(0, k - 1), s -> size(filter(ix, i -> i = s))), 0D, (a, c) -> a + 1D * c * c)"))
-    t = t.withColumn("ic", F.expr("k * (squares - n) / (n * (n - 1))"))
+    # literal table of all encodings, one after the other (folded into an array once)
+    table = F.split(F.lit(" ".join(f"{x:.6f}" for name in ENCODINGS for x in logs[name])), " ").cast("array<double>")
+    starts, at = [], 0
+    for name in ENCODINGS:
+        starts += [F.lit(name), F.lit(at)]
+        at += len(logs[name])
+    t = t.withColumn("base", F.create_map(*starts)[F.col("enc")])
+    t = t.withColumn("ratio", F.aggregate(
+        F.sequence(F.lit(1), F.size("ix") - 1), F.get(table, F.col("base") + F.get("ix", F.lit(0))),
+        lambda a, j: a + F.get(table, F.col("base") + F.col("k") * (F.get("ix", j - 1) + 1) + F.get("ix", j))))
     chi = F.expr("(k * squares / n - n - (k - 1)) / sqrt(2D * (k - 1) * (n - 1) / n)")
     t = t.withColumn("high", F.expr("1D * size(filter(ix, i -> 2 * i >= k))")).withColumn("low", F.expr("n - high"))
     t = t.withColumn("runs", F.expr(
@@ -127,24 +168,20 @@ def battery(tokens: DataFrame) -> DataFrame:
         "aggregate(sequence(1, size(ix) - 1), 0D, (a, j) -> a + (ix[j] - (k - 1) / 2D) * (ix[j - 1] - (k - 1) / 2D))"))
     serial = F.expr("lag / (sqrt(n - 1) * (k * k - 1) / 12D)")
     tests = [upper_tail(chi), 2 * upper_tail(F.abs(runs)), 2 * upper_tail(F.abs(serial))]
-    log = sum((-F.log(F.greatest(p, F.lit(1e-300))) for p in tests), F.lit(0.0))
-    t = t.withColumn("fisher", log)
+    fisher = sum((-F.log(F.greatest(p, F.lit(1e-300))) for p in tests), F.lit(0.0))
+    t = t.withColumn("fisher", fisher)
     t = t.withColumn("p_random", F.expr("exp(-fisher) * (1 + fisher + fisher * fisher / 2)"))
-    return t.drop("token", "body", "alphabet", "ix", "squares", "high", "low", "runs", "rv", "lag", "fisher")
+    return t.drop("token", "body", "alphabet", "base", "ix", "squares", "high", "low", "runs", "rv", "lag", "fisher")
 
 
 def discoveries(tested: DataFrame) -> DataFrame:
     """Keep tokens of ``battery`` that look random, under false-discovery control per length class."""
     t = tested.filter("enc is not null").withColumn("size_class", F.floor(2 * F.log2("n")).cast("int"))
-    plain = t.filter(F.col("p_random") < REJECT).groupBy("enc").agg(
-        F.greatest(F.avg("ic"), F.lit(1.3)).alias("plain_ic"))
-    # one row per encoding, and per encoding and length class: broadcasts of a bounded size
-    t = t.join(F.broadcast(plain), "enc", "left").withColumn("plain_ic", F.coalesce("plain_ic", F.greatest(F.lit(ORDINARY), F.col("k") * LETTERS)))
-    t = t.withColumn("p_plain", upper_tail(F.expr("(plain_ic - ic) / (plain_ic * sqrt(2D * (k - 1)) / n)")))
+    t = t.withColumn("p_plain", F.exp(-F.greatest("ratio", F.lit(0.0))))
     t = t.withColumn("p_plain", F.when(F.col("p_random") < REJECT, F.lit(1.0)).otherwise(F.col("p_plain")))
     # histogram bins of -log10 p; a bin stands for its largest p, which errs on the strict side
     t = t.withColumn("bin", F.least(F.floor(-F.log10(F.greatest("p_plain", F.lit(1e-40))) * 10), F.lit(BINS - 1)).cast("int"))
-    t = t.filter("enc <> 'decimal'")
+    t = t.filter("enc <> 'decimal'")  # see above
     bins = t.groupBy("enc", "size_class", "bin").agg(F.count(F.lit(1)).alias("c"))
     cls = Window.partitionBy("enc", "size_class")
     better = cls.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
@@ -163,7 +200,7 @@ def find_secrets(docs: DataFrame, keep: list[str]) -> DataFrame:
     """
     found = materialize(located(docs, keep))
     random = KINDS.index("random")
-    hits = discoveries(found.filter(F.col("kind") == random).select("row", "begin", "end", "enc", "k", "n", "ic", "p_random"))
+    hits = discoveries(found.filter(F.col("kind") == random).select("row", "begin", "end", "enc", "n", "ratio", "p_random"))
     hits = hits.select("row", "begin", "end", F.lit(True).alias("hit"))
     spans = found.join(hits, ["row", "begin", "end"], "left")
     span = F.when(F.col("kind").isNotNull() & ((F.col("kind") != random) | F.col("hit")),

@@ -74,3 +74,24 @@ def test_redact_masks_and_keeps_everything_else(spark, docs, rows, empty):
     out = S.redact(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
     assert S.redact(empty).count() == 0 and S.find_secrets(empty, ["doc_id"]).count() == 0
+
+
+def test_few_random_tokens_are_found_among_ordinary_ones(spark):
+    rng = random.Random(7)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = "".join(open(S.__file__).read()).lower()
+    words = [w for w in re.findall("[a-z]{2,12}", words)]
+    slug = lambda: "-".join(w.capitalize() if rng.random() < 0.2 else w for w in rng.choices(words, k=rng.randint(4, 7))) + f"-{rng.randint(0, 99)}"
+    rows, secret = [], {}
+    for i in range(6000):
+        row = " ".join(rng.choices(words, k=12)) + f" https {slug()} on {rng.randint(1, 9999)}"
+        if i % 1000 == 0:  # one of 1,000 candidates, 20 to 40 characters, in the alphabet of the slugs
+            n = 20 + 4 * (i // 1000)
+            secret[i] = "".join(rng.choice(letters) for _ in range(n - 1)) + "_"
+            row += f" {secret[i]} end"
+        rows.append((i, row))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = S.find_secrets(df, ["doc_id"]).filter("size(spans) > 0").collect()
+    found = {r["doc_id"]: [rows[r["doc_id"]][1][s["begin"]:s["end"]] for s in r["spans"]] for r in got}
+    assert all(found.get(i) == [t] for i, t in secret.items()), found
+    assert len(found) <= len(secret) + 2, found
