@@ -33,9 +33,8 @@ SCALE = 64
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v, dim): floor(scale * x) of every component; invalid vectors left out, one vector per vec_id."""
-    big = 9.0e15 / scale
     ok = F.col("embedding").isNotNull() & F.col("vec_id").isNotNull() & F.forall(
-        "embedding", lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(big)), F.lit(False)))
+        "embedding", lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
     v = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
     rows = vectors.filter(ok).select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"))
     return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))

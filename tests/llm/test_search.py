@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from flowcube.llm import ball_tree
 from pyspark.sql import functions as F
@@ -43,3 +44,12 @@ def test_top_k_matches_brute_force_over_shards_and_blocks(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert ball_tree.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_large_finite_components_are_not_left_out(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [float(2**50), 0.0], 0), (2, [2.0, 0.0], 0)]
+    got = ball_tree.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0).collect()
+    assert {tuple(r) for r in got} == brute(rows)
+    beyond = spark.createDataFrame([(0, [1.0], 0), (1, [1e30], 0)], SCHEMA)
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        ball_tree.top_k(beyond, F.col("vec_id") % 20 == 0).collect()
