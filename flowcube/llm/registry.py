@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ball_tree", "pii", "suffix_dedup", "line_quality", "mixing", "bpe", "jaccard_join", "toxicity", "sharding", "secrets"]
+MODULES = ["ball_tree", "pii", "suffix_dedup", "line_quality", "mixing", "bpe", "jaccard_join", "toxicity", "sharding", "secrets",
+           "snapshot_dedup"]
 
 
 def _modules():
