@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ["ball_tree", "pii", "suffix_dedup", "line_quality", "mixing", "bpe", "jaccard_join", "toxicity", "sharding", "secrets",
-           "snapshot_dedup"]
+           "source_divergence", "periodic_runs", "snapshot_dedup"]
 
 
 def _modules():
