@@ -6,8 +6,8 @@ pairs with a multiplicity; the divergence f is evaluated once per cell.
 
 * Ranking terms: cells of one group with equal f are merged, the merged cells are ranked by f with cumulative
   multiplicity, and only those that begin before rank TOP are expanded to terms, in UTF-8 order.
-* Ranking sources: cells of a pair of sources in which both counts are positive come from terms grouped by their whole
-  vector of counts (terms with equal vectors are one).  Cells with a zero are never enumerated per pair of sources: with M(a) terms
+* Ranking sources: terms are grouped into cells of equal counts in all sources of the language.  For pairs of sources in which both
+  counts are positive f is evaluated once per such cell and added up in the task.  Cells with a zero are never enumerated per pair of sources: with M(a) terms
   of count a in a source, D of them positive and m(a, b) terms in a cell,
 
       sum f = sum M_s(a) (f(a,0) - f(0,0)) + sum M_t(b) (f(0,b) - f(0,0)) + V f(0,0)
@@ -23,9 +23,9 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,64 +41,74 @@ UNIT = 1_000_000_000
 TOP = 200
 #: Pieces of a hot group where its rows meet numbers of the group.
 SALTS = 16
-#: Counters that a task holds before it hands them on.
-HELD = 1_000_000
+#: Bytes of text that a task counts at once (a longer document is counted alone).
+PIECE_BYTES = 8 << 20
 
 #: Bytes outside terms become blanks; A-Z lower-cased.  All bytes from 0x80 on belong to code points that are in terms.
-_TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256))
+_TERM_BYTES = np.array([b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256)], dtype=np.uint8)
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 
 
-def terms(text: bytes) -> list[bytes]:
-    """Matches of ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` in UTF-8, A-Z lower-cased."""
-    return text.translate(_TERM_BYTES).split()
+def terms(texts: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Terms of all texts, one after the other, and the row of each: matches of ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` in UTF-8, A-Z lower-cased."""
+    at = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[at[0]:at[-1]]
+    at = at - at[0]
+    data = _TERM_BYTES[raw]
+    inside = data != 32
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    firsts = at[:-1][at[:-1] < at[1:]]
+    begins[firsts] = inside[firsts]  # a term ends with its text
+    starts = np.flatnonzero(begins)
+    offsets = np.append(np.cumsum(inside)[starts] - 1, np.count_nonzero(inside)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    return words, np.searchsorted(at, starts, side="right") - 1
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents by (lang, source, term) of one task; a row with a null term stands for the group."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-    def out() -> pa.RecordBatch:
-        cols: list[list] = [[], [], [], [], []]
-        for (lang, source), (n, docs) in held.items():
-            for col, values in zip(cols, ([lang] * (len(n) + 1), [source] * (len(n) + 1), [None, *(t.decode() for t in n)],
-                                          [0, *n.values()], [0, *(docs[t] for t in n)])):
-                col.extend(values)
-        types = [pa.string()] * 3 + [pa.int64()] * 2
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                          names=["lang", "source", "term", "n", "docs"])
-
+    """Occurrences and documents by (lang, source, term) of a piece of a task's rows."""
     for batch in batches:
-        size = sum(len(n) for n, _ in held.values())
-        for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(),
-                                      batch.column("text").cast(pa.binary())):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            found = terms(text.as_py())
-            size -= len(n)
-            n.update(found)
-            docs.update(set(found))
-            size += len(n)
-            if size > HELD:
-                yield out()
-                size = 0
-    if held:
-        yield out()
+        groups = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
+        texts = batch.column("text").cast(pa.binary())
+        size = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            end = int(max(begin + 1, np.searchsorted(size, size[begin] + PIECE_BYTES, side="right") - 1))
+            words, row = terms(texts.slice(begin, end - begin))
+            code = words.dictionary_encode()
+            many = max(1, len(code.dictionary))
+            number: dict[tuple[str, str], int] = {}
+            of_row = np.array([number.setdefault(g, len(number)) for g in groups[begin:end]], dtype=np.int64)
+            # once per document and term, then per group and term
+            each, times = np.unique(row * many + code.indices.to_numpy().astype(np.int64), return_counts=True)
+            key = of_row[each // many] * many + each % many
+            order = np.argsort(key, kind="stable")
+            key, times = key[order], times[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+            n = np.add.reduceat(times, first) if len(first) else first
+            docs = np.diff(np.append(first, len(key)))
+            names = [pa.array([g[i] for g in number], pa.string()).take(pa.array(key[first] // many)) for i in (0, 1)]
+            term = code.dictionary.take(pa.array(key[first] % many)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*names, term, pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
+                                             names=["lang", "source", "term", "n", "docs"])
+            begin = end
+
+
+def plain(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """Occurrences ``n`` and documents ``docs`` by lang, source and term; term null: one row per group."""
-    plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    parts = plain.mapInArrow(_count, COUNTS)
-    return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    """Occurrences ``n`` and documents ``docs`` by lang, source and term."""
+    return plain(docs).mapInArrow(_count, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
     """1 + floor(UNIT * (count + 1) / (total + kept)), as a long."""
-    big = (count + 1).cast("decimal(38,0)") * F.lit(UNIT)
-    parts = F.struct(big.alias("a"), F.greatest(total + kept, F.lit(1)).cast("decimal(38,0)").alias("b"))
-    return F.transform(F.array(parts), lambda s: 1 + F.call_function("div", s["a"], s["b"]))[0]
+    whole = F.greatest(total + kept, F.lit(1)).cast("decimal(38,0)")
+    return 1 + F.call_function("div", (count + 1).cast("decimal(38,0)") * F.lit(UNIT), whole)
 
 
 def f(p: Column, q: Column) -> Column:
@@ -109,10 +119,9 @@ class Audit:
     """The tables that both reports read: kept terms with their vectors of counts, groups, languages."""
 
     def __init__(self, docs: DataFrame):
-        counts = materialize(term_counts(docs))
-        group = counts.filter("term is null").select("lang", "source")
+        group = plain(docs).select("lang", "source").distinct()
         vector = F.sort_array(F.collect_list(F.struct("source", "n"))).alias("vector")  # one entry per source of the language
-        self.kept = materialize(counts.filter("term is not null").groupBy("lang", "term")
+        self.kept = materialize(term_counts(docs).groupBy("lang", "term")
                                 .agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"), vector)
                                 .filter(F.col("docs") >= MIN_DOCS).drop("docs"))
         sums = self.rows().groupBy("lang", "source").agg(F.sum("n").alias("size"))
@@ -151,39 +160,42 @@ class Audit:
     def source_pairs(self) -> DataFrame:
         """Every other source of a group's language by divergence: lang, source, item, value, rank."""
         zero = F.lit(0).cast("bigint")
-        size = self.groups.select("lang", "source", "size", "kept")
-        this = lambda name, size_name: size.select("lang", F.col("source").alias(name), F.col("size").alias(size_name), "kept")
-        others = this("t", "t_size").drop("kept")
-        pairs = materialize(this("s", "s_size").join(others, "lang").filter("s <> t"))
-
-        # cells with both counts positive, each unordered pair once
-        vectors = self.kept.groupBy("lang", "vector").agg(F.count(F.lit(1)).alias("m"))
-        first = vectors.select("lang", "m", "vector", F.posexplode("vector").alias("i", "x"))
-        both = first.select("lang", "m", "x", F.explode(F.expr("slice(vector, i + 2, size(vector))")).alias("y"))
-        both = (both.groupBy("lang", F.col("x.source").alias("s"), F.col("y.source").alias("t"),
-                             F.col("x.n").alias("a"), F.col("y.n").alias("b")).agg(F.sum("m").alias("m")))
-        both = materialize(both)
-        both = both.unionByName(both.select("lang", F.col("t").alias("s"), F.col("s").alias("t"), F.col("b").alias("a"), F.col("a").alias("b"), "m"))
+        big = lambda c: c.cast("decimal(38,0)")
+        total = lambda c, m: F.sum(big(m) * c.cast("decimal(20,0)")).cast("decimal(38,0)")
+        size = self.groups.select("lang", "source", "kept", share(zero, F.col("size"), F.col("kept")).alias("p0"))
+        one = lambda name, p0: size.select("lang", F.col("source").alias(name), F.col("p0").alias(p0))
+        pairs = materialize(one("s", "p0").join(one("t", "q0"), "lang").filter("s <> t"))
+
+        # terms of equal vectors are one cell; counts become shares once, by the sizes of the language's sources
+        sizes = self.groups.groupBy("lang", "kept").agg(F.map_from_entries(F.collect_list(F.struct("source", "size"))).alias("sizes"))
+        vectors = self.kept.groupBy("lang", "vector").agg(F.count(F.lit(1)).alias("m")).join(sizes, "lang")
+        shares = F.transform("vector", lambda x: F.struct(
+            x["source"].alias("s"), share(x["n"], F.col("sizes")[x["source"]], F.col("kept")).alias("p"),
+            share(zero, F.col("sizes")[x["source"]], F.col("kept")).alias("p0")))
+        cells = materialize(vectors.select("lang", "m", shares.alias("cell")))
+
+        # both counts positive: each unordered pair of a cell's sources, evaluated both ways and summed in the task
+        first = cells.select("lang", "m", "cell", F.posexplode("cell").alias("i", "x"))
+        both = first.select("lang", "m", "x", F.explode(F.expr("slice(cell, i + 2, size(cell))")).alias("y"))
+        p, p0, q, q0 = (F.col(c) for c in ("x.p", "x.p0", "y.p", "y.p0"))
+        more = lambda p, p0, q, q0: f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)
+        both = both.groupBy("lang", F.col("x.s").alias("a"), F.col("y.s").alias("b")).agg(
+            total(more(p, p0, q, q0), F.col("m")).alias("ab"), total(more(q, q0, p, p0), F.col("m")).alias("ba"))
+        both = both.select("lang", F.explode(F.array(F.struct(F.col("a").alias("s"), F.col("b").alias("t"), F.col("ab").alias("v")),
+                                                     F.struct(F.col("b").alias("s"), F.col("a").alias("t"), F.col("ba").alias("v")))).alias("r")).select("lang", "r.*")
         # cells of one source beside a zero of the other, in both orders
-        ones = self.rows().groupBy("lang", F.col("source").alias("s"), F.col("n").alias("a")).agg(F.count(F.lit(1)).alias("m"))
-        ones = materialize(ones)
-        left = pairs.select("lang", "s", "t").join(ones, ["lang", "s"]).withColumn("b", zero)
-        right = left.select("lang", F.col("t").alias("s"), F.col("s").alias("t"), "m", F.lit(0).cast("bigint").alias("a"), F.col("a").alias("b"))
-
-        cells = both.unionByName(left).unionByName(right).join(pairs, ["lang", "s", "t"])
-        cells = cells.select(
-            "lang", "s", "t", "m", "a", "b", share(F.col("a"), F.col("s_size"), F.col("kept")).alias("p"),
-            share(zero, F.col("s_size"), F.col("kept")).alias("p0"), share(F.col("b"), F.col("t_size"), F.col("kept")).alias("q"),
-            share(zero, F.col("t_size"), F.col("kept")).alias("q0"))
-        p, p0, q, q0 = (F.col(c) for c in ("p", "p0", "q", "q0"))
-        more = F.when((F.col("a") > 0) & (F.col("b") > 0), f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)).otherwise(f(p, q) - f(p0, q0))
-        sums = (cells.groupBy("lang", "s", "t")
-                .agg(F.sum(F.col("m").cast("decimal(38,0)") * more.cast("decimal(20,0)")).alias("more")))
-        base = F.col("kept").cast("decimal(38,0)") * f(share(zero, F.col("s_size"), F.col("kept")),
-                                                       share(zero, F.col("t_size"), F.col("kept"))).cast("decimal(20,0)")
-        value = (F.coalesce("more", F.lit(0)) + base).cast("bigint")
-        out = pairs.join(sums, ["lang", "s", "t"], "left").select(
-            "lang", F.col("s").alias("source"), F.col("t").alias("item"), value.alias("value"))
+        ones = cells.select("lang", "m", F.explode("cell").alias("x")).groupBy("lang", F.col("x.s").alias("s"), F.col("x.p").alias("p")).agg(F.sum("m").alias("m"))
+        beside = pairs.join(ones, ["lang", "s"])  # p0 is the share of a zero in s, q0 in t
+        p, p0, q0 = (F.col(c) for c in ("p", "p0", "q0"))
+        beside = beside.groupBy("lang", "s", "t").agg(total(f(p, q0) - f(p0, q0), F.col("m")).alias("st"),
+                                                      total(f(q0, p) - f(q0, p0), F.col("m")).alias("ts"))
+        beside = beside.select("lang", F.explode(F.array(F.struct("s", "t", F.col("st").alias("v")),
+                                                         F.struct(F.col("t").alias("s"), F.col("s").alias("t"), F.col("ts").alias("v")))).alias("r")).select("lang", "r.*")
+        sums = both.unionByName(beside).groupBy("lang", "s", "t").agg(F.sum("v").cast("decimal(38,0)").alias("more"))
+        kept = self.groups.select("lang", "kept").distinct()
+        out = pairs.join(kept, "lang").join(sums, ["lang", "s", "t"], "left")
+        value = F.coalesce("more", big(F.lit(0))) + (big(F.col("kept")) * f(F.col("p0"), F.col("q0")).cast("decimal(20,0)")).cast("decimal(38,0)")
+        out = out.select("lang", F.col("s").alias("source"), F.col("t").alias("item"), value.cast("bigint").alias("value"))
         order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
         return out.withColumn("rank", F.row_number().over(order))
 

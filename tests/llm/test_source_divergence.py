@@ -68,7 +68,7 @@ def test_shared_corpus(spark, docs, rows):
 
 def test_ties_are_cut_in_utf8_order(spark, monkeypatch):
     """Many terms with equal counts: one merged cell longer than the report."""
-    monkeypatch.setattr(D, "HELD", 50)
+    monkeypatch.setattr(D, "PIECE_BYTES", 50)
     rng = random.Random(4)
     names = ["t" + "".join(rng.choice("abcéž中") for _ in range(6)) for _ in range(500)]
     rows = [(i, " ".join(names), "en", "a") for i in range(3)] + [(9, "other " * 5, "en", "b")] * 3
@@ -78,6 +78,15 @@ def test_ties_are_cut_in_utf8_order(spark, monkeypatch):
     assert sum(n for r, n in out.items() if r[1:3] == ("a", "term")) == 200
 
 
+def test_terms_and_their_rows():
+    import pyarrow as pa
+    texts = ["", "Ab", "cD e", "", " x", "y ", "éÉ9ß", "...", "A"]
+    for cut in (0, 3):
+        words, row = D.terms(pa.array(texts, pa.binary()).slice(cut))
+        assert [(w.decode(), i + cut) for w, i in zip(words.to_pylist(), row)] == [
+            (w.translate(LOWER), i) for i, t in enumerate(texts) if i >= cut for w in TERM.findall(t)]
+
+
 def test_large_counts_stay_exact(spark):
     big = 3_000_000_000_000
     df = spark.createDataFrame([(big, 5 * big, 7)], "c bigint, t bigint, v bigint")
