@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowcube.functions.timecalc import MICROS_PER_HOUR, elapsed_micros
-from flowcube.operators import windows
 
 # Portuguese month and weekday names and day-part bands of the model.
 MONTHS = ["janeiro", "fevereiro", "março", "abril", "maio", "junho", "julho", "agosto", "setembro",
@@ -69,45 +68,36 @@ def card_lead_time(cards: DataFrame, events: DataFrame) -> DataFrame:
                          F.coalesce("moves", F.lit(0)).cast("bigint").alias("moves")))
 
 
-def dim_person(roster: DataFrame, active: DataFrame) -> DataFrame:
-    """Conformed person dimension (D3) with a dense surrogate key.
+def dim_person(roster: DataFrame, active: DataFrame, keys: DataFrame) -> DataFrame:
+    """Conformed person dimension (D3) with a stable surrogate key.
 
-    ``roster``: person_id, origin_team, role, status, person_order (integral,
-    unique, at least ``len(SENTINELS)``: it orders the surrogate keys after the
-    sentinels).  ``active``: one ``person_id`` per fact row; it is reduced to
-    distinct ids (map-side) before the flag join.  The three sentinel rows are
-    added so facts that point at them keep referential integrity.
-
-    The surrogate key is the position by ``person_order`` over the whole
-    dimension, computed by :func:`windows.ordinal`, which splits the single
-    group into quantile buckets once it outgrows one task.
+    ``roster``: person_id, origin_team, role, status.  ``active``: one ``person_id`` per fact row; it is reduced to
+    distinct ids (map-side) before the flag join.  The three sentinel rows are added so facts that point at them keep
+    referential integrity.  ``keys``: person_id and person_sk of the key map, which holds the sentinels and the roster.
     """
     spark = roster.sparkSession
     sent = spark.createDataFrame(
-        [(p, None, None, None, True, kind, i) for i, (p, kind) in enumerate(SENTINELS)],
-        "person_id string, origin_team string, role string, status string, is_sentinel boolean, "
-        "person_type string, person_order bigint")
+        [(p, None, None, None, True, kind) for p, kind in SENTINELS],
+        "person_id string, origin_team string, role string, status string, is_sentinel boolean, person_type string")
     people = roster.select("person_id", "origin_team", "role", "status", F.lit(False).alias("is_sentinel"),
-                           F.lit(MEMBER_TYPE).alias("person_type"), F.col("person_order").cast("bigint"))
+                           F.lit(MEMBER_TYPE).alias("person_type"))
     people = people.unionByName(sent)
     act = active.select("person_id").distinct().withColumn("__act", F.lit(True))
-    p = (people.join(act, "person_id", "left")
-               .withColumn("had_activity", F.col("__act").isNotNull()))
-    p = windows.ordinal(p, [], ["person_order"], "person_sk")
-    return p.select(F.col("person_sk").cast("bigint"), "person_id", "origin_team", "role", "status",
-                    "is_sentinel", "person_type", "had_activity")
+    p = people.join(keys, "person_id").join(act, "person_id", "left")
+    return p.select("person_sk", "person_id", "origin_team", "role", "status",
+                    "is_sentinel", "person_type", F.col("__act").isNotNull().alias("had_activity"))
 
 
 def dim_team(teams: DataFrame, activity: DataFrame, roster: DataFrame) -> DataFrame:
-    """Team dimension (D3): creation, last activity, days of life and roster size.
+    """Team dimension (D3): surrogate key, creation, last activity, days of life and roster size.
 
-    ``teams``: team, created_at.  ``activity``: team, ts (one row per fact row).
+    ``teams``: team_sk, team, created_at.  ``activity``: team, ts (one row per fact row).
     ``roster``: team (one row per member).  Both are reduced per team
     (map-side partial aggregation) before they meet the team rows.
     """
     last = activity.groupBy("team").agg(F.max("ts").alias("last_activity_at"))
     size = roster.groupBy("team").agg(F.count(F.lit(1)).alias("members"))
     return (teams.join(last, "team", "left").join(size, "team", "left")
-                 .select("team", "created_at", "last_activity_at",
+                 .select("team_sk", "team", "created_at", "last_activity_at",
                          F.datediff(F.to_date("last_activity_at"), F.to_date("created_at")).alias("days_of_life"),
                          F.coalesce("members", F.lit(0)).cast("bigint").alias("members")))

@@ -11,9 +11,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowcube.sources import io
+
+#: Sums of 64-bit hashes; values and characters that a profile shows.
+HASH_SUM, SAMPLES, SHOWN = "decimal(38,0)", 3, 60
 GATE_COLUMNS = ["gate", "observed", "expected", "ok"]
 
 
@@ -83,24 +87,119 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return one.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, nulls)")
 
 
+def fingerprint(df: DataFrame) -> DataFrame:
+    """Fingerprint of a table as a multiset of rows, one scan (Q1, Q4, Q5): per column rows, nulls and the sum of its
+    values' 64-bit hashes; the row of column '*' sums hashes of whole rows.
+
+    Sums do not depend on order or partitioning and count repeated rows; equal tables have equal fingerprints, and tables that
+    differ have equal ones by a chance of 2^-64 a column.
+    """
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    aggs = [F.count(F.lit(1)).alias("rows"), F.sum(whole.cast(HASH_SUM)).alias("h")]
+    for i, c in enumerate(df.columns):
+        aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"), F.sum(F.xxhash64(F.col(f"`{c}`")).cast(HASH_SUM)).alias(f"h{i}")]
+    rows = [F.struct(F.lit("*").alias("column_name"), F.lit(0).cast("bigint").alias("nulls"), F.col("h").alias("hash"))]
+    rows += [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("nulls"), F.col(f"h{i}").alias("hash")) for i, c in enumerate(df.columns)]
+    return df.agg(*aggs).select("rows", F.explode(F.array(*rows)).alias("x")).select("x.column_name", "rows", "x.nulls", "x.hash")
+
+
+def round_trip(tables: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Gates of copies against their sources (name -> source, copy): rows, nulls per column, columns and rows that differ.
+
+    One scan a side.  Rows are only compared where fingerprints differ: both sides are then subtracted as multisets.
+    """
+    from flowcube.operators.materialize import materialize
+    sides = []
+    for name, (source, copy) in tables.items():
+        s, c = (fingerprint(df).select("column_name", *[F.col(x).alias(f"{x}_{tag}") for x in ("rows", "nulls", "hash")])
+                for df, tag in ((source, "s"), (copy, "c")))
+        sides.append(s.join(c, "column_name", "full").withColumn("table_name", F.lit(name)))
+    both = materialize(union_all(sides).withColumn("same", F.col("hash_s").eqNullSafe(F.col("hash_c")) & F.col("nulls_s").eqNullSafe(F.col("nulls_c"))))
+    differ = [r.table_name for r in both.filter((F.col("column_name") == "*") & (~F.col("same") | ~F.col("rows_s").eqNullSafe(F.col("rows_c"))))
+              .select("table_name").collect()]  # names of this call only
+
+    def gate(df, name, observed, expected):
+        return df.select(name.alias("gate"), observed.cast("string").alias("observed"), expected.cast("string").alias("expected"))
+
+    cols = both.filter("column_name <> '*'")
+    parts = [
+        gate(both.filter("column_name = '*'"), F.concat(F.lit("rows_eq_source:"), "table_name"), F.col("rows_c"), F.col("rows_s")),
+        gate(cols, F.concat(F.lit("nulls_eq_source:"), "table_name", F.lit("."), "column_name"), F.col("nulls_c"), F.col("nulls_s")),
+        gate(cols.groupBy("table_name").agg(F.count_if(~F.col("same")).alias("n")), F.concat(F.lit("columns_that_differ:"), "table_name"),
+             F.col("n"), F.lit(0))]
+    for name, (source, copy) in tables.items():
+        if name in differ:
+            n = symmetric_difference(source, copy).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(gate(n, F.lit(f"rows_that_differ:{name}"), F.col("n"), F.lit(0)))
+    equal = both.filter("column_name = '*'").filter(~F.col("table_name").isin(differ)) if differ else both.filter("column_name = '*'")
+    parts.append(gate(equal, F.concat(F.lit("rows_that_differ:"), "table_name"), F.lit(0), F.lit(0)))
+    return union_all(parts).withColumn("ok", F.col("observed").eqNullSafe(F.col("expected")))
+
+
+def observed_class(c: str, dtype: str) -> F.Column:
+    """Class of one value by its content: 0 integer, 1 real, 2 date, 3 date and time, 4 text, 5 array; the column's is the widest."""
+    v = F.col(f"`{c}`")
+    if dtype.startswith("array"):
+        return F.lit(5)
+    if dtype in ("float", "double") or dtype.startswith("decimal"):
+        return F.when(v == F.floor(v), 0).otherwise(1)
+    if dtype.startswith("timestamp"):
+        return F.when(v == F.date_trunc("DAY", v), 2).otherwise(3)
+    if dtype == "date":
+        return F.lit(2)
+    if dtype == "string":
+        return (F.when(v.rlike(io.RE_INT), 0).when(v.rlike(io.RE_REAL), 1).when(v.rlike(io.RE_DATE), 2)
+                 .when(v.rlike(io.RE_TIMESTAMP), 3).otherwise(4))
+    return F.lit(0)
+
+
 def column_profile(df: DataFrame, name: str) -> DataFrame:
-    """Per column: type, rows, nulls, distinct values, min and max as text.
+    """Per column: declared and observed type, rows, nulls, distinct values, least and greatest value and the first
+    SAMPLES distinct values in file order (S18); values are shown by their first SHOWN characters.
 
-    Each column is one pruned scan reduced to its distinct values with counts (map-side combined), so no
-    row is multiplied by the number of columns.  Arrays have no min and max.
+    One scan unpivots the rows to (column, 16-byte hash of the value, class, record number), combined by hash before the shuffle: no
+    value travels.  Record numbers are places in the files; the few sampled records are read again for their values.  A
+    second scan takes least and greatest values, cut to SHOWN characters.  Arrays have no order and no samples.
     """
-    parts = []
-    for i, (c, dtype) in enumerate(df.dtypes):
-        per = df.select(F.col(c).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        none = F.lit(None).cast("string")
-        low, high = (none, none) if dtype.startswith("array") else (F.min("v").cast("string"), F.max("v").cast("string"))
-        parts.append(per.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
-            F.count_if(F.col("v").isNotNull()).alias("distinct_values"), low.alias("min_value"), high.alias("max_value")).select(
-            F.lit(name).alias("table_name"), F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(dtype).alias("type_name"),
-            "rows", "nulls", "distinct_values", "min_value", "max_value"))
-    return union_all(parts)
+    from flowcube.operators.materialize import materialize
+    table = io.placed_records(df, "__at")
+    dtypes = df.dtypes
+    def digest(c):
+        return F.unhex(F.md5(F.coalesce(F.to_json(F.struct(F.col(f"`{c}`").alias("v"))), F.lit("")).cast("binary")))
+    cells = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("position"), F.when(F.col(f"`{c}`").isNotNull(), digest(c)).alias("hash"),
+        F.when(F.col(f"`{c}`").isNotNull(), observed_class(c, d)).alias("class")) for i, (c, d) in enumerate(dtypes)]))
+    per = table.select("__at", cells.alias("x")).groupBy("x.position", "x.hash").agg(
+        F.count(F.lit(1)).alias("n"), F.max("x.class").alias("class"), F.min("__at").alias("first_at"))
+    per = materialize(per)
+    cls = F.collect_set("class")  # at most six
+    sums = per.groupBy("position").agg(F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("hash").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+                                       F.count("hash").alias("distinct_values"), cls.alias("classes"))
+    has = lambda *cs: F.size(F.array_except("classes", F.array(*[F.lit(c) for c in cs]))) == 0
+    observed = (F.when(F.size("classes") == 0, "TEXT").when(has(0), "INTEGER").when(has(0, 1), "REAL").when(has(2), "DATE")
+                 .when(has(2, 3), "DATETIME").when(has(5), "ARRAY").otherwise("TEXT"))
+    # first distinct values: their record numbers, then their values from those records
+    place = Window.partitionBy("position").orderBy("first_at")
+    wanted = [i for i, (_, d) in enumerate(dtypes) if not d.startswith("array")]
+    first = (per.filter(F.col("hash").isNotNull() & F.col("position").isin(wanted)).withColumn("k", F.row_number().over(place))
+             .filter(F.col("k") <= SAMPLES).select("position", "k", F.col("first_at").alias("__at")))
+    shown = lambda c: F.substring(F.col(f"`{c}`").cast("string"), 1, SHOWN)
+    values = F.array(*[shown(c) if i in wanted else F.lit(None).cast("string") for i, (c, _) in enumerate(dtypes)])
+    sampled = (table.join(F.broadcast(first), "__at").select("position", "k", F.get(values, F.col("position")).alias("v"))  # SAMPLES rows a column
+               .groupBy("position").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("vs")))
+    sampled = sampled.select("position", F.array_join(F.transform("vs", lambda x: x["v"]), " | ").alias("samples"))
+    bounds = df.agg(*[f(shown(c) if d == "string" else F.col(f"`{c}`")).cast("string").alias(f"{tag}{i}")
+                      for i, (c, d) in enumerate(dtypes) if i in wanted for f, tag in ((F.min, "low"), (F.max, "high"))])
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(d).alias("type_name"),
+        (F.col(f"low{i}") if i in wanted else F.lit(None).cast("string")).alias("min_value"),
+        (F.col(f"high{i}") if i in wanted else F.lit(None).cast("string")).alias("max_value")) for i, (c, d) in enumerate(dtypes)]))
+    every = bounds.select(rows.alias("x")).select("x.*")
+    out = every.join(sums, "position", "left").join(sampled, "position", "left")
+    return out.select(F.lit(name).alias("table_name"), "position", "column_name", "type_name",
+                      F.when(F.col("rows").isNull(), "TEXT").otherwise(observed).alias("observed_type"),
+                      *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("rows", "nulls", "distinct_values")],
+                      "min_value", "max_value", "samples")
 
 
 def symmetric_difference(a: DataFrame, b: DataFrame, label_a: str = "a", label_b: str = "b") -> DataFrame:

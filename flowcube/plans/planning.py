@@ -93,43 +93,89 @@ def q_out_of_scope(spark, sf_dir):
     return out_of_scope(spark, Tables(spark, sf_dir))
 
 
+def coverage_flags(t):
+    """One row per commit and per card (``kind``) with 0/1 flags, by one grouped pass over a union.
+
+    Commits, cards, the lines of cards and the links between commits and cards each bring the flags that they know under (kind, number);
+    the largest flag per key is the answer to "is there one", so no side is made distinct or joined to its owner.
+    Flags and the team's number are integers, which the aggregate updates in place.
+    """
+    from flowcube.functions import text
+    from flowcube.plans import facts
+    names = ["team_no", "own", "person", "linked", "sprint", "sized", "due", "reviewer", "listed", "axis"]
+
+    def part(df, kind, key, **flags):
+        return df.select(F.lit(kind).alias("kind"), key.alias("key"), *[
+            F.coalesce(flags[n].cast("int"), F.lit(0)).alias(n) if n in flags else F.lit(None).cast("int").alias(n) for n in names])
+
+    number = F.broadcast(t.region.select(F.col("r_name").alias("team"), F.col("r_regionkey").alias("team_no")))
+    commits = si.commits(t).join(F.broadcast(si.teams(t)), "team").join(number, "team").withColumn(
+        "own", ~F.col("is_merge") & (F.col("committed_at") >= F.col("created_at")))
+    cards = t.orders.join(si.customer_team(t), F.col("o_custkey") == F.col("c_custkey")).join(number, "team")
+    cited = commits.filter("own").select("team_no", "commit_id", F.explode(text.citations_with_fallback(F.col("title"), F.col("message"))[0]).alias("card"))
+    links = cited.join(cards.select("team_no", F.col("o_orderkey").alias("card")), ["team_no", "card"], "left_semi")
+    both = links.select(F.explode(F.array(F.struct(F.lit("commits").alias("kind"), F.col("commit_id").alias("key")),
+                                          F.struct(F.lit("cards").alias("kind"), F.col("card").alias("key")))).alias("x")).select("x.*")
+    words = t.part.select("p_partkey", F.upper(F.split("p_name", " ")[0]).isin([w for w, _, _ in conc_plan.AXES]).alias("axis"))
+    lines = t.lineitem.join(words, F.col("l_partkey") == F.col("p_partkey"))
+    cust, order = F.col("o_custkey"), F.col("o_orderkey")
+    rows = [
+        part(commits, "commits", F.col("commit_id"), team_no=F.col("team_no"), own=F.col("own"), person=F.col("author_id") % 10 != 0),
+        part(cards, "cards", order, team_no=F.col("team_no"), person=cust % 10 != 0, sprint=si.order_sprint().isNotNull(),
+             sized=F.col("o_orderpriority").isin([p for p, _ in PRIORITY_TO_SIZE]), due=order % facts.DUE_EVERY == 0, reviewer=cust % 4 != 0),
+        part(lines, "cards", F.col("l_orderkey"), axis=F.col("axis"),
+             listed=(F.col("l_linenumber") <= conc_plan.LISTED) & (F.col("l_suppkey") % 10 != 0)),
+        both.select("kind", "key", *[F.lit(1).alias(n) if n == "linked" else F.lit(None).cast("int").alias(n) for n in names])]
+    keyed = reduce(lambda a, b: a.unionByName(b), rows).groupBy("kind", "key").agg(*[F.max(n).alias(n) for n in names])
+    return keyed.join(number, "team_no")
+
+
 def coverage(spark, t):
-    """The twelve measures of the reference (its documents stand in for one more), one aggregate per base table."""
+    """The twelve measures of the reference (its documents stand in for one more), one aggregate per base table.
+
+    A merge request is an order, as a card is: its flags are those of the card.
+    """
     from flowcube.plans import facts
-    links = text_plan.citation_links(t).filter(F.col("is_dangling") == 0)
-    citing = links.select("team", "commit_id").distinct().withColumn("__cites", F.lit(True))
-    cited = links.select("team", "card").distinct().withColumn("__cited", F.lit(True))
-    commits = (si.commits(t).join(F.broadcast(si.teams(t)), "team").join(citing, ["team", "commit_id"], "left")
-               .withColumn("authored", ~F.col("is_merge") & (F.col("committed_at") >= F.col("created_at"))))
-    cards = conc_plan.axis_cards(spark, t).join(cited, ["team", "card"], "left")
-    sized = F.col("priority").isin([p for p, _ in PRIORITY_TO_SIZE])
     docs = t.documents.select("doc_id", F.col("source").alias("team")).join(
         t.labels.select("doc_id").distinct().withColumn("__lab", F.lit(True)), "doc_id", "left")
-    M, has = cv.Measure, lambda c: F.col(c).isNotNull()
-    person = F.col("author_id") % 10 != 0
+    M, has, on = cv.Measure, lambda c: F.col(c).isNotNull(), lambda c: F.coalesce(F.col(c), F.lit(0)) == 1
+    commit, card = F.col("kind") == "commits", F.col("kind") == "cards"
     return cv.coverage([
-        (commits, [
-            M("commits", "author resolved (file)", person, "R01", "commits cannot be attributed to people"),
-            M("commits", "author resolved (authored)", person, "R01, R05", "cadence and concentration by commits lose their owner",
-              F.col("authored")),
-            M("commits", "card number (authored)", has("__cites"), "R04", "commit does not count for any card", F.col("authored"))]),
-        (cards, [
-            M("cards", "sprint", F.col("sprint") != "(sem sprint)", "R02, R04, R05, R06", "card only appears in the all-sprints slice"),
-            M("cards", "assignee resolved", F.col("assignee") != "(vazio)", "R02, R05, R06", "nobody answers for the card"),
-            M("cards", "task axis", F.col("n_axes") > 0, "R06", "card stays out of the axis radar"),
-            M("cards", "size", sized, "R04, R05", "planned vs actual cannot be compared"),
-            M("cards", "cited by a commit", has("__cited"), "R04", "card has no linked commit"),
-            M("cards", "due date", F.col("card") % facts.DUE_EVERY == 0, "-", "nobody can tell whether the card is late")]),
-        (facts.merge_requests(t), [
-            M("merge_requests", "author resolved", person, "R05", "merge request cannot be attributed to a person"),
-            M("merge_requests", "sprint", has("sprint"), "R05", "merge request only appears in the all-sprints slice"),
-            M("merge_requests", "reviewer", has("reviewer_id"), "R02", "waiting for review cannot be attributed")]),
+        (coverage_flags(t), [
+            M("commits", "author resolved (file)", on("person"), "R01", "commits cannot be attributed to people", commit),
+            M("commits", "author resolved (authored)", on("person"), "R01, R05", "cadence and concentration by commits lose their owner",
+              commit & on("own")),
+            M("commits", "card number (authored)", on("linked"), "R04", "commit does not count for any card", commit & on("own")),
+            M("cards", "sprint", on("sprint"), "R02, R04, R05, R06", "card only appears in the all-sprints slice", card),
+            M("cards", "assignee resolved", on("listed"), "R02, R05, R06", "nobody answers for the card", card),
+            M("cards", "task axis", on("axis"), "R06", "card stays out of the axis radar", card),
+            M("cards", "size", on("sized"), "R04, R05", "planned vs actual cannot be compared", card),
+            M("cards", "cited by a commit", on("linked"), "R04", "card has no linked commit", card),
+            M("cards", "due date", on("due"), "-", "nobody can tell whether the card is late", card),
+            M("merge_requests", "author resolved", on("person"), "R05", "merge request cannot be attributed to a person", card),
+            M("merge_requests", "sprint", on("sprint"), "R05", "merge request only appears in the all-sprints slice", card),
+            M("merge_requests", "reviewer", on("reviewer"), "R02", "waiting for review cannot be attributed", card)]),
         (facts.sprints(t), [
             M("sprints", "start and due dates", has("starts_on") & has("due_on"), "R01, R02", "the cadence cannot be cut by sprint")]),
         (docs, [M("documents", "quality label", has("__lab"), "R03", "document quality cannot be assessed")]),
     ])
 
 
+# The teams of the matrix, one column each.
+MATRIX_TEAMS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+def q_coverage_matrix(spark, sf_dir):
+    """Field x team matrix of coverage (A36): one row per file and field, one column of percentages per team."""
+    cov = coverage(spark, Tables(spark, sf_dir)).filter(F.col("file") != "documents")
+    return cov.groupBy("file", "field").pivot("team", MATRIX_TEAMS).agg(F.max("pct"))
+
+
+def q_coverage_worst(spark, sf_dir):
+    """Lowest coverage of each field over the teams."""
+    return cv.worst_by_field(coverage(spark, Tables(spark, sf_dir)))
+
+
 def q_coverage(spark, sf_dir):
     return coverage(spark, Tables(spark, sf_dir))
 
@@ -191,22 +237,27 @@ ROLES = ["owner", "maintainer", "reporter", "guest"]
 
 def q_dim_person(spark, sf_dir):
     """Person dimension over the supplier roster; activity = owner of at least one line item."""
+    from flowcube.plans import keys
     t = Tables(spark, sf_dir)
     roster = conc_plan.supplier_team(t).select(
         F.col("s_suppkey").cast("string").alias("person_id"), F.col("supp_team").alias("origin_team"),
         F.element_at(F.array(*[F.lit(r) for r in ROLES]), (F.col("s_suppkey") % 4 + 1).cast("int")).alias("role"),
-        F.lit("active").alias("status"), (F.col("s_suppkey") + len(dims.SENTINELS)).alias("person_order"))
+        F.lit("active").alias("status"))
     active = t.lineitem.select(F.when(F.col("l_suppkey") % 10 == 0, F.lit(dims.SENTINELS[0][0]))
                                 .otherwise(F.col("l_suppkey").cast("string")).alias("person_id"))
-    return dims.dim_person(roster, active)
+    return dims.dim_person(roster, active, keys.key_map(spark, t, "person"))
 
 
 def q_dim_team(spark, sf_dir):
-    """Team dimension: teams of the orders side, last commit, suppliers of the region as roster."""
+    """Team dimension: regions with last commit and suppliers as roster, and the teams of the board, whose creation is not known."""
+    from flowcube.plans import keys
     t = Tables(spark, sf_dir)
-    activity = si.commits(t).select("team", F.col("authored_at").alias("ts"))
+    board = F.concat(F.lit("T"), (F.col("user_id") % 3).cast("string")).alias("team")
+    activity = si.commits(t).select("team", F.col("authored_at").alias("ts")).union(t.events.select(board, "ts"))
     roster = conc_plan.supplier_team(t).select(F.col("supp_team").alias("team"))
-    return dims.dim_team(si.teams(t), activity, roster)
+    known = keys.key_map(spark, t, "team")
+    teams = known.join(si.teams(t), "team", "left")
+    return dims.dim_team(teams, activity, roster)
 
 
 def q_fact_lead_time(spark, sf_dir):
@@ -223,6 +274,8 @@ QUERIES = {
     "out_of_scope": q_out_of_scope,
     "coverage": q_coverage,
     "coverage_alerts": q_coverage_alerts,
+    "coverage_matrix": q_coverage_matrix,
+    "coverage_worst": q_coverage_worst,
     "scoreboard": q_scoreboard,
     "dim_date": q_dim_date,
     "dim_hour": q_dim_hour,
@@ -337,6 +390,9 @@ ORACLE = {
         FROM pva_ JOIN m USING (team) GROUP BY team""",
     "out_of_scope": PLAN_SQL + "SELECT * FROM oos_",
     "coverage": PLAN_SQL + "SELECT * FROM cov_",
+    "coverage_matrix": PLAN_SQL + "SELECT file, field, " + ", ".join(
+        f"max(pct) FILTER (WHERE team = '{x}') AS \"{x}\"" for x in MATRIX_TEAMS) + " FROM cov_ WHERE file <> 'documents' GROUP BY file, field",
+    "coverage_worst": PLAN_SQL + "SELECT file, field, min(pct) AS worst_pct FROM cov_ GROUP BY file, field",
     "coverage_alerts": PLAN_SQL + """
         , below AS (SELECT * FROM cov_ WHERE pct < 80.0),
         s AS (SELECT team, array_to_string(list_sort(list_distinct(list(screen))), ', ') AS screens
@@ -392,13 +448,16 @@ ORACLE = {
         WITH geo AS (SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
         last AS (SELECT r_name AS team, max(o_orderdate) AS last_activity_at
                  FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey
-                 GROUP BY r_name),
+                 GROUP BY r_name
+                 UNION ALL SELECT 'T' || CAST(user_id % 3 AS VARCHAR), max(ts) FROM events GROUP BY 1),
         size AS (SELECT r_name AS team, count(*) AS members
-                 FROM supplier JOIN geo ON s_nationkey = n_nationkey GROUP BY r_name)
-        SELECT r.r_name AS team, TIMESTAMP '1995-07-01 00:00:00' AS created_at, l.last_activity_at,
-               datediff('day', DATE '1995-07-01', CAST(l.last_activity_at AS DATE)) AS days_of_life,
+                 FROM supplier JOIN geo ON s_nationkey = n_nationkey GROUP BY r_name),
+        every AS (SELECT r_name AS team, TIMESTAMP '1995-07-01 00:00:00' AS created_at FROM region
+                  UNION ALL SELECT *, NULL FROM (VALUES ('T0'), ('T1'), ('T2')))
+        SELECT (SELECT count(*) FROM every o WHERE o.team <= r.team) AS team_sk, r.team, r.created_at, l.last_activity_at,
+               CAST(l.last_activity_at AS DATE) - CAST(r.created_at AS DATE) AS days_of_life,
                CAST(coalesce(s.members, 0) AS BIGINT) AS members
-        FROM region r LEFT JOIN last l ON l.team = r.r_name LEFT JOIN size s ON s.team = r.r_name""",
+        FROM every r LEFT JOIN last l ON l.team = r.team LEFT JOIN size s ON s.team = r.team""",
 }
 
 

@@ -202,14 +202,34 @@ SCHEMAS = {
 }
 
 
+def _observed_sql(c: str, dtype: str) -> str:
+    """Observed type of a column in DuckDB."""
+    if dtype.startswith("array"):
+        return f"CASE WHEN count({c}) = 0 THEN 'TEXT' ELSE 'ARRAY' END"
+    if dtype in ("float", "double"):
+        return f"CASE WHEN count({c}) = 0 THEN 'TEXT' WHEN bool_and({c} = floor({c})) THEN 'INTEGER' ELSE 'REAL' END"
+    if dtype.startswith("timestamp"):
+        return f"CASE WHEN count({c}) = 0 THEN 'TEXT' WHEN bool_and({c} = date_trunc('day', {c})) THEN 'DATE' ELSE 'DATETIME' END"
+    if dtype == "string":
+        every = lambda *patterns: "bool_and(" + " OR ".join(f"regexp_matches({c}, '{p}')" for p in patterns) + ")"
+        return (f"CASE WHEN count({c}) = 0 THEN 'TEXT' WHEN {every(io.RE_INT)} THEN 'INTEGER' WHEN {every(io.RE_INT, io.RE_REAL)} THEN 'REAL' "
+                f"WHEN {every(io.RE_DATE)} THEN 'DATE' WHEN {every(io.RE_DATE, io.RE_TIMESTAMP)} THEN 'DATETIME' ELSE 'TEXT' END")
+    return f"CASE WHEN count({c}) = 0 THEN 'TEXT' ELSE 'INTEGER' END"
+
+
 def _profile_sql():
-    parts = []
+    parts, n = [], quality.SHOWN
     for table in TABLES:
         for i, (c, dtype) in enumerate(x.split() for x in SCHEMAS[table].split(", ")):
-            low, high = ("NULL", "NULL") if dtype.startswith("array") else (f"CAST(min({c}) AS VARCHAR)", f"CAST(max({c}) AS VARCHAR)")
+            plain = not dtype.startswith("array")
+            low, high = (f"substr(CAST(min({c}) AS VARCHAR), 1, {n})", f"substr(CAST(max({c}) AS VARCHAR), 1, {n})") if plain else ("NULL", "NULL")
+            samples = f"""(SELECT string_agg(substr(CAST(v AS VARCHAR), 1, {n}), ' | ' ORDER BY r) FROM (
+                SELECT {c} AS v, min(r) AS r FROM (SELECT {c}, row_number() OVER () AS r FROM {table}) WHERE {c} IS NOT NULL
+                GROUP BY {c} ORDER BY 2 LIMIT {quality.SAMPLES}))""" if plain else "NULL"
             parts.append(f"""SELECT '{table}' AS table_name, {i} AS position, '{c}' AS column_name, '{dtype}' AS type_name,
+                {_observed_sql(c, dtype)} AS observed_type,
                 count(*) AS rows, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(DISTINCT {c}) AS distinct_values,
-                {low} AS min_value, {high} AS max_value FROM {table}""")
+                {low} AS min_value, {high} AS max_value, {samples} AS samples FROM {table}""")
     return " UNION ALL ".join(parts)
 
 
@@ -265,7 +285,7 @@ def _gates_sql(with_sql, specs):
 
 
 ORACLE = {
-    "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in TABLES),
+    "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows, count(*) AS expected, true AS ok FROM {t}" for t in TABLES),
     "grain_uniqueness": _W + """
         SELECT 'lineitem' AS table_name, 'l_orderkey,l_linenumber' AS key_columns, count(*) AS rows,
                count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_keys FROM lineitem

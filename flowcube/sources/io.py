@@ -119,10 +119,37 @@ def strict_cast(raw: DataFrame, spec: dict[str, str]) -> DataFrame:
     return raw.select(*out)
 
 
-def file_hashes(spark: SparkSession, path_glob: str) -> DataFrame:
-    """SHA-256 of each input file (S11), computed by the executors that read them."""
-    return (spark.read.format("binaryFile").load(path_glob)
-            .select("path", "length", F.sha2(F.col("content"), 256).alias("sha256")))
+#: Bytes of a file that a hashing task holds at a time.
+PIECE = 8 << 20
+
+
+def file_hashes(spark: SparkSession, path_glob: str, piece: int = PIECE) -> DataFrame:
+    """SHA-256 of each input file (S11): executors stream the files in pieces, so a file of any size takes constant memory.
+
+    Spark lists the files (no content is loaded); tasks open them by their URI with Arrow's file systems (local, HDFS, object stores).
+    """
+    files = spark.read.format("binaryFile").load(path_glob).select("path", "length")
+
+    def digest(batches):
+        import hashlib
+        import re
+        from urllib.parse import unquote
+
+        import pandas as pd
+        from pyarrow import fs
+        for batch in batches:
+            sums = []
+            for path in batch["path"]:
+                local = re.match(r"file:/+(.*)", path)
+                system, name = (fs.LocalFileSystem(), "/" + unquote(local.group(1))) if local else fs.FileSystem.from_uri(path)
+                sha = hashlib.sha256()
+                with system.open_input_stream(name, buffer_size=0) as stream:
+                    while data := stream.read(piece):
+                        sha.update(data)
+                sums.append(sha.hexdigest())
+            yield pd.DataFrame({"path": batch["path"], "length": batch["length"], "sha256": sums})
+
+    return files.repartition("path").mapInPandas(digest, "path string, length bigint, sha256 string")
 
 
 def manifest_check(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -152,17 +179,42 @@ def overflow_audit(ragged: DataFrame) -> DataFrame:
     return ragged.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__overflow").isNotNull()).alias("overflowing"))
 
 
+def file_order(df: DataFrame) -> DataFrame:
+    """``df`` with __path and __block (where a record was read) and __id, which grows with the place in a block.
+
+    A block is read by one task from its start, and consecutive records get consecutive ids.
+    """
+    return df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"),
+                     F.monotonically_increasing_id().alias("__id"))
+
+
 def number_records(df: DataFrame, out: str = "record_no") -> DataFrame:
-    """1-based record numbers in reading order for a table without a key.
+    """1-based record numbers in file order for a table without a key (S5): files by path, records by their place in the file.
 
-    The reading position is written out first, so that a retried task cannot number rows anew; the numbers
-    come from the split ordinal, not from one task.
+    ``df`` must come straight from files.  Spark packs files into tasks by size, so places are
+    written out with the rows once (a retried task cannot number anew); blocks in order get offsets from their small
+    table of counts, and a record's number is its block's offset and its place in the block.  Nothing is sorted but the blocks.
     """
-    from flowcube.operators import windows
+    from pyspark.sql import Window
+
     from flowcube.operators.materialize import materialize
 
-    placed = materialize(df.withColumn("__at", F.monotonically_increasing_id()))
-    return windows.ordinal(placed, [], ["__at"], out).withColumn(out, F.col(out).cast("bigint")).drop("__at")
+    placed = materialize(file_order(df))
+    blocks = placed.groupBy("__path", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    before = Window.orderBy("__path", "__block").rowsBetween(Window.unboundedPreceding, -1)  # one row per block of a file
+    blocks = blocks.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    numbered = placed.join(blocks, ["__path", "__block"])
+    return numbered.withColumn(out, (F.col("__offset") + F.col("__id") - F.col("__first") + 1).cast("bigint")).drop(
+        "__path", "__block", "__id", "__n", "__first", "__offset")
+
+
+def placed_records(df: DataFrame, out: str) -> DataFrame:
+    """``df``, read straight from Parquet, with a record number in ``out``: files by path, then the row's index in its file; not gapless."""
+    from pyspark.sql import Window
+    files = df.select(F.col("_metadata.file_path").alias("__path")).distinct()
+    files = files.withColumn("__file", F.row_number().over(Window.orderBy("__path")))  # one row per file
+    rows = df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    return rows.join(files, "__path").withColumn(out, F.shiftleft(F.col("__file").cast("bigint"), 40) + F.col("__row")).drop("__path", "__file", "__row")
 
 
 def copy_table(df: DataFrame, path: str, timestamps: list[str]) -> DataFrame:
@@ -205,10 +257,14 @@ def first_records(df: DataFrame, n: int = 10) -> DataFrame:
 
 
 def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    """One row per table with its row count (S17), as a union of counts."""
-    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-             for name, df in frames.items()]
+    """One row per table (S17, Q1): rows read, rows that the files hold by their last row's index, and whether they agree."""
+    parts = []
+    for name, df in frames.items():
+        files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")).groupBy("f").agg(
+            F.count(F.lit(1)).alias("n"), (F.max("i") + 1).alias("m"))
+        parts.append(files.agg(F.lit(name).alias("table_name"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                               F.coalesce(F.sum("m"), F.lit(0)).alias("expected")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.withColumn("ok", F.col("rows") == F.col("expected"))

@@ -58,6 +58,56 @@ def test_record_numbers_follow_the_file(spark, tmp_path):
     assert [(r["record_no"], r["id"]) for r in rows] == [(1, 5), (2, 3), (3, 9), (4, 1)]
 
 
+def test_record_numbers_follow_paths_whatever_the_sizes(spark, tmp_path):
+    """Spark reads large files first; numbers go by path, and by the place within a file."""
+    want = []
+    for name, n in (("a.csv", 3), ("b.csv", 500), ("c.csv", 4000), ("d.csv", 0), ("e.csv", 1)):
+        ids = [len(want) + i for i in range(n)]
+        want += ids
+        write(tmp_path, name, b"id,title,day\n" + b"".join(b"%d,title of the row,d\n" % i for i in ids))
+    df = io.read_csv(spark, f"file://{tmp_path}/*.csv", SCHEMA)
+    assert [r["id"] for r in df.collect()] != want
+    rows = io.number_records(df)
+    assert rows.columns == ["id", "title", "day", "record_no"]
+    assert {r["id"]: r["record_no"] for r in rows.collect()} == {i: i + 1 for i in want}
+
+
+def test_hashes_are_streamed_in_pieces(spark, tmp_path):
+    import hashlib
+    data = {"a b.bin": b"x" * 1000, "big.bin": bytes(range(256)) * 5000, "empty.bin": b""}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    out = {r["path"].rsplit("/", 1)[1]: (r["length"], r["sha256"]) for r in io.file_hashes(spark, f"file://{tmp_path}/*.bin", piece=97).collect()}
+    want = {name: (len(c), hashlib.sha256(c).hexdigest()) for name, c in data.items()}
+    assert {k.replace("%20", " "): v for k, v in out.items()} == want
+
+
+def test_manifest_before_and_after(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.bin").write_bytes(b"%d" % i)
+    manifest = spark.createDataFrame(io.file_hashes(spark, f"file://{tmp_path}/*.bin").collect())
+    assert io.manifest_check(io.file_hashes(spark, f"file://{tmp_path}/*.bin"), manifest).filter("not ok").count() == 0
+    (tmp_path / "1.bin").write_bytes(b"changed")
+    (tmp_path / "2.bin").rename(tmp_path / "3.bin")
+    bad = io.manifest_check(io.file_hashes(spark, f"file://{tmp_path}/*.bin"), manifest).filter("not ok").collect()
+    assert sorted(r["path"].rsplit("/", 1)[1] for r in bad) == ["1.bin", "2.bin", "3.bin"]
+
+
+def test_first_records_are_records_not_lines(spark, tmp_path):
+    path = write(tmp_path, "f.csv", b'id,title,day\n1,"two\nlines",a\n2,"and\nthree\nmore",b\n3,x,c\n')
+    rows = io.first_records(io.read_csv(spark, path, SCHEMA), 2).collect()
+    assert [(r["id"], r["title"]) for r in rows] == [(1, "two\nlines"), (2, "and\nthree\nmore")]
+
+
+def test_table_counts_have_an_expected_side(spark, tmp_path):
+    spark.range(1000).repartition(4).write.parquet(f"{tmp_path}/t")
+    spark.range(0).write.parquet(f"{tmp_path}/none")
+    read = lambda n: spark.read.parquet(f"{tmp_path}/{n}")
+    out = {r["table_name"]: tuple(r)[1:] for r in io.table_counts({"t": read("t"), "none": read("none"), "lost": read("t").filter("id < 900")}).collect()}
+    assert out["t"] == (1000, 1000, True) and out["none"] == (0, 0, True)
+    assert out["lost"][0] == 900 and out["lost"][2] is False
+
+
 def test_copy_casts_texts_and_keeps_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, "2024-01-02 03:04:05"), (2, None)], "id int, at string")
     back = io.copy_table(df, f"file://{tmp_path}/copy", ["at"])

@@ -51,3 +51,46 @@ def test_gates_on_broken_tables(spark):
         quality.assert_gates(quality.gate_rows(one, [("cd", "c", "d")])).collect()
     d = quality.symmetric_difference(child.select("id"), spark.createDataFrame([(1,), (4,)], "id long"))
     assert sorted((r["id"], r["only_in"]) for r in d.collect()) == [(1, "a"), (2, "a"), (3, "a"), (4, "b")]
+
+
+def test_round_trip_sees_every_kind_of_difference(spark):
+    rows = [(1, "a", [1.0]), (2, None, None), (2, None, None), (3, "c", [2.0, 0.5])]
+    schema = "id long, t string, v array<float>"
+    source = spark.createDataFrame(rows, schema)
+    copies = {"same": list(reversed(rows)), "value": [(1, "A", [1.0]), *rows[1:]], "lost": rows[:3], "null": [(1, None, [1.0]), *rows[1:]],
+              "twice": [rows[0], rows[0], rows[1], rows[3]], "array": [*rows[:3], (3, "c", [0.5, 2.0])],
+              "swapped": [(1, "c", [1.0]), *rows[1:3], (3, "a", [2.0, 0.5])]}  # equal columns, other rows
+    gates = quality.round_trip({n: (source, spark.createDataFrame(c, schema)) for n, c in copies.items()}).collect()
+    assert len(gates) == len(copies) * 6
+    bad = {}
+    for g in gates:
+        if not g["ok"]:
+            kind, table = g["gate"].split(":")
+            bad.setdefault(table.split(".")[0], set()).add(kind)
+    cols, row = "columns_that_differ", "rows_that_differ"
+    assert bad == {"value": {cols, row}, "lost": {"rows_eq_source", cols, row}, "null": {"nulls_eq_source", cols, row},
+                   "twice": {"nulls_eq_source", cols, row}, "array": {cols, row}, "swapped": {row}}
+    n = {g["gate"]: g["observed"] for g in gates}
+    assert n["rows_that_differ:value"] == "2" and n["rows_that_differ:lost"] == "1" and n["rows_that_differ:swapped"] == "4"
+
+
+def test_profile_of_observed_types_and_first_values(spark, tmp_path):
+    rows = [(i, str(i % 7) if i != 5 else None, "2024-01-%02d" % (i % 9 + 1), ("x" * 100 if i else "1.5"), [1.0, float(i)], float(i), i + 0.5, None)
+            for i in range(50)]
+    spark.createDataFrame(rows, "a long, i string, d string, t string, v array<float>, whole double, half double, none string").coalesce(1) \
+         .selectExpr("*", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(a as int)) as day").write.parquet(f"{tmp_path}/t")
+    out = {r["column_name"]: r for r in quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()}
+    assert {c: r["observed_type"] for c, r in out.items()} == {
+        "a": "INTEGER", "i": "INTEGER", "d": "DATE", "t": "TEXT", "v": "ARRAY", "whole": "INTEGER", "half": "REAL", "none": "TEXT", "day": "DATE"}
+    assert out["i"]["samples"] == "0 | 1 | 2" and out["d"]["samples"] == "2024-01-01 | 2024-01-02 | 2024-01-03"
+    assert out["t"]["samples"] == "1.5 | " + "x" * 60 and out["t"]["max_value"] == "x" * 60 and out["t"]["distinct_values"] == 2
+    assert (out["i"]["rows"], out["i"]["nulls"], out["i"]["distinct_values"]) == (50, 1, 7)
+    assert (out["none"]["nulls"], out["none"]["distinct_values"], out["none"]["samples"]) == (50, 0, None)
+    assert out["v"]["distinct_values"] == 50 and out["v"]["samples"] is None
+
+
+def test_profile_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "a long, t string").write.parquet(f"{tmp_path}/t")
+    out = quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()
+    assert [(r["column_name"], r["observed_type"], r["rows"], r["min_value"], r["samples"]) for r in out] == [
+        ("a", "TEXT", 0, None, None), ("t", "TEXT", 0, None, None)]
