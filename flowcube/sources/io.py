@@ -126,7 +126,7 @@ PIECE = 8 << 20
 def file_hashes(spark: SparkSession, path_glob: str, piece: int = PIECE) -> DataFrame:
     """SHA-256 of each input file (S11): executors stream the files in pieces, so a file of any size takes constant memory.
 
-    Spark lists the files (no content is loaded); tasks open them by their URI with Arrow's file systems (local, HDFS, object stores).
+    Spark lists the files (no content is loaded, and empty files are left out, as by all its readers); tasks open them by their URI with Arrow's file systems (local, HDFS, object stores).
     """
     files = spark.read.format("binaryFile").load(path_glob).select("path", "length")
 

@@ -78,7 +78,7 @@ def test_hashes_are_streamed_in_pieces(spark, tmp_path):
     for name, content in data.items():
         (tmp_path / name).write_bytes(content)
     out = {r["path"].rsplit("/", 1)[1]: (r["length"], r["sha256"]) for r in io.file_hashes(spark, f"file://{tmp_path}/*.bin", piece=97).collect()}
-    want = {name: (len(c), hashlib.sha256(c).hexdigest()) for name, c in data.items()}
+    want = {name: (len(c), hashlib.sha256(c).hexdigest()) for name, c in data.items() if c}  # Spark's listing leaves empty files out
     assert {k.replace("%20", " "): v for k, v in out.items()} == want
 
 
