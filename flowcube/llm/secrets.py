@@ -5,7 +5,8 @@ rule is dropped and not retried): ``assign``, ``access``, ``hex``.
 
 The method adds kind ``random``.  A candidate is a run of 20 or more characters
 of the usual encodings.  Its encoding is the smallest listed alphabet (size k)
-that holds it.  Three tests look for departures from independent uniform symbols:
+that holds it; a run that none holds ('/' or '+' beside '-' or '_', as in a URL path) is cut at '/' and '+', and its parts
+of 20 or more characters are candidates, with their own positions.  Three tests look for departures from independent uniform symbols:
   * chi-squared of symbol counts (mean k-1, exact multinomial variance),
   * Wald-Wolfowitz runs above and below the middle of the alphabet,
   * lag-1 serial correlation of symbol indices.
@@ -41,6 +42,8 @@ PATTERNS = {
     "random": (r"[A-Za-z0-9+/_-]{20,}={0,2}", 0, 20),
 }
 KINDS = list(PATTERNS)
+#: A part of a run that fits no alphabet.
+PART = r"[A-Za-z0-9_-]+={0,2}"
 #: Encoding: pattern of the whole token and its alphabet, smallest first.
 DIGITS, LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 ENCODINGS = {
@@ -75,10 +78,33 @@ def matches(text: Column, kind: str) -> Column:
                            lambda x, n: F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), n.alias("nth"), F.length(x["s"]).alias("skip"),
             F.length(x["m"]).alias("len"), (F.length(x["g"]) >= least).alias("ok"), F.lit(None).cast("string").alias("token")))
+    if kind == "random":
+        return candidates(F.arrays_zip(found.alias("m"), F.slice(gaps, 1, F.size(found)).alias("s")))
     return F.transform(F.arrays_zip(found.alias("m"), F.slice(gaps, 1, F.size(found)).alias("s")), lambda x, n: F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), n.alias("nth"), F.length(x["s"]).alias("skip"),
-        F.length(x["m"]).alias("len"), (F.length(x["m"]) >= least).alias("ok"),
-        (x["m"] if kind == "random" else F.lit(None).cast("string")).alias("token")))
+        F.length(x["m"]).alias("len"), (F.length(x["m"]) >= least).alias("ok"), F.lit(None).cast("string").alias("token")))
+
+
+def candidates(runs: Column) -> Column:
+    """The array of ``matches`` for the runs (m, after the gap s): a run that fits an alphabet, or the parts of one that fits none.
+
+    Parts are consecutive: what is between them is the next part's gap, what follows the last one is a match of no length.
+    """
+    def piece(skip, token, least):
+        return F.struct(skip.alias("skip"), F.length(token).alias("len"), (F.length(token) >= least).alias("ok"), token.alias("token"))
+
+    def parts(x):
+        found = F.regexp_extract_all(x["m"], F.lit(PART), F.lit(0))
+        gaps = F.split(x["m"], PART, -1)  # one more than parts: a gap before each, and the rest
+        return F.transform(F.concat(found, F.array(F.lit(""))), lambda t, i: piece(
+            F.length(F.get(gaps, i)) + F.when(i == 0, F.length(x["s"])).otherwise(0), t, PATTERNS["random"][2]))
+
+    mixed = lambda x: x["m"].rlike("[/+]") & x["m"].rlike("[-_]")
+    pieces = F.flatten(F.transform(runs, lambda x: F.when(mixed(x), parts(x)).otherwise(
+        F.array(piece(F.length(x["s"]), x["m"], PATTERNS["random"][2])))))
+    return F.transform(pieces, lambda p, n: F.struct(
+        F.lit(KINDS.index("random")).alias("kind"), n.alias("nth"), p["skip"].alias("skip"), p["len"].alias("len"), p["ok"].alias("ok"),
+        F.when(p["ok"], p["token"]).alias("token")))
 
 
 def ordinary(docs: DataFrame) -> dict[str, int]:
@@ -143,8 +169,8 @@ def battery(tokens: DataFrame, logs: dict[str, list[float]]) -> DataFrame:
             F.lit(name).alias("enc"), F.lit(len(letters)).alias("k"), F.lit(letters).alias("alphabet"))).otherwise(code)
     t = tokens.withColumn("body", body).withColumn("code", code).select("*", "code.enc", "code.k", "code.alphabet").drop("code")
     t = t.withColumn("n", F.when(F.col("enc").isNotNull(), F.length("body").cast("double")))
-    # symbol indices 0..k-1 of the token, in order
-    t = t.withColumn("ix", F.expr("transform(split(body, ''), c -> instr(alphabet, c) - 1)"))
+    # symbol indices 0..k-1 of the token, in order; null, and with it all that follows, where nothing is tested
+    t = t.withColumn("ix", F.expr("case when enc is not null and length(body) > 1 then transform(split(body, ''), c -> instr(alphabet, c) - 1) end"))
     t = t.withColumn("ix", F.expr("filter(ix, i -> i >= 0)"))
     t = t.withColumn("squares", F.expr(
         "aggregate(transform(sequence(0, k - 1), s -> size(filter(ix, i -> i = s))), 0D, (a, c) -> a + 1D * c * c)"))
@@ -161,11 +187,11 @@ def battery(tokens: DataFrame, logs: dict[str, list[float]]) -> DataFrame:
     chi = F.expr("(k * squares / n - n - (k - 1)) / sqrt(2D * (k - 1) * (n - 1) / n)")
     t = t.withColumn("high", F.expr("1D * size(filter(ix, i -> 2 * i >= k))")).withColumn("low", F.expr("n - high"))
     t = t.withColumn("runs", F.expr(
-        "1D + size(filter(sequence(1, size(ix) - 1), j -> (2 * ix[j] >= k) <> (2 * ix[j - 1] >= k)))"))
+        "1D + size(filter(sequence(1, size(ix) - 1), j -> (2 * get(ix, j) >= k) <> (2 * get(ix, j - 1) >= k)))"))
     t = t.withColumn("rv", F.expr("2D * high * low * (2D * high * low - n) / (n * n * (n - 1))"))
     runs = F.expr("case when rv > 0 then (runs - (2D * high * low / n + 1)) / sqrt(rv) else 9D end")
     t = t.withColumn("lag", F.expr(
-        "aggregate(sequence(1, size(ix) - 1), 0D, (a, j) -> a + (ix[j] - (k - 1) / 2D) * (ix[j - 1] - (k - 1) / 2D))"))
+        "aggregate(sequence(1, size(ix) - 1), 0D, (a, j) -> a + (get(ix, j) - (k - 1) / 2D) * (get(ix, j - 1) - (k - 1) / 2D))"))
     serial = F.expr("lag / (sqrt(n - 1) * (k * k - 1) / 12D)")
     tests = [upper_tail(chi), 2 * upper_tail(F.abs(runs)), 2 * upper_tail(F.abs(serial))]
     fisher = sum((-F.log(F.greatest(p, F.lit(1e-300))) for p in tests), F.lit(0.0))

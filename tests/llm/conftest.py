@@ -46,6 +46,8 @@ def corpus():
     add(119, "aaaa " * 100 + "=" * 300 + " " * 50 + "b" * 500, "s1")
     add(120, base[0], "s0")
     add(120, base[0], "s0")  # a repeated row
+    add(121, base[3] + " https://example.com/docs/user-guide/index-of+all_pages " + "/-" * 30, "s0")  # runs of no one alphabet
+    add(122, "/docs/user-guide/install-notes " + prose(rng, 60, 3000), "s2")
     add(None, base[1], "s0")
     add(None, None, None, None)
     add(-7, base[2] + " tail", "s2")

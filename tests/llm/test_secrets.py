@@ -95,3 +95,48 @@ def test_few_random_tokens_are_found_among_ordinary_ones(spark):
     found = {r["doc_id"]: [rows[r["doc_id"]][1][s["begin"]:s["end"]] for s in r["spans"]] for r in got}
     assert all(found.get(i) == [t] for i, t in secret.items()), found
     assert len(found) <= len(secret) + 2, found
+
+
+def separated():
+    """Runs that no alphabet holds, and what a reader of the rule finds in them: (text, random-looking parts)."""
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    out = [("see https://example.com/docs/user-guide/index", []), ("/docs/user-guide/install-notes and", []),
+           ("-/-/-/-/-/-/-/-/-/-/-/-/-/-/-", []), ("a" * 10 + "/" + "b-" * 20, []), ("-" * 30, []), ("+/" * 20, []), ("_" * 19 + "/-", []),
+           ("++++++++++++++++++++++-", []), ("x/y-z" * 200, []), ("/" * 500 + "-" + "+" * 500, [])]
+    for i in range(40):
+        a, b = key(40), key(44)
+        out.append((f"é go to https://example.com/a-b/{a}/c_d+{b}==, {i}", [a, b + "=="]))
+    return out
+
+
+def test_runs_that_fit_no_alphabet_are_cut_and_tested(spark):
+    rows = [(i, t) for i, (t, _) in enumerate(separated())] + [(1000 + i, "the path /docs/user-guide/install-notes/of-the-day and words") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r["spans"] for r in S.find_secrets(df, ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    text = dict(rows)
+    parts = {i: [text[i][s["begin"]:s["end"]] for s in got[i]] for i in got}
+    for i, (_, want) in enumerate(separated()):
+        assert set(parts[i]) <= set(want), parts[i]  # places are exact, and nothing ordinary is found
+    keys = sum(len(w) for _, w in separated())
+    assert sum(len(parts[i]) for i in range(len(separated()))) >= 0.95 * keys
+    assert not any(parts[i] for i in parts if i >= 1000)
+    assert S.redact(df).count() == len(rows)
+
+
+def test_parts_keep_the_lengths_of_runs(spark):
+    """Gaps and lengths of the parts add up, so places after a cut run are right."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(200):
+        run = "".join(rng.choice(["a", "Bc9", "/", "+", "-", "_", "word", "k" * 25]) for _ in range(rng.randint(8, 30)))
+        rows.append((i, f"é {run} x {run}="))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    flat = S.located(df, ["doc_id"]).filter("kind = 3").collect()
+    assert len(flat) > 100
+    for r in flat:
+        part = rows[r["doc_id"]][1][r["begin"]:r["end"]]
+        assert len(part.rstrip("=")) == r["n"] and re.fullmatch("[A-Za-z0-9+/_-]{20,}={0,2}", part)
+        assert not (set(part) & set("/+") and set(part) & set("-_"))
