@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -82,8 +83,13 @@ def placed(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], lis
     return shift.tolist(), keys.tolist(), values.tolist()
 
 
-def rank_map(tokens: list[bytes]) -> Column:
-    """Literal rank map as arrays: ``shift`` by bucket, ``keys`` and ``joined`` by place, ids of the 256 bytes."""
+@lru_cache(maxsize=4)
+def rank_map(vocabulary: str) -> Column:
+    """Literal rank map as arrays: ``shift`` by bucket, ``keys`` and ``joined`` by place, ids of the 256 bytes.
+
+    The literal is made once per vocabulary and shared by all plans of the application.
+    """
+    tokens = read_ranks(vocabulary)
     rank = {t: i for i, t in enumerate(tokens)}
     pairs = {}
     for token, c in rank.items():
@@ -236,15 +242,17 @@ def encode(docs: DataFrame, vocabulary: str, keep: list[str], pattern: str = pub
                 *[d[c].alias(c) for c in keep], F.flatten(F.transform(d["codes"], lambda c: F.get(coded, c))).alias("ids")))
         return let(F.transform("words", lambda w: merge_word(w, ranks).cast("array<int>")), of_docs)
 
-    each = words.select(F.explode(let(rank_map(read_ranks(vocabulary)), encoded)).alias("doc"))
+    each = words.select(F.explode(let(rank_map(vocabulary), encoded)).alias("doc"))
     return each.select(*[F.col("doc").getField(c).alias(c) for c in [*keep, "ids"]])
 
 
+@lru_cache(maxsize=4)
 def pieces_hex(vocabulary: str) -> Column:
     """Literal array: bytes of every token, as hexadecimal text."""
     return _numbers((t.hex() for t in read_ranks(vocabulary)), "string")
 
 
+@lru_cache(maxsize=4)
 def ids_hex(vocabulary: str) -> Column:
     """Literal array: every id as a little-endian unsigned 32-bit integer, as hexadecimal text."""
     return _numbers((i.to_bytes(4, "little").hex() for i in range(len(read_ranks(vocabulary)))), "string")

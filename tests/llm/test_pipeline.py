@@ -40,7 +40,7 @@ def test_stages_one_after_the_other_match_brute_force(spark, docs, rows):
 
 def test_every_stage_takes_an_empty_table(spark, empty):
     for name, stage in corpus_pipeline.STAGES:
-        assert stage(spark, empty, "").count() == 0, name
+        assert stage(spark, corpus_pipeline.materialize(empty), "").count() == 0, name
 
 
 def test_one_of_each_matches_five_words_and_eighty_percent(spark):
@@ -95,14 +95,18 @@ def test_result_carries_the_place_in_the_mix(spark):
     size = {t: len(t) for _, t, *_ in rows}
     mixed = corpus_pipeline.materialize(corpus_pipeline.mix(spark, df, ""))
     got = corpus_pipeline.materialize(corpus_pipeline.tokens(spark, mixed, ""))
-    order = sorted(got.collect(), key=lambda r: (r["mix_slot"], r["mix_seq"]))
-    assert len(order) == len(rows)
-    # any row's place is the one that the stage mix sorts by
-    want = mixing.mix(df, order=corpus_pipeline.place(corpus_pipeline.text_digest())).collect()
-    assert Counter((r["doc_id"], r["source"], r["mix_slot"], r["mix_seq"]) for r in want) == Counter(
-        (r["doc_id"], r["source"], r["mix_slot"], r["mix_seq"]) for r in order)
-    sorted_ids = [r["doc_id"] for r in sorted(want, key=lambda r: (r["mix_slot"], r["mix_seq"]))]
-    assert [r["doc_id"] for r in order] == sorted_ids
+    order = sorted(got.collect(), key=lambda r: r["place"])
+    assert [r["place"] for r in order] == list(range(1, len(rows) + 1))
+    # the places are those that mixing gives, row by row
+    want = mixing.mix(df, order=corpus_pipeline.within_source(corpus_pipeline.text_digest())).collect()
+    want.sort(key=lambda r: (r["mix_slot"], r["mix_seq"]))
+    assert [(r["doc_id"], r["source"]) for r in order] == [(r["doc_id"], r["source"]) for r in want]
+    # and they come from the table that the stage before wrote: another order of the same rows gives other places
+    other = corpus_pipeline.materialize(df.orderBy("text"))
+    back = corpus_pipeline.materialize(corpus_pipeline.tokens(spark, other, "")).orderBy("place").collect()
+    by_text = sorted(rows, key=lambda r: r[1])
+    assert [(r["doc_id"], r["source"]) for r in back] == [(r[0], r[3]) for r in by_text] != [(r["doc_id"], r["source"]) for r in order]
+    order = want
     # no source is a block or more away from its target before the first source runs out
     total = defaultdict(int)
     for _, t, _, s, _ in rows:
