@@ -9,10 +9,10 @@ All stages but the last return the columns of documents:
 * secrets     masks every found secret in the text (n_chars follows), and keeps all documents;
 * mix         orders all documents by the Pfair interleaving of their sources;
 * tokens      returns doc_id, lang, source, n_tokens, ids of the byte-level BPE, whether decoding gives the text back,
-              and the document's place in the mix: rows in the order of (mix_slot, mix_seq) are the mixed corpus.
+              and the document's place in the table that it read: rows in the order of ``place`` are the mixed corpus.
 
-Readers of Parquet do not keep the order of rows, so the last stage returns the place as columns.  It is a function of
-the mixed rows (source, bytes, and doc_id and text for the order within a source): the one that mix sorted by.
+Readers of Parquet do not keep the order of rows, but every row knows its file and its index there, and mix writes
+its order into files that follow one another.  The last stage turns these into ``place``, 1 to the number of rows.
 
 Nulls, empty and very long texts, repeated rows, empty tables and further columns are handled as the operators
 state; further columns pass through all stages but the last.
@@ -21,7 +21,7 @@ state; further columns pass through all stages but the last.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowcube.llm import bpe, jaccard_join, line_quality, mixing, secrets
@@ -48,25 +48,33 @@ def text_digest() -> Column:
     return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
 
 
-def place(digest: Column) -> Column:
+def within_source(digest: Column) -> Column:
     """Order within a source: by doc_id and text, so that rows without a doc_id, or with the same, have a fixed place too."""
     return F.md5(F.concat_ws("\x1f", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest).cast("binary"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.interleave(docs, order=place(text_digest()))
+    return mixing.interleave(docs, order=within_source(text_digest()))
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs``, read straight from Parquet, with ``place``: the row's number in the order of the files that a sorted write leaves."""
+    rows = docs.select(*docs.columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    files = docs.select(F.col("_metadata.file_path").alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    # part files are numbered; longer names hold the larger numbers.  One row per file
+    before = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    return rows.join(files, "__file").withColumn("place", F.col("__offset") + F.col("__row") + 1).drop("__file", "__row", "__offset")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(bpe.VOCABULARY)
-    keep = docs.select("doc_id", "lang", "source", "text", text_digest().alias("digest"), F.octet_length("text").alias("bytes"))
-    out = bpe.encode(keep, path, ["doc_id", "lang", "source", "digest", "bytes"])
+    keep = placed(docs).select("doc_id", "lang", "source", "text", "place", text_digest().alias("digest"))
+    # decoded in a step of its own: the plan of the fold holds the rank map, that of the decoder the pieces
+    out = materialize(bpe.encode(keep, path, ["doc_id", "lang", "source", "place", "digest"]))
     back = F.sha2(bpe.decode(F.col("ids"), path), 256)
-    # written before the mix reads it several times
-    out = materialize(out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-                                 (back == F.col("digest")).alias("round_trip"), "digest", "bytes"))
-    out = mixing.mix(out, size=F.col("bytes"), order=place(F.col("digest")))
-    return out.select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip", "mix_slot", "mix_seq")
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                      (back == F.col("digest")).alias("round_trip"), "place")
 
 
 STAGES = [("quality", quality), ("one_of_each", one_of_each), ("secrets", mask_secrets), ("mix", mix), ("tokens", tokens)]
