@@ -7,12 +7,13 @@ Disguised ones are found by deobfuscation.  A chain of small transducers
 rewrites the text while an alignment maps every output character to the
 source span it came from:
   * homoglyphs and full-width forms become ASCII, zero-width characters vanish;
-  * spelled digits (``four``, ``oh`` inside a digit run) become digits;
-  * ``[at]``, ``(dot)``, ``{punkt}`` and, between words of an address, plain ``at`` and ``dot``
-    become ``@`` and ``.`` with the spaces around them.
+  * spelled digits (``four``, ``cinq``, ``oh``, ``double five`` in a run of four or more) become digits, ``plus`` before them ``+``;
+  * ``[at]``, ``(dot)``, ``{punkt}`` and, between words of an address, plain ``at`` and ``dot`` and their like
+    become ``@`` and ``.`` with the spaces around them, also in the local part of such an address.
+Words are those of English, German, French and Spanish.
 The same detectors run on the rewritten text; a hit is mapped back through the
 alignment, and is added if its source span holds a rewritten character and
-overlaps no base span of its kind.  Every pass is linear in the text.
+overlaps no base span of its kind but such as it contains.  Every pass is linear in the text.
 """
 
 from __future__ import annotations
@@ -51,19 +52,50 @@ LOOKALIKES |= {chr(0xFEE0 + c): chr(c) for c in range(0x21, 0x7F)}  # full-width
 LOOKALIKES |= {chr(0x1D7CE + i): str(i % 10) for i in range(50)}  # mathematical digits
 #: Zero-width and soft characters.
 VANISH = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
-SPELLED = {"zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
-           "eight": "8", "nine": "9", "oh": "0"}
+# The digits from zero to nine, by language, and further forms.
+DIGIT_WORDS = {
+    "en": "zero one two three four five six seven eight nine",
+    "de": "null eins zwei drei vier fünf sechs sieben acht neun",
+    "fr": "zéro un deux trois quatre cinq six sept huit neuf",
+    "es": "cero uno dos tres cuatro cinco seis siete ocho nueve",
+}
+SPELLED = {w: str(i) for words in DIGIT_WORDS.values() for i, w in enumerate(words.split())}
+SPELLED |= {"oh": "0", "zwo": "2", "fuenf": "5", "une": "1"}
+TIMES = {"double": 2, "triple": 3, "doppel": 2, "doble": 2}
+PLUS = {"plus", "más", "mas"}
+# Words for '@' and '.'; the second lists are common words otherwise and count in brackets, or beside a sure word.
+AT_WORDS, AT_IN_BRACKETS = {"at", "ät", "arroba", "arobase", "klammeraffe"}, {"chez", "bei"}
+DOT_WORDS, DOT_BESIDE = {"dot", "punkt", "punto"}, {"point"}
 
 LOOKS = re.compile("[" + re.escape("".join(LOOKALIKES)) + VANISH + "]")
-# two or more spelled digits in a row, or next to a digit; blanks and hyphens between them go with the words
-NUMBER = "(?:" + "|".join(SPELLED) + ")"
-SPELLED_RUN = re.compile(rf"(?<![a-z0-9])(?:{NUMBER}|[0-9])(?:[ -]{{1,2}}(?:{NUMBER}|[0-9])(?![a-z])){{3,}}(?![a-z])", re.I)
-SPELLED_ONE = re.compile(rf"{NUMBER}|[0-9]|[ -]+", re.I)
-BRACKETED = re.compile(r"\s?[\[({<]\s?(at|arroba|chez|dot|punkt|punto|point)\s?[\])}>]\s?", re.I)
-SPOKEN = re.compile(r"(?<![\w.])[A-Za-z0-9._%+-]+(?P<at> at )[A-Za-z0-9-]+(?: dot (?!dot\b)[A-Za-z0-9-]+)+(?![\w])", re.I)
-SPOKEN_DOT = re.compile(r" dot ", re.I)
-SPOKEN_TAIL = re.compile(r"(?<=@)[A-Za-z0-9-]+(?:(?: dot (?!dot\b)|\.)[A-Za-z0-9-]+)+", re.I)
-AT_WORDS = {"at", "arroba", "chez"}
+
+
+def any_of(*words: set[str]) -> str:
+    return "(?:" + "|".join(sorted(set().union(*words), key=len, reverse=True)) + ")"
+
+
+# four or more spelled digits in a row, or among digits; blanks and hyphens between them go with the words
+NUMBER = any_of(set(SPELLED))
+UNIT = rf"(?:{any_of(set(TIMES))}[ -])?(?:{NUMBER}|[0-9])"
+SPELLED_RUN = re.compile(rf"(?<![^\W_])(?:{any_of(PLUS)}[ -])?{UNIT}(?:[ -]{{1,2}}{UNIT}(?![^\W\d_])){{3,}}(?![^\W\d_])", re.I)
+SPELLED_ONE = re.compile(rf"(?P<plus>{any_of(PLUS)})|(?:(?P<times>{any_of(set(TIMES))})[ -])?(?P<digit>{NUMBER}|[0-9])|[ -]+", re.I)
+DOTS = any_of(DOT_WORDS, DOT_BESIDE)
+BRACKETED = re.compile(rf"\s?[\[({{<]\s?({any_of(AT_WORDS, AT_IN_BRACKETS)}|{DOTS})\s?[\])}}>]\s?", re.I)
+SPOKEN_AT = re.compile(rf" ({any_of(AT_WORDS)}) ", re.I)
+SPOKEN_DOT = re.compile(rf" {DOTS} ", re.I)
+LABEL = "[A-Za-z0-9-]++"
+
+
+def spoken_domain(dots: str) -> str:
+    return rf"{LABEL}(?: {dots} (?!{dots}\b){LABEL})++(?!\w)"
+
+
+#: After "at", the word "point" is no dot ("look at this point of view"); after the others it is.
+DOMAIN_AFTER_AT = re.compile(spoken_domain(any_of(DOT_WORDS)), re.I)
+DOMAIN_AFTER_SURE = re.compile(spoken_domain(DOTS), re.I)
+SPOKEN_TAIL = re.compile(rf"(?<=@){LABEL}(?:(?: {DOTS} (?!{DOTS}\b)|\.){LABEL})++", re.I)
+#: Spoken dots at the end of a local part, looked for in the last characters before a disguised '@'.
+LOCAL_DOTS, LOCAL_REACH = re.compile(rf"(?<![\w.])[A-Za-z0-9_%+-]+(?: {DOTS} (?!{DOTS}\b)[A-Za-z0-9._%+-]+)+\Z", re.I), 96
 
 
 def luhn(digits: str) -> bool:
@@ -74,21 +106,26 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def local_begin(text: str, at: int, free: int) -> int:
+    """Where the local part that ends before ``at`` begins, not before ``free``; ``at`` if there is none."""
+    begin = at
+    while begin > free:
+        step = max(free, begin - 64)
+        tail = LOCAL_END.search(text, step, begin)
+        if not tail:
+            break
+        begin = tail.start()
+        if begin > step:
+            break
+    return begin
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Anchored at '@': the local part reaches left to the last other character or the previous match."""
     out, free = [], 0
     for m in DOMAIN.finditer(text):
-        at = m.start()
-        begin = at
-        while begin > free:
-            step = max(free, begin - 64)
-            tail = LOCAL_END.search(text, step, begin)
-            if not tail:
-                break
-            begin = tail.start()
-            if begin > step:
-                break
-        if begin < at:
+        begin = local_begin(text, m.start(), free)
+        if begin < m.start():
             out.append((begin, m.end()))
             free = m.end()
     return out
@@ -156,25 +193,53 @@ def digit_changes(text: str) -> list[tuple[int, int, str]]:
     out = []
     for run in SPELLED_RUN.finditer(text):
         for m in SPELLED_ONE.finditer(run.group()):
-            word = m.group().lower()
-            new = SPELLED.get(word, "" if word.strip(" -") == "" else word)
+            word = (m["digit"] or "").lower()
+            new = "+" if m["plus"] else SPELLED.get(word, word) * TIMES.get((m["times"] or "").lower(), 1)
             if new != m.group():
                 out.append((run.start() + m.start(), run.start() + m.end(), new))
     return out
 
 
+def local_changes(text: str, at: int, free: int) -> list[tuple[int, int, str]]:
+    """Spoken dots in the local part that ends at ``at``."""
+    begin = max(free, at - LOCAL_REACH)
+    m = LOCAL_DOTS.search(text[begin:at])
+    return [(begin + d.start(), begin + d.end(), ".") for d in SPOKEN_DOT.finditer(text[begin:at], m.start())] if m else []
+
+
 def mark_changes(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), "@" if m.group(1).lower() in AT_WORDS else ".") for m in BRACKETED.finditer(text)]
+    out, free = [], 0
+    for m in BRACKETED.finditer(text):
+        dot = m.group(1).lower() in DOT_WORDS | DOT_BESIDE
+        if not dot:
+            out += local_changes(text, m.start(), free)
+        out.append((m.start(), m.end(), "." if dot else "@"))
+        free = m.end()
+    return out
 
 
 def spoken_changes(text: str) -> list[tuple[int, int, str]]:
-    out = []
-    for m in SPOKEN.finditer(text):
-        out.append((m.start("at"), m.end("at"), "@"))
-        out += [(d.start(), d.end(), ".") for d in SPOKEN_DOT.finditer(text, m.end("at"), m.end())]
+    """Anchored at the word for '@': a spoken domain must follow and a local part precede."""
+    out, free = [], 0
+    for m in SPOKEN_AT.finditer(text):
+        if m.start() < free:
+            continue
+        domain = (DOMAIN_AFTER_AT if m.group(1).lower() == "at" else DOMAIN_AFTER_SURE).match(text, m.end())
+        if not domain:
+            continue
+        begin = local_begin(text, m.start(), free)
+        if begin == m.start() or (begin > free and (text[begin - 1].isalnum() or text[begin - 1] in "_.")):
+            continue
+        out += local_changes(text, m.start(), free)
+        out.append((m.start(), m.end(), "@"))
+        out += [(d.start(), d.end(), ".") for d in SPOKEN_DOT.finditer(text, m.end(), domain.end())]
+        free = domain.end()
     return out
 
 
+SPOKEN_DOTS = [f" {w} " for w in sorted(DOT_WORDS | DOT_BESIDE)]
+
+
 def tail_changes(text: str) -> list[tuple[int, int, str]]:
     """Spoken dots in the domain after a real '@'."""
     return [(d.start(), d.end(), ".") for m in SPOKEN_TAIL.finditer(text)
@@ -191,7 +256,7 @@ def disguised(text: str) -> list[tuple[int, int, int]]:
         else:  # plain substring tests that must hold for the layer to change anything
             low = now.lower() if low is None else low
             possible = (any(w in low for w in SPELLED) if name == "digits" else
-                        any(c in now for c in "[({<") if name == "marks" else " dot " in low)
+                        any(c in now for c in "[({<") if name == "marks" else any(w in low for w in SPOKEN_DOTS))
         if not possible:
             continue
         changes = change(now)
@@ -217,7 +282,8 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     base = detect(text)
     added = []
     for begin, kind, end in disguised(text):
-        if not any(k == kind and b < end and e > begin for b, k, e in base):
+        # a base span stays; a longer identifier that it is a part of is added beside it
+        if not any(k == kind and b < end and e > begin and (b < begin or e > end or (b, e) == (begin, end)) for b, k, e in base):
             added.append((begin, kind, end))
     return base, sorted(base + added)
 

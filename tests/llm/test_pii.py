@@ -51,6 +51,59 @@ def test_disguises_map_back_to_source_spans():
         assert [(pii.KINDS[k], text[b:e]) for b, k, e in spans] == [(kind, want)], text
 
 
+MORE = [
+    ("schreib max punkt muster (at) firma punkt de bitte", "email", "max punkt muster (at) firma punkt de"),
+    ("ruf plus vier neun drei null eins zwei drei vier fünf sechs an", "phone", "plus vier neun drei null eins zwei drei vier fünf sechs"),
+    ("call plus one five five five double two four six eight oh now", "phone", "plus one five five five double two four six eight oh"),
+    ("écris jean arobase exemple point fr merci", "email", "jean arobase exemple point fr"),
+    ("carta a ana punto gil arroba correo punto es hoy", "email", "ana punto gil arroba correo punto es"),
+    ("más tres cuatro seis uno dos tres cuatro cinco seis siete ocho", "phone", "más tres cuatro seis uno dos tres cuatro cinco seis siete ocho"),
+    ("quatre un un un 1111 1111 un un un un", "card", "quatre un un un 1111 1111 un un un un"),
+]
+
+
+def test_words_of_four_languages():
+    for text, kind, want in MORE:
+        _, spans = pii.scan(text)
+        assert [(pii.KINDS[k], text[b:e]) for b, k, e in spans] == [(kind, want)], text
+
+
+def test_common_words_are_left():
+    for text in ["look at this point of view", "on se voit chez marie point final", "wir sind am punkt angelangt (siehe bei punkt drei)",
+                 "un dos tres", "one plus one is two", "ein punkt für uns", "il est arrivé à un point mort", "meet me at the dot", "at at dot dot"]:
+        assert pii.scan(text) == ([], []), text
+
+
+def test_recall_of_every_disguise_in_every_language():
+    rng = random.Random(12)
+    name = lambda: "".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randint(3, 9)))
+    fill = {"en": "please write to us about it", "de": "bitte schreiben sie uns dazu", "fr": "merci de nous dire", "es": "por favor diga algo"}
+    marks = {"en": ("at", "dot"), "de": ("at", "punkt"), "fr": ("arobase", "point"), "es": ("arroba", "punto")}
+    plus = {"en": "plus", "de": "plus", "fr": "plus", "es": "más"}
+    found, made = {}, {}
+    for lang, words in pii.DIGIT_WORDS.items():
+        at, dot = marks[lang]
+        digits = words.split()
+        for _ in range(60):
+            a, b, c, number = name(), name(), name(), [rng.randint(0, 9) for _ in range(11)]
+            look = f"{a}.{b}@{c}.com"
+            spot = rng.randrange(len(look))
+            cases = {
+                "bracket": ("email", f"{a} [{at}] {b} ({dot}) com"), "spoken": ("email", f"{a} {at} {b} {dot} com"),
+                "local": ("email", f"{a} {dot} {c} ({at}) {b} {dot} org"), "zero width": ("email", look[:spot] + "\u200b" + look[spot:]),
+                "look-alike": ("email", look.replace("o", "о").replace("a", "а").replace("e", "е").replace("c", "с")),
+                "full width": ("ip", "".join(chr(0xFEE0 + ord(x)) for x in f"{rng.randint(1, 255)}") + ".1.22.33"),
+                "spelled phone": ("phone", plus[lang] + " " + " ".join(digits[d] for d in number)),
+                "mixed phone": ("phone", "+" + " ".join(digits[d] if i % 2 else str(d) for i, d in enumerate(number)))}
+            for case, (kind, hidden) in cases.items():
+                text = f"{fill[lang]}: {hidden}, {fill[lang]}"
+                begin = text.index(hidden)
+                made[lang, case] = made.get((lang, case), 0) + 1
+                spans = pii.scan(text)[1]
+                found[lang, case] = found.get((lang, case), 0) + ((begin, pii.KINDS.index(kind), begin + len(hidden)) in spans)
+    assert all(found[k] >= 0.9 * n for k, n in made.items()), {k: found[k] / n for k, n in made.items() if found[k] < 0.9 * n}
+
+
 def test_plain_text_gains_nothing():
     for text in ["she was at home dot dot dot", "one two three", "[at] last", "meet at noon (at the dot)", "", None, "oh one (dot)"]:
         assert pii.scan(text) == ([], [])
@@ -59,7 +112,9 @@ def test_plain_text_gains_nothing():
 def test_long_texts_stay_linear():
     import time
     t = time.time()
-    for text in ["a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "one " * 80_000, "а" * 200_000, "+1" * 100_000]:
+    for text in ["a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "one " * 80_000, "а" * 200_000, "+1" * 100_000,
+                 "-" * 100_000 + " dot ", "+%-" * 50_000 + " at x dot y " + "-" * 100_000, " at a dot b" * 30_000, " at " * 60_000 + " dot ",
+                 "a dot " * 40_000 + "(at) b dot c", "un deux " * 40_000, "plus " * 40_000, "double " * 40_000 + "one"]:
         pii.scan(text)
     assert time.time() - t < 30
 
