@@ -5,7 +5,10 @@ its documents.  Block i (from 1) of a source with target weight n/Q is
 released at slot floor((i-1)Q/n) and due by slot ceil(iQ/n); in every slot the
 released block with the earliest deadline runs.  As the weights sum to one,
 every deadline is met, so after any number of slots each source is less than
-one block away from its exact share.  The windows repeat every Q slots: only
+one block away from its exact share.  Documents are not cut: one stands in the slot of the block in which it
+begins, and the slots of further blocks that it fills hold no row of their own.  Counted in bytes of whole documents, after
+any slot a source is therefore less than one block behind its share, and less than one block and the longest document
+ahead of it.  The windows repeat every Q slots: only
 one period is scheduled (a fold over Q slots on one row; Q and the number of
 sources do not grow with the documents) and block b of a source takes
 the slot of block b mod n in that period, shifted by (b div n) periods.
@@ -76,7 +79,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, temperature: f
     """Every row of ``docs`` with ``mix_block``, ``mix_slot``, ``mix_seq`` and ``mix_exact``.
 
     Sorting by (mix_slot, mix_seq) interleaves the sources.  ``mix_exact`` marks the slots before
-    any source runs out, where every source is less than one block off its target; later rows
+    any source runs out, where every source is less than one block (of which documents may jut out) off its target; later rows
     stay, in the slots their source would have had.  ``weights`` maps source to target weight
     (missing sources get the least weight, 1/Q); without it a source weighs bytes ** temperature.
 

@@ -55,3 +55,27 @@ def test_null_source_and_same_order_every_time(spark, docs):
     two = M.mix(docs.repartition(3), block_bytes=500).select("doc_id", "source", "mix_slot", "text").collect()
     assert sorted(map(str, one)) == sorted(map(str, two))
     assert any(r["source"] is None for r in one)
+
+
+def test_bytes_stay_within_a_block_and_the_longest_document(spark):
+    """Documents of up to twelve blocks: whole documents are at most a block behind, or a block and the longest of them ahead."""
+    import random
+    rng = random.Random(3)
+    rows = [(i, "x" * rng.choice([50, 400, 1500, 12_000 if i % 9 == 0 else 900]), rng.choice(["big", "big", "big", "mid", "small"])) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    weights, block, q = {"big": 3, "mid": 2, "small": 1}, 1000, 6
+    got = M.mix(df, weights=weights, block_bytes=block, period=q).collect()
+    assert len(got) == len(rows)
+    last = max(r["mix_slot"] for r in got if r["mix_exact"])
+    longest = max(len(t) for _, t, _ in rows)
+    by_slot = defaultdict(lambda: defaultdict(int))
+    for r in got:
+        by_slot[r["mix_slot"]][r["source"]] += len(r["text"])
+    done = defaultdict(int)
+    for slot in range(last + 1):
+        for source, n in by_slot[slot].items():
+            done[source] += n
+        for source, n in weights.items():
+            ahead = done[source] - (slot + 1) * n / q * block
+            assert -block < ahead < block + longest, (slot, source, ahead)
+    assert last > 200
