@@ -75,13 +75,13 @@ def _weight() -> F.Column:
 
 
 def gini(df: DataFrame, group: list[str], value: str = "value", person: str = "person",
-         sizes: DataFrame | None = None) -> DataFrame:
+         sizes: DataFrame | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Per group: members, total, Gini, max possible Gini, largest share and holder.
 
     The largest holder is the lowest person id among those with the maximum
-    value; groups whose total is 0 are dropped (HAVING Σx > 0).
+    value; groups whose total is 0 are dropped (HAVING Σx > 0).  ``blocks``: the value blocks, where they are written already.
     """
-    g = (value_blocks(df, group, value, sizes).groupBy(*group)
+    g = ((value_blocks(df, group, value, sizes) if blocks is None else blocks).groupBy(*group)
          .agg(F.sum("c").cast("bigint").alias("members"), F.sum("amount").cast(EXACT).alias("total"),
               F.sum(_weight()).cast(EXACT).alias("__w"), F.max("v").alias("__max"),
               F.coalesce(F.sum(F.when(F.col("v") == 0, F.col("c"))), F.lit(0)).alias("members_without_record"))
@@ -100,13 +100,13 @@ def gini(df: DataFrame, group: list[str], value: str = "value", person: str = "p
 
 
 def gini_range(df: DataFrame, unowned: DataFrame, group: list[str], value: str = "value",
-               person: str = "person", sizes: DataFrame | None = None) -> DataFrame:
+               person: str = "person", sizes: DataFrame | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Possible Gini range once the unowned amount ``u`` is attributed.
 
     ``unowned``: group cols + ``unowned`` (integral).  Output: group, members,
     total, unowned, gini_min, gini_max (NULL when total + unowned = 0).
     """
-    b = value_blocks(df, group, value, sizes).join(unowned, group, "left").withColumn(
+    b = (value_blocks(df, group, value, sizes) if blocks is None else blocks).join(unowned, group, "left").withColumn(
         "u", F.coalesce("unowned", F.lit(0)).cast(EXACT))
     under = (F.col("before") == 0) | ((F.col("before").cast("decimal(20,0)") * F.col("v").cast("decimal(18,0)")
                                        - F.col("sum_before")).cast(EXACT) < F.col("u"))

@@ -123,9 +123,9 @@ def backlog_summary(cards_of_stages: DataFrame) -> DataFrame:
                  .agg(F.count_if(F.col("over_limit") == 1).alias("over"), F.sum(F.col("micros").cast("decimal(38,0)")).alias("h")))
     worst = (per_stage.groupBy("team")
              .agg(F.max(F.struct("over", "h", F.col("stage"))).alias("w")))
-    t = (cards_of_stages.groupBy("team")
-         .agg(F.countDistinct("card").alias("cards"),
-              F.countDistinct(F.when(F.col("over_limit") == 1, F.col("card"))).alias("cards_over_limit")))
+    # one row per card first: distinct cards, and those over the limit in any stage, are then plain counts
+    t = (cards_of_stages.groupBy("team", "card").agg(F.max("over_limit").alias("over")).groupBy("team")
+         .agg(F.count(F.lit(1)).alias("cards"), F.count_if(F.col("over") == 1).alias("cards_over_limit")))
     return (t.join(worst, "team")
              .select("team", "cards", "cards_over_limit",
                      F.try_divide(F.col("cards_over_limit").cast("double") * 100, F.col("cards").cast("double"))

@@ -47,6 +47,13 @@ def exact_median(df: DataFrame, group: list[str], value: str, out: str = "median
              .select(*group, ((F.col("__v1").cast("double") + F.col("__v2").cast("double")) / 2).alias(out)))
 
 
+def exact_medians(df: DataFrame, group: list[str], values: dict[str, str]) -> DataFrame:
+    """:func:`exact_median` of several columns at once (output -> column): one table of counted values with the measure as a further key."""
+    rows = df.select(*group, F.explode(F.array(*[F.struct(F.lit(out).alias("__of"), F.col(c).cast("double").alias("__v")) for out, c in values.items()])).alias("__x"))
+    m = exact_median(rows.select(*group, "__x.*"), [*group, "__of"], "__v", "__m")
+    return m.groupBy(*group).agg(*[F.max(F.when(F.col("__of") == out, F.col("__m"))).alias(out) for out in values])
+
+
 def link_stats(links: DataFrame) -> DataFrame:
     return links.groupBy("team", "card").agg(F.count(F.lit(1)).alias("linked_commits"),
                                              F.countDistinct("author_id").alias("distinct_authors"),
@@ -84,8 +91,7 @@ def size_summary(base: DataFrame) -> DataFrame:
     exact medians, shares over plan / over double, commits."""
     b = base.withColumn("size", F.coalesce("size", F.lit(NO_SIZE)))
     chart = b.filter(F.col("in_chart"))
-    md = exact_median(chart, ["team", "size"], "actual_days", "median_actual_days")
-    mc = exact_median(chart, ["team", "size"], "linked_commits", "median_commits")
+    medians = exact_medians(chart, ["team", "size"], {"median_actual_days": "actual_days", "median_commits": "linked_commits"})
     inc = F.col("in_chart")
     g = b.groupBy("team", "size").agg(
         F.max("planned_days").alias("planned_days"), F.count(F.lit(1)).alias("cards"),
@@ -95,7 +101,7 @@ def size_summary(base: DataFrame) -> DataFrame:
         F.sum(F.when(inc, F.col("linked_commits")).otherwise(0)).cast("bigint").alias("linked_commits"),
         F.count_if(inc & (F.col("linked_commits") == 0)).alias("cards_without_commit"))
     pct = lambda c: F.try_divide(F.col(c).cast("double") * 100, F.col("in_chart").cast("double"))
-    return (g.join(md, ["team", "size"], "left").join(mc, ["team", "size"], "left")
+    return (g.join(medians, ["team", "size"], "left")
              .select("team", "size", "planned_days", "cards", "in_chart",
                      (F.col("cards") - F.col("in_chart")).alias("out_of_chart"), "median_actual_days",
                      (F.col("median_actual_days") / F.col("planned_days")).alias("median_ratio"),

@@ -330,19 +330,27 @@ def labels_by_table(spark, t: Tables) -> DataFrame:
     return marks.select(F.coalesce("label", "named").alias("label")).distinct()
 
 
+def members_by_line(t: Tables) -> DataFrame:
+    """team, person: suppliers of the team's own region with a line of an order of that team, from the raw lines."""
+    teams = t.orders.join(si.customer_team(t), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("l_orderkey"), "team")
+    home = conc.supplier_team(t).select(F.col("s_suppkey").alias("l_suppkey"), F.col("supp_team").alias("team"))
+    lines = t.lineitem.filter(F.col("l_suppkey") % 10 != 0).join(teams, "l_orderkey").select("team", "l_suppkey").distinct()
+    return lines.join(home, ["team", "l_suppkey"], "left_semi").select("team", F.col("l_suppkey").cast("string").alias("person"))
+
+
 def axis_units_by_card(spark, t: Tables) -> DataFrame:
     """team, slice, axis, who, units: distinct (card, axis) and (card, person) pairs of the raw lines, each card shared by their numbers."""
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     words = li.join(t.part.select("p_partkey", F.upper(F.regexp_extract("p_name", r"^[^ ]*", 0)).alias("word")), F.col("l_partkey") == F.col("p_partkey"))
     pairs = words.join(F.broadcast(conc.axis_table(spark)), "word").select("l_orderkey", "axis").distinct()
     people = li.filter((F.col("l_linenumber") <= conc.LISTED) & (F.col("l_suppkey") % 10 != 0)).select("l_orderkey", "l_suppkey").distinct()
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_suppkey"))  # a card's own lines
+    people = people.withColumn("place", place).filter(F.col("place") <= conc.LISTED).drop("place")
     shares = pairs.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("axes")).join(
         people.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("people")), "l_orderkey")
     cards = t.orders.join(si.customer_team(t), F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("l_orderkey"), "team", si.order_sprint().alias("sprint"))
-    # members: suppliers of the team's own region with a line of an order of that team
-    home = conc.supplier_team(t).select(F.col("s_suppkey").alias("l_suppkey"), F.col("supp_team").alias("team"))
-    own = li.join(cards, "l_orderkey").select("team", "l_suppkey").distinct().join(home, ["team", "l_suppkey"], "left_semi")
+    own = members_by_line(t).withColumn("l_suppkey", F.col("person").cast("bigint"))
     held = (cards.join(people, "l_orderkey").join(own, ["team", "l_suppkey"], "left_semi").join(pairs, "l_orderkey").join(shares, "l_orderkey")
             .withColumn("slice", F.explode(F.array_compact(F.array(F.lit(conc.sl.ALL_SLICE), F.col("sprint"))))))
     return held.groupBy("team", "slice", "axis", F.col("l_suppkey").cast("string").alias("who")).agg(
@@ -351,10 +359,11 @@ def axis_units_by_card(spark, t: Tables) -> DataFrame:
 
 def gini_again(t: Tables) -> DataFrame:
     """team, slice, measure, gini from the differences of all pairs, over the records line by line."""
-    rows = conc.records(t).join(conc.members(t), ["team", "person"], "left_semi")
+    members = materialize(members_by_line(t))
+    rows = conc.records(t).join(members, ["team", "person"], "left_semi")
     rows = rows.withColumn("slice", F.explode(F.array_compact(F.array(F.lit(conc.sl.ALL_SLICE), F.col("sprint")))))
     per = rows.groupBy(*conc.GROUP, "person").agg(F.sum("value").alias("value"))
-    sizes = per.select(*conc.GROUP).distinct().join(conc.members(t).groupBy("team").agg(F.count(F.lit(1)).alias("members")), "team")
+    sizes = per.select(*conc.GROUP).distinct().join(members.groupBy("team").agg(F.count(F.lit(1)).alias("members")), "team")
     d = recount.pair_differences(per, conc.GROUP, "value", sizes).filter("total > 0")
     return d.select(*conc.GROUP, conc.cc.exact_ratio(
         F.col("differences"), (F.col("total") * F.col("members").cast("decimal(20,0)")).cast("decimal(38,0)")).alias("gini"))
@@ -377,7 +386,7 @@ def recount_tables(spark, t: Tables) -> dict[str, tuple[DataFrame, DataFrame, li
     state = recount.largest(axis_units_by_card(spark, t), cell, "units", 2)
     top_again = state.select(*cell, F.aggregate("largest", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("top2"))
 
-    gini = conc.cc.gini(conc.member_totals(t), conc.GROUP, sizes=conc.slice_sizes(t)).select(*conc.GROUP, "gini")
+    gini = conc.cc.gini(conc.member_totals(t), conc.GROUP, blocks=conc.blocks(t)).select(*conc.GROUP, "gini")
     return {"medians": (reported, again, ["team"], "m"),
             "labels": (labels, labels_by_table(spark, t).withColumn("seen", F.lit(1)), ["label"], "seen"),
             "top2": (top, top_again, cell, "top2"),

@@ -197,7 +197,7 @@ def q_scoreboard(spark, sf_dir):
 
     cov = materialize(coverage(spark, t))
     sums = conc_plan.cc.gini(conc_plan.member_totals(t).filter("slice = '(todas)' and measure = 'items'"), conc_plan.GROUP,
-                             sizes=conc_plan.slice_sizes(t).filter("slice = '(todas)' and measure = 'items'"))
+                             blocks=conc_plan.blocks(t).filter("slice = '(todas)' and measure = 'items'"))
     oos = materialize(out_of_scope(spark, t))
     axis = conc_plan.top2(spark, t).filter((F.col("slice") == "(todas)") & (F.col("__units") >= conc_plan.MIN_AXIS_CARDS * conc_plan.UNITS))
     back = iv.backlog_summary(iv.stage_cards(evp.intervals(spark, t), evp.LIMIT_HOURS, with_micros=True))

@@ -12,6 +12,8 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -32,13 +34,24 @@ def root_of(spark: SparkSession, kind: str, source: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{name}"
 
 
+@lru_cache(maxsize=1)
+def definitions() -> str:
+    """A digest of this library's modules: what a version is derived by.  A shared folder outlives a release."""
+    package = Path(__file__).resolve().parents[1]
+    code = hashlib.sha256()
+    for path in sorted(p for part in ("functions", "operators", "plans", "sources") for p in (package / part).glob("*.py")):
+        code.update(path.read_bytes())
+    return code.hexdigest()[:16]
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    """A digest of path, length and modification time of all Parquet files under ``paths``; no file is read."""
+    """What a version is derived from: a digest of path, length and modification time of all Parquet files under ``paths``
+    (no file is read), and of the definitions."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
              .load(paths).select("path", "length", "modificationTime"))
     one = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes"),
                     F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h")).first()
-    return f"{one.n}-{one.bytes or 0}-{one.h or 0}"
+    return f"{one.n}-{one.bytes or 0}-{one.h or 0}-{definitions()}"
 
 
 def versions(spark: SparkSession, root: str) -> list[Row]:
