@@ -28,26 +28,33 @@ def extend(members: DataFrame, natural: list[str], order: list[str], root: str,
     ``mark`` names the state of the inputs: a state that has been loaded is not loaded again.  ``order`` must be unique.
     """
     spark = members.sparkSession
-    loaded = published.versions(spark, root)
-    if not any(v.fingerprint == mark for v in loaded):
-        known = read_keys(spark, root)
-        # other columns of the order come along: the least per natural key
-        extra = [c for c in order if c not in natural]
-        new = members.groupBy(*natural).agg(*[F.min(c).alias(c) for c in extra]) if extra else members.select(*natural).distinct()
-        last = 0
-        if known is not None:
-            new = new.join(known.select(*natural), natural, "left_anti")
-            last = known.agg(F.max("sk")).first()[0] or 0
-        keyed = windows.ordinal(new, [], order, "sk").select(*natural, (F.col("sk") + last).cast("bigint").alias("sk"))
-
-        def write(folder: str) -> DataFrame:
-            keyed.write.parquet(f"{folder}/keys")
-            mine = spark.read.parquet(f"{folder}/keys")
-            one = mine.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.struct(*natural)).alias("naturals"),
-                           F.coalesce(F.max("sk") - F.lit(last), F.lit(0)).alias("span"), F.countDistinct("sk").alias("keys"))
-            rows = ", ".join(f"'{g}', CAST({a} AS STRING), CAST(n AS STRING)" for g, a in
-                             [("new_keys_dense", "span"), ("new_keys_distinct", "keys"), ("new_members_distinct", "naturals")])
-            return one.selectExpr(f"stack(3, {rows}) AS (gate, observed, expected)").withColumn("ok", F.col("observed") == F.col("expected"))
-
-        published.publish(spark, root, mark, write)
+    while not any(v.fingerprint == mark for v in published.versions(spark, root)):
+        try:
+            _load(members, natural, order, root, mark)
+        except published.Taken:  # another loader's keys come first: number the rest after them
+            continue
     return read_keys(spark, root)
+
+
+def _load(members: DataFrame, natural: list[str], order: list[str], root: str, mark: str) -> None:
+    spark = members.sparkSession
+    known = read_keys(spark, root)
+    # other columns of the order come along: the least per natural key
+    extra = [c for c in order if c not in natural]
+    new = members.groupBy(*natural).agg(*[F.min(c).alias(c) for c in extra]) if extra else members.select(*natural).distinct()
+    last = 0
+    if known is not None:
+        new = new.join(known.select(*natural), natural, "left_anti")
+        last = known.agg(F.max("sk")).first()[0] or 0
+    keyed = windows.ordinal(new, [], order, "sk").select(*natural, (F.col("sk") + last).cast("bigint").alias("sk"))
+
+    def write(folder: str) -> DataFrame:
+        keyed.write.parquet(f"{folder}/keys")
+        mine = spark.read.parquet(f"{folder}/keys")
+        one = mine.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.struct(*natural)).alias("naturals"),
+                       F.coalesce(F.max("sk") - F.lit(last), F.lit(0)).alias("span"), F.countDistinct("sk").alias("keys"))
+        rows = ", ".join(f"'{g}', CAST({a} AS STRING), CAST(n AS STRING)" for g, a in
+                         [("new_keys_dense", "span"), ("new_keys_distinct", "keys"), ("new_members_distinct", "naturals")])
+        return one.selectExpr(f"stack(3, {rows}) AS (gate, observed, expected)").withColumn("ok", F.col("observed") == F.col("expected"))
+
+    published.publish(spark, root, mark, write)

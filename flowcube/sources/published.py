@@ -4,12 +4,14 @@ A version is a folder under a root.  It is written first, audited where it lies,
 the root's log: number, folder, and the fingerprint of the inputs that it was derived from.  Readers go by the log alone, so a build that
 fails, is lost half-way or does not pass its gates leaves the last version as it was.  Versions are never changed.
 
-One loader writes a root at a time; a second one finds its number taken and stops with an error.
+Two loaders may derive the same version at once: the entry of a number is made by one of them, the other finds it and takes the
+published version, or, if it was derived from something else, starts again after it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Callable
 from functools import lru_cache
@@ -21,9 +23,15 @@ from pyspark.sql import functions as F
 
 from flowcube.session import ensure_checkpoint_dir
 
+#: Seconds after which an entry that is begun and not written is taken for abandoned.
+ABANDONED_S = 30
 LOG = "number bigint, folder string, fingerprint string"
 
 
+class Taken(RuntimeError):
+    """Another loader published something else meanwhile; what was derived from the versions before is out of date."""
+
+
 class GateError(RuntimeError):
     """A version did not pass its gates; it is not published."""
 
@@ -69,7 +77,7 @@ def publish(spark: SparkSession, root: str, mark: str, write: Callable[[str], Da
 
     Gates are written beside the version (``gates``, JSON), published or not.
     """
-    number = len(versions(spark, root)) + 1
+    number = max((v.number for v in versions(spark, root)), default=0) + 1
     folder = f"{root}/{number:06d}-{uuid.uuid4().hex}"
     gates = write(folder)
     if gates is not None:
@@ -77,12 +85,31 @@ def publish(spark: SparkSession, root: str, mark: str, write: Callable[[str], Da
         failed = spark.read.schema(gates.schema).json(f"{folder}/gates").filter(~F.coalesce("ok", F.lit(False))).collect()
         if failed:
             raise GateError("; ".join(f"{r.gate}: {r.observed} instead of {r.expected}" for r in failed))
-    entry = spark.createDataFrame([(number, folder, mark)], LOG)
-    entry.coalesce(1).write.mode("errorifexists").json(f"{root}/_log/{number:06d}")
+    entry = spark.createDataFrame([(number, folder, mark)], LOG).coalesce(1)
+    for _ in range(ABANDONED_S):
+        try:
+            entry.write.mode("errorifexists").json(f"{root}/_log/{number:06d}")
+            return Row(number=number, folder=folder, fingerprint=mark)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+        others = [v for v in versions(spark, root) if v.number >= number]
+        if any(v.fingerprint == mark for v in others):
+            return next(v for v in others if v.fingerprint == mark)
+        if others:
+            raise Taken(root)
+        time.sleep(1)  # another loader is writing the entry
+    entry.write.mode("overwrite").json(f"{root}/_log/{number:06d}")  # its loader was lost before it was written
     return Row(number=number, folder=folder, fingerprint=mark)
 
 
 def derived(spark: SparkSession, root: str, mark: str, write: Callable[[str], DataFrame | None]) -> str:
     """Folder of the version derived from inputs of fingerprint ``mark``, written and published if there is none."""
-    same = [v for v in versions(spark, root) if v.fingerprint == mark]
-    return (same[-1] if same else publish(spark, root, mark, write)).folder
+    while True:
+        same = [v for v in versions(spark, root) if v.fingerprint == mark]
+        if same:
+            return same[-1].folder
+        try:
+            return publish(spark, root, mark, write).folder
+        except Taken:
+            continue

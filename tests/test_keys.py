@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from flowcube.operators import keymap
 from flowcube.plans import facts, keys
+from flowcube.sources import published
 from flowcube.sources.tables import Tables
 from tests.conftest import SF_SMALL
 
@@ -23,6 +24,34 @@ def test_new_members_shift_no_key(spark, tmp_path):
     assert load(spark, root, "c", [("ann", 5)]) == second  # nothing new
 
 
+def test_loaders_at_once_share_or_follow(spark, tmp_path, monkeypatch):
+    """A second loader that publishes between the first one's reading and writing."""
+    root = str(tmp_path / "keys")
+    publish, state = published.publish, {"others": [("x", [("zoe", 1)])]}
+
+    def slow(spark_, root_, mark, write):
+        def late(folder):
+            gates = write(folder)
+            while state["others"]:
+                other, people = state["others"].pop()
+                load(spark, root, other, people)
+            return gates
+        return publish(spark_, root_, mark, late)
+
+    monkeypatch.setattr(published, "publish", slow)
+    assert load(spark, root, "a", [("ann", 5)]) == {"zoe": 1, "ann": 2}  # numbered after the other's
+    state["others"] = [("b", [("bob", 1)])]
+    assert load(spark, root, "b", [("bob", 1)]) == {"zoe": 1, "ann": 2, "bob": 3}  # the same load: one version
+    assert len(published.versions(spark, root)) == 3
+
+
+def test_an_entry_that_was_never_written_is_taken_over(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(published, "ABANDONED_S", 1)
+    root = tmp_path / "keys"
+    (root / "_log" / "000001").mkdir(parents=True)
+    assert load(spark, str(root), "a", [("ann", 5)]) == {"ann": 1}
+
+
 def test_composite_keys_and_empty_load(spark, tmp_path):
     root = str(tmp_path / "keys")
     none = spark.createDataFrame([], "team string, sprint string")
