@@ -30,6 +30,10 @@ from flowcube.operators.materialize import materialize
 
 #: Near duplicates of stage one_of_each: words of a shingle, and least Jaccard similarity in per cent (op7 has its own).
 NEAR_WORDS, NEAR_LINK = 5, 80
+#: Characters whose pieces are encoded together: half of op6's, as rows here carry more columns.
+CHUNK_CHARS = 16_000_000
+#: Files of the mixed table (some 100 bytes a name) whose offsets are broadcast.
+FILES_MAX = 50_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,15 +67,17 @@ def placed(docs: DataFrame) -> DataFrame:
     files = docs.select(F.col("_metadata.file_path").alias("__file")).groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
     # part files are numbered; longer names hold the larger numbers.  One row per file
     before = Window.orderBy(F.length("__file"), "__file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    return rows.join(files, "__file").withColumn("place", F.col("__offset") + F.col("__row") + 1).drop("__file", "__row", "__offset")
+    files = materialize(files.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")))
+    # texts stay where they are read while the files are few enough to broadcast; beyond that they are shuffled by file
+    few = files.count() <= FILES_MAX
+    return rows.join(F.broadcast(files) if few else files, "__file").withColumn("place", F.col("__offset") + F.col("__row") + 1).drop("__file", "__row", "__offset")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(bpe.VOCABULARY)
     keep = placed(docs).select("doc_id", "lang", "source", "text", "place", text_digest().alias("digest"))
     # decoded in a step of its own: the plan of the fold holds the rank map, that of the decoder the pieces
-    out = materialize(bpe.encode(keep, path, ["doc_id", "lang", "source", "place", "digest"]))
+    out = materialize(bpe.encode(keep, path, ["doc_id", "lang", "source", "place", "digest"], chunk_chars=CHUNK_CHARS))
     back = F.sha2(bpe.decode(F.col("ids"), path), 256)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                       (back == F.col("digest")).alias("round_trip"), "place")
