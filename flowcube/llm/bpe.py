@@ -4,9 +4,13 @@ Text is cut into pieces by the tokenizer's pattern.  Per chunk of documents
 each distinct piece is encoded once: its bytes become single-byte token ids and a fold
 applies ranked merges until no adjacent pair has a rank.  The rank map is a
 literal: pair (a, b) of ids -> id of the joined bytes, by a perfect hash, so
-that a lookup reads three numbers (the id of a token is its rank).  Every token of the public
+that a lookup reads two numbers, the shift of the pair's bucket and a cell that holds the pair and
+the joined id (the id of a token is its rank).  Every token of the public
 vocabularies is the result of merging its own bytes, so whole pieces need no second table.
 
+The fold of a short piece keeps one number per token: rank of the pair with the token before, place of
+its first byte, id.  The least number is the leftmost pair of lowest rank, as first bytes do not move.
+
 For long pieces one fold step merges every occurrence of the lowest-ranked pair at once, left
 to right without overlap (a run of equal pairs is resolved by replacing ``11``
 with ``10`` in the text of marks).  This equals merging one leftmost pair at a time unless a fresh
@@ -38,6 +42,8 @@ VOCABULARY_MAX, BUCKETS, PLACES = 65_536, 1 << 16, 1 << 18
 MIX = (40_503, 30_671, 60_493, 19_937)
 #: Stands for "no rank".
 NONE = 1 << 20
+#: Stands for "no token": follows the last token of a short piece in the fold's state.
+END = VOCABULARY_MAX - 1
 #: Pieces of at most this many bytes merge one pair a step, longer ones all equal pairs a step (the ids are the same).
 SHORT = 48
 #: Characters of text whose distinct pieces are encoded together (a longer document is a chunk of its own).
@@ -48,8 +54,8 @@ def read_ranks(path: str) -> list[bytes]:
     """Token bytes by rank; ranks must be 0..n-1."""
     with open(path, "rb") as f:
         pairs = sorted((int(r), base64.b64decode(t)) for t, r in (line.split() for line in f if line.strip()))
-    if [r for r, _ in pairs] != list(range(len(pairs))) or len(pairs) > VOCABULARY_MAX:
-        raise ValueError("ranks must be 0..n-1 with n at most 65,536")
+    if [r for r, _ in pairs] != list(range(len(pairs))) or len(pairs) > END:
+        raise ValueError("ranks must be 0..n-1 with n at most 65,535")
     return [t for _, t in pairs]
 
 
@@ -58,83 +64,83 @@ def _numbers(values, kind: str) -> Column:
     return F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
 
 
-def placed(pairs: dict[tuple[int, int], int]) -> tuple[list[int], list[int], list[int]]:
-    """A perfect hash of the pairs (hash and displace): shift by bucket, and key and joined id by place.
+def placed(a: list[int], b: list[int], joined: list[int]) -> tuple[list[int], list[int]]:
+    """A perfect hash of the distinct pairs (hash and displace): shift by bucket, and by place the cell (a, b, joined id) or -1.
 
     Buckets are placed largest first; each tries shifts in order until all its places are free.
     """
     import numpy as np
 
-    a, b = (np.array(x, dtype=np.int64) for x in zip(*pairs))
-    joined = np.array(list(pairs.values()), dtype=np.int64)
+    a, b, joined = (np.array(x, dtype=np.int64) for x in (a, b, joined))
     bucket, spot = (a * MIX[0] + b * MIX[1]) % BUCKETS, a * MIX[2] + b * MIX[3]
     order = np.argsort(bucket, kind="stable")
     groups = np.split(order, np.nonzero(np.diff(bucket[order]))[0] + 1)
-    keys, values, shift = np.full(PLACES, -1, np.int64), np.zeros(PLACES, np.int64), np.zeros(BUCKETS, np.int64)
+    cells, shift = np.full(PLACES, -1, np.int64), np.zeros(BUCKETS, np.int64)
     for group in sorted(groups, key=len, reverse=True):
         for d in range(PLACES):
             at = (spot[group] + d) % PLACES
-            if (keys[at] < 0).all() and len(set(at.tolist())) == len(at):
+            if (cells[at] < 0).all() and len(set(at.tolist())) == len(at):
                 break
         else:
             raise ValueError("no free places for a bucket")
         shift[bucket[group[0]]] = d
-        keys[at], values[at] = a[group] * VOCABULARY_MAX + b[group], joined[group]
-    return shift.tolist(), keys.tolist(), values.tolist()
+        cells[at] = (a[group] * VOCABULARY_MAX + b[group]) * NONE + joined[group]
+    return shift.tolist(), cells.tolist()
 
 
 @lru_cache(maxsize=4)
 def rank_map(vocabulary: str) -> Column:
-    """Literal rank map as arrays: ``shift`` by bucket, ``keys`` and ``joined`` by place, ids of the 256 bytes.
+    """Literal rank map as arrays: ``shift`` by bucket, ``cells`` by place, ids of the 256 ``bytes``.
 
     The literal is made once per vocabulary and shared by all plans of the application.
     """
     tokens = read_ranks(vocabulary)
     rank = {t: i for i, t in enumerate(tokens)}
-    pairs = {}
-    for token, c in rank.items():
+    left, right, joined = [], [], []
+    for c, token in enumerate(tokens):
         for cut in range(1, len(token)):
             a, b = rank.get(token[:cut]), rank.get(token[cut:])
             if a is not None and b is not None:
-                pairs[a, b] = c
-    shift, keys, joined = placed(pairs)
-    return F.struct(_numbers(shift, "bigint").alias("shift"), _numbers(keys, "bigint").alias("keys"),
-                    _numbers(joined, "bigint").alias("joined"), _numbers((rank[bytes([b])] for b in range(256)), "bigint").alias("bytes"))
+                left.append(a), right.append(b), joined.append(c)
+    shift, cells = placed(left, right, joined)
+    return F.struct(_numbers(shift, "int").alias("shift"), _numbers(cells, "bigint").alias("cells"),
+                    _numbers((rank[bytes([b])] for b in range(256)), "bigint").alias("bytes"))
 
 
 def rank_of(a: Column, b: Column, ranks: Column) -> Column:
     """Rank of an adjacent pair of ids (the id of the joined bytes); NONE without one or where an id is null."""
     shift = F.get(ranks["shift"], (a * MIX[0] + b * MIX[1]).bitwiseAND(BUCKETS - 1).cast("int"))
     at = (a * MIX[2] + b * MIX[3] + shift).bitwiseAND(PLACES - 1).cast("int")
-    return F.when(F.get(ranks["keys"], at) == a * VOCABULARY_MAX + b, F.get(ranks["joined"], at)).otherwise(F.lit(NONE).cast("bigint"))
+    return let(F.get(ranks["cells"], at), lambda cell: F.when(
+        F.shiftright(cell, 20) == a * VOCABULARY_MAX + b, cell.bitwiseAND(NONE - 1)).otherwise(F.lit(NONE).cast("bigint")))
 
 
 def merge_short(ids: Column, ranks: Column) -> Column:
     """Ids after all ranked merges, one leftmost pair of lowest rank a step.
 
-    The state keeps the rank of every adjacent pair, with NONE before the first and after the last id, so a merge
-    looks up the two pairs around the new token only.
+    A token's number is rank << 32 | place << 16 | id: the rank of the pair with the token before (NONE for the first,
+    and for END after the last), the place of its first byte, its id.  A merge replaces three numbers by two.
     """
-    edge = F.array(F.lit(NONE).cast("bigint"))
+    none = F.lit(NONE << 32).cast("bigint")
+
+    def id_of(number):
+        return number.bitwiseAND(0xFFFF)
 
-    def start(x):
-        inner = F.transform(x, lambda b, i: rank_of(F.get(x, i - 1), b, ranks))  # the first has no left id: NONE
-        return F.struct(x.alias("ids"), F.concat(inner, edge).alias("ranks"))
+    def start(x):  # the first has no left id: NONE
+        return F.concat(F.transform(x, lambda b, i: F.shiftleft(rank_of(F.get(x, i - 1), b, ranks), 32) + i * (1 << 16) + b), F.array(none + END))
 
     def step(s, _):
-        def merged(low):
-            def at(p):  # pair (p - 1, p) of the 0-based ids has the lowest rank
-                ids, known = s["ids"], s["ranks"]
-                return F.struct(
-                    F.concat(F.slice(ids, 1, p - 1), F.array(low), F.slice(ids, p + 2, F.size(ids) - p - 1)).alias("ids"),
-                    F.concat(F.slice(known, 1, p - 1),
-                             F.array(rank_of(F.get(ids, p - 2), low, ranks), rank_of(low, F.get(ids, p + 1), ranks)),
-                             F.slice(known, p + 3, F.size(known) - p - 2)).alias("ranks"))
-            return F.when(low == NONE, s).otherwise(let(F.array_position(s["ranks"], low).cast("int") - 1, at))
-        return let(F.array_min(s["ranks"]), merged)
+        def merged(p):  # the number at p (from 1) is the least: its token joins the one before
+            low, left, after = F.get(s, p - 1), F.get(s, p - 2), F.get(s, p)
+            token = F.shiftright(low, 32)
+            one = F.shiftleft(rank_of(id_of(F.get(s, p - 3)), token, ranks), 32) + left.bitwiseAND(0xFFFF0000) + token
+            two = F.shiftleft(rank_of(token, id_of(after), ranks), 32) + after.bitwiseAND(0xFFFFFFFF)
+            return F.when(low >= none, s).otherwise(F.concat(F.slice(s, 1, p - 2), F.array(one, two), F.slice(s, p + 2, SHORT)))
+        return let(F.array_position(s, F.array_min(s)).cast("int"), merged)
 
     return let(start(ids), lambda first: F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), first, step, lambda s: s["ids"]))
+        F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), first, step,
+        lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), id_of)))
 
 
 def merge_long(ids: Column, ranks: Column) -> Column:
