@@ -50,5 +50,25 @@ def test_many_languages_vocabulary(spark):
     assert bpe.encode(df, P.path("byte_bpe_multi_50k.tiktoken"), ["doc_id"]).first()["ids"] == other.encode_ordinary(text)
 
 
+def test_ties_take_the_leftmost_pair(spark, reference):
+    """Short pieces with many equal and overlapping pairs, up to and beyond the bytes of the one-pair-a-step fold."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 56))) for letters in ("an", "eé", "aeo", "ßs", "tion", "=-") for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(words)), "doc_id bigint, text string").repartition(4)
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode(df, P.path(bpe.VOCABULARY), ["doc_id"]).collect()}
+    assert got == {i: reference.encode_ordinary(w) for i, w in enumerate(words)}
+
+
+def test_rank_map_finds_every_pair_and_no_other():
+    pairs = {(a, b): (a * 31 + b) % 60_000 for a in range(0, 3000, 7) for b in range(a % 5, 200, 9)}
+    shift, cells = bpe.placed([a for a, _ in pairs], [b for _, b in pairs], list(pairs.values()))
+
+    def rank(a, b):
+        at = (a * bpe.MIX[2] + b * bpe.MIX[3] + shift[(a * bpe.MIX[0] + b * bpe.MIX[1]) % bpe.BUCKETS]) % bpe.PLACES
+        return cells[at] % bpe.NONE if cells[at] >> 20 == a * bpe.VOCABULARY_MAX + b else None
+
+    assert all(rank(a, b) == pairs.get((a, b)) for a in range(0, 3000, 5) for b in range(210))
+
+
 def test_empty(empty):
     assert bpe.encode(empty, P.path(bpe.VOCABULARY), ["doc_id"]).count() == 0
