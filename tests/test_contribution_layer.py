@@ -1,3 +1,4 @@
+import re
 import shutil
 import statistics
 
@@ -57,3 +58,33 @@ def test_medians_of_several_columns(spark):
     out = pl.exact_medians(spark.createDataFrame(rows, "g string, x double, y bigint"), ["g"], {"mx": "x", "my": "y"})
     got = {r.g: (r.mx, r.my) for r in out.collect()}
     assert got == {g: tuple(statistics.median([r[i] for r in rows if r[0] == g and r[i] is not None]) for i in (1, 2)) for g in "ab"}
+
+
+def joins(df):
+    """Left keys of the shuffled joins, the last one first."""
+    return re.findall(r"SortMergeJoin \[(\w+)#", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_lines_are_shuffled_by_order_and_never_by_customer(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert joins(conc.line_records(Tables(spark, SF_SMALL))) == ["l_orderkey", "o_custkey"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_card_is_closed_by_a_line_shipped_on_the_first_date_of_its_number(spark, tmp_path):
+    for name in conc.INPUTS:
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").limit(0 if name in ("orders", "lineitem") else 10 ** 6).write.parquet(
+            f"{tmp_path}/{name}.parquet")
+    day = "timestamp_ntz'1996-01-0{}'".format
+    orders = [(1, day(5)), (1, day(2)), (2, day(5)), (3, day(1)), (4, day(5))]
+    spark.sql(" union all ".join(f"select bigint({k}) o_orderkey, bigint(1) o_custkey, 'F' o_orderstatus, 1d o_totalprice, {d} o_orderdate, "
+                                 "'1-URGENT' o_orderpriority" for k, d in orders)).write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 7, day(3)), (2, 8, day(3)), (4, 999999, day(6)), (None, 7, day(9))]  # card 4: a part that is not listed
+    spark.sql(" union all ".join(f"select bigint({k or 'null'}) l_orderkey, bigint({p}) l_partkey, bigint(1) l_suppkey, 1 l_linenumber, 1d l_quantity, "
+                                 f"1d l_extendedprice, 0d l_discount, 0d l_tax, 'R' l_returnflag, 'F' l_linestatus, {d} l_shipdate"
+                                 for k, p, d in lines)).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    got = sorted((r.card, r.state, r.assignee, r.labels is None) for r in conc.axis_cards(spark, Tables(spark, str(tmp_path))).collect())
+    assert got == [(1, "fechado", "1", False)] * 2 + [(2, "aberto", "1", False), (3, "aberto", "(vazio)", True), (4, "fechado", "(vazio)", True)]
