@@ -11,10 +11,10 @@ Canonical inputs (column names, any extra columns are ignored):
 Money is summed as DECIMAL(18,2) so totals reconcile exactly across layers;
 ratios are computed once, in double, from those exact totals.
 
-Scale notes: the only large shuffle is items ⋈ orders on ``order_id``.  The
-customer and product sides are joined by key and left to AQE, which turns
-them into broadcast joins only when their runtime size is under the
-broadcast threshold.  Distinct-order counts are computed per group
+Scale notes: the only large shuffles are items ⋈ products, while items are
+narrow, and items ⋈ orders on ``order_id``.  The customer and product sides
+are joined by key and left to AQE, which turns them into broadcast joins only
+when their runtime size is under the broadcast threshold.  Distinct-order counts are computed per group
 (``count(DISTINCT)`` becomes a two-phase aggregate keyed by the group and the
 order id, so no group has to fit in one task).  Every window that orders a
 whole result runs on an already aggregated, bounded relation (categories,
@@ -67,13 +67,12 @@ def item_fact(items: DataFrame, orders: DataFrame, customers: DataFrame,
     p = products.select("product_id", F.col("category_name").alias("category_original"))
     t = translation.select(F.col("category_name").alias("category_original"),
                            F.col("category_name_english").alias("category_english"))
-    # Orders are enriched with their customer first: the item-sized side is then
-    # shuffled once by order (and once by product when the product side is too
-    # large to broadcast), never by customer.
+    # Orders are enriched with their customer and products with their translation (one row per category: a bounded
+    # dimension) first: items are shuffled at most by product, while they are narrow, and by order, never by customer
+    # or by the few categories.
     oc = o.join(c, "customer_id", "left")
-    fact = (i.join(oc, "order_id", "left")
-             .join(p, "product_id", "left")
-             .join(t, "category_original", "left"))
+    pt = p.join(F.broadcast(t), "category_original", "left")
+    fact = i.join(pt, "product_id", "left").join(oc, "order_id", "left")
     return fact.withColumn("month", F.trunc("purchased_at", "month")).withColumn(
         "category", F.coalesce("category_original", F.lit(default_category))).select(*FACT_COLUMNS)
 
