@@ -59,8 +59,8 @@ def q_fanout_audit(spark, sf_dir):
     direct = quality.fanout(f, payments(t), "customer_id", "price").select(
         F.col("join_rows").alias("direct_join_rows"), F.col("join_measure").alias("direct_join_revenue"))
     pay = payments(t).groupBy("customer_id").agg(F.sum("value").alias("paid"), F.count(F.lit(1)).alias("n_pay"))
-    pre = (f.join(pay, "customer_id", "left")
-            .agg(F.count(F.lit(1)).alias("preagg_join_rows"), olap.money_sum("price").alias("preagg_join_revenue")))
+    pre = quality.left_join_size(f, pay, "customer_id", "price").select(
+        F.col("join_rows").alias("preagg_join_rows"), F.col("join_measure").alias("preagg_join_revenue"))
     return (side_by_side(base, direct, pre)
                 .withColumn("keeps_grain", F.col("preagg_join_rows") == F.col("fact_rows"))
                 .withColumn("keeps_revenue", F.col("preagg_join_revenue") == F.col("fact_revenue")))
