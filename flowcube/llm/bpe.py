@@ -1,25 +1,19 @@
-"""Byte-level BPE encoding and decoding with Spark higher-order functions.
-
-Text is cut into pieces by the tokenizer's pattern.  Per chunk of documents
-each distinct piece is encoded once: its bytes become single-byte token ids and a fold
-applies ranked merges until no adjacent pair has a rank.  The rank map is a
-literal: pair (a, b) of ids -> id of the joined bytes, by a perfect hash, so
-that a lookup reads two numbers, the shift of the pair's bucket and a cell that holds the pair and
-the joined id (the id of a token is its rank).  Every token of the public
-vocabularies is the result of merging its own bytes, so whole pieces need no second table.
-
-The fold of a short piece keeps one number per token: rank of the pair with the token before, place of
-its first byte, id.  The least number is the leftmost pair of lowest rank, as first bytes do not move.
-
-For long pieces one fold step merges every occurrence of the lowest-ranked pair at once, left
-to right without overlap (a run of equal pairs is resolved by replacing ``11``
-with ``10`` in the text of marks).  This equals merging one leftmost pair at a time unless a fresh
-token forms a pair of lower rank with a neighbour; the step checks for that and
-then merges the leftmost pair only.
-
-Decoding looks every id up in the literal array of token bytes and
-concatenates the pieces.  Nothing is shuffled, and a document's own ids are
-addressed by position in the chunk's array of distinct pieces.
+"""Byte-level BPE encoding and decoding: a fold of ranked merges over distinct pieces.
+
+Text is cut into pieces by the tokenizer's pattern.  A task encodes each distinct piece once (until its
+store of pieces is full): its bytes become single-byte token ids and a fold applies ranked merges until no
+adjacent pair has a rank.  The rank map gives the id of the joined bytes for a pair (a, b) of ids, by a
+perfect hash, so that a look-up reads two numbers, the shift of the pair's bucket and a cell that holds the
+pair and the joined id (the id of a token is its rank).  It is sent to the tasks once and is no part of any
+plan.  Every token of the public vocabularies is the result of merging its own bytes, so whole pieces need
+no second table.
+
+The fold works on all new pieces of a batch at once, as arrays: a step merges in every piece the leftmost
+pair of lowest rank and looks up the two pairs that this makes; pieces without a ranked pair leave.  Long
+pieces take the same merges one by one from a heap, so that their cost grows with n log n.
+
+Decoding concatenates the bytes of the ids.  Nothing is shuffled, and a document's own ids are addressed by
+position in the task's store of pieces.
 """
 
 from __future__ import annotations
@@ -27,50 +21,46 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from typing import NamedTuple
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowcube.llm.common import documents, let
+from flowcube.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Largest vocabulary, buckets and places (powers of two) of the literal rank map, and multipliers of its hashes.
+#: Largest vocabulary, buckets and places (powers of two) of the rank map, and multipliers of its hashes.
 VOCABULARY_MAX, BUCKETS, PLACES = 65_536, 1 << 16, 1 << 18
 MIX = (40_503, 30_671, 60_493, 19_937)
 #: Stands for "no rank".
 NONE = 1 << 20
-#: Stands for "no token": follows the last token of a short piece in the fold's state.
-END = VOCABULARY_MAX - 1
-#: Pieces of at most this many bytes merge one pair a step, longer ones all equal pairs a step (the ids are the same).
-SHORT = 48
-#: Characters of text whose distinct pieces are encoded together (a longer document is a chunk of its own).
-CHUNK_CHARS = 32_000_000
+#: Pieces of at most this many bytes are folded as arrays, longer ones by a heap (the ids are the same).
+SHORT = 128
+#: Characters of text that are cut, folded and given out together (a longer document goes alone).
+CHUNK_CHARS = 2_000_000
+#: Pieces that a task remembers before it starts anew.
+PIECES_MAX = 300_000
 
 
 def read_ranks(path: str) -> list[bytes]:
     """Token bytes by rank; ranks must be 0..n-1."""
     with open(path, "rb") as f:
         pairs = sorted((int(r), base64.b64decode(t)) for t, r in (line.split() for line in f if line.strip()))
-    if [r for r, _ in pairs] != list(range(len(pairs))) or len(pairs) > END:
+    if [r for r, _ in pairs] != list(range(len(pairs))) or len(pairs) >= VOCABULARY_MAX:
         raise ValueError("ranks must be 0..n-1 with n at most 65,535")
     return [t for _, t in pairs]
 
 
-def _numbers(values, kind: str) -> Column:
-    """A literal array, written as one text (constant folding turns it into an array once)."""
-    return F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
-
-
 def placed(a: list[int], b: list[int], joined: list[int]) -> tuple[list[int], list[int]]:
     """A perfect hash of the distinct pairs (hash and displace): shift by bucket, and by place the cell (a, b, joined id) or -1.
 
     Buckets are placed largest first; each tries shifts in order until all its places are free.
     """
-    import numpy as np
-
     a, b, joined = (np.array(x, dtype=np.int64) for x in (a, b, joined))
     bucket, spot = (a * MIX[0] + b * MIX[1]) % BUCKETS, a * MIX[2] + b * MIX[3]
     order = np.argsort(bucket, kind="stable")
@@ -88,12 +78,17 @@ def placed(a: list[int], b: list[int], joined: list[int]) -> tuple[list[int], li
     return shift.tolist(), cells.tolist()
 
 
-@lru_cache(maxsize=4)
-def rank_map(vocabulary: str) -> Column:
-    """Literal rank map as arrays: ``shift`` by bucket, ``cells`` by place, ids of the 256 ``bytes``.
+class RankMap(NamedTuple):
+    """``shift`` by bucket, ``cells`` by place, ids of the 256 ``bytes``."""
 
-    The literal is made once per vocabulary and shared by all plans of the application.
-    """
+    shift: np.ndarray
+    cells: np.ndarray
+    bytes: np.ndarray
+
+
+@lru_cache(maxsize=4)
+def rank_map(vocabulary: str) -> RankMap:
+    """The rank map of a vocabulary, made once on the driver; a function that refers to it takes it to the tasks."""
     tokens = read_ranks(vocabulary)
     rank = {t: i for i, t in enumerate(tokens)}
     left, right, joined = [], [], []
@@ -103,183 +98,194 @@ def rank_map(vocabulary: str) -> Column:
             if a is not None and b is not None:
                 left.append(a), right.append(b), joined.append(c)
     shift, cells = placed(left, right, joined)
-    return F.struct(_numbers(shift, "int").alias("shift"), _numbers(cells, "bigint").alias("cells"),
-                    _numbers((rank[bytes([b])] for b in range(256)), "bigint").alias("bytes"))
-
-
-def rank_of(a: Column, b: Column, ranks: Column) -> Column:
-    """Rank of an adjacent pair of ids (the id of the joined bytes); NONE without one or where an id is null."""
-    shift = F.get(ranks["shift"], (a * MIX[0] + b * MIX[1]).bitwiseAND(BUCKETS - 1).cast("int"))
-    at = (a * MIX[2] + b * MIX[3] + shift).bitwiseAND(PLACES - 1).cast("int")
-    return let(F.get(ranks["cells"], at), lambda cell: F.when(
-        F.shiftright(cell, 20) == a * VOCABULARY_MAX + b, cell.bitwiseAND(NONE - 1)).otherwise(F.lit(NONE).cast("bigint")))
-
-
-def merge_short(ids: Column, ranks: Column) -> Column:
-    """Ids after all ranked merges, one leftmost pair of lowest rank a step.
-
-    A token's number is rank << 32 | place << 16 | id: the rank of the pair with the token before (NONE for the first,
-    and for END after the last), the place of its first byte, its id.  A merge replaces three numbers by two.
-    """
-    none = F.lit(NONE << 32).cast("bigint")
-
-    def id_of(number):
-        return number.bitwiseAND(0xFFFF)
-
-    def start(x):  # the first has no left id: NONE
-        return F.concat(F.transform(x, lambda b, i: F.shiftleft(rank_of(F.get(x, i - 1), b, ranks), 32) + i * (1 << 16) + b), F.array(none + END))
-
-    def step(s, _):
-        def merged(p):  # the number at p (from 1) is the least: its token joins the one before
-            low, left, after = F.get(s, p - 1), F.get(s, p - 2), F.get(s, p)
-            token = F.shiftright(low, 32)
-            one = F.shiftleft(rank_of(id_of(F.get(s, p - 3)), token, ranks), 32) + left.bitwiseAND(0xFFFF0000) + token
-            two = F.shiftleft(rank_of(token, id_of(after), ranks), 32) + after.bitwiseAND(0xFFFFFFFF)
-            return F.when(low >= none, s).otherwise(F.concat(F.slice(s, 1, p - 2), F.array(one, two), F.slice(s, p + 2, SHORT)))
-        return let(F.array_position(s, F.array_min(s)).cast("int"), merged)
-
-    return let(start(ids), lambda first: F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), first, step,
-        lambda s: F.transform(F.slice(s, 1, F.size(s) - 1), id_of)))
+    return RankMap(np.array(shift, np.int64), np.array(cells, np.int64), np.array([rank[bytes([b])] for b in range(256)], np.int64))
 
 
-def merge_long(ids: Column, ranks: Column) -> Column:
-    """As ``merge_short`` for long pieces: a step merges all occurrences of the lowest pair where that is the same."""
-    none = F.lit(NONE).cast("bigint")
+def rank_of(a: np.ndarray, b: np.ndarray, ranks: RankMap) -> np.ndarray:
+    """Ranks of adjacent pairs of ids (the id of the joined bytes); NONE without one."""
+    shift = ranks.shift[(a * MIX[0] + b * MIX[1]) & (BUCKETS - 1)]
+    cell = ranks.cells[(a * MIX[2] + b * MIX[3] + shift) & (PLACES - 1)]
+    return np.where(cell >> 20 == a * VOCABULARY_MAX + b, cell & (NONE - 1), NONE)
 
-    def state(ids):
-        """ids, ranks of adjacent pairs, and the lowest rank."""
-        def pairs(x):
-            return F.when(F.size(x) < 2, F.expr("cast(array() as array<bigint>)")).otherwise(
-                F.transform(F.slice(x, 2, F.size(x) - 1), lambda b, i: rank_of(F.get(x, i), b, ranks)))
-        return let(ids, lambda x: let(pairs(x), lambda r: F.struct(
-            x.alias("ids"), r.alias("ranks"), F.coalesce(F.array_min(r), none).alias("low"))))
 
-    def step(s, _):
-        def merged(marks):  # marks: array of '0'/'1', one per pair
-            ids = F.filter(F.transform(s["ids"], lambda x, i: F.when((i > 0) & (F.get(marks, i - 1) == "1"), F.lit(None))
-                                       .when(F.get(marks, i) == "1", s["low"]).otherwise(x)), lambda x: x.isNotNull())
-            return state(ids)
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all elements of the stretches that begin at ``starts`` and hold ``sizes`` elements."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
-        def all_marks():
-            text = F.array_join(F.transform(s["ranks"], lambda r: F.when(r == s["low"], "1").otherwise("0")), "")
-            return F.split(F.regexp_replace(text, "11", "10"), "")
 
-        def first_mark():
-            at = F.array_position(s["ranks"], s["low"]) - 1
-            return F.transform(s["ranks"], lambda r, i: F.when(i == at, "1").otherwise("0"))
-
-        def guarded(marks):
-            # a fresh token next to the first part of a later occurrence: their rank must not be lower
-            between = F.exists(F.transform(marks, lambda m, i: (m == "1") & (F.get(marks, i + 2) == "1") & (
-                rank_of(s["low"], F.get(s["ids"], i + 2), ranks) < s["low"])), lambda x: F.coalesce(x, F.lit(False)))
-            return let(merged(marks), lambda t: F.when((t["low"] > s["low"]) & ~between, t).otherwise(merged(first_mark())))
-
-        return F.when(s["low"] == none, s).otherwise(let(all_marks(), guarded))
-
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(ids) - 1, F.lit(1))), state(ids), step, lambda s: s["ids"])
+def merge_short(ids: np.ndarray, sizes: np.ndarray, ranks: RankMap) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and sizes of pieces (none empty, one after another) after all ranked merges.
 
+    A step merges the leftmost pair of lowest rank of every piece that has one.  A pair's number is rank << 32 | place of
+    its first id, so that pair is the piece's least number.
+    """
+    out, out_sizes, piece = [], np.zeros(len(sizes), np.int64), np.arange(len(sizes))
+    rank = np.full(len(ids), NONE, np.int64)  # of an id with the next of its piece
+    rank[:-1] = rank_of(ids[:-1], ids[1:], ranks)
+    rank[np.cumsum(sizes) - 1] = NONE
+    while len(piece):
+        low = np.minimum.reduceat((rank << 32) + np.arange(len(ids)), np.cumsum(sizes) - sizes)
+        at, low = low & 0xFFFFFFFF, low >> 32
+        more = low < NONE
+        if not more.all():  # pieces without a ranked pair leave
+            stay = np.repeat(more, sizes)
+            out.append((piece[~more], ids[~stay]))
+            out_sizes[piece[~more]] = sizes[~more]
+            at = (at - np.cumsum(~stay)[at])[more]
+            ids, rank, piece, sizes, low = ids[stay], rank[stay], piece[more], sizes[more], low[more]
+        ids[at] = low
+        keep = np.ones(len(ids), bool)
+        keep[at + 1] = False
+        ids, rank, sizes = ids[keep], rank[keep], sizes - 1
+        at = at - np.arange(len(at))  # each piece before lost one id
+        ends = np.cumsum(sizes)
+        rank[at] = NONE
+        for first in (at[at < ends - 1], at[at > ends - sizes] - 1):
+            rank[first] = rank_of(ids[first], ids[first + 1], ranks)
+    starts, merged = np.cumsum(out_sizes) - out_sizes, np.empty(out_sizes.sum(), np.int64)
+    for pieces, found in out:
+        merged[spread(starts[pieces], out_sizes[pieces])] = found
+    return merged, out_sizes
+
+
+def merge_long(ids: np.ndarray, ranks: RankMap) -> list[int]:
+    """Ids of one piece after all ranked merges, the same as ``merge_short``, by a heap of pairs."""
+    def pair(a: int, b: int) -> int:
+        cell = int(ranks.cells[(a * MIX[2] + b * MIX[3] + int(ranks.shift[(a * MIX[0] + b * MIX[1]) & (BUCKETS - 1)])) & (PLACES - 1)])
+        return cell & (NONE - 1) if cell >> 20 == a * VOCABULARY_MAX + b else NONE
+
+    rank, ids, n = [*rank_of(ids[:-1], ids[1:], ranks).tolist(), NONE], ids.tolist(), len(ids)
+    after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), [False] * n
+    heap = [(r << 32) + i for i, r in enumerate(rank) if r < NONE]
+    heapify(heap)
+    while heap:
+        number = heappop(heap)
+        low, at = number >> 32, number & 0xFFFFFFFF
+        if gone[at] or rank[at] != low:  # of a pair that is no more
+            continue
+        right = after[at]
+        ids[at], gone[right], after[at] = low, True, after[right]
+        if after[at] < n:
+            before[after[at]] = at
+        for first in (at, before[at]):
+            if first >= 0:
+                second = after[first]
+                rank[first] = pair(ids[first], ids[second]) if second < n else NONE
+                if rank[first] < NONE:
+                    heappush(heap, (rank[first] << 32) + first)
+    return [x for x, left in zip(ids, gone) if not left]
+
+
+def merge_words(words: list[str], ranks: RankMap) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and their number of pieces (none empty), one after another."""
+    raw = [w.encode("utf-8", "surrogatepass") for w in words]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    ids, short = ranks.bytes[np.frombuffer(b"".join(raw), np.uint8)], sizes <= SHORT
+    starts = np.cumsum(sizes) - sizes
+    merged, lengths = merge_short(ids[np.repeat(short, sizes)], sizes[short], ranks)
+    if short.all():
+        return merged, lengths
+    long = [merge_long(ids[s:s + n], ranks) for s, n in zip(starts[~short].tolist(), sizes[~short].tolist())]
+    sizes[short], sizes[~short] = lengths, [len(x) for x in long]
+    out, of_short = np.empty(sizes.sum(), np.int64), np.repeat(short, sizes)
+    out[of_short], out[~of_short] = merged, np.concatenate([np.array(x, np.int64) for x in long])
+    return out, sizes
+
+
+class Pieces(dict):
+    """Numbers of the pieces that a task has met, and their ids (``start`` and ``size`` by number)."""
+
+    def __init__(self, ranks: RankMap):
+        super().__init__()
+        self.ranks, self.new = ranks, []
+        self.ids, self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+    def fold(self) -> None:
+        """Encode the pieces met since the last call."""
+        ids, size = merge_words(self.new, self.ranks)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.ids, self.size, self.new = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.size, size]), []
 
-def merge_word(word: Column, ranks: Column) -> Column:
-    """Ids of one piece (array of byte values) after all ranked merges."""
-    return let(F.transform(word, lambda b: F.get(ranks["bytes"], b.cast("int"))), lambda ids: F.when(
-        F.size(ids) < 2, ids).when(F.size(ids) <= SHORT, merge_short(ids, ranks)).otherwise(merge_long(ids, ranks)))
 
+def encode(docs: DataFrame, vocabulary: str, keep: list[str], pattern: str = public_tokenizers.PATTERN,
+           chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """``keep`` columns of ``docs`` and ``ids``: token ids of the whole text, as array<int>.
 
-def chunks(docs: DataFrame, keep: list[str], pattern: str, chunk_chars: int) -> DataFrame:
-    """Rows (words, docs): distinct pieces of a chunk as byte values, and per document its piece numbers."""
-    inner = [T.StructField(c, docs.schema[c].dataType) for c in keep] + [T.StructField("codes", T.ArrayType(T.IntegerType()))]
-    schema = T.StructType([T.StructField("words", T.ArrayType(T.ArrayType(T.ShortType()))),
-                           T.StructField("docs", T.ArrayType(T.StructType(inner)))])
+    Null text is empty and gives no ids; each row is encoded on its own, so repeated rows and ties do
+    not matter; an empty table gives an empty result; text within a piece may have any length.
+    ``keep`` must not contain a column named ``ids``.
+    """
+    ranks = rank_map(vocabulary)
+    schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in keep], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         import regex
 
-        split = regex.compile(pattern, regex.V1).findall
-
-        def emit(number: dict, rows: list, coded: list) -> pa.RecordBatch:
-            raw = [w.encode("utf-8", "surrogatepass") for w in number]
-            ends = np.concatenate([[0], np.cumsum([len(w) for w in raw])]).astype(np.int32)
-            values = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int16)
-            words = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-            data = pa.concat_tables(pa.Table.from_batches([r]) for r in rows).combine_chunks()
-            at = np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int32)
-            codes = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.empty(0, np.int32), *coded])))
-            cols = [data.column(c).combine_chunks() for c in keep]
-            cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
-            each = pa.StructArray.from_arrays([*cols, codes], [*keep, "codes"])
-            whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
-            return pa.RecordBatch.from_arrays([whole(words), whole(each)], ["words", "docs"])
-
-        number: dict[str, int] = {}
-        rows, coded, held = [], [], 0
+        split, pieces = regex.compile(pattern, regex.V1).findall, Pieces(ranks)
+
+        def encoded(part: pa.RecordBatch, coded: list[np.ndarray]) -> pa.RecordBatch:
+            pieces.fold()
+            codes = np.concatenate(coded)
+            sizes = pieces.size[codes]
+            ids = pieces.ids[spread(pieces.start[codes], sizes)]
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum([len(c) for c in coded])])]
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+            return pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], lists], [*keep, "ids"])
+
         for batch in batches:
-            texts, begin = batch.column("text"), 0
+            texts, begin, coded, held = batch.column("text"), 0, [], 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
-                codes = [number.setdefault(w, len(number)) for w in split(text)]
-                coded.append(np.array(codes, dtype=np.int32))
+                coded.append(np.array([pieces[w] for w in split(text)], dtype=np.int32))
                 held += len(text)
-                if held >= chunk_chars:
-                    yield emit(number, [*rows, batch.select(keep).slice(begin, i + 1 - begin)], coded)
-                    number, rows, coded, held, begin = {}, [], [], 0, i + 1
-            if begin < batch.num_rows:
-                rows.append(batch.select(keep).slice(begin))
-        if coded:
-            yield emit(number, rows, coded)
+                if held >= chunk_chars or i + 1 == batch.num_rows:
+                    yield encoded(batch.slice(begin, i + 1 - begin), coded)
+                    begin, coded, held = i + 1, [], 0
+                    if len(pieces) > PIECES_MAX:
+                        pieces = Pieces(ranks)
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, vocabulary: str, keep: list[str], pattern: str = public_tokenizers.PATTERN,
-           chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``keep`` columns of ``docs`` and ``ids``: token ids of the whole text, as array<int>.
+def _lists(ids: pa.Array) -> Iterator[np.ndarray | None]:
+    """The id arrays of a column, without nulls within; None for a null."""
+    values, ends = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False), np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    for end, size, known in zip(ends.tolist(), np.diff(ends, prepend=0).tolist(), ids.is_valid().to_pylist()):
+        yield values[end - size:end] if known else None
 
-    Null text is empty and gives no ids; each row is encoded on its own, so repeated rows and ties do
-    not matter; an empty table gives an empty result; text within a piece may have any length.
-    ``keep`` must not contain a column named ``codes`` or ``ids``.
-    """
-    words = chunks(docs, keep, pattern, chunk_chars)
 
-    def encoded(ranks):
-        def of_docs(coded):  # a document's ids are its pieces' ids, addressed by position
-            return F.transform("docs", lambda d: F.struct(
-                *[d[c].alias(c) for c in keep], F.flatten(F.transform(d["codes"], lambda c: F.get(coded, c))).alias("ids")))
-        return let(F.transform("words", lambda w: merge_word(w, ranks).cast("array<int>")), of_docs)
+def packed(ids: Column) -> Column:
+    """An id array as little-endian unsigned 32-bit integers, as binary."""
+    @F.arrow_udf("binary")
+    def pack(ids: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else x[x >= 0].astype("<u4").tobytes() for x in _lists(ids)], pa.binary())
 
-    each = words.select(F.explode(let(rank_map(vocabulary), encoded)).alias("doc"))
-    return each.select(*[F.col("doc").getField(c).alias(c) for c in [*keep, "ids"]])
-
-
-@lru_cache(maxsize=4)
-def pieces_hex(vocabulary: str) -> Column:
-    """Literal array: bytes of every token, as hexadecimal text."""
-    return _numbers((t.hex() for t in read_ranks(vocabulary)), "string")
-
-
-@lru_cache(maxsize=4)
-def ids_hex(vocabulary: str) -> Column:
-    """Literal array: every id as a little-endian unsigned 32-bit integer, as hexadecimal text."""
-    return _numbers((i.to_bytes(4, "little").hex() for i in range(len(read_ranks(vocabulary)))), "string")
-
-
-def concatenated(ids: Column, pieces: Column) -> Column:
-    """The pieces of an id array, looked up in a literal array and concatenated, as binary."""
-    return let(pieces, lambda table: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(table, i)), "")))
+    return pack(ids)
 
 
 def decode(ids: Column, vocabulary: str) -> Column:
     """Bytes of a token id array."""
-    return concatenated(ids, pieces_hex(vocabulary))
+    tokens = read_ranks(vocabulary)
+
+    @F.arrow_udf("binary")
+    def join(ids: pa.Array) -> pa.Array:
+        known = lambda x: x[(x >= 0) & (x < len(tokens))].tolist()
+        return pa.array([None if x is None else b"".join(map(tokens.__getitem__, known(x))) for x in _lists(ids)], pa.binary())
+
+    return join(ids)
 
 
 def op6_bpe_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and of the decoded bytes, for every document."""
     path = public_tokenizers.path(VOCABULARY)
     out = encode(documents(spark, sf_dir).select("doc_id", "text"), path, ["doc_id"])
-    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                      F.sha2(concatenated(F.col("ids"), ids_hex(path)), 256).alias("ids_sha256"),
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(packed(F.col("ids")), 256).alias("ids_sha256"),
                       F.sha2(decode(F.col("ids"), path), 256).alias("decoded_sha256"))
 
 

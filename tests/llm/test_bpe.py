@@ -70,5 +70,43 @@ def test_rank_map_finds_every_pair_and_no_other():
     assert all(rank(a, b) == pairs.get((a, b)) for a in range(0, 3000, 5) for b in range(210))
 
 
+def test_long_pieces_and_short_ones_take_the_same_merges(reference):
+    import numpy as np
+
+    rng, ranks = random.Random(5), bpe.rank_map(P.path(bpe.VOCABULARY))
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 400))) for letters in ("a", "an", "eé", "=-", "etaoinsr", "你好") for _ in range(20)]
+    one = lambda w: ranks.bytes[np.frombuffer(w.encode(), np.uint8)]
+    ids, sizes = bpe.merge_short(np.concatenate([one(w) for w in words]), np.array([len(w.encode()) for w in words]), ranks)
+    got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [bpe.merge_long(one(w), ranks) for w in words]
+    ids, sizes = bpe.merge_words(words, ranks)
+    assert got == [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    whole = [w for w in words if reference._pat_str and w.isalpha()]
+    assert [got[words.index(w)] for w in whole] == [reference.encode_ordinary(w) for w in whole]
+
+
+def test_a_store_of_pieces_that_is_full_starts_anew(spark, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "PIECES_MAX", 3)
+    rows = [(i, f"one two{i % 3} three four five" + " x" * i) for i in range(40)] + [(40, None), (41, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode(df, P.path(bpe.VOCABULARY), ["doc_id"], chunk_chars=50).collect()}
+    assert got == {i: reference.encode_ordinary(t or "") for i, t in rows}
+
+
+def test_plans_hold_no_table_of_the_vocabulary(spark):
+    path = P.path(bpe.VOCABULARY)
+    out = bpe.encode(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), path, ["doc_id"])
+    out = out.select("doc_id", bpe.packed(out["ids"]).alias("packed"), bpe.decode(out["ids"], path).alias("raw"))
+    assert len(out._jdf.queryExecution().toString()) < 20_000
+    assert bytes(out.first()["raw"]) == b"a b"
+
+
+def test_decoding_skips_nulls_and_unknown_ids(spark):
+    df = spark.createDataFrame([(1, [97, None, 60_000, -1, 98]), (2, None), (3, [])], "k int, ids array<int>").coalesce(1)
+    got = {r["k"]: r["raw"] for r in df.select("k", bpe.decode(df["ids"], P.path(bpe.VOCABULARY)).alias("raw")).collect()}
+    tokens = bpe.read_ranks(P.path(bpe.VOCABULARY))
+    assert bytes(got[1]) == tokens[97] + tokens[98] and got[2] is None and bytes(got[3]) == b""
+
+
 def test_empty(empty):
     assert bpe.encode(empty, P.path(bpe.VOCABULARY), ["doc_id"]).count() == 0
