@@ -59,8 +59,7 @@ def q_allocated_sum(spark, sf_dir):
 
 def card_keys(t: Tables):
     """(team, card) of every orders-side card."""
-    return (t.orders.join(si.customer_team(t), F.col("o_custkey") == F.col("c_custkey"))
-             .select("team", F.col("o_orderkey").alias("card")))
+    return si.orders_with_team(t).select("team", F.col("o_orderkey").alias("card"))
 
 
 def citation_links(t: Tables):
@@ -68,17 +67,22 @@ def citation_links(t: Tables):
     return t.memo("citation_links", lambda: _citation_links(t))
 
 
-def _citation_links(t: Tables):
+#: What a link tells about its commit and citation; a report names those that it leaves out.
+LINK_DETAILS = ["cited_in", "authored_at", "title", "lines_added", "lines_removed"]
+
+
+def _citation_links(t: Tables, without: tuple[str, ...] = ()):
     a = cal.authored(si.commits(t), si.teams(t))
     nums, src = text.citations_with_fallback(F.col("title"), F.col("message"))
     cited = (a.select("team", "commit_id", "author_id", "authored_at", "title", "lines_added", "lines_removed",
                       nums.alias("nums"), src.alias("cited_in"))
-              .select("*", F.explode("nums").alias("cited_number")).drop("nums"))
+              .select("*", F.explode("nums").alias("cited_number")).drop("nums", *without))
     keys = card_keys(t).withColumnRenamed("card", "cited_number").withColumn("card", F.col("cited_number"))
     j = cited.join(keys, ["team", "cited_number"], "left")
-    return materialize(j).select("team", "card", "cited_number",
-                    F.col("card").isNull().cast("int").alias("is_dangling"), "cited_in",
-                    "commit_id", "author_id", "authored_at", "title", "lines_added", "lines_removed")
+    head, *rest = LINK_DETAILS
+    named = lambda names: [c for c in names if c not in without]
+    return materialize(j).select("team", "card", "cited_number", F.col("card").isNull().cast("int").alias("is_dangling"),
+                                 *named([head]), "commit_id", "author_id", *named(rest))
 
 
 def q_ref_citations(spark, sf_dir):
