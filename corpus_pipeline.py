@@ -30,8 +30,6 @@ from flowcube.operators.materialize import materialize
 
 #: Near duplicates of stage one_of_each: words of a shingle, and least Jaccard similarity in per cent (op7 has its own).
 NEAR_WORDS, NEAR_LINK = 5, 80
-#: Characters whose pieces are encoded together: half of op6's, as rows here carry more columns.
-CHUNK_CHARS = 16_000_000
 #: Files of the mixed table (some 100 bytes a name) whose offsets are broadcast.
 FILES_MAX = 50_000
 
@@ -76,8 +74,8 @@ def placed(docs: DataFrame) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(bpe.VOCABULARY)
     keep = placed(docs).select("doc_id", "lang", "source", "text", "place", text_digest().alias("digest"))
-    # decoded in a step of its own: the plan of the fold holds the rank map, that of the decoder the pieces
-    out = materialize(bpe.encode(keep, path, ["doc_id", "lang", "source", "place", "digest"], chunk_chars=CHUNK_CHARS))
+    # written before it is decoded, so that no text is encoded twice
+    out = materialize(bpe.encode(keep, path, ["doc_id", "lang", "source", "place", "digest"]))
     back = F.sha2(bpe.decode(F.col("ids"), path), 256)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
                       (back == F.col("digest")).alias("round_trip"), "place")
