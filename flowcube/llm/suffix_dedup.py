@@ -306,9 +306,9 @@ def runs_of_bucket(docs: pd.DataFrame, side: pd.DataFrame, parts: int, rows: Doc
             out.append((part, bucket, pre, rest, tails, bytes(len(k[1]) for k in keys), b"".join(k[1] for k in keys),
                         np.array([v[0] for v in vals], np.int64).tobytes(), np.array([v[1] for v in vals], np.int32).tobytes(),
                         np.array([v[2] for v in vals], np.int64).tobytes()))
-    if direct:  # ranges already decided travel with partition -1
+    if direct:  # ranges already decided pass a merge partition unmerged, so the runs are read once
         d = np.array(direct, dtype=np.int64)
-        out.append((-1, bucket, None, None, None, None, None, None, d[:, 0].astype(np.int32).tobytes(), d[:, 1:].tobytes()))
+        out.append((bucket % parts, bucket, None, None, None, None, None, None, d[:, 0].astype(np.int32).tobytes(), d[:, 1:].tobytes()))
     return pd.DataFrame(out, columns=[c.split()[0] for c in RUN.split(", ")])
 
 
@@ -388,9 +388,11 @@ def decide(group: list[tuple[bytes, bytes, int, int, int, int]], shared: list[in
 
 
 def merged_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merge one partition's runs and return repeated ranges by bucket."""
+    """Merge one partition's runs and return repeated ranges by bucket; rows without a run are decided ranges."""
     runs, meta = [], []
-    for r in pdf.sort_values("bucket").itertuples():
+    decided = pdf["shared"].isna()
+    rows = list(pdf.loc[decided, ["bucket", "number", "pos"]].itertuples(index=False, name=None))
+    for r in pdf[~decided].sort_values("bucket").itertuples():
         strings = unfront(r.shared, r.rest, r.tails)
         runs.append((strings, r.shared))
         lefts, at = [], 0
@@ -416,7 +418,7 @@ def merged_ranges(pdf: pd.DataFrame) -> pd.DataFrame:
         group.append((runs[run][0][i], lefts[i], doc[i], bucket, number[i], pos[i]))
         shared.append(pre)
     close()
-    rows = [(b, np.array([x[0] for x in v], np.int32).tobytes(), np.array([x[1:] for x in v], np.int64).tobytes()) for b, v in out.items()]
+    rows += [(b, np.array([x[0] for x in v], np.int32).tobytes(), np.array([x[1:] for x in v], np.int64).tobytes()) for b, v in out.items()]
     return pd.DataFrame(rows, columns=["bucket", "number", "pos"])
 
 
@@ -463,10 +465,10 @@ def remove_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, with_bytes
             return pd.DataFrame([], columns=[c.split()[0] for c in RUN.split(", ")])
         return runs_of_bucket(left, right, parts, named)
 
+    # one plan from here on: the texts are dealt to their buckets once and that exchange is read by both cogroups
     texts = rows.select("bucket", "doc", "digest", "text")
-    runs = materialize(texts.groupBy("bucket").cogroup(shared.unionByName(known).groupBy("bucket")).applyInPandas(make_runs, RUN))
-    ranges = runs.filter("part >= 0").groupBy("part").applyInPandas(merged_ranges, "bucket int, number binary, pos binary")
-    ranges = ranges.unionByName(runs.filter("part < 0").select("bucket", "number", "pos"))
+    runs = texts.groupBy("bucket").cogroup(shared.unionByName(known).groupBy("bucket")).applyInPandas(make_runs, RUN)
+    ranges = runs.groupBy("part").applyInPandas(merged_ranges, "bucket int, number binary, pos binary")
     ranges = ranges.select("bucket", F.lit(None).cast("bigint").alias("doc"), none.alias("digest"), none.alias("a"), "number", "pos")
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if with_bytes else "")

@@ -77,3 +77,12 @@ def test_long_text_in_pieces(spark, monkeypatch):
     at = [a for _, _, m, seg in whole for n, off, b, e in seg for a in (m[b:e] - b + off).tolist()]
     cut = [a for _, _, m, seg in parts for n, off, b, e in seg for a in (m[b:e] - b + off).tolist()]
     assert len(parts) > 3 and at == cut
+
+
+def test_texts_are_dealt_to_buckets_once(docs):
+    got = S.remove_repeats(docs, bucket_bytes=20_000)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    # the search for repeats and the cut read one exchange of texts; the other two by bucket hold anchors and ranges
+    assert sum("- Exchange hashpartitioning(bucket#" in line for line in plan) == 3
+    assert sum("ReusedExchange" in line and "Exchange hashpartitioning(bucket#" in line for line in plan) == 1
