@@ -12,10 +12,11 @@ Documents with equal sets form a class; classes are joined, copies are not.
   shingles; linked sets share one of them).  Rarity comes from a fixed-size count sketch
   over all documents, so passages that many documents share stand last.
   A list is scanned in two rounds.  First every member is compared with
-  the list's hub, which joins large groups of near copies with few comparisons.  Then
+  the list's hubs, which joins large groups of near copies with few comparisons.  Then
   only members of different components are compared, the list's largest
   component never with itself.  Candidates pass size and position filters, a parity
-  sketch whose distance bounds the symmetric difference, and the exact count.
+  sketch whose distance bounds the symmetric difference (for large sets a second one, as fine as
+  the set is large), and the exact count.
 
 The boundary x has the least cost: subsets of light sets against postings of heavy
 ones times the expected list length, from the sizes of all sets and the sketch.
@@ -126,36 +127,55 @@ def parity_bits(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def fine_bits(h: np.ndarray) -> bytes | None:
+    """Parity sketch of a large set with as many cells as shingles or more, a power of two; the first sketch does for the others."""
+    if len(h) <= 64 * PARITY:
+        return None
+    cells = 1 << (len(h) - 1).bit_length()
+    odd = np.bincount((finish(h + np.uint64(7)) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def fine_distance(a: bytes, b: bytes) -> int:
+    """Differing cells of two sketches, the longer one folded to the cells of the other: at most the sets' symmetric difference."""
+    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.unpackbits(x ^ y).sum())
+
+
 def text_id() -> Column:
     """Identity of a row's text: doc_id may be null or repeated."""
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
 def profiles(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per document (doc_id, text_id, n, node, parity), and per task its sketch blocks (block, counts)."""
-    schema = "doc_id bigint, text_id binary, n bigint, node bigint, parity array<bigint>, block int, counts binary"
-    names = ["doc_id", "text_id", "n", "node", "parity", "block", "counts"]
+    """Per document (doc_id, text_id, n, node, parity, fine), and per task its sketch blocks (block, counts)."""
+    schema = "doc_id bigint, text_id binary, n bigint, node bigint, parity array<bigint>, fine binary, block int, counts binary"
+    names = ["doc_id", "text_id", "n", "node", "parity", "fine", "block", "counts"]
     bits = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sketch = Hasher(words), np.zeros(1 << SKETCH_BITS, dtype=np.uint32)
         for batch in batches:
-            n, node, parity, cells = [], [], [], [np.empty(0, np.int64)]
+            n, node, parity, fine, cells = [], [], [], [], [np.empty(0, np.int64)]
             with np.errstate(over="ignore"):
                 for text in batch.column("text"):
                     h = hasher.shingles(text.as_py())
                     n.append(len(h))
                     node.append(set_node(h) if len(h) else None)
                     parity.append(parity_bits(h))
+                    fine.append(fine_bits(h))
                     cells.append((h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
             sketch += np.bincount(np.concatenate(cells), minlength=len(sketch)).astype(np.uint32)
             k = len(n)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
-                                              pa.array(parity, bits), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+                                              pa.array(parity, bits), pa.array(fine, pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if sketch.any():
             parts = np.split(sketch, BLOCKS)
             yield pa.RecordBatch.from_arrays([pa.nulls(BLOCKS, pa.int64()), pa.nulls(BLOCKS, pa.binary())] + [pa.nulls(BLOCKS, pa.int64())] * 2 + [
-                pa.nulls(BLOCKS, bits), pa.array(range(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
+                pa.nulls(BLOCKS, bits), pa.nulls(BLOCKS, pa.binary()), pa.array(range(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_id().alias("text_id"), "text").mapInArrow(run, schema)
 
@@ -289,21 +309,42 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Data
     return made(docs.filter("doc_id is not null")).unionByName(made(docs.filter("doc_id is null")).dropDuplicates(["node"]))
 
 
+def distance(a: str, b: str) -> str:
+    """Differing parity bits of members ``a`` and ``b`` of a list."""
+    return "(" + " + ".join(f"bit_count({a}.parity[{i}] ^ {b}.parity[{i}])" for i in range(PARITY)) + ")"
+
+
 def close(a: str, b: str, link: int = LINK) -> str:
     """Condition on members ``a`` and ``b`` of a list (n, pos, parity): they may link by size, position and parity.
 
     From the first shared token of the order on, at most min(n - pos) elements are shared; and the sets' symmetric
     difference a + b - 2 |A and B| is at least the number of differing parity bits.
     """
-    differ = " + ".join(f"bit_count({a}.parity[{i}] ^ {b}.parity[{i}])" for i in range(PARITY))
     return (f"100 * least({a}.n, {b}.n) >= {link} * greatest({a}.n, {b}.n) "
             f"and {100 + link} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {link} * ({a}.n + {b}.n) "
-            f"and {100 + link} * ({a}.n + {b}.n - ({differ})) >= {2 * link} * ({a}.n + {b}.n)")
+            f"and {100 + link} * ({a}.n + {b}.n - {distance(a, b)}) >= {2 * link} * ({a}.n + {b}.n)")
+
+
+def near(pairs: DataFrame, classes: DataFrame, link: int = LINK) -> DataFrame:
+    """Pairs (u, v) without those of two large sets whose fine sketches differ in more cells than linked sets can."""
+    fine = classes.filter("fine is not null").select("node", "n", "fine")
+    both = pairs.select("u", "v")
+    for side in ("u", "v"):
+        both = both.join(fine.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("fine").alias(f"{side}f")), side, "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            may = []
+            for a, b, x, y in zip(*[batch.column(c).to_pylist() for c in ("un", "vn", "uf", "vf")]):
+                may.append(x is None or y is None or (100 + link) * (a + b - fine_distance(x, y)) >= 2 * link * (a + b))
+            yield batch.select(["u", "v"]).filter(pa.array(may, pa.bool_()))
+
+    return both.select("u", "v", "un", "vn", "uf", "vf").mapInArrow(run, "u bigint, v bigint")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int = WORDS, link: int = LINK) -> DataFrame:
     """Edges (u, v) among candidate pairs (u, v) that link, by the exact count; sets are made for these pairs only."""
-    pairs = materialize(pairs.select("u", "v"))
+    pairs = materialize(near(pairs, classes, link))
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     sets = materialize(shingle_sets(docs, nodes.join(classes, "node").select("rep.doc_id", "rep.text_id"), words))
     whole = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("us")), "u")
@@ -331,9 +372,10 @@ def linked(docs: DataFrame, words: int = WORDS, link: int = LINK) -> tuple[DataF
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     table = materialize(profiles(docs, words))
     sketch = sketch_total(table)
-    rows = table.filter("block is null").select("doc_id", "text_id", "n", "node", "parity")
+    rows = table.filter("block is null").select("doc_id", "text_id", "n", "node", "parity", "fine")
     classes = materialize(rows.filter("n > 0").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")).alias("rep"), F.max("n").alias("n"), F.first("parity").alias("parity")))
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")).alias("rep"), F.max("n").alias("n"), F.first("parity").alias("parity"),
+        F.first("fine").alias("fine")))
     sizes = {int(r["n"]): int(r["c"]) for r in classes.filter(f"n <= {LIGHT_MAX}").groupBy("n").agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, sketch) if link == LINK else boundary(sizes, sketch, link)
 
@@ -350,12 +392,15 @@ def linked(docs: DataFrame, words: int = WORDS, link: int = LINK) -> tuple[DataF
 
     heavy = lists.filter("not light").drop("light")
     members = materialize(heavy.join(classes.select("node", "parity"), "node"))
-    # first round: every member against a pseudo-random hub of its list
-    every = Window.partitionBy("token")
-    hubs = members.withColumn("b", F.min(F.struct(F.xxhash64("token", "node"), "node", "n", "pos", "parity")).over(every))
-    hubs = hubs.withColumn("a", F.struct("n", "pos", "parity")).filter("node <> b.node").filter(close("a", "b", link))
-    firsts = hubs.groupBy("node", F.col("b.node").alias("hub")).agg(F.count(F.lit(1)).alias("shared"))
-    best = Window.partitionBy("node").orderBy(F.desc("shared"), "hub")
+    # first round: every member against two hubs of its list, a pseudo-random one and one of least place: of near copies,
+    # the one with the fewest shingles of its own (rare ones, which stand first) is the nearest to the others
+    every, body = Window.partitionBy("token"), [F.xxhash64("token", "node").alias("by"), "node", "n", "pos", "parity"]
+    hubs = members.withColumn("some", F.min(F.struct(*body)).over(every)).withColumn("first", F.min(F.struct(F.col("pos").alias("at"), *body)).over(every))
+    hubs = hubs.withColumn("first", F.struct(*[F.col("first")[c].alias(c) for c in ("by", "node", "n", "pos", "parity")]))
+    hubs = hubs.select("node", F.struct("n", "pos", "parity").alias("a"), F.explode(F.array("some", "first")).alias("b"))
+    hubs = hubs.filter("node <> b.node").filter(close("a", "b", link))
+    firsts = hubs.groupBy("node", F.col("b.node").alias("hub")).agg(F.count(F.lit(1)).alias("shared"), F.min(F.expr(distance("a", "b"))).alias("apart"))
+    best = Window.partitionBy("node").orderBy("apart", F.desc("shared"), "hub")
     firsts = firsts.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= HUBS).select(
         F.col("node").alias("u"), F.col("hub").alias("v"))
     edges = materialize(star.unionByName(verified(firsts, docs, classes, words, link)))

@@ -1,5 +1,7 @@
+import random
 import re
 
+import numpy as np
 import pytest
 
 from flowcube.llm import jaccard_join as J
@@ -115,3 +117,70 @@ def test_keep_one_goes_by_texts_without_or_with_repeated_ids(spark):
     assert sorted(((d, t.strip()) for d, t in got), key=str) == sorted(want, key=str)
     ids = sorted((r["component_id"] for r in J.join_documents(df).filter("doc_id is null and n_shingles > 0").collect()), key=str)
     assert ids == [9] + [None] * 7
+
+
+def test_fine_sketches_bound_the_difference_of_any_two_sizes():
+    rng = np.random.default_rng(3)
+    for a, b, common in [(600, 600, 500), (1000, 1100, 900), (4000, 4200, 100), (4090, 4100, 4080), (513, 4000, 500)]:
+        pool = rng.integers(0, 2**63, a + b - common, dtype=np.int64).astype(np.uint64)
+        x, y = np.unique(pool[:a]), np.unique(pool[a - common:])
+        apart = len(np.setxor1d(x, y))
+        got = J.fine_distance(J.fine_bits(x), J.fine_bits(y))
+        assert got == J.fine_distance(J.fine_bits(y), J.fine_bits(x)) and got <= apart and got % 2 == apart % 2
+        assert got > apart / 7
+    assert J.fine_bits(pool[:64 * J.PARITY]) is None
+
+
+def _compared(spark, monkeypatch, texts):
+    """Component of every text, and the numbers of pairs in the two rounds."""
+    pairs, verified = [], J.verified
+
+    def counted(some, *args):
+        some = some.localCheckpoint()
+        pairs.append(some.count())
+        return verified(some, *args)
+
+    monkeypatch.setattr(J, "verified", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    return {r["doc_id"]: r["component_id"] for r in J.join_documents(df).collect()}, pairs
+
+
+def test_a_large_group_of_near_copies_is_not_compared_in_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    base, texts = [f"w{rng.randrange(10**6)}" for _ in range(150)], []
+    for i in range(400):
+        words = list(base)
+        for k in range(rng.randint(0, 4)):
+            words[rng.randrange(150)] = f"own{i}x{k}"
+        texts.append(" ".join(words))
+    got, pairs = _compared(spark, monkeypatch, texts)
+    sets = [{tuple(t.split()[j:j + 4]) for j in range(147)} for t in texts]
+    whole = list(range(400))
+
+    def root(i):
+        while whole[i] != i:
+            i = whole[i]
+        return i
+
+    for i in range(400):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                whole[b] = a
+    assert got == {i: root(i) for i in range(400)}
+    assert pairs[1] <= 400
+
+
+def test_large_sets_with_a_common_passage_are_told_apart_by_their_sketches(spark):
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    passage = [word() for _ in range(900)]
+    texts = [" ".join([*passage, *[word() for _ in range(1400)]]) for _ in range(6)]
+    changed = texts[0].split()
+    changed[1000] = "changed"
+    df = spark.createDataFrame(list(enumerate([*texts, " ".join(changed), "a small set"])), "doc_id bigint, text string")
+    classes = J.materialize(J.profiles(df).filter("block is null"))
+    node = {r["doc_id"]: r["node"] for r in classes.collect()}
+    every = spark.createDataFrame([(node[i], node[j]) for i in node for j in node if i < j], "u bigint, v bigint")
+    kept = {(r["u"], r["v"]) for r in J.near(every, classes).collect()}
+    assert kept == {(node[0], node[6])} | {(node[i], node[7]) for i in range(7)}  # small sets have the first sketch only
