@@ -29,9 +29,9 @@ NO_SPRINT = "(sem sprint)"
 
 
 def stage_moves(events: DataFrame, board: DataFrame) -> DataFrame:
-    """Distinct column moves (T10: distinct without the person)."""
+    """Distinct column moves (T10: distinct without the person); the board's few columns are broadcast, no event is dealt out by its stage."""
     b = board.select("team", F.col("column").alias("stage"), "position")
-    return (events.withColumnRenamed("column", "stage").join(b, ["team", "stage"])
+    return (events.withColumnRenamed("column", "stage").join(F.broadcast(b), ["team", "stage"])
                   .select("team", "card", "action", "stage", "position", "occurred_at").distinct())
 
 
@@ -118,7 +118,11 @@ def stage_cards(intervals: DataFrame, limit_hours: float = 48.0, team: str | Non
 
 def backlog_summary(cards_of_stages: DataFrame) -> DataFrame:
     """Per team over all sprints (M6): distinct cards, % of them over the limit in some
-    stage, the worst stage (most cards over limit, then most time, then name).  Reads ``stage_cards`` with micros."""
+    stage, the worst stage (most cards over limit, then most time, then name).  Reads ``stage_cards`` with micros.
+
+    The cards of stages are written once: intervals are not paired again for each of the two countings.
+    """
+    cards_of_stages = materialize(cards_of_stages.select("team", "stage", "card", "over_limit", "micros"))
     per_stage = (cards_of_stages.groupBy("team", "stage")
                  .agg(F.count_if(F.col("over_limit") == 1).alias("over"), F.sum(F.col("micros").cast("decimal(38,0)")).alias("h")))
     worst = (per_stage.groupBy("team")

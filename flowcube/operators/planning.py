@@ -61,8 +61,11 @@ def link_stats(links: DataFrame) -> DataFrame:
 
 
 def card_base(cards: DataFrame, sizes: DataFrame, links: DataFrame) -> DataFrame:
-    """Every card with size, planned days, actual days (exact), ratio and commit stats."""
-    c = (cards.join(sizes, "size", "left")
+    """Every card with size, planned days, actual days (exact), ratio and commit stats.
+
+    ``sizes`` is a fixed table of a few rows and is broadcast: cards are never dealt out by their size.
+    """
+    c = (cards.join(F.broadcast(sizes), "size", "left")
               .join(link_stats(links), ["team", "card"], "left"))
     micros = elapsed_micros("created_at", "closed_at")
     days = micros.cast("double") / F.lit(float(MICROS_PER_DAY))
