@@ -17,7 +17,7 @@ from tests.conftest import SF_SMALL
 def data(tmp_path):
     """A copy of the star layer's inputs that a test may change."""
     for name in build.INPUTS:
-        shutil.copy(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
     return str(tmp_path)
 
 
