@@ -214,7 +214,7 @@ def placed_records(df: DataFrame, out: str) -> DataFrame:
     files = df.select(F.col("_metadata.file_path").alias("__path")).distinct()
     files = files.withColumn("__file", F.row_number().over(Window.orderBy("__path")))  # one row per file
     rows = df.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
-    return rows.join(files, "__path").withColumn(out, F.shiftleft(F.col("__file").cast("bigint"), 40) + F.col("__row")).drop("__path", "__file", "__row")
+    return rows.join(F.broadcast(files), "__path").withColumn(out, F.shiftleft(F.col("__file").cast("bigint"), 40) + F.col("__row")).drop("__path", "__file", "__row")
 
 
 def copy_table(df: DataFrame, path: str, timestamps: list[str]) -> DataFrame:

@@ -94,3 +94,54 @@ def test_profile_of_an_empty_table(spark, tmp_path):
     out = quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()
     assert [(r["column_name"], r["observed_type"], r["rows"], r["min_value"], r["samples"]) for r in out] == [
         ("a", "TEXT", 0, None, None), ("t", "TEXT", 0, None, None)]
+
+
+def test_profile_counts_times_by_the_microsecond(spark, tmp_path):
+    spark.sql("select timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id / 1000000) as at from range(10)").write.parquet(f"{tmp_path}/t")
+    (out,) = quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()
+    assert (out["distinct_values"], out["observed_type"], out["max_value"]) == (10, "DATETIME", "2024-01-01 00:00:00.000009")
+
+
+def test_profile_writes_a_row_a_column_and_not_its_values(spark, tmp_path, monkeypatch):
+    from flowcube.operators import materialize
+    written, write = [], materialize.materialize
+    monkeypatch.setattr(materialize, "materialize", lambda df: written.append(write(df)) or written[-1])
+    spark.range(1000).selectExpr("id as a", "cast(id % 10 as string) as b").write.parquet(f"{tmp_path}/t")
+    quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()
+    assert sum(df.count() for df in written) <= 2
+
+
+def test_profile_tells_long_texts_apart_and_knows_their_class(spark, tmp_path):
+    n = quality.SHOWN
+    rows = [("1" * n, "x" * n, "é" * n, ""), ("1" * (n + 40), "x" * n + "a", "é" * n + "a", ":"), ("-" + "1" * n, "x" * n + "b", None, "-"), ("1" * n, "x" * n, "é" * 40, "5")]
+    spark.createDataFrame(rows, "i string, t string, e string, s string").coalesce(1).write.parquet(f"{tmp_path}/t")
+    out = {r["column_name"]: r for r in quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()}
+    assert {c: (r["distinct_values"], r["observed_type"], r["min_value"], r["max_value"]) for c, r in out.items()} == {
+        "i": (3, "INTEGER", "-" + "1" * (n - 1), "1" * n), "t": (3, "TEXT", "x" * n, "x" * n), "e": (3, "TEXT", "é" * 40, "é" * n),
+        "s": (4, "TEXT", "", ":")}
+    assert out["i"]["samples"] == " | ".join(["1" * n, "1" * n, "-" + "1" * (n - 1)]) and out["s"]["samples"] == " | : | -"
+
+
+def test_profile_samples_of_columns_that_repeat_themselves_at_first(spark, tmp_path, monkeypatch):
+    import datetime
+    from decimal import Decimal
+    t = datetime.datetime(2024, 1, 1, 0, 0, 0, 5)
+    monkeypatch.setattr(quality, "HEAD", 4)
+    cols = "n long, d double, s string, at timestamp, day date, dec decimal(10,2), yes boolean, one string"
+    def rows(start):
+        return [(i // 8, -0.0 if i < 8 else 0.0 if i < 10 else i / 8, "x" * 70 + str(i // 8), t + datetime.timedelta(microseconds=i // 8),
+                 datetime.date(2024, 1, 1 + i // 8), None if i < 8 else Decimal(i // 8), i >= 16, "o") for i in range(start, start + 16)]
+    empty = spark.createDataFrame([], cols)
+    for name, df in (("a", empty), ("b", spark.createDataFrame(rows(0), cols)), ("c", spark.createDataFrame(rows(16), cols))):
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    for name in "cab":  # files of one table, by path: none of the rows, the first, the last
+        (part,) = (tmp_path / name).glob("*.parquet")
+        (tmp_path / "t").mkdir(exist_ok=True)
+        (tmp_path / "t" / f"{name}.parquet").write_bytes(part.read_bytes())
+    out = {r["column_name"]: r["samples"] for r in quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()}
+    day = "2024-01-01 00:00:00.00000"
+    assert out == {"n": "0 | 1 | 2", "d": "-0.0 | 1.25 | 1.375", "s": " | ".join(["x" * 60] * 3), "at": f"{day}5 | {day}6 | {day}7",
+                   "day": "2024-01-01 | 2024-01-02 | 2024-01-03", "dec": "1.00 | 2.00 | 3.00", "yes": "false | true", "one": "o"}
+    monkeypatch.setattr(quality, "FIRST_FILES", 0)  # all by the scan of whole columns
+    again = {r["column_name"]: r["samples"] for r in quality.column_profile(spark.read.parquet(f"{tmp_path}/t"), "t").collect()}
+    assert again == out
